@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def bind(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body`` as a variable."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def prefix_sums(values: Column, zero: Column) -> Column:
     """Running totals of an array by doubling: O(n log n), no explode, no shuffle."""
     steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(values) + 1)).cast("int"))
@@ -40,14 +45,25 @@ def checked_temperature(temperature: float) -> float:
 def softmax(logits: Column, temperature: float = 1.0) -> Column:
     """Probabilities of an array of logits, shifted by the maximum for stability."""
     scale = checked_temperature(temperature)
-    scaled = F.transform(logits, lambda x: x.cast("double") / scale)
-    weights = F.transform(scaled, lambda x: F.exp(x - F.array_max(scaled)))
-    return F.transform(weights, lambda w: w / array_sum(weights))
+
+    def normalized(weights: Column) -> Column:
+        return bind(array_sum(weights), lambda total: F.transform(weights, lambda w: w / total))
+
+    def shifted(scaled: Column) -> Column:
+        return bind(
+            F.array_max(scaled),
+            lambda top: bind(F.transform(scaled, lambda x: F.exp(x - top)), normalized),
+        )
+
+    return bind(F.transform(logits, lambda x: x.cast("double") / scale), shifted)
 
 
 def log_sum_exp(logits: Column) -> Column:
-    top = F.array_max(logits).cast("double")
-    return top + F.log(array_sum(F.transform(logits, lambda x: F.exp(x.cast("double") - top))))
+    return bind(
+        F.array_max(logits).cast("double"),
+        lambda top: top
+        + F.log(array_sum(F.transform(logits, lambda x: F.exp(x.cast("double") - top)))),
+    )
 
 
 def negative_log_likelihood(logits: Column, target: Column) -> Column:
@@ -57,11 +73,9 @@ def negative_log_likelihood(logits: Column, target: Column) -> Column:
 
 def rms_normalize(values: Column, weight: Column | None = None) -> Column:
     """x / sqrt(mean(x^2) + 1e-5), times an optional weight per dimension."""
-    mean_square = array_sum(
-        F.transform(values, lambda x: x.cast("double") * x.cast("double"))
-    ) / F.size(values)
-    factor = F.lit(1.0) / F.sqrt(mean_square + F.lit(1e-5))
-    scaled = F.transform(values, lambda x: x.cast("double") * factor)
+    squares = F.transform(values, lambda x: x.cast("double") * x.cast("double"))
+    factor = F.lit(1.0) / F.sqrt(array_sum(squares) / F.size(values) + F.lit(1e-5))
+    scaled = bind(factor, lambda by: F.transform(values, lambda x: x.cast("double") * by))
     if weight is None:
         return scaled
     return F.zip_with(scaled, weight, lambda x, w: x * w)

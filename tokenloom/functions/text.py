@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+from tokenloom.functions.arrays import prefix_sums
+
 # The pretoken pattern and the default delimiter.
 PRETOKEN_PATTERN = (
     r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -88,23 +90,23 @@ def lenient_text(data: Column) -> Column:
 def bounded_join(words: Column) -> Column:
     """Pretokens as one lifted string, each between two boundary characters."""
     edge = F.expr(_BOUNDARY_BYTE)
-    joined = F.concat(edge, F.call_function("array_join", words, F.concat(edge, edge)), edge)
-    return F.when(F.size(words) == 0, F.lit("")).otherwise(lift(joined))
+    between = F.concat(edge, edge)
+    return lift(F.concat(edge, F.call_function("array_join", words, between), edge))
 
 
 def characters(text: Column) -> Column:
     """Array of the characters of a string (code points); empty for ''."""
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(
-        F.split(text, "")
-    )
+    return F.array_remove(F.split(text, ""), "")
 
 
-def adjacent_pairs(symbols: Column) -> Column:
-    """Every two neighbouring characters, overlaps included, in one linear pass."""
-    # The first guard skips the second half of a surrogate pair.
-    return F.regexp_extract_all(
-        symbols, F.lit(r"(?s)(?![\x{DC00}-\x{DFFF}])(?=(..))"), F.lit(1)
-    )
+# Every two neighbouring characters. The first guard skips the second half of a
+# surrogate pair, so that a step is one character.
+ADJACENT_PAIRS = r"regexp_extract_all({}, r'(?s)(?![\x{{DC00}}-\x{{DFFF}}])(?=(..))', 1)"
+
+
+def adjacent_pairs(symbols: str) -> Column:
+    """Every two neighbouring characters of a column, overlaps included, in one pass."""
+    return F.expr(ADJACENT_PAIRS.format(symbols))
 
 
 def symbol(code: int) -> str:
@@ -141,17 +143,15 @@ def from_printable(text: Column) -> Column:
     return F.translate(text, "".join(printable_bytes()), "".join(map(chr, range(256))))
 
 
-def overlapping_offsets(lifted: Column, needle: Column) -> Column:
-    """0-based offsets of every occurrence of ``needle``, overlaps included."""
-    return F.when(
-        F.length(lifted) >= F.length(needle),
-        F.filter(
-            F.transform(
-                F.sequence(F.lit(0), F.length(lifted) - F.length(needle)),
-                lambda start: F.when(
-                    F.substring(lifted, start + 1, F.length(needle)) == needle, start
-                ),
-            ),
-            lambda start: start.isNotNull(),
-        ),
-    ).otherwise(F.array().cast("array<int>"))
+def overlapping_offsets(lifted: Column, needle: str) -> Column:
+    """0-based offsets of every occurrence of ``needle``, overlaps included.
+
+    A boundary character is put before each occurrence; offsets are the prefix
+    sums of the lengths between boundaries, so long strings stay cheap.
+    """
+    marked = F.regexp_replace(lifted, F.lit(f"(?={quoted(needle)})"), F.lit(BOUNDARY))
+    parts = F.split(marked, BOUNDARY)
+    lengths = F.transform(
+        F.slice(parts, F.lit(1), F.size(parts) - 1), lambda part: F.length(part)
+    )
+    return prefix_sums(lengths, F.lit(0))
