@@ -77,6 +77,11 @@ def lift(text: Column) -> Column:
     return F.call_function("decode", text.cast("binary"), F.lit("ISO-8859-1"))
 
 
+def lift_binary(data: Column) -> Column:
+    """Binary to its lifted byte string."""
+    return F.call_function("decode", data, F.lit("ISO-8859-1"))
+
+
 def unlift(lifted: Column) -> Column:
     """Lifted byte string to binary."""
     return F.encode(lifted, "ISO-8859-1")

@@ -18,7 +18,7 @@ def fits_broadcast(dim: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
         for name, kind in dim.dtypes
         if not kind.startswith(("array", "struct", "map"))
     ]
-    arrays = [8 * F.size(name) for name, kind in dim.dtypes if kind.startswith("array")]
+    arrays = [16 * F.size(name) for name, kind in dim.dtypes if kind.startswith("array")]
     width = sum((F.coalesce(part, F.lit(0)) for part in sizes + arrays), F.lit(0))
     count, total = dim.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     return count <= rows and total <= BROADCAST_CHARS
@@ -33,16 +33,17 @@ def spread_left_join(
     hot_rows: int = HOT_ROWS,
     salts: int = 1024,
     broadcast_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """``facts`` left join ``dim`` on ``keys``; ``dim`` must be materialized and unique.
 
-    A dim that measures small is broadcast whole. Otherwise its ``hot_rows``
+    A dim that measures small is broadcast whole (``small`` hands in an earlier measure). Otherwise its ``hot_rows``
     heaviest keys are broadcast, and the facts they answer travel under a salted
     key, so no partition of the remaining shuffle join receives a hot key.
     """
     values = [name for name in dim.columns if name not in {*keys, weight}]
     plain = dim.drop(weight)
-    if fits_broadcast(dim, broadcast_rows):
+    if fits_broadcast(dim, broadcast_rows) if small is None else small:
         return facts.join(F.broadcast(plain), list(keys), "left")
     hot = dim.orderBy(F.col(weight).desc(), *[F.col(key) for key in keys]).limit(hot_rows)
     hot = hot.select(
