@@ -145,7 +145,10 @@ def to_printable(lifted: Column) -> Column:
 
 def from_printable(text: Column) -> Column:
     """Printable form back to the lifted byte string."""
-    return F.translate(text, "".join(printable_bytes()), "".join(map(chr, range(256))))
+    zero, *others = printable_bytes()
+    # ``translate`` would delete a character mapped to U+0000.
+    moved = F.translate(text, "".join(others), "".join(map(chr, range(1, 256))))
+    return F.replace(moved, F.lit(zero), F.lit("\0"))
 
 
 def overlapping_offsets(lifted: Column, needle: str) -> Column:

@@ -332,8 +332,10 @@ def compression_stats(
 
 def word_compression(counts: DataFrame, codec: Codec, by: Sequence[str] = ()) -> DataFrame:
     """Token totals from pretoken counts alone: every distinct word is encoded once."""
-    words = encode_words(counts, codec)
-    return words.groupBy(*by).agg(
+    distinct = counts.groupBy("pretoken").agg(F.sum("freq").alias("freq"))
+    words = materialize(encode_words(distinct, codec))
+    found = spread_left_join(counts, words, ["pretoken"], "freq", F.struct(*by, "pretoken"))
+    return found.groupBy(*by).agg(
         F.sum(F.col("freq") * F.octet_length("pretoken")).alias("n_bytes"),
         F.sum(F.col("freq") * F.size("tokens")).alias("n_tokens"),
     )
