@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -11,6 +12,11 @@ from tokenloom.functions.draws import draw_integer
 ORDER_BUCKETS = 256
 
 
+def _longs(values: Iterable[int]) -> Column:
+    """A literal array of long numbers."""
+    return F.expr(f"cast(array({', '.join(f'{value}L' for value in values)}) AS array<bigint>)")
+
+
 def with_offsets(
     df: DataFrame, key: str, size: Column, out: str = "offset", buckets: int = ORDER_BUCKETS
 ) -> DataFrame:
@@ -23,17 +29,17 @@ def with_offsets(
     cuts = ", ".join(str(i / buckets) for i in range(1, buckets))
     bounds = df.agg(F.expr(f"percentile_approx({key}, array({cuts}), 100000)")).first()[0]
     edges = sorted(set(bounds or []))
-    listed = F.array(*[F.lit(edge) for edge in edges]) if edges else F.array().cast("array<long>")
+    listed = _longs(edges)
     sized = df.withColumn("_size", size.cast("bigint")).withColumn(
         "_bucket", F.size(F.filter(listed, lambda edge: edge < F.col(key)))
     )
     totals = dict(sized.groupBy("_bucket").agg(F.sum("_size")).collect())
     sums = [totals.get(bucket, 0) for bucket in range(len(edges) + 1)]
-    starts = F.array(*[F.lit(total) for total in accumulate([0, *sums[:-1]])])
+    starts = _longs(accumulate([0, *sums[:-1]]))
     before = Window.partitionBy("_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     return sized.withColumn(
         out,
-        F.get(starts, F.col("_bucket")).cast("bigint")
+        F.get(starts, F.col("_bucket"))
         + F.coalesce(F.sum("_size").over(before), F.lit(0).cast("bigint")),
     ).drop("_size", "_bucket")
 

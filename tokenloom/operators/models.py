@@ -128,7 +128,9 @@ def _matrix(parameters: DataFrame) -> list[list[float]]:
 
 def class_probabilities(features: Column, matrix: list[list[float]]) -> Column:
     """softmax(W x) as an array with one entry per class."""
-    rows = F.array(*[F.array(*[F.lit(x) for x in row]) for row in matrix])
+    rows = F.expr(
+        "array(" + ", ".join("array(" + ", ".join(f"{x!r}D" for x in row) + ")" for row in matrix) + ")"
+    )
     return ar.softmax(F.transform(rows, lambda row: ar.dot(features, row)))
 
 

@@ -263,7 +263,7 @@ THREE_STEPS = cosine_rates(0.05, 0.01, 3)
 
 def predictions(step: int, key: str, label: str) -> str:
     return f"""SELECT id AS {key}, y AS {label}, arg_max(class, round(prob, 9) * 1000 - class * 1e-9)::INT AS predicted,
-  round(max(prob), 6) AS prob FROM q{step} GROUP BY id, y"""
+  round(max(prob), 4) AS prob FROM q{step} GROUP BY id, y"""
 
 
 def spelled_bytes(text: str) -> str:

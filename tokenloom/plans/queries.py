@@ -664,7 +664,7 @@ def classifier_scores(spark, sf):
         rows, 10, steps=3, features="embedding", rates=(0.05, 0.01), max_norm=MAX_NORM
     )
     return md.classify(rows, learned, "embedding", ("vec_id", "label")).withColumn(
-        "prob", F.round("prob", 6)
+        "prob", F.round("prob", 4)
     )
 
 
@@ -676,7 +676,7 @@ def quality_classifier(spark, sf):
         rows, 2, steps=3, label="quality", rates=(0.05, 0.01), max_norm=MAX_NORM
     )
     return md.classify(rows, learned, keep=("doc_id", "quality")).withColumn(
-        "prob", F.round("prob", 6)
+        "prob", F.round("prob", 4)
     )
 
 
