@@ -12,7 +12,6 @@ def bind(value: Column, body) -> Column:
 
 def prefix_sums(values: Column, zero: Column) -> Column:
     """Running totals of an array by doubling: O(n log n), no explode, no shuffle."""
-    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(values) + 1)).cast("int"))
 
     def shifted(totals: Column, step: Column) -> Column:
         by = F.least(F.pow(F.lit(2), step).cast("int"), F.size(totals))
@@ -20,11 +19,14 @@ def prefix_sums(values: Column, zero: Column) -> Column:
             F.array_repeat(zero, by), F.slice(totals, F.lit(1), F.size(totals) - by)
         )
 
-    return F.aggregate(
-        steps,
-        values,
-        lambda totals, step: F.zip_with(totals, shifted(totals, step), lambda a, b: a + b),
-    )
+    def doubled(start: Column) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(0), F.ceil(F.log2(F.size(start) + 1)).cast("int")),
+            start,
+            lambda totals, step: F.zip_with(totals, shifted(totals, step), lambda a, b: a + b),
+        )
+
+    return bind(values, doubled)
 
 
 def array_sum(values: Column) -> Column:

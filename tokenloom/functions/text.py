@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-from tokenloom.functions.arrays import prefix_sums
+from tokenloom.functions.arrays import bind, prefix_sums
 
 # The pretoken pattern and the default delimiter.
 PRETOKEN_PATTERN = (
@@ -158,8 +158,10 @@ def overlapping_offsets(lifted: Column, needle: str) -> Column:
     sums of the lengths between boundaries, so long strings stay cheap.
     """
     marked = F.regexp_replace(lifted, F.lit(f"(?={quoted(needle)})"), F.lit(BOUNDARY))
-    parts = F.split(marked, BOUNDARY)
-    lengths = F.transform(
-        F.slice(parts, F.lit(1), F.size(parts) - 1), lambda part: F.length(part)
+    lengths = bind(
+        F.split(marked, BOUNDARY),
+        lambda parts: F.transform(
+            F.slice(parts, F.lit(1), F.size(parts) - 1), lambda part: F.length(part)
+        ),
     )
     return prefix_sums(lengths, F.lit(0))

@@ -186,7 +186,8 @@ def encode_inline(
         edged = tx.BOUNDARY + token.decode("latin-1") + tx.BOUNDARY
         symbols = F.replace(symbols, F.lit(edged), F.lit(tx.BOUNDARY + code + tx.BOUNDARY))
     ids = codec.ids(F.translate(codec.fold(symbols), tx.BOUNDARY, ""))
-    return df.select(*keep, ids.alias(out))
+    empty = F.array().cast("array<int>")
+    return df.select(*keep, F.coalesce(ids, empty).alias(out))
 
 
 def encode_words(counts: DataFrame, codec: Codec) -> DataFrame:

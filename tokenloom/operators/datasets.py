@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tokenloom.functions.draws import draw_integer
 
 ORDER_BUCKETS = 256
+MAX_BROADCAST_BATCH = 1_000_000
 
 
 def _longs(values: Iterable[int]) -> Column:
@@ -91,19 +92,18 @@ def _pieces(stream: DataFrame, length: int, overlap: int, tokens: str) -> DataFr
     )
 
 
-def _windows(stream: DataFrame, length: int, overlap: int, tokens: str) -> DataFrame:
+def _windows(pieces: DataFrame) -> DataFrame:
     """Whole windows (window_id, tokens); a group never exceeds one window."""
     listed = F.array_sort(F.collect_list(F.struct("start", "piece")))
     return (
-        _pieces(stream, length, overlap, tokens)
-        .groupBy("window_id")
+        pieces.groupBy("window_id")
         .agg(F.flatten(F.transform(listed, lambda part: part["piece"])).alias("tokens"))
     )
 
 
 def pack_sequences(stream: DataFrame, length: int, tokens: str = "tokens") -> DataFrame:
     """Every aligned window with its next-token labels: (window_id, start, input, target)."""
-    full = _windows(stream, length, 1, tokens).where(F.size("tokens") == length + 1)
+    full = _windows(_pieces(stream, length, 1, tokens)).where(F.size("tokens") == length + 1)
     return full.select(
         "window_id",
         (F.col("window_id") * length).alias("start"),
@@ -158,11 +158,16 @@ def sample_windows(
     """
     total = stream.agg(F.coalesce(F.sum(F.size(tokens)), F.lit(0))).first()[0]
     starts = sample_starts(stream.sparkSession, total, batch, length, strategy, seed)
-    blocks = _windows(stream, length, 0, tokens)
     first = F.col("start").cast("bigint") - F.pmod("start", F.lit(length))
     needed = starts.withColumn("first", (first / length).cast("bigint")).withColumn(
         "window_id", F.explode(F.array(F.col("first"), F.col("first") + 1))
     )
+    wanted = needed.select("window_id").distinct()
+    if batch <= MAX_BROADCAST_BATCH:
+        wanted = F.broadcast(wanted)
+    # Only the pieces of drawn windows are shuffled.
+    pieces = _pieces(stream, length, 0, tokens).join(wanted, "window_id", "left_semi")
+    blocks = _windows(pieces)
     listed = F.array_sort(F.collect_list(F.struct("window_id", "tokens")))
     whole = (
         needed.join(blocks, "window_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tokenloom.functions import arrays as ar
 from tokenloom.functions import optimizer as opt
@@ -143,14 +143,14 @@ def classifier_gradient(
         class_probabilities(F.col(features), matrix),
         lambda p, c: p - F.when(F.col(label) == c, 1.0).otherwise(0.0),
     )
-    n = batch.count()
+    means = [F.sum(F.get("e", F.lit(c)) * F.col("x")) / F.count("x") for c in range(classes)]
     sums = (
-        batch.select(errors.alias("e"), F.posexplode(features).alias("dim", "x"))
+        batch.select(errors.alias("e"), features)
+        .select("e", F.posexplode_outer(features).alias("dim", "x"))
         .groupBy("dim")
-        .agg(*[F.sum(F.get("e", F.lit(c)) * F.col("x")).alias(f"g{c}") for c in range(classes)])
+        .agg(F.array(*means).alias("g"))
     )
-    listed = F.array(*[F.col(f"g{c}") / n for c in range(classes)])
-    return sums.select("dim", F.posexplode(listed).alias("class", "gradient"))
+    return sums.select("dim", F.posexplode("g").alias("class", "gradient"))
 
 
 def grad_norm(gradients: DataFrame) -> DataFrame:
@@ -160,20 +160,31 @@ def grad_norm(gradients: DataFrame) -> DataFrame:
 
 
 def clip_gradients(gradients: DataFrame, limit: float) -> DataFrame:
-    """Scale all gradients so that their joint norm stays below ``limit``."""
-    norm = grad_norm(gradients).first()["grad_norm"]
-    return gradients.withColumn("gradient", F.col("gradient") * opt.clip_factor(F.lit(norm), limit))
+    """Scale all gradients so that their joint norm (kept as a column) stays below ``limit``.
+
+    There is one row per parameter, so a single window over them is small.
+    """
+    norm = F.sqrt(F.sum(F.col("gradient") * F.col("gradient")).over(Window.partitionBy()))
+    return gradients.withColumn("grad_norm", norm).withColumn(
+        "gradient", F.col("gradient") * opt.clip_factor(F.col("grad_norm"), limit)
+    )
 
 
 def apply_adamw(
     parameters: DataFrame, gradients: DataFrame, rate: float, step: int, **options
 ) -> DataFrame:
-    """Parameters and moments after one step; rows without gradient stay."""
+    """Parameters and moments after one step; rows without gradient stay.
+
+    Other gradient columns are carried along.
+    """
     joined = parameters.join(gradients, ["class", "dim"], "left")
     value, first, second = opt.adamw_columns(
         F.col("value"), F.col("m"), F.col("v"), F.col("gradient"), rate, step, **options
     )
-    return joined.select("class", "dim", value.alias("value"), first.alias("m"), second.alias("v"))
+    others = [name for name in gradients.columns if name not in {"class", "dim", "gradient"}]
+    return joined.select(
+        "class", "dim", value.alias("value"), first.alias("m"), second.alias("v"), *others
+    )
 
 
 def apply_sgd(parameters: DataFrame, gradients: DataFrame, rate: float, step: int) -> DataFrame:
@@ -183,19 +194,13 @@ def apply_sgd(parameters: DataFrame, gradients: DataFrame, rate: float, step: in
     return joined.select("class", "dim", value.alias("value"), "m", "v")
 
 
-def fixed(parameters: DataFrame) -> DataFrame:
-    """The bounded parameter table as a literal, so that plans do not grow by step."""
-    rows = parameters.select("class", "dim", "value", "m", "v").collect()
-    if len(rows) > MAX_PARAMETERS:
-        raise ValueError(f"more than {MAX_PARAMETERS} parameters")
-    schema = "class int, dim int, value double, m double, v double"
-    return parameters.sparkSession.createDataFrame([tuple(row) for row in rows], schema)
-
-
-def cosine_rate_at(step: int, top: float, bottom: float, warmup: int, cycle: int, spark) -> float:
-    return spark.range(1).select(
-        opt.cosine_rate(F.lit(step), top, bottom, warmup, cycle).alias("rate")
-    ).first()["rate"]
+def scheduled_rates(
+    spark: SparkSession, steps: int, top: float, bottom: float, warmup: int, cycle: int
+) -> list[float]:
+    """Learning rate of every step from 0 to ``steps``."""
+    rate = opt.cosine_rate(F.col("id"), top, bottom, warmup, cycle)
+    rows = spark.range(steps + 1).select("id", rate.alias("rate")).orderBy("id").collect()
+    return [row["rate"] for row in rows]
 
 
 def train_classifier(
@@ -222,26 +227,22 @@ def train_classifier(
     if parameters is None:
         dims = rows.select(F.max(F.size(features))).first()[0]
         parameters = initial_parameters(spark, classes, dims)
-    last = steps if cycle is None else cycle
+    schedule = scheduled_rates(spark, steps, *rates, warmup, steps if cycle is None else cycle)
+    schema = "class int, dim int, value double, m double, v double"
     for step in range(start_step, steps + 1):
-        matrix = _matrix(parameters)
-        gradients = fixed_gradients(classifier_gradient(rows, matrix, features, label))
-        norm = grad_norm(gradients).first()["grad_norm"]
-        rate = cosine_rate_at(step, *rates, warmup, last, spark)
-        parameters = fixed(apply_adamw(parameters, clip_gradients(gradients, max_norm), rate, step))
+        gradients = classifier_gradient(rows, _matrix(parameters), features, label)
+        clipped = clip_gradients(gradients, max_norm)
+        moved = apply_adamw(parameters, clipped, schedule[step], step)
+        # One job per step; the bounded parameter table comes back as a literal, so
+        # the plan does not grow.
+        listed = moved.collect()
+        parameters = spark.createDataFrame([tuple(row)[:5] for row in listed], schema)
         if on_step is not None:
-            on_step(step, parameters, {"grad_norm": norm, "learning_rate": rate})
+            norm = next(row["grad_norm"] for row in listed if row["grad_norm"] is not None)
+            on_step(step, parameters, {"grad_norm": norm, "learning_rate": schedule[step]})
     return parameters
 
 
-def fixed_gradients(gradients: DataFrame) -> DataFrame:
-    """The summed gradient (one row per parameter) computed once."""
-    rows = gradients.select("class", "dim", "gradient").collect()
-    return gradients.sparkSession.createDataFrame(
-        [tuple(row) for row in rows], "class int, dim int, gradient double"
-    )
-
-
 def classify(
     df: DataFrame, parameters: DataFrame, features: str = "features", keep: Sequence[str] = ()
 ) -> DataFrame:

@@ -77,7 +77,9 @@ def pretoken_spans(
     lengths = F.transform("words", lambda w: F.octet_length(w).cast("bigint"))
     ends = arrays.prefix_sums(lengths, F.lit(0).cast("bigint"))
     rows = words.select(key, F.arrays_zip(F.col("words"), ends.alias("ends")).alias("rows"))
-    spans = rows.select(key, F.posexplode("rows").alias("pos", "row")).select(
+    # The outer form keeps Spark from evaluating the array again in a size filter.
+    exploded = rows.select(key, F.posexplode_outer("rows").alias("pos", "row"))
+    spans = exploded.where(F.col("pos").isNotNull()).select(
         key,
         "pos",
         F.col("row.words").alias("pretoken"),

@@ -138,15 +138,18 @@ def learn_merges(
     by_bytes: bool = True,
     done: Sequence[tuple[int, int]] = (),
     top_k: int = 256,
-    checkpoint_every: int = 12,
+    rewrite_every: int = 4,
+    checkpoint_every: int = 24,
     on_checkpoint: Callable[[DataFrame, list[tuple[int, int]]], None] | None = None,
 ) -> list[tuple[int, int]]:
     """Merges as id pairs, continuing after ``done``.
 
     ``words`` is (sym, freq), one row per distinct pretoken, already rewritten by
-    ``done``. Each round is one job over the last written words and pair counts:
-    it adds the count changes of the merges since then, which only touch the words
-    that hold one of their pairs, and returns the ``top_k`` most frequent pairs.
+    ``done``. Each round is one job over the last rewritten words and their pair
+    counts: it adds the count changes of the merges since then, which only touch the
+    words that hold one of their pairs, and returns the ``top_k`` most frequent pairs.
+    Words are rewritten every ``rewrite_every`` rounds and written to the shared
+    folder every ``checkpoint_every`` rounds.
     """
     spark = words.sparkSession
     merges = list(done)
@@ -163,12 +166,11 @@ def learn_merges(
     parts = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
-    base_words = materialize(words.select("sym", "freq").repartition(parts, "sym")).persist()
-    base_counts = materialize(pr.pair_counts(base_words)).persist()
-    pending: list[tuple[str, str]] = []
-    counts, rounds = base_counts, 0
+    words = materialize(words.select("sym", "freq").repartition(parts, "sym")).persist()
+    counts = materialize(pr.pair_counts(words)).persist()
+    current, pending, held, rounds = counts, [], [words, counts], 0
     while len(merges) < n_merges:
-        top = counts.orderBy(F.col("n").desc()).limit(top_k).collect()
+        top = current.orderBy(F.col("n").desc()).limit(top_k).collect()
         if not top:
             break
         batch = exact_batch(
@@ -179,7 +181,7 @@ def learn_merges(
             spelled_before=spelled_before,
         )
         if not batch:
-            batch = [order.best(counts.where(F.col("n") == top[0]["n"]), spark)]
+            batch = [order.best(current.where(F.col("n") == top[0]["n"]), spark)]
         for pair in batch:
             left, right = (order.id_of(c) for c in pair)
             pending.append((pair, tx.symbol(len(tokens))))
@@ -189,18 +191,23 @@ def learn_merges(
         if len(merges) >= n_merges:
             break
         rounds += 1
-        counts = pr.apply_deltas(base_counts, pr.pair_deltas(base_words, pending))
+        current = pr.apply_deltas(counts, pr.pair_deltas(words, pending))
+        if rounds % rewrite_every and rounds % checkpoint_every:
+            continue
+        following = pr.merge_pairs(words, pending)
         if rounds % checkpoint_every == 0:
-            old_words, old_counts = base_words, base_counts
-            base_counts = materialize(counts).persist()
-            base_words = materialize(pr.merge_pairs(base_words, pending)).persist()
-            counts, pending = base_counts, []
-            old_words.unpersist()
-            old_counts.unpersist()
+            older, held = held, []
+            counts, words = materialize(current).persist(), materialize(following).persist()
+            for frame in older:
+                frame.unpersist()
             if on_checkpoint is not None:
-                on_checkpoint(base_words, merges)
-    base_words.unpersist()
-    base_counts.unpersist()
+                on_checkpoint(words, merges)
+        else:
+            counts, words = current.persist(), following.persist()
+        held += [words, counts]
+        current, pending = counts, []
+    for frame in held:
+        frame.unpersist()
     return merges
 
 
@@ -228,7 +235,7 @@ def train_bpe(
     alphabet: str = "byte",
     split_special: bool = False,
     top_k: int = 256,
-    checkpoint_every: int = 12,
+    checkpoint_every: int = 24,
     state: "object | None" = None,
     resume: bool = False,
 ) -> BpeModel:

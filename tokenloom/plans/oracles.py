@@ -367,6 +367,7 @@ FROM ({pairs_of('a')})"""
 WHERE NOT EXISTS (SELECT 1 FROM th_found t WHERE t.doc_id = h.doc_id AND t.offset_byte = h.offset_byte)
   AND NOT EXISTS (SELECT 1 FROM th_found t WHERE t.doc_id = h.doc_id AND t.offset_byte = h.offset_byte + 2)"""
     sql["bpe_merges"] = with_(BPE) + MERGE_ROWS
+    sql["bpe_merges_resumed"] = sql["bpe_merges"]
     sql["merges_from_text"] = sql["bpe_merges"]
     sql["bpe_vocab"] = with_(BPE, VOCAB) + "SELECT token_id, token_hex FROM vocab"
     sql["vocab_from_json"] = sql["bpe_vocab"]
@@ -519,6 +520,12 @@ FROM g{q.NEW_TOKENS}"""
     )
     trained = descent(VECTORS, 10, 64, THREE_STEPS)
     sql["classifier_scores"] = trained + predictions(3, "vec_id", "label")
+    sql["classifier_resumed"] = sql["classifier_scores"]
+    sql["training_metrics"] = trained + " UNION ALL ".join(
+        f"SELECT {t} AS iteration, 'grad_norm' AS metric, round(norm, 6) AS value FROM norm{t} "
+        f"UNION ALL SELECT {t}, 'learning_rate', round({rate!r}::DOUBLE, 6)"
+        for t, rate in enumerate(THREE_STEPS, start=1)
+    )
     sql["classifier_loss"] = trained + """SELECT y AS label, count(*) AS n, round(avg(-ln(prob)), 6) AS loss,
   round(exp(avg(-ln(prob))), 4) AS perplexity FROM q3 WHERE class = y GROUP BY y"""
     sql["quality_classifier"] = descent(QUALITY, 2, q.FEATURES, THREE_STEPS) + predictions(

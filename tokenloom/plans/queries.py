@@ -194,7 +194,7 @@ def split_documents(spark, sf):
 
 @query
 def document_lines(spark, sf):
-    lines = corpus.explode_lines(documents(spark, sf))
+    lines = corpus.explode_lines(documents(spark, sf)).where(F.col("line_no").isNotNull())
     return lines.select("doc_id", "line_no", F.octet_length("text").alias("n_bytes"))
 
 
@@ -278,6 +278,15 @@ def bpe_merges(spark, sf):
     return _merge_rows(model(spark, sf).merges_frame(spark))
 
 
+@query
+def bpe_merges_resumed(spark, sf):
+    state = artifacts.TrainingState(scratch_path(spark, "training"))
+    half = VOCAB_SIZE - N_MERGES // 2
+    tr.train_bpe(documents(spark, sf), half, state=state, checkpoint_every=3)
+    learned = tr.train_bpe(documents(spark, sf), VOCAB_SIZE, state=state, resume=True)
+    return _merge_rows(learned.merges_frame(spark))
+
+
 @query
 def bpe_vocab(spark, sf):
     return _vocab_rows(model(spark, sf).vocab_frame(spark))
@@ -668,6 +677,46 @@ def classifier_scores(spark, sf):
     )
 
 
+@query
+def classifier_resumed(spark, sf):
+    rows = _vectors(spark, sf).persist()
+    path = scratch_path(spark, "state")
+    learn = {"features": "embedding", "rates": (0.05, 0.01), "max_norm": MAX_NORM, "cycle": 3}
+
+    def save(step, parameters, _):
+        artifacts.save_state(parameters, path, step, {"classes": 10})
+
+    md.train_classifier(rows, 10, steps=2, on_step=save, **learn)
+    saved, step, config = artifacts.load_state(spark, path)
+    learned = md.train_classifier(
+        rows, config["classes"], steps=3, start=saved, start_step=step + 1, **learn
+    )
+    return md.classify(rows, learned, "embedding", ("vec_id", "label")).withColumn(
+        "prob", F.round("prob", 4)
+    )
+
+
+@query
+def training_metrics(spark, sf):
+    path = scratch_path(spark, "metrics")
+
+    def log(step, _, values):
+        artifacts.write_metrics(spark, path, "embeddings", step, values)
+
+    md.train_classifier(
+        _vectors(spark, sf).persist(),
+        10,
+        steps=3,
+        features="embedding",
+        rates=(0.05, 0.01),
+        max_norm=MAX_NORM,
+        on_step=log,
+    )
+    return artifacts.read_metrics(spark, path).select(
+        "iteration", "metric", F.round("value", 6).alias("value")
+    )
+
+
 @query
 def quality_classifier(spark, sf):
     labelled = documents(spark, sf).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")

@@ -101,6 +101,12 @@ def write_metrics(spark: SparkSession, path: str, run: str, iteration: int, valu
     ).coalesce(1).write.mode("append").parquet(path)
 
 
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The appended metric rows."""
+    schema = "run string, iteration int, split string, metric string, value double"
+    return spark.read.schema(schema).parquet(path)
+
+
 def save_state(
     parameters: DataFrame, path: str, iteration: int, config: dict | None = None
 ) -> None:

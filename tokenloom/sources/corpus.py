@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenloom.functions import text as tx
 from tokenloom.operators.codec import Codec, encode_corpus
 from tokenloom.operators.datasets import delimited, token_stream
+from tokenloom.session import materialize
 
 TOKEN_SCHEMA = "doc_id long, n_bytes long, tokens array<int>, offset long"
 
@@ -28,9 +29,12 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def explode_lines(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Lines of a text column with their newline: (keep..., line_no, text)."""
-    lines = F.filter(F.split(text, r"(?<=\n)"), lambda line: line != "")
-    return df.select(*keep, F.posexplode(lines).alias("line_no", "text"))
+    """Lines of a text column with their newline: (keep..., line_no, text).
+
+    An empty text has one row without line.
+    """
+    lines = F.array_remove(F.split(text, r"(?<=\n)"), "")
+    return df.select(*keep, F.posexplode_outer(lines).alias("line_no", "text"))
 
 
 def split_documents(df: DataFrame, delimiter: str = tx.END_OF_TEXT, text: str = "text") -> DataFrame:
@@ -82,28 +86,24 @@ def tokenize_dataset(
     ``unit='line'`` encodes each line on its own, so whitespace runs do not cross
     line ends. Every document ends with the delimiter if the codec has one.
     """
+    if unit not in {"document", "line"}:
+        raise ValueError("unit must be 'document' or 'line'")
     spark = next(iter(corpora.values())).sparkSession
     for split, corpus in corpora.items():
-        sizes = corpus.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"))
+        rows = corpus if unit == "document" else explode_lines(corpus)
+        keep = ["doc_id", "n_bytes"] if unit == "document" else ["doc_id", "line_no", "n_bytes"]
+        sized = rows.withColumn("n_bytes", F.octet_length("text").cast("bigint"))
+        encoded = encode_corpus(sized, codec, keep=keep)
         if unit == "line":
-            lines = explode_lines(corpus)
-            encoded = encode_corpus(lines, codec, keep=("doc_id", "line_no"))
             listed = F.array_sort(F.collect_list(F.struct("line_no", "tokens")))
             encoded = encoded.groupBy("doc_id").agg(
-                F.flatten(F.transform(listed, lambda line: line["tokens"])).alias("tokens")
+                F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n_bytes"),
+                F.flatten(F.transform(listed, lambda line: line["tokens"])).alias("tokens"),
             )
-        elif unit == "document":
-            encoded = encode_corpus(corpus, codec)
-        else:
-            raise ValueError("unit must be 'document' or 'line'")
-        joined = sizes.join(encoded, "doc_id", "left").withColumn(
-            "tokens", F.coalesce("tokens", F.array().cast("array<int>"))
-        )
         if codec.end_id is not None:
-            joined = delimited(joined, codec.end_id)
+            encoded = delimited(encoded, codec.end_id)
         limit = max(65535, codec.size)
-        write_token_dataset(token_stream(joined.persist()), path, split, overwrite, limit)
-        joined.unpersist()
+        write_token_dataset(token_stream(materialize(encoded)), path, split, overwrite, limit)
     written = read_token_dataset(spark, path)
     return written.groupBy("split").agg(
         F.sum("n_bytes").alias("n_bytes"),

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tokenloom.functions import text as tx
 from tokenloom.operators.codec import Codec, encode_corpus, token_counts
-from tokenloom.session import shared_folder
+from tokenloom.session import shared_folder, spread
 
 
 def read_text_stream(
@@ -34,7 +34,7 @@ def stream_encode(
     shared_folder(stream.sparkSession)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        encode_corpus(batch, codec, keep=keep).write.mode("overwrite").parquet(
+        encode_corpus(spread(batch, keep[0]), codec, keep=keep).write.mode("overwrite").parquet(
             f"{out}/batch_id={batch_id}"
         )
 
