@@ -72,7 +72,10 @@ class Codec:
     ) -> Codec:
         """From (token_id, token_bytes) and (rank, left_bytes, right_bytes) tables."""
         rows = vocab.select("token_id", "token_bytes").limit(MAX_VOCAB + 1).collect()
-        ranked = merges.select("rank", "left_bytes", "right_bytes").orderBy("rank").collect()
+        columns = ["rank", "left_bytes", "right_bytes"]
+        ranked = merges.select(*columns).orderBy("rank").limit(MAX_VOCAB + 1).collect()
+        if len(ranked) > MAX_VOCAB:
+            raise ValueError(f"more than {MAX_VOCAB} merges")
         return cls(
             [(row["token_id"], bytes(row["token_bytes"])) for row in rows],
             [(bytes(row["left_bytes"]), bytes(row["right_bytes"])) for row in ranked],

@@ -25,7 +25,7 @@ def with_offsets(
 
     Rows are put into key ranges of about equal length; only the range totals (at
     most ``buckets``) meet on the driver, and each range is summed by its own task.
-    Keys must be unique.
+    Keys must be unique. The rows are read three times, so hand in a written table.
     """
     cuts = ", ".join(str(i / buckets) for i in range(1, buckets))
     bounds = df.agg(F.expr(f"percentile_approx({key}, array({cuts}), 100000)")).first()[0]
