@@ -47,6 +47,7 @@ def test_all_plans_match_brute_force(spark, learned, texts):
     assert tokens_of(cd.encode_inline(df, codec)) == expected
     assert tokens_of(cd.encode_by_words(df, codec)) == expected
     assert tokens_of(cd.encode_by_words(df, codec, broadcast_rows=0, hot_rows=5, salts=3)) == expected
+    assert tokens_of(cd.encode_by_words(df, codec, listed_merges=0)) == expected
 
 
 def test_every_text_comes_back(spark, learned, texts):
@@ -66,6 +67,7 @@ def test_loaded_lists_in_any_order(spark):
     words = ["".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(80)]
     expected = [brute.encode(word, ids, merges) for word in words]
     assert tokens_of(cd.encode_corpus(frame(spark, words), codec)) == expected
+    assert tokens_of(cd.encode_by_words(frame(spark, words), codec, listed_merges=0)) == expected
     with pytest.raises(ValueError):
         cd.encode_inline(frame(spark, words), codec)
 
@@ -140,3 +142,14 @@ def test_counts_and_ratios(spark, learned, small_docs):
     assert stats["n_tokens"] == total
     assert stats["bytes_per_token"] == pytest.approx(stats["n_bytes"] / total)
     assert stats["uint16_ratio"] == pytest.approx(stats["n_bytes"] / (2 * total))
+
+
+def test_narrowed_merges_on_long_words(spark, learned):
+    ids, merges = plain(learned)
+    codec = cd.Codec.from_model(learned)
+    texts = ["th" * 100 + "e", "in" * 31, "thin" * 16, "x" * 64 + "th", "a"]
+    counts = cd.pretoken_counts(frame(spark, texts))
+    for longest in (8, 64):
+        done = cd.encode_words(counts, codec, listed_merges=0, longest=longest)
+        got = {row["pretoken"]: row["tokens"] for row in done.collect()}
+        assert got == {t: brute.encode(t, ids, merges) for t in texts}

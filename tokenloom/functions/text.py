@@ -101,7 +101,8 @@ def bounded_join(words: Column) -> Column:
 
 def characters(text: Column) -> Column:
     """Array of the characters of a string (code points); empty for ''."""
-    return F.array_remove(F.split(text, ""), "")
+    empty = F.array().cast("array<string>")
+    return bind(text, lambda whole: F.when(whole == "", empty).otherwise(F.split(whole, "")))
 
 
 # Every two neighbouring characters. The first guard skips the second half of a

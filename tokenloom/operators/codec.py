@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tokenloom.functions import text as tx
+from tokenloom.functions.arrays import bind
 from tokenloom.operators import pairs as pr
 from tokenloom.operators.joins import spread_left_join
 from tokenloom.operators.pretokens import pretoken_counts
@@ -15,6 +16,7 @@ from tokenloom.session import materialize
 
 MAX_VOCAB = 2_000_000
 INLINE_MERGES = 128
+MAX_BROADCAST_MERGES = 200_000
 # Bytes that cannot occur in UTF-8 text.
 NEVER_IN_TEXT = {0xC0, 0xC1, *range(0xF5, 0x100)}
 
@@ -145,6 +147,26 @@ class Codec:
 
         return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(lifted), F.lit(1))), lifted, step)
 
+    def fold_found(self, lifted: Column, found: Column) -> Column:
+        """The merges of an array column in its order."""
+        return F.aggregate(found, lifted, lambda s, m: F.replace(s, m["pair"], m["new"]))
+
+    def lowest_first_found(self, lifted: Column, found: Column) -> Column:
+        """The merges of an array column, lowest rank first until nothing merges."""
+
+        def step(s: Column, _: Column) -> Column:
+            first = F.get(F.filter(found, lambda m: s.contains(m["pair"])), F.lit(0))
+            return F.coalesce(F.replace(s, first["pair"], first["new"]), s)
+
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(lifted), F.lit(1))), lifted, step)
+
+    def spelling(self, code: str) -> str:
+        """Lifted bytes of a symbol."""
+        point = ord(code)
+        if point < 256:
+            return code
+        return self.bytes_of[(point if point < 0xD800 else point - 0x800) - 256].decode("latin-1")
+
     def drop_missing(self, lifted: Column) -> Column:
         if self.oov == "drop" and self.missing_bytes:
             return F.translate(lifted, self.missing_bytes, "")
@@ -160,8 +182,10 @@ class Codec:
         else:
             absent = F.raise_error(F.lit("byte without a token")).cast("int")
 
+        plain = 256 + max(self.bytes_of, default=0) < 0xD800
+
         def one(character: Column) -> Column:
-            code = tx.symbol_code(character)
+            code = F.ascii(character) if plain else tx.symbol_code(character)
             return F.when(code >= 256, code - 256).otherwise(
                 F.coalesce(F.get(by_byte, code), absent)
             )
@@ -193,11 +217,69 @@ def encode_inline(
     return df.select(*keep, F.coalesce(ids, empty).alias(out))
 
 
-def encode_words(counts: DataFrame, codec: Codec) -> DataFrame:
-    """Token ids of distinct pretokens: (pretoken, freq, tokens)."""
-    lifted = codec.drop_missing(tx.lift(F.col("pretoken")))
-    merged = codec.fold(lifted) if codec.in_rank_order else codec.lowest_first(lifted)
-    words = counts.withColumn("sym", merged)
+def _merge_candidates(words: DataFrame, codec: Codec, longest: int) -> DataFrame:
+    """Adds ``found``: the merges, by rank, whose bytes occur in ``sym``.
+
+    A merge can only apply where its bytes occur, so looking up the substrings of a
+    word leaves a handful of merges out of a long list. Grouping by the word keeps
+    the partitioning that counting the words has left behind.
+    """
+    spelled = [
+        (rank, pair, new, codec.spelling(new)) for rank, (pair, new) in enumerate(codec.steps)
+    ]
+    listed = words.sparkSession.createDataFrame(
+        spelled, "rank int, pair string, new string, part string"
+    )
+    if len(spelled) <= MAX_BROADCAST_MERGES:
+        listed = F.broadcast(listed)
+    widest = max(len(part) for _, _, _, part in spelled)
+    size = F.length("sym")
+    inside = F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), size - 1),
+            lambda start: F.transform(
+                F.sequence(F.lit(2), F.least(F.lit(widest), size - start + 1)),
+                lambda width: F.substring(F.col("sym"), start, width),
+            ),
+        )
+    )
+    # The empty string keeps a row for every word; long words are not looked up.
+    parts = F.concat(
+        F.array(F.lit("")), F.when(size.between(2, longest), F.array_distinct(inside)).otherwise(F.array())
+    )
+    hits = words.select("*", F.explode(parts).alias("part")).join(listed, "part", "left")
+    kept = hits.where((F.col("part") == "") | F.col("rank").isNotNull())
+    merge = F.when(F.col("rank").isNotNull(), F.struct("rank", "pair", "new"))
+    return kept.groupBy(*words.columns).agg(F.array_sort(F.collect_list(merge)).alias("found"))
+
+
+def encode_words(
+    counts: DataFrame,
+    codec: Codec,
+    listed_merges: int = INLINE_MERGES,
+    longest: int = 64,
+) -> DataFrame:
+    """Token ids of distinct pretokens: (pretoken, freq, tokens).
+
+    Up to ``listed_merges`` merges are tried on every word. Longer lists are narrowed
+    down per word, except for words of more than ``longest`` bytes.
+    """
+    words = counts.select(
+        "pretoken", "freq", codec.drop_missing(tx.lift(F.col("pretoken"))).alias("sym")
+    )
+    merge_all = codec.fold if codec.in_rank_order else codec.lowest_first
+    if len(codec.steps) <= listed_merges:
+        words = words.withColumn("sym", merge_all(F.col("sym")))
+    else:
+        narrowed = _merge_candidates(words, codec, longest)
+        few = codec.fold_found if codec.in_rank_order else codec.lowest_first_found
+        words = narrowed.select(
+            "pretoken",
+            "freq",
+            F.when(F.length("sym") > longest, merge_all(F.col("sym")))
+            .otherwise(few(F.col("sym"), F.col("found")))
+            .alias("sym"),
+        )
     if codec.whole:
         whole = counts.sparkSession.createDataFrame(
             [(bytearray(token), code) for token, code in codec.whole],
@@ -216,6 +298,7 @@ def encode_by_words(
     text: str = "text",
     out: str = "tokens",
     keep: Sequence[str] = ("doc_id",),
+    listed_merges: int = INLINE_MERGES,
     **join_options,
 ) -> DataFrame:
     """(keep..., token ids) by encoding every distinct pretoken once.
@@ -225,7 +308,8 @@ def encode_by_words(
     come back by broadcast, the others by a shuffle that no frequent pretoken
     takes part in.
     """
-    words = materialize(encode_words(pretoken_counts(df, text, specials=codec.specials), codec))
+    counts = pretoken_counts(df, text, specials=codec.specials)
+    words = materialize(encode_words(counts, codec, listed_merges))
     listed = tx.pretokens_with_specials(F.col(text), codec.specials)
     places = df.select(*keep, F.posexplode_outer(listed).alias("pos", "pretoken"))
     found = spread_left_join(
@@ -271,12 +355,11 @@ def decode_tokens(
     ]
     table = F.split(F.lit(edge.join(listed)), edge)
     joined = F.array_join(F.transform(tokens, lambda i: F.get(table, i)), "", gap)
-    lost = joined.contains(gap)
     if unknown == "error":
         failed = F.raise_error(F.lit("token id without a token")).cast("string")
     else:
         failed = F.lit(None).cast("string")
-    data = tx.unlift(F.when(lost, failed).otherwise(joined))
+    data = tx.unlift(bind(joined, lambda text: F.when(text.contains(gap), failed).otherwise(text)))
     decoded = F.decode(data, "UTF-8") if strict else tx.lenient_text(data)
     return df.withColumn(out, decoded)
 
