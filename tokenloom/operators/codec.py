@@ -16,6 +16,7 @@ from tokenloom.session import materialize
 
 MAX_VOCAB = 2_000_000
 INLINE_MERGES = 128
+LISTED_MERGES = 400
 MAX_BROADCAST_MERGES = 200_000
 # Bytes that cannot occur in UTF-8 text.
 NEVER_IN_TEXT = {0xC0, 0xC1, *range(0xF5, 0x100)}
@@ -256,7 +257,7 @@ def _merge_candidates(words: DataFrame, codec: Codec, longest: int) -> DataFrame
 def encode_words(
     counts: DataFrame,
     codec: Codec,
-    listed_merges: int = INLINE_MERGES,
+    listed_merges: int = LISTED_MERGES,
     longest: int = 64,
 ) -> DataFrame:
     """Token ids of distinct pretokens: (pretoken, freq, tokens).
@@ -298,7 +299,7 @@ def encode_by_words(
     text: str = "text",
     out: str = "tokens",
     keep: Sequence[str] = ("doc_id",),
-    listed_merges: int = INLINE_MERGES,
+    listed_merges: int = LISTED_MERGES,
     **join_options,
 ) -> DataFrame:
     """(keep..., token ids) by encoding every distinct pretoken once.

@@ -66,12 +66,18 @@ def nucleus_filter(probs: DataFrame, p: float) -> DataFrame:
     )
 
 
-def draw_table(nucleus: DataFrame) -> DataFrame:
-    """One row per context: (prev, n_choices, choices), at most one entry per token id."""
+def draw_table(nucleus: DataFrame, contexts: DataFrame | None = None) -> DataFrame:
+    """One row per context: (prev, weight, choices), at most one entry per token id.
+
+    ``contexts`` (prev, ctx_n) tells how frequent a context is.
+    """
     listed = F.array_sort(F.collect_list(F.struct("rank", "upper", "next")))
-    return nucleus.groupBy("prev").agg(
-        F.count(F.lit(1)).alias("n_choices"), listed.alias("choices")
+    table = nucleus.groupBy("prev").agg(
+        F.count(F.lit(1)).alias("weight"), listed.alias("choices")
     )
+    if contexts is None:
+        return table
+    return table.join(contexts, "prev").select("prev", F.col("ctx_n").alias("weight"), "choices")
 
 
 def generate(
@@ -101,7 +107,7 @@ def generate(
     )
     for step in range(max_tokens):
         drawn = draw_uniform(seed, F.col(key), F.lit(step))
-        found = spread_left_join(state, table, ["prev"], "n_choices", F.col(key), small=small)
+        found = spread_left_join(state, table, ["prev"], "weight", F.col(key), small=small)
         hit = F.get(F.filter("choices", lambda c: c["upper"] > F.col("u")), F.lit(0))
         choice = F.coalesce(hit, F.try_element_at("choices", F.lit(-1)))
         state = (

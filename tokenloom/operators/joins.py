@@ -6,22 +6,42 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-HOT_ROWS = 20_000
+HOT_ROWS = 50_000
 BROADCAST_ROWS = 500_000
-BROADCAST_CHARS = 64 << 20
+BROADCAST_BYTES = 64 << 20
+
+
+def row_width(df: DataFrame) -> Column:
+    """Approximate bytes of a row."""
+    parts = [F.lit(16)]
+    for name, kind in df.dtypes:
+        if kind.startswith("array"):
+            parts.append(F.size(name) * (48 if kind.startswith("array<struct") else 8))
+        elif kind in {"string", "binary"}:
+            parts.append(F.octet_length(name))
+        else:
+            parts.append(F.lit(8))
+    return sum((F.greatest(F.coalesce(part, F.lit(0)), F.lit(0)) for part in parts), F.lit(0))
 
 
 def fits_broadcast(dim: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Measured size check of a materialized table: row count and total text length."""
-    sizes = [
-        F.octet_length(F.col(name).cast("string") if kind != "string" else F.col(name))
-        for name, kind in dim.dtypes
-        if not kind.startswith(("array", "struct", "map"))
-    ]
-    arrays = [16 * F.size(name) for name, kind in dim.dtypes if kind.startswith("array")]
-    width = sum((F.coalesce(part, F.lit(0)) for part in sizes + arrays), F.lit(0))
-    count, total = dim.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return count <= rows and total <= BROADCAST_CHARS
+    """Measured size check of a materialized table: row count and bytes."""
+    count, total = dim.agg(F.count(F.lit(1)), F.coalesce(F.sum(row_width(dim)), F.lit(0))).first()
+    return count <= rows and total <= BROADCAST_BYTES
+
+
+def hot_part(dim: DataFrame, weight: str, hot_rows: int) -> DataFrame:
+    """The rows that hold at least 1/hot_rows of all weight: never more than ``hot_rows``.
+
+    The share is raised until the rows also fit a broadcast by their bytes.
+    """
+    total = dim.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    while hot_rows > 1:
+        hot = dim.where(F.col(weight) >= total / hot_rows)
+        if fits_broadcast(hot, hot_rows):
+            return hot
+        hot_rows //= 4
+    return dim.limit(0)
 
 
 def spread_left_join(
@@ -37,16 +57,16 @@ def spread_left_join(
 ) -> DataFrame:
     """``facts`` left join ``dim`` on ``keys``; ``dim`` must be materialized and unique.
 
-    A dim that measures small is broadcast whole (``small`` hands in an earlier measure). Otherwise its ``hot_rows``
-    heaviest keys are broadcast, and the facts they answer travel under a salted
-    key, so no partition of the remaining shuffle join receives a hot key.
+    A dim that measures small is broadcast whole (``small`` hands in an earlier measure).
+    Otherwise its heaviest keys are broadcast, and the facts they answer travel under
+    a salted key, so no partition of the remaining shuffle join receives a hot key.
+    ``weight`` says how frequent a key is among the facts.
     """
     values = [name for name in dim.columns if name not in {*keys, weight}]
     plain = dim.drop(weight)
     if fits_broadcast(dim, broadcast_rows) if small is None else small:
         return facts.join(F.broadcast(plain), list(keys), "left")
-    hot = dim.orderBy(F.col(weight).desc(), *[F.col(key) for key in keys]).limit(hot_rows)
-    hot = hot.select(
+    hot = hot_part(dim, weight, hot_rows).select(
         *keys, F.lit(True).alias("_hot"), *[F.col(name).alias(f"_hot_{name}") for name in values]
     )
     salted = facts.join(F.broadcast(hot), list(keys), "left").withColumn(

@@ -90,26 +90,27 @@ def ngram_model(pairs: DataFrame, vocab_size: int, add: float = 1.0) -> DataFram
     )
 
 
-def score_documents(
-    df: DataFrame,
+def contexts(model: DataFrame) -> DataFrame:
+    """(prev, ctx_n): how often each context occurs."""
+    return model.groupBy("prev").agg(F.max("ctx_n").alias("ctx_n"))
+
+
+def pair_losses(
+    counted: DataFrame,
     model: DataFrame,
     vocab_size: int,
-    add: float = 1.0,
-    keep: Sequence[str] = ("doc_id",),
-    tokens: str = "tokens",
+    add: float,
+    keep: Sequence[str],
 ) -> DataFrame:
-    """(keep..., n_pairs, loss, perplexity) of every row under a next-token table.
+    """(keep..., n_pairs, loss, perplexity) of counted pairs (keep..., prev, next, times).
 
-    Pairs are counted per document before the join; frequent pairs are answered by
-    broadcast. ``model`` must be materialized.
+    Frequent pairs are answered by broadcast. ``model`` must be materialized.
     """
-    counted = bigrams(df, keep, tokens).withColumnRenamed("n", "times")
     table = model.select("prev", "next", "n", "prob")
     found = spread_left_join(counted, table, ["prev", "next"], "n", F.struct(*keep, "next"))
-    contexts = materialize(model.groupBy("prev").agg(F.max("ctx_n").alias("ctx_n")))
     known = spread_left_join(
         found,
-        contexts.withColumn("weight", F.col("ctx_n")),
+        materialize(contexts(model).withColumn("weight", F.col("ctx_n"))),
         ["prev"],
         "weight",
         F.struct(*keep, "next"),
@@ -128,6 +129,41 @@ def score_documents(
     )
 
 
+def score_documents(
+    df: DataFrame,
+    model: DataFrame,
+    vocab_size: int,
+    add: float = 1.0,
+    keep: Sequence[str] = ("doc_id",),
+    tokens: str = "tokens",
+) -> DataFrame:
+    """(keep..., n_pairs, loss, perplexity) of every row under a next-token table.
+
+    Pairs are counted per row before they are looked up.
+    """
+    counted = bigrams(df, keep, tokens).withColumnRenamed("n", "times")
+    return pair_losses(counted, model, vocab_size, add, keep)
+
+
+def window_losses(
+    windows: DataFrame,
+    model: DataFrame,
+    vocab_size: int,
+    add: float = 1.0,
+    keep: Sequence[str] = ("split",),
+) -> DataFrame:
+    """The same for sampled windows (keep..., input, target), pooled per ``keep``."""
+    pairs = F.zip_with(
+        "input", "target", lambda a, b: F.struct(a.alias("prev"), b.alias("next"))
+    )
+    counted = (
+        windows.select(*keep, F.inline(pairs))
+        .groupBy(*keep, "prev", "next")
+        .agg(F.count(F.lit(1)).alias("times"))
+    )
+    return pair_losses(counted, model, vocab_size, add, keep)
+
+
 def eval_losses(scores: DataFrame, split: str = "split") -> DataFrame:
     """(split, n_pairs, loss, perplexity): token-weighted over the scored rows."""
     loss = F.sum(F.col("loss") * F.col("n_pairs")) / F.sum("n_pairs")

@@ -128,6 +128,10 @@ BIGRAMS = f"""big AS MATERIALIZED (
 ), ng AS MATERIALIZED (
   SELECT *, (n + 1.0::DOUBLE) / (ctx_n + {q.VOCAB_SIZE}) AS prob FROM ngram
 )"""
+PARTS = f"""parts AS MATERIALIZED (
+  SELECT split, row_number() OVER (PARTITION BY split ORDER BY doc_id, i) - 1 AS gp, id FROM (
+    SELECT doc_id, {SPLIT} AS split, unnest(ids) AS id, generate_subscripts(ids, 1) AS i FROM str)
+)"""
 SCORES = f"""scores AS MATERIALIZED (
   SELECT doc_id, split, sum(b.n)::BIGINT AS n_pairs,
     sum(b.n * -ln(coalesce(g.prob, 1.0::DOUBLE / (coalesce(c.ctx_n, 0) + {q.VOCAB_SIZE})))) / sum(b.n) AS loss
@@ -487,6 +491,14 @@ FROM (SELECT vec_id, dim, exp(x / 0.5 - max(x / 0.5) OVER (PARTITION BY vec_id))
     sql["split_losses"] = scored + """SELECT split, sum(n_pairs)::BIGINT AS n_pairs,
   round(sum(loss * n_pairs) / sum(n_pairs), 6) AS loss, round(exp(sum(loss * n_pairs) / sum(n_pairs)), 4) AS perplexity
 FROM scores GROUP BY split"""
+    sql["sampled_losses"] = with_(BPE, ENC, OCC, DOC, TOK, BIGRAMS, PARTS) + f"""SELECT split, count(*) AS n_pairs, round(avg(nll), 6) AS loss, round(exp(avg(nll)), 4) AS perplexity FROM (
+  SELECT s.split, -ln(coalesce(g.prob, 1.0::DOUBLE / (coalesce(c.ctx_n, 0) + {q.VOCAB_SIZE}))) AS nll
+  FROM (SELECT split, ({drawn('i')} % ((n - {q.WINDOW} + {q.WINDOW - 1}) // {q.WINDOW})) * {q.WINDOW} AS start
+        FROM range({q.BATCH}) r(i), (SELECT split, count(*) AS n FROM parts GROUP BY split)) s
+  JOIN (SELECT split, gp, id, lead(id) OVER (PARTITION BY split ORDER BY gp) AS nxt FROM parts) p
+    ON p.split = s.split AND p.gp >= s.start AND p.gp < s.start + {q.WINDOW}
+  LEFT JOIN ng g ON g.prev = p.id AND g.next = p.nxt
+  LEFT JOIN (SELECT prev, max(ctx_n) AS ctx_n FROM ng GROUP BY prev) c ON c.prev = p.id) GROUP BY split"""
     sql["next_token_probs"] = with_(BPE, ENC, OCC, DOC, TOK, BIGRAMS, PROBS) + (
         "SELECT prev::INT AS prev, next::INT AS next, round(prob, 9) AS prob FROM probs"
     )

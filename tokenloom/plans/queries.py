@@ -596,6 +596,19 @@ def split_losses(spark, sf):
     return _loss_rows(sc.eval_losses(_scores(spark, sf)), "split")
 
 
+@query
+def sampled_losses(spark, sf):
+    split = sc.split_by_draw(F.col("doc_id"), VALID_SHARE, SEED)
+    docs = ds.delimited(encoded(spark, sf), END_ID).withColumn("split", split)
+    parts = []
+    for name in ("train", "valid"):
+        tokens = materialize(ds.token_stream(docs.where(F.col("split") == name)))
+        drawn = ds.sample_windows(tokens, BATCH, WINDOW, "aligned", SEED)
+        parts.append(drawn.withColumn("split", F.lit(name)))
+    losses = sc.window_losses(parts[0].union(parts[1]), next_token_table(spark, sf), VOCAB_SIZE)
+    return _loss_rows(losses, "split")
+
+
 def _probs(spark, sf):
     return gen.next_token_probs(next_token_table(spark, sf), TEMPERATURE)
 
@@ -627,7 +640,8 @@ def prepare_prompts(spark, sf):
 
 @query
 def generate(spark, sf):
-    choices = materialize(gen.draw_table(gen.nucleus_filter(_probs(spark, sf), NUCLEUS)))
+    nucleus = gen.nucleus_filter(_probs(spark, sf), NUCLEUS)
+    choices = materialize(gen.draw_table(nucleus, sc.contexts(next_token_table(spark, sf))))
     done = gen.generate(_prompts(spark, sf), choices, END_ID, NEW_TOKENS, SEED)
     return done.select(
         "prompt_id", F.size("generated").alias("n_new"), comma("generated").alias("generated")
