@@ -15,7 +15,7 @@ def frame(spark, texts):
 
 @pytest.fixture(scope="module")
 def learned(spark, small_docs):
-    return tr.train_bpe(small_docs, 256 + 2 + 30, specials=[END, END + END])
+    return tr.train_bpe(small_docs, 256 + 2 + 14, specials=[END, END + END])
 
 
 @pytest.fixture(scope="module")

@@ -10,7 +10,7 @@ END = "<|endoftext|>"
 
 @pytest.fixture(scope="module")
 def learned(spark, small_docs):
-    return tr.train_bpe(small_docs, 256 + 1 + 12)
+    return tr.train_bpe(small_docs, 256 + 1 + 6)
 
 
 def test_vocab_and_merges_files(spark, learned, tmp_path):
@@ -26,7 +26,7 @@ def test_vocab_and_merges_files(spark, learned, tmp_path):
     assert sorted(lines.select(*columns).collect()) == sorted(merges.select(*columns).collect())
     loaded = cd.Codec.from_frames(back, lines, [END])
     assert loaded.steps == cd.Codec.from_model(learned).steps
-    assert loaded.end_id == 256 + 12
+    assert loaded.end_id == 256 + 6
 
 
 def test_merge_lines(spark, tmp_path):

@@ -85,9 +85,15 @@ def pair_deltas(words: DataFrame, steps: list[tuple[str, str]]) -> DataFrame:
     )
 
 
-def apply_deltas(counts: DataFrame, deltas: DataFrame) -> DataFrame:
-    """Pair counts after the deltas; pairs that vanish are dropped."""
-    return counts.union(deltas).groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0")
+def apply_deltas(counts: DataFrame, deltas: DataFrame, one_task: bool = False) -> DataFrame:
+    """Pair counts after the deltas; pairs that vanish are dropped.
+
+    ``one_task`` is for small word tables: a single partition needs no shuffle.
+    """
+    changed = counts.union(deltas)
+    if one_task:
+        changed = changed.coalesce(1)
+    return changed.groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0")
 
 
 def pair_index(words: DataFrame) -> DataFrame:

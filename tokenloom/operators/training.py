@@ -14,6 +14,8 @@ from tokenloom.session import materialize
 
 BYTE_ALPHABET = 256
 UNKNOWN = "�"
+WORDS_PER_TASK = 40_000
+MOST_WORDS_PER_TASK = 1_000_000
 
 
 @dataclass
@@ -131,6 +133,11 @@ class _Order:
         return rows.agg(order.alias("pair")).first()["pair"]
 
 
+def word_tasks(n_words: int, cores: int) -> int:
+    """Tasks for a round: no tiny ones, every core once it pays, none that is too large."""
+    return max(1, min(n_words // WORDS_PER_TASK, max(2 * cores, n_words // MOST_WORDS_PER_TASK)))
+
+
 def learn_merges(
     words: DataFrame,
     base: list[bytes],
@@ -152,7 +159,9 @@ def learn_merges(
     folder every ``checkpoint_every`` rounds.
     """
     spark = words.sparkSession
-    merges = list(done)
+    merges = list(done)[:n_merges]
+    if len(merges) == n_merges:
+        return merges
     tokens = list(base)
     for left, right in merges:
         tokens.append(tokens[left] + tokens[right])
@@ -163,10 +172,9 @@ def learn_merges(
         left, right = (order.id_of(c) for c in pair)
         return tokens[left] + tokens[right] in known
 
-    parts = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
-    )
-    words = materialize(words.select("sym", "freq").repartition(parts, "sym")).persist()
+    words = materialize(words.select("sym", "freq"))
+    parts = word_tasks(words.count(), spark.sparkContext.defaultParallelism)
+    words = words.repartition(parts, "sym").persist()
     counts = materialize(pr.pair_counts(words)).persist()
     current, pending, held, rounds = counts, [], [words, counts], 0
     while len(merges) < n_merges:
@@ -191,7 +199,7 @@ def learn_merges(
         if len(merges) >= n_merges:
             break
         rounds += 1
-        current = pr.apply_deltas(counts, pr.pair_deltas(words, pending))
+        current = pr.apply_deltas(counts, pr.pair_deltas(words, pending), one_task=parts == 1)
         if rounds % rewrite_every and rounds % checkpoint_every:
             continue
         following = pr.merge_pairs(words, pending)

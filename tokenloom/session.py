@@ -56,7 +56,8 @@ def materialize(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Use every core when a small table arrives in fewer splits than there are cores.
 
-    Large tables already have more splits than cores and pass through untouched.
+    Large tables already have more splits than cores and pass through untouched. Meant
+    for tables as they are read; the number of splits comes from the plan.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= 2 * cores:
