@@ -8,6 +8,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tokenloom.functions.draws import draw_integer
+from tokenloom.session import materialize
 
 ORDER_BUCKETS = 256
 MAX_BROADCAST_BATCH = 1_000_000
@@ -21,28 +22,28 @@ def _longs(values: Iterable[int]) -> Column:
 def with_offsets(
     df: DataFrame, key: str, size: Column, out: str = "offset", buckets: int = ORDER_BUCKETS
 ) -> DataFrame:
-    """Adds the sum of ``size`` over all rows with a smaller key.
+    """Adds the sum of ``size`` over all rows with a smaller key; keys must be unique.
 
-    Rows are put into key ranges of about equal length; only the range totals (at
-    most ``buckets``) meet on the driver, and each range is summed by its own task.
-    Keys must be unique. The rows are read three times, so hand in a written table.
+    Only (key, size) is put into key ranges of about equal length and summed, one
+    task per range; the range totals (at most ``buckets``) meet on the driver. The
+    offsets then join the rows by key, so wide rows use every partition.
     """
+    slim = materialize(df.select(key, size.cast("bigint").alias("_size")))
     cuts = ", ".join(str(i / buckets) for i in range(1, buckets))
-    bounds = df.agg(F.expr(f"percentile_approx({key}, array({cuts}), 100000)")).first()[0]
+    bounds = slim.agg(F.expr(f"percentile_approx({key}, array({cuts}), 100000)")).first()[0]
     edges = sorted(set(bounds or []))
     listed = _longs(edges)
-    sized = df.withColumn("_size", size.cast("bigint")).withColumn(
+    placed = slim.withColumn(
         "_bucket", F.size(F.filter(listed, lambda edge: edge < F.col(key)))
     )
-    totals = dict(sized.groupBy("_bucket").agg(F.sum("_size")).collect())
+    totals = dict(placed.groupBy("_bucket").agg(F.sum("_size")).collect())
     sums = [totals.get(bucket, 0) for bucket in range(len(edges) + 1)]
     starts = _longs(accumulate([0, *sums[:-1]]))
     before = Window.partitionBy("_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    return sized.withColumn(
-        out,
-        F.get(starts, F.col("_bucket"))
-        + F.coalesce(F.sum("_size").over(before), F.lit(0).cast("bigint")),
-    ).drop("_size", "_bucket")
+    offset = F.get(starts, F.col("_bucket")) + F.coalesce(
+        F.sum("_size").over(before), F.lit(0).cast("bigint")
+    )
+    return df.join(placed.select(key, offset.alias(out)), key)
 
 
 def delimited(df: DataFrame, end_id: int, tokens: str = "tokens") -> DataFrame:
