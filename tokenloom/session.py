@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
     if current is None:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if current is None:
-            if not context.master.startswith("local"):
+            if context.master.partition("[")[0] != "local":
                 raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
             current = tempfile.mkdtemp(prefix="tokenloom-")
         context.setCheckpointDir(current)
