@@ -5,7 +5,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tokenloom.llm.mixing import mix_sources
+from tokenloom.llm.packing import pack_documents
 from tokenloom.llm.token_counts import token_counts
+from tokenloom.llm.url_filters import judge_urls, rule_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -14,12 +17,56 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+#: (host, path, verdict)
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op1_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    return judge_urls(table(spark, sf, "pages"), rule_table(spark, URL_RULES))
+
+
 def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(table(spark, sf, "documents"), TOKENIZER, limit=512)
 
 
+def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack_documents(table(spark, sf, "documents"), TOKENIZER, end_id=2, most=1024)
+
+
+def op8_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mix_sources(table(spark, sf, "documents"), weights=(5, 2, 1), most=3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filters": op1_url_filters,
     "op3_token_counts": op3_token_counts,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_source_mixing": op8_source_mixing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_url_filters": r"""
+WITH judged AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path,
+    row_number() OVER () AS n
+  FROM pages),
+rules(r_host, r_path, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+  ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+fits AS (
+  SELECT n, arg_max(r_host || r_path, length(r_host || r_path)) AS rule,
+    arg_max(verdict, length(r_host || r_path)) AS verdict
+  FROM judged JOIN rules
+    ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path)
+  GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM judged LEFT JOIN fits USING (n)""",
+}
