@@ -5,6 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tokenloom.llm.merkle import edited_fingerprints
 from tokenloom.llm.mixing import mix_sources
 from tokenloom.llm.packing import pack_documents
 from tokenloom.llm.token_counts import token_counts
@@ -43,11 +44,16 @@ def op8_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mix_sources(table(spark, sf, "documents"), weights=(5, 2, 1), most=3)
 
 
+def op10_merkle_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op3_token_counts": op3_token_counts,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_source_mixing": op8_source_mixing,
+    "op10_merkle_fingerprints": op10_merkle_fingerprints,
 }
 
 SQL: dict[str, str] = {
@@ -69,4 +75,43 @@ fits AS (
   GROUP BY n)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM judged LEFT JOIN fits USING (n)""",
+    "op10_merkle_fingerprints": r"""
+WITH docs AS (
+  SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, coalesce(text, '')) AS n, doc_id,
+    coalesce(text, '') AS text
+  FROM documents),
+paired AS (
+  SELECT a.n, a.doc_id, a.text, b.text AS next, length(a.text) // 4 AS cut
+  FROM docs a JOIN docs b ON b.n = a.n % (SELECT count(*) FROM docs) + 1),
+texts AS (
+  SELECT n, 0 AS kind, text FROM paired UNION ALL
+  SELECT n, 1, left(text, length(text) - cut) || left(next, cut) FROM paired),
+trees AS (
+  SELECT n, kind, text, CASE WHEN text = '' THEN [] ELSE list_transform(
+    string_split(regexp_replace(text, '\n(\n+)', chr(10) || '\1' || chr(2), 'g'), chr(2)),
+    lambda s: list_transform(string_split(s, chr(10)),
+      lambda p: list_transform(string_split(
+        regexp_replace(
+          regexp_replace(p, '([!-/:-@\[-`{-~])([ \t]+)', '\1\2' || chr(1), 'g'),
+          '([^\x01]{256})', '\1' || chr(1), 'g'), chr(1)),
+        lambda x: sha256(x)))) END AS tree
+  FROM texts),
+roots AS (
+  SELECT n, kind, text, list_distinct(flatten(flatten(tree))) AS leaves,
+    sha256(length(text) || ':' || array_to_string(list_transform(tree,
+      lambda s: sha256(array_to_string(list_transform(s, lambda p: sha256(array_to_string(p, ''))), ''))), ''))
+      AS fingerprint
+  FROM trees),
+own AS (SELECT * FROM roots WHERE kind = 0),
+edited AS (SELECT * FROM roots WHERE kind = 1)
+SELECT d.doc_id, CAST(length(d.text) AS BIGINT) AS n_chars, sha256(e.text) AS edited_sha256,
+  o.fingerprint, e.fingerprint AS edited_fingerprint,
+  CASE WHEN len(o.leaves) + len(e.leaves) = 0 THEN 1.0 ELSE
+    CAST(len(list_intersect(o.leaves, e.leaves)) AS DOUBLE)
+    / (len(o.leaves) + len(e.leaves) - len(list_intersect(o.leaves, e.leaves))) END AS near_edited,
+  CASE WHEN len(o.leaves) + len(x.leaves) = 0 THEN 1.0 ELSE
+    CAST(len(list_intersect(o.leaves, x.leaves)) AS DOUBLE)
+    / (len(o.leaves) + len(x.leaves) - len(list_intersect(o.leaves, x.leaves))) END AS near_next
+FROM docs d JOIN own o USING (n) JOIN edited e USING (n)
+JOIN own x ON x.n = d.n % (SELECT count(*) FROM docs) + 1""",
 }
