@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tokenloom.llm.merkle import edited_fingerprints
 from tokenloom.llm.mixing import mix_sources
 from tokenloom.llm.packing import pack_documents
+from tokenloom.llm.simhash_dedup import simhash_components
 from tokenloom.llm.token_counts import token_counts
 from tokenloom.llm.url_filters import judge_urls, rule_table
 
@@ -36,6 +37,10 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(table(spark, sf, "documents"), TOKENIZER, limit=512)
 
 
+def op5_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash_components(table(spark, sf, "documents"), width=3, seed=42, most=3)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(table(spark, sf, "documents"), TOKENIZER, end_id=2, most=1024)
 
@@ -51,6 +56,7 @@ def op10_merkle_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op3_token_counts": op3_token_counts,
+    "op5_simhash_dedup": op5_simhash_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_source_mixing": op8_source_mixing,
     "op10_merkle_fingerprints": op10_merkle_fingerprints,
