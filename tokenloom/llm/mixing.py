@@ -136,32 +136,16 @@ def chosen_blocks(shards: DataFrame, most: float, seed: int) -> DataFrame:
     )
 
 
-def mix_sources(
-    docs: DataFrame,
-    weights: Sequence[float] = (5, 2, 1),
-    most: float = 3,
-    share: float = 1.0,
-    seed: int = 8,
-    key: str = "doc_id",
-    source: str = "source",
-    text: str = "text",
-    blocks: int = BLOCKS,
-    shards: int = SHARDS,
+def take_blocks(
+    slim: DataFrame,
+    weights: Sequence[float],
+    most: float,
+    share: float,
+    seed: int,
+    blocks: int,
+    shards: int,
 ) -> DataFrame:
-    """Words each document gives to a mix of sources by weight.
-
-    Returns key, size (words), source_size, target (its source's), taken (words the mix
-    takes of it, repeats counted; at most ``most`` times its size).
-    Only (key, source, size) rows move. Sources are dealt to shards by their size, so a
-    source that holds most rows is many shards. Null sources form one source, the last; a
-    null or empty text has size 0 and gives nothing. Rows that repeat are separate
-    documents. An empty table gives no rows. The same table and seed give the same mix.
-    Other columns are not read.
-    """
-    slim = stash(
-        docs.select(q(key).alias("key"), q(source).alias("source"), word_count(q(text)).alias("size")),
-        "sizes",
-    )
+    """The mix of a written table (key, source, size): see ``mix_sources``."""
     named = slim.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows")
     )
@@ -182,6 +166,7 @@ def mix_sources(
         )
         .withColumn("everything", F.lit(0))
     )
+    # below: quotas by highest quotients, for sources and then for their shards
     sources = stash(sainte_lague(sources, "target", "seats", ["everything"], "idx"), "sources")
     side = sources.select(
         F.col("source").alias("q_source"), "source_size", "target", "idx", "shards"
@@ -214,5 +199,66 @@ def mix_sources(
     )
     ended = F.coalesce(F.lead("begun").over(in_order), F.col("in_block.all"))
     return upto.withColumn("taken", F.coalesce(ended - F.col("begun"), F.lit(0)).cast("long")).select(
-        F.col("key").alias(key), "size", "source_size", "target", "taken"
+        "key", "size", "source_size", "target", "taken"
+    )
+
+
+def mix_sources(
+    docs: DataFrame,
+    weights: Sequence[float] = (5, 2, 1),
+    most: float = 3,
+    share: float = 1.0,
+    seed: int = 8,
+    key: str = "doc_id",
+    source: str = "source",
+    text: str = "text",
+    blocks: int = BLOCKS,
+    shards: int = SHARDS,
+) -> DataFrame:
+    """Words each document gives to a mix of sources by weight.
+
+    Returns key, size (words), source_size, target (its source's), taken (words the mix
+    takes of it, repeats counted; at most ``most`` times its size).
+    Only (key, source, size) rows move. Sources are dealt to shards by their size, so a
+    source that holds most rows is many shards. Null sources form one source, the last; a
+    null or empty text has size 0 and gives nothing. Rows that repeat are separate
+    documents. An empty table gives no rows. The same table and seed give the same mix.
+    Other columns are not read.
+    """
+    slim = stash(
+        docs.select(q(key).alias("key"), q(source).alias("source"), word_count(q(text)).alias("size")),
+        "sizes",
+    )
+    mixed = take_blocks(slim, weights, most, share, seed, blocks, shards)
+    return mixed.withColumnRenamed("key", key)
+
+
+def repeat_to_mix(
+    docs: DataFrame,
+    weights: Sequence[float] = (5, 2, 1),
+    most: float = 3,
+    share: float = 1.0,
+    seed: int = 8,
+    source: str = "source",
+    text: str = "text",
+) -> DataFrame:
+    """``docs`` with each row as often as the mix takes its words, fractions by a seeded draw.
+
+    Rows the mix takes nothing of go; rows without words stay once, as no target speaks of
+    them. All columns are kept as they are.
+    """
+    row, times = fresh(docs, "row"), fresh(docs, "times")
+    written = stash(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    slim = stash(
+        written.select(q(row).alias("key"), q(source).alias("source"), word_count(q(text)).alias("size")),
+        "sizes",
+    )
+    mixed = take_blocks(slim, weights, most, share, seed, BLOCKS, SHARDS)
+    chance = F.pmod(F.xxhash64(F.lit(seed + 3), "key"), F.lit(1 << 31)) / (1 << 31)
+    repeats = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + chance))
+    copies = mixed.select(F.col("key").alias(row), repeats.cast("int").alias(times))
+    return (
+        written.join(copies.where(q(times) > 0), row)
+        .withColumn(times, F.explode(F.sequence(F.lit(1), q(times))))
+        .select(*[q(name) for name in docs.columns])
     )

@@ -3,13 +3,16 @@
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tokenloom.llm.frames import id_remainder
+from tokenloom.llm.language_id import identify_languages, learn_languages, training_rows
 from tokenloom.llm.merkle import edited_fingerprints
 from tokenloom.llm.mixing import mix_sources
 from tokenloom.llm.packing import pack_documents
 from tokenloom.llm.simhash_dedup import simhash_components
 from tokenloom.llm.token_counts import token_counts
+from tokenloom.llm.toxicity import learn_severity, score_severity, severity_grades
 from tokenloom.llm.url_filters import judge_urls, rule_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -33,6 +36,15 @@ def op1_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     return judge_urls(table(spark, sf, "pages"), rule_table(spark, URL_RULES))
 
 
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = learn_languages(training_rows(docs, "doc_id", 3, 1))
+    found = identify_languages(docs, model)
+    return found.select(
+        "doc_id", (id_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(table(spark, sf, "documents"), TOKENIZER, limit=512)
 
@@ -49,16 +61,24 @@ def op8_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mix_sources(table(spark, sf, "documents"), weights=(5, 2, 1), most=3)
 
 
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = learn_severity(docs, severity_grades(table(spark, sf, "labels")))
+    return score_severity(docs, model)
+
+
 def op10_merkle_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op2_language_id": op2_language_id,
     "op3_token_counts": op3_token_counts,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_source_mixing": op8_source_mixing,
+    "op9_toxicity": op9_toxicity,
     "op10_merkle_fingerprints": op10_merkle_fingerprints,
 }
 
