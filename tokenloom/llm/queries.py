@@ -5,6 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tokenloom.llm.embedding_dedup import embedding_components
 from tokenloom.llm.frames import id_remainder
 from tokenloom.llm.language_id import identify_languages, learn_languages, training_rows
 from tokenloom.llm.merkle import edited_fingerprints
@@ -49,6 +50,10 @@ def op3_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(table(spark, sf, "documents"), TOKENIZER, limit=512)
 
 
+def op4_embedding_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return embedding_components(table(spark, sf, "embeddings"), least=0.93)
+
+
 def op5_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_components(table(spark, sf, "documents"), width=3, seed=42, most=3)
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_language_id": op2_language_id,
     "op3_token_counts": op3_token_counts,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_source_mixing": op8_source_mixing,
