@@ -39,7 +39,7 @@ def id_remainder(key: Column, modulus: int) -> Column:
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write a table once to the shared folder and read it back: lineage ends there."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

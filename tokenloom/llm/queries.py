@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenloom.llm.embedding_dedup import embedding_components
 from tokenloom.llm.frames import id_remainder
 from tokenloom.llm.language_id import identify_languages, learn_languages, training_rows
+from tokenloom.llm.lm_scoring import score_texts
 from tokenloom.llm.merkle import edited_fingerprints
 from tokenloom.llm.mixing import mix_sources
 from tokenloom.llm.packing import pack_documents
@@ -58,6 +59,10 @@ def op5_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_components(table(spark, sf, "documents"), width=3, seed=42, most=3)
 
 
+def op6_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return score_texts(table(spark, sf, "documents"), TOKENIZER, modulus=7, held_out=2)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(table(spark, sf, "documents"), TOKENIZER, end_id=2, most=1024)
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": op3_token_counts,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_source_mixing": op8_source_mixing,
     "op9_toxicity": op9_toxicity,
