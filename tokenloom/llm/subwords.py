@@ -17,7 +17,9 @@ CUT = re.compile(rf"(?<=\S)(?= \S)|(?<=[{LETTER}])(?=\W)")
 SINGLE = re.compile(rf" ?[{LETTER}]+")
 #: Characters per slice of a long text, pieces kept per worker.
 SLICE = 1 << 20
-KEPT = 400_000
+KEPT = 700_000
+#: The space as byte-level vocabularies show it.
+SPACE = "\u0120"
 
 
 def byte_characters() -> dict[int, int]:
@@ -103,7 +105,9 @@ class Subwords:
             if piece in self.added:
                 known[piece] = self.added[piece]
             elif SINGLE.fullmatch(piece):
-                shown = piece.encode().decode("latin-1").translate(self.table)
+                shown = piece.replace(" ", SPACE)
+                if not piece.isascii():
+                    shown = piece.encode().decode("latin-1").translate(self.table)
                 ids = [token.id for token in self.model.tokenize(shown)]
                 known[piece] = struct.pack(f"<{len(ids)}I", *ids)
             else:
