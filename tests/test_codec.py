@@ -1,9 +1,11 @@
 import random
+import time
 
 import brute
 import pytest
 from pyspark.sql import functions as F
 
+from tokenloom.functions import merging as mg
 from tokenloom.operators import codec as cd, training as tr
 
 END = "<|endoftext|>"
@@ -47,7 +49,7 @@ def test_all_plans_match_brute_force(spark, learned, texts):
     assert tokens_of(cd.encode_inline(df, codec)) == expected
     assert tokens_of(cd.encode_by_words(df, codec)) == expected
     assert tokens_of(cd.encode_by_words(df, codec, broadcast_rows=0, hot_rows=5, salts=3)) == expected
-    assert tokens_of(cd.encode_by_words(df, codec, listed_merges=0)) == expected
+    assert tokens_of(cd.encode_map(df, codec)) == expected
 
 
 def test_every_text_comes_back(spark, learned, texts):
@@ -67,7 +69,7 @@ def test_loaded_lists_in_any_order(spark):
     words = ["".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(80)]
     expected = [brute.encode(word, ids, merges) for word in words]
     assert tokens_of(cd.encode_corpus(frame(spark, words), codec)) == expected
-    assert tokens_of(cd.encode_by_words(frame(spark, words), codec, listed_merges=0)) == expected
+    assert tokens_of(cd.encode_by_words(frame(spark, words), codec)) == expected
     with pytest.raises(ValueError):
         cd.encode_inline(frame(spark, words), codec)
 
@@ -80,6 +82,7 @@ def test_whole_pretokens_skip_the_merges(spark):
     expected = [[257, 32, 97, 256, 32, 120, 97, 256]]
     assert tokens_of(cd.encode_inline(df, codec)) == expected
     assert tokens_of(cd.encode_by_words(df, codec)) == expected
+    assert tokens_of(cd.encode_map(df, codec)) == expected
 
 
 def test_equal_bytes_use_the_greatest_id(spark):
@@ -91,7 +94,7 @@ def test_equal_bytes_use_the_greatest_id(spark):
     ).first()["decoded"] == "abab"
 
 
-@pytest.mark.parametrize("plan", [cd.encode_inline, cd.encode_by_words])
+@pytest.mark.parametrize("plan", [cd.encode_inline, cd.encode_by_words, cd.encode_map])
 def test_bytes_without_token(spark, plan):
     vocab = [(b, bytes([b])) for b in range(128)] + [(500, b"ab")]
     df = frame(spark, ["aéb"])
@@ -144,12 +147,52 @@ def test_counts_and_ratios(spark, learned, small_docs):
     assert stats["uint16_ratio"] == pytest.approx(stats["n_bytes"] / (2 * total))
 
 
-def test_narrowed_merges_on_long_words(spark, learned):
+@pytest.mark.parametrize("plan", cd.PLANS)
+def test_whole_words_are_looked_up_before_bytes_are_dropped(spark, plan):
+    vocab = [(b, bytes([b])) for b in range(128)] + [(300, b"ab"), (301, "é".encode())]
+    codec = cd.Codec(vocab, [], oov="drop")
+    got = tokens_of(cd.encode_corpus(frame(spark, ["aéb", "ab", "é", "é é"]), codec, plan=plan))
+    assert got == [[97, 98], [300], [301], [301, 32]]
+
+
+@pytest.mark.parametrize("plan", cd.PLANS)
+def test_rows_with_equal_keys_stay_apart(spark, plan):
+    vocab = [(b, bytes([b])) for b in range(256)] + [(256, b"ab")]
+    df = spark.createDataFrame([(1, "ab"), (1, "cd"), (None, "ab"), (1, None), (2, "")], "doc_id long, text string")
+    done = cd.encode_corpus(df, cd.Codec(vocab, [(b"a", b"b")]), plan=plan)
+    got = sorted(((row["doc_id"], row["tokens"]) for row in done.collect()), key=repr)
+    assert got == sorted([(1, [256]), (1, [99, 100]), (None, [256]), (1, []), (2, [])], key=repr)
+
+
+def test_long_words_merge_like_short_ones(spark, learned):
     ids, merges = plain(learned)
-    codec = cd.Codec.from_model(learned)
-    texts = ["th" * 100 + "e", "in" * 31, "thin" * 16, "x" * 64 + "th", "a"]
-    counts = cd.pretoken_counts(frame(spark, texts))
-    for longest in (8, 64):
-        done = cd.encode_words(counts, codec, listed_merges=0, longest=longest)
-        got = {row["pretoken"]: row["tokens"] for row in done.collect()}
-        assert got == {t: brute.encode(t, ids, merges) for t in texts}
+    texts = ["th" * 100 + "e", "in" * 31, "thin" * 16, "x" * 64 + "th", "a", "a" * 301]
+    expected = [brute.encode(t, ids, merges) for t in texts]
+    assert tokens_of(cd.encode_corpus(frame(spark, texts), cd.Codec.from_model(learned))) == expected
+    rng = random.Random(9)
+    vocab = [bytes([b]) for b in range(256)]
+    pairs = []
+    while len(pairs) < 200:
+        left, right = rng.choice(vocab[97:100] + vocab[256:]), rng.choice(vocab[97:100] + vocab[256:])
+        if left + right not in vocab and len(left + right) < 9:
+            vocab.append(left + right)
+            pairs.append((left, right))
+    rng.shuffle(pairs)
+    ranks = {pair: rank for rank, pair in enumerate(pairs)}
+    for _ in range(200):
+        word = [bytes([rng.choice(b"abc")]) for _ in range(rng.randint(1, 64))]
+        assert mg.merge_long(list(word), ranks) == list(mg.merge_pairs(list(word), ranks))
+
+
+def test_a_very_long_word_with_many_merges():
+    rng = random.Random(3)
+    vocab, pairs = [bytes([b]) for b in range(97, 123)], []
+    for _ in range(10_000):
+        pairs.append((rng.choice(vocab), rng.choice(vocab)))
+        vocab.append(pairs[-1][0] + pairs[-1][1])
+    rng.shuffle(pairs)
+    ranks = {pair: rank for rank, pair in enumerate(pairs) if len(pair[0] + pair[1]) < 40}
+    word = [bytes([rng.choice(range(97, 123))]) for _ in range(100_000)]
+    began = time.time()
+    merged = mg.merge_pairs(list(word), ranks)
+    assert time.time() - began < 20 and b"".join(merged) == b"".join(word)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tokenloom.functions import text as tx
 from tokenloom.functions.arrays import bind
+from tokenloom.functions.merging import WordEncoder, merged_bytes, word_ids
 from tokenloom.operators import pairs as pr
 from tokenloom.operators.joins import spread_left_join
 from tokenloom.operators.pretokens import pretoken_counts
@@ -15,9 +16,7 @@ from tokenloom.operators.training import BpeModel
 from tokenloom.session import materialize
 
 MAX_VOCAB = 2_000_000
-INLINE_MERGES = 128
-LISTED_MERGES = 400
-MAX_BROADCAST_MERGES = 200_000
+PLANS = ("map", "inline", "words")
 # Bytes that cannot occur in UTF-8 text.
 NEVER_IN_TEXT = {0xC0, 0xC1, *range(0xF5, 0x100)}
 
@@ -50,17 +49,20 @@ class Codec:
         chosen = end_of_text or (self.specials[0] if self.specials else None)
         self.end_id = None if chosen is None else self.id_of[chosen.encode("utf-8")]
         self.oov, self.unknown_id = oov, unknown_id
-        ranked = {}
+        ranked, by_bytes = {}, {}
         for rank, (left, right) in enumerate(merges):
             ranked[self._code(left) + self._code(right)] = (rank, left, right)
+            by_bytes[left, right] = rank
         ordered = sorted(ranked.items(), key=lambda item: item[1][0])
         self.steps = [(pair, self._code(left + right)) for pair, (_, left, right) in ordered]
         self.in_rank_order = self._halves_come_first()
-        self.ranks = {pair: rank for rank, (pair, _) in enumerate(self.steps)}
+        self.encoder = WordEncoder(
+            by_bytes, self.id_of, oov, unknown_id if oov == "unk" else None
+        )
         self.whole = [
             (token, self._code(token))
             for token in self.id_of
-            if len(token) > 1 and self.merged(token) != self._code(token)
+            if len(token) > 1 and len(merged_bytes(token, by_bytes)) > 1
         ]
 
     @classmethod
@@ -99,15 +101,6 @@ class Codec:
             for half in pair
         )
 
-    def merged(self, token: bytes) -> str:
-        """Symbols of one vocabulary entry after lowest-rank-first merging."""
-        word = token.decode("latin-1")
-        while True:
-            ranks = [self.ranks[word[i : i + 2]] for i in range(len(word) - 1) if word[i : i + 2] in self.ranks]
-            if not ranks:
-                return word
-            word = word.replace(*self.steps[min(ranks)])
-
     @property
     def size(self) -> int:
         return len(self.bytes_of)
@@ -133,41 +126,6 @@ class Codec:
             lambda s, i: F.replace(s, F.get(pairs, i), F.get(symbols, i)),
         )
 
-    def lowest_first(self, lifted: Column) -> Column:
-        """Lowest rank first until nothing merges, for merge lists in any order."""
-        if not self.steps:
-            return lifted
-        packed = F.lit(pr.packed_steps(self.steps))
-        ranked = F.regexp_extract_all(packed, F.lit("(?s)..."), F.lit(0))
-
-        def step(s: Column, _: Column) -> Column:
-            found = F.get(
-                F.filter(ranked, lambda m: s.contains(F.substring(m, 1, 2))), F.lit(0)
-            )
-            return F.coalesce(F.replace(s, F.substring(found, 1, 2), F.substring(found, 3, 1)), s)
-
-        return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(lifted), F.lit(1))), lifted, step)
-
-    def fold_found(self, lifted: Column, found: Column) -> Column:
-        """The merges of an array column in its order."""
-        return F.aggregate(found, lifted, lambda s, m: F.replace(s, m["pair"], m["new"]))
-
-    def lowest_first_found(self, lifted: Column, found: Column) -> Column:
-        """The merges of an array column, lowest rank first until nothing merges."""
-
-        def step(s: Column, _: Column) -> Column:
-            first = F.get(F.filter(found, lambda m: s.contains(m["pair"])), F.lit(0))
-            return F.coalesce(F.replace(s, first["pair"], first["new"]), s)
-
-        return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(lifted), F.lit(1))), lifted, step)
-
-    def spelling(self, code: str) -> str:
-        """Lifted bytes of a symbol."""
-        point = ord(code)
-        if point < 256:
-            return code
-        return self.bytes_of[(point if point < 0xD800 else point - 0x800) - 256].decode("latin-1")
-
     def drop_missing(self, lifted: Column) -> Column:
         if self.oov == "drop" and self.missing_bytes:
             return F.translate(lifted, self.missing_bytes, "")
@@ -207,90 +165,40 @@ def encode_inline(
     pretoken, so no merge can cross one, and each merge is one ``replace``.
     """
     if not codec.in_rank_order:
-        raise ValueError("this merge list needs encode_by_words")
+        raise ValueError("this merge list needs another plan")
     symbols = tx.bounded_join(tx.pretokens_with_specials(F.col(text), codec.specials))
-    symbols = codec.drop_missing(symbols)
     for token, code in codec.whole:
         edged = tx.BOUNDARY + token.decode("latin-1") + tx.BOUNDARY
         symbols = F.replace(symbols, F.lit(edged), F.lit(tx.BOUNDARY + code + tx.BOUNDARY))
+    symbols = codec.drop_missing(symbols)
     ids = codec.ids(F.translate(codec.fold(symbols), tx.BOUNDARY, ""))
     empty = F.array().cast("array<int>")
     return df.select(*keep, F.coalesce(ids, empty).alias(out))
 
 
-def _merge_candidates(words: DataFrame, codec: Codec, longest: int) -> DataFrame:
-    """Adds ``found``: the merges, by rank, whose bytes occur in ``sym``.
-
-    A merge can only apply where its bytes occur, so looking up the substrings of a
-    word leaves a handful of merges out of a long list. Grouping by the word keeps
-    the partitioning that counting the words has left behind.
-    """
-    spelled = [
-        (rank, pair, new, codec.spelling(new)) for rank, (pair, new) in enumerate(codec.steps)
-    ]
-    listed = words.sparkSession.createDataFrame(
-        spelled, "rank int, pair string, new string, part string"
-    )
-    if len(spelled) <= MAX_BROADCAST_MERGES:
-        listed = F.broadcast(listed)
-    widest = max(len(part) for _, _, _, part in spelled)
-    size = F.length("sym")
-    inside = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), size - 1),
-            lambda start: F.transform(
-                F.sequence(F.lit(2), F.least(F.lit(widest), size - start + 1)),
-                lambda width: F.substring(F.col("sym"), start, width),
-            ),
-        )
+def encode_words(counts: DataFrame, codec: Codec) -> DataFrame:
+    """Token ids of distinct pretokens: (pretoken, freq, tokens)."""
+    return counts.select(
+        "pretoken", "freq", word_ids(F.array("pretoken"), codec.encoder).alias("tokens")
     )
-    # The empty string keeps a row for every word; long words are not looked up.
-    parts = F.concat(
-        F.array(F.lit("")), F.when(size.between(2, longest), F.array_distinct(inside)).otherwise(F.array())
-    )
-    hits = words.select("*", F.explode(parts).alias("part")).join(listed, "part", "left")
-    kept = hits.where((F.col("part") == "") | F.col("rank").isNotNull())
-    merge = F.when(F.col("rank").isNotNull(), F.struct("rank", "pair", "new"))
-    return kept.groupBy(*words.columns).agg(F.array_sort(F.collect_list(merge)).alias("found"))
 
 
-def encode_words(
-    counts: DataFrame,
+def encode_map(
+    df: DataFrame,
     codec: Codec,
-    listed_merges: int = LISTED_MERGES,
-    longest: int = 64,
+    text: str = "text",
+    out: str = "tokens",
+    keep: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
-    """Token ids of distinct pretokens: (pretoken, freq, tokens).
+    """(keep..., token ids) of a text column in one pass, without moving any row.
 
-    Up to ``listed_merges`` merges are tried on every word. Longer lists are narrowed
-    down per word, except for words of more than ``longest`` bytes.
+    Texts are split in the JVM; Arrow batches of pretokens are looked up in what the
+    worker has merged before.
     """
-    words = counts.select(
-        "pretoken", "freq", codec.drop_missing(tx.lift(F.col("pretoken"))).alias("sym")
-    )
-    merge_all = codec.fold if codec.in_rank_order else codec.lowest_first
-    if len(codec.steps) <= listed_merges:
-        words = words.withColumn("sym", merge_all(F.col("sym")))
-    else:
-        narrowed = _merge_candidates(words, codec, longest)
-        few = codec.fold_found if codec.in_rank_order else codec.lowest_first_found
-        words = narrowed.select(
-            "pretoken",
-            "freq",
-            F.when(F.length("sym") > longest, merge_all(F.col("sym")))
-            .otherwise(few(F.col("sym"), F.col("found")))
-            .alias("sym"),
-        )
-    if codec.whole:
-        whole = counts.sparkSession.createDataFrame(
-            [(bytearray(token), code) for token, code in codec.whole],
-            "_data binary, _code string",
-        )
-        words = words.withColumn("_data", F.col("pretoken").cast("binary"))
-        words = words.join(F.broadcast(whole), "_data", "left").withColumn(
-            "sym", F.coalesce("_code", "sym")
-        )
-    return words.select("pretoken", "freq", codec.ids(F.col("sym")).alias("tokens"))
+    listed = tx.pretokens_with_specials(F.col(text), codec.specials)
+    empty = F.array().cast("array<string>")
+    ids = word_ids(F.coalesce(listed, empty), codec.encoder)
+    return df.select(*keep, ids.alias(out))
 
 
 def encode_by_words(
@@ -299,26 +207,28 @@ def encode_by_words(
     text: str = "text",
     out: str = "tokens",
     keep: Sequence[str] = ("doc_id",),
-    listed_merges: int = LISTED_MERGES,
     **join_options,
 ) -> DataFrame:
-    """(keep..., token ids) by encoding every distinct pretoken once.
+    """(keep..., token ids) by encoding every distinct pretoken of the table once.
 
-    ``keep`` must identify the row. For long merge lists: the cost of merging
-    follows the distinct pretokens, not the corpus. The most frequent pretokens
-    come back by broadcast, the others by a shuffle that no frequent pretoken
-    takes part in.
+    For inputs where merging costs more than a shuffle. The most frequent pretokens come
+    back by broadcast, the others by a shuffle that no frequent pretoken takes part in.
+    Rows are told apart by a number of their own, whatever ``keep`` holds.
     """
     counts = pretoken_counts(df, text, specials=codec.specials)
-    words = materialize(encode_words(counts, codec, listed_merges))
+    words = materialize(encode_words(counts, codec))
     listed = tx.pretokens_with_specials(F.col(text), codec.specials)
-    places = df.select(*keep, F.posexplode_outer(listed).alias("pos", "pretoken"))
+    numbered = materialize(
+        df.select(*keep, listed.alias("_listed")).withColumn("_row", F.monotonically_increasing_id())
+    )
+    places = numbered.select("_row", *keep, F.posexplode_outer("_listed").alias("pos", "pretoken"))
     found = spread_left_join(
-        places, words, ["pretoken"], "freq", F.struct(*keep, "pos"), **join_options
+        places, words, ["pretoken"], "freq", F.struct("_row", "pos"), **join_options
     )
     pieces = F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "tokens")))
     ids = F.flatten(F.transform(F.array_sort(pieces), lambda part: part["tokens"]))
-    return found.groupBy(*keep).agg(ids.alias(out))
+    kept = [F.first(name).alias(name) for name in keep]
+    return found.groupBy("_row").agg(*kept, ids.alias(out)).select(*keep, out)
 
 
 def encode_corpus(
@@ -327,11 +237,15 @@ def encode_corpus(
     text: str = "text",
     out: str = "tokens",
     keep: Sequence[str] = ("doc_id",),
+    plan: str = "map",
 ) -> DataFrame:
-    """Token ids per row; the merge list decides which plan is used."""
-    if codec.in_rank_order and len(codec.steps) + len(codec.whole) <= INLINE_MERGES:
-        return encode_inline(df, codec, text, out, keep)
-    return encode_by_words(df, codec, text, out, keep)
+    """Token ids per row. All plans give the same ids: ``map`` looks pretokens up in one
+    pass, ``inline`` rewrites short rank-ordered lists in the JVM, ``words`` merges every
+    distinct pretoken of the table once."""
+    if plan not in PLANS:
+        raise ValueError(f"plan must be one of {PLANS}")
+    chosen = {"map": encode_map, "inline": encode_inline, "words": encode_by_words}[plan]
+    return chosen(df, codec, text, out, keep)
 
 
 def decode_tokens(
@@ -419,11 +333,10 @@ def compression_stats(
 
 
 def word_compression(counts: DataFrame, codec: Codec, by: Sequence[str] = ()) -> DataFrame:
-    """Token totals from pretoken counts alone: every distinct word is encoded once."""
-    distinct = counts.groupBy("pretoken").agg(F.sum("freq").alias("freq"))
-    words = materialize(encode_words(distinct, codec))
-    found = spread_left_join(counts, words, ["pretoken"], "freq", F.struct(*by, "pretoken"))
-    return found.groupBy(*by).agg(
-        F.sum(F.col("freq") * F.octet_length("pretoken")).alias("n_bytes"),
-        F.sum(F.col("freq") * F.size("tokens")).alias("n_tokens"),
+    """Token totals from pretoken counts alone, in one pass over them."""
+    ids = word_ids(F.array("pretoken"), codec.encoder)
+    sized = counts.select(*by, "freq", F.octet_length("pretoken").alias("b"), F.size(ids).alias("t"))
+    return sized.groupBy(*by).agg(
+        F.sum(F.col("freq") * F.col("b")).alias("n_bytes"),
+        F.sum(F.col("freq") * F.col("t")).alias("n_tokens"),
     )
