@@ -130,8 +130,11 @@ def test_corpus_readers(spark, tmp_path):
     file = tmp_path / "corpus.txt"
     file.write_bytes("one\r\ntwo<|endoftext|>é\n\n<|endoftext|>last\n".encode())
     assert corpus.read_corpus(spark, str(file)).first()["text"].encode() == file.read_bytes()
-    lines = [r["text"] for r in corpus.read_lines(spark, str(file)).collect()]
-    assert "".join(lines).encode() == file.read_bytes()
+    for data in (file.read_bytes(), file.read_bytes()[:-1], b"", b"\n\n", b"x"):
+        other = tmp_path / f"lines{len(data)}.txt"
+        other.write_bytes(data)
+        lines = [r["text"] for r in corpus.read_lines(spark, str(other)).orderBy("line_no").collect()]
+        assert "".join(lines).encode() == data
     docs = [r["text"] for r in corpus.read_documents(spark, str(file)).collect()]
     assert docs == ["one\r\ntwo", "é\n\n", "last\n"]
     whole = corpus.read_corpus(spark, str(file))
@@ -143,3 +146,41 @@ def test_corpus_readers(spark, tmp_path):
 def test_windows_at_start_histogram_margin():
     share = 1 / 93
     assert 5 * math.sqrt(32_000 * share * (1 - share)) < 32_000 * share
+
+
+def test_offsets_by_text_keys_and_bad_keys(spark):
+    rows = [(f"k{i * 7919 % 500:03d}", i % 5) for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, n int")
+    got = {r["k"]: r["offset"] for r in ds.with_offsets(df, "k", F.col("n")).collect()}
+    total = 0
+    for key, n in sorted(rows):
+        assert got[key] == total
+        total += n
+    for bad in ([("a", 1), (None, 2)], [("a", 1), ("a", 2)]):
+        with pytest.raises(Exception, match="keys must be unique and not null"):
+            ds.with_offsets(spark.createDataFrame(bad, "k string, n int"), "k", F.col("n")).collect()
+
+
+def test_unfinished_splits_are_rebuilt_and_finished_ones_skipped(spark, tmp_path):
+    codec = cd.Codec([(b, bytes([b])) for b in range(256)] + [(70_000, b"ab")], [(b"a", b"b")])
+    docs = spark.createDataFrame([(0, "xy"), (1, "")], "doc_id long, text string")
+    broken = docs.withColumn("text", F.raise_error(F.lit("worked")).cast("string"))
+    path = str(tmp_path / "set")
+    (tmp_path / "set" / "split=train" / "_temporary").mkdir(parents=True)
+    assert corpus.tokenize_dataset({"train": docs}, codec, path).first()["n_tokens"] == 2
+    assert corpus.tokenize_dataset({"train": broken}, codec, path).first()["n_tokens"] == 2
+    with pytest.raises(Exception, match="worked"):
+        corpus.tokenize_dataset({"train": broken}, codec, path, overwrite=True)
+    wide = spark.createDataFrame([(0, "ab")], "doc_id long, text string")
+    with pytest.raises(Exception, match="token id above 65535"):
+        corpus.tokenize_dataset({"wide": wide}, codec, path)
+    corpus.tokenize_dataset({"wide": wide}, codec, path, limit=70_000)
+    assert {r["split"] for r in corpus.tokenize_dataset({"wide": wide}, codec, path).collect()} == {"wide"}
+
+
+def test_only_edges_of_documents_are_shuffled(spark):
+    """A long document's windows stay in place; the packing equals that of short ones."""
+    docs = spark.createDataFrame([(0, list(range(50))), (1, list(range(50, 1000)))], "doc_id long, tokens array<int>")
+    stream = ds.token_stream(docs).persist()
+    rows = ds.pack_sequences(stream, 16).orderBy("window_id").collect()
+    assert [r["input"] for r in rows] == [list(range(i, i + 16)) for i in range(0, 1000 - 16, 16)]

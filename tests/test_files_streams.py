@@ -83,9 +83,9 @@ def test_streams_equal_batches_and_restart_cleanly(spark, small_docs, learned, t
     words, words_progress = str(tmp_path / "words"), str(tmp_path / "words_progress")
 
     def run():
-        stream = jobs.read_text_stream(spark, source)
+        stream = jobs.read_text_stream(spark, source, files_per_batch=1)
         jobs.stream_encode(stream, codec, out, progress).awaitTermination()
-        stream = jobs.read_text_stream(spark, source)
+        stream = jobs.read_text_stream(spark, source, files_per_batch=1)
         jobs.stream_pretoken_counts(stream, words, words_progress).awaitTermination()
 
     def check(docs):
@@ -106,3 +106,32 @@ def test_streams_equal_batches_and_restart_cleanly(spark, small_docs, learned, t
     small_docs.where("doc_id >= 100").coalesce(1).write.mode("append").parquet(source)
     run()
     check(small_docs)
+
+
+def test_lines_of_text_files_arrive_and_are_encoded(spark, learned, tmp_path):
+    codec = cd.Codec.from_model(learned)
+    source, out, progress = (str(tmp_path / name) for name in ("in", "out", "progress"))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("one two\n\nthe end", encoding="utf-8")
+    stream = jobs.read_text_stream(spark, source, format="text")
+    jobs.stream_encode(stream, codec, out, progress, keep=("path",), unit="line").awaitTermination()
+    rows = spark.read.parquet(out).collect()
+    assert sorted(bytes(b for i in r["tokens"] for b in codec.bytes_of[i]) for r in rows) == [b"", b"one two", b"the end"]
+
+
+def test_compacted_counts_are_the_latest(spark, small_docs, tmp_path):
+    source, out, progress = (str(tmp_path / name) for name in ("in", "out", "progress"))
+    small_docs.limit(40).repartition(4).write.parquet(source)
+    stream = jobs.read_text_stream(spark, source, files_per_batch=1)
+    jobs.stream_pretoken_counts(stream, out, progress).awaitTermination()
+    before = sorted(jobs.latest_counts(spark, out, "pretoken", "freq").collect())
+    jobs.compact_counts(spark, out, "pretoken", "freq")
+    assert spark.read.parquet(out).select("batch_id").distinct().count() == 1
+    assert sorted(jobs.latest_counts(spark, out, "pretoken", "freq").collect()) == before
+    small_docs.limit(60).coalesce(1).write.mode("append").parquet(source)
+    jobs.stream_pretoken_counts(
+        jobs.read_text_stream(spark, source, files_per_batch=1), out, progress
+    ).awaitTermination()
+    total = jobs.latest_counts(spark, out, "pretoken", "freq").agg(F.sum("freq")).first()[0]
+    both = spark.read.parquet(source)
+    assert total == pt.pretoken_counts(both).agg(F.sum("freq")).first()[0]

@@ -2,48 +2,54 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from itertools import accumulate
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tokenloom.functions.draws import draw_integer
+from tokenloom.operators.joins import fits_broadcast
 from tokenloom.session import materialize
 
-ORDER_BUCKETS = 256
-MAX_BROADCAST_BATCH = 1_000_000
-
-
-def _longs(values: Iterable[int]) -> Column:
-    """A literal array of long numbers."""
-    return F.expr(f"cast(array({', '.join(f'{value}L' for value in values)}) AS array<bigint>)")
+#: Rows aimed at per range of keys.
+RANGE_ROWS = 1_000_000
 
 
 def with_offsets(
-    df: DataFrame, key: str, size: Column, out: str = "offset", buckets: int = ORDER_BUCKETS
+    df: DataFrame, key: str, size: Column, out: str = "offset", buckets: int | None = None
 ) -> DataFrame:
-    """Adds the sum of ``size`` over all rows with a smaller key; keys must be unique.
+    """Adds the sum of ``size`` over all rows with a smaller key, of any sortable type.
 
-    Only (key, size) is put into key ranges of about equal length and summed, one
-    task per range; the range totals (at most ``buckets``) meet on the driver. The
-    offsets then join the rows by key, so wide rows use every partition.
+    A null key, or one that two rows share, is an error: it has no place of its own.
+    Only (key, size) is put into key ranges and written; the totals of the ranges, whose
+    number follows the rows, are added up before each range, and the offsets join the rows
+    by key, so wide rows use every partition.
     """
-    slim = materialize(df.select(key, size.cast("bigint").alias("_size")))
-    cuts = ", ".join(str(i / buckets) for i in range(1, buckets))
-    bounds = slim.agg(F.expr(f"percentile_approx({key}, array({cuts}), 100000)")).first()[0]
-    edges = sorted(set(bounds or []))
-    listed = _longs(edges)
-    placed = slim.withColumn(
-        "_bucket", F.size(F.filter(listed, lambda edge: edge < F.col(key)))
+    spark = df.sparkSession
+    slim = df.select(F.col(key).alias("_key"), size.cast("bigint").alias("_size"))
+    if buckets is None:
+        buckets = max(
+            int(spark.conf.get("spark.sql.shuffle.partitions")), -(-slim.count() // RANGE_ROWS)
+        )
+    ranged = materialize(
+        slim.repartitionByRange(buckets, "_key").withColumn("_range", F.spark_partition_id())
     )
-    totals = dict(placed.groupBy("_bucket").agg(F.sum("_size")).collect())
-    sums = [totals.get(bucket, 0) for bucket in range(len(edges) + 1)]
-    starts = _longs(accumulate([0, *sums[:-1]]))
-    before = Window.partitionBy("_bucket").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.get(starts, F.col("_bucket")) + F.coalesce(
-        F.sum("_size").over(before), F.lit(0).cast("bigint")
+    totals = ranged.groupBy("_range").agg(F.sum("_size").alias("_total"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(
+        "_range", F.coalesce(F.sum("_total").over(earlier), F.lit(0).cast("bigint")).alias("_start")
     )
-    return df.join(placed.select(key, offset.alias(out)), key)
+    inside = Window.partitionBy("_range").orderBy("_key")
+    before = F.sum("_size").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    wrong = F.raise_error(F.lit("keys must be unique and not null")).cast("bigint")
+    twice = F.lag("_key").over(inside) == F.col("_key")
+    offset = F.when(F.col("_key").isNull() | twice, wrong).otherwise(
+        F.coalesce(before, F.lit(0).cast("bigint"))
+    )
+    placed = ranged.withColumn("_before", offset).join(F.broadcast(starts), "_range")
+    found = placed.select(
+        F.col("_key").alias("_found"), (F.col("_start") + F.col("_before")).alias(out)
+    )
+    # a null key meets its error instead of being dropped
+    same = F.col(key).eqNullSafe(F.col("_found"))
+    return df.join(found, same).drop("_found")
 
 
 def delimited(df: DataFrame, end_id: int, tokens: str = "tokens") -> DataFrame:
@@ -103,8 +109,16 @@ def _windows(pieces: DataFrame) -> DataFrame:
 
 
 def pack_sequences(stream: DataFrame, length: int, tokens: str = "tokens") -> DataFrame:
-    """Every aligned window with its next-token labels: (window_id, start, input, target)."""
-    full = _windows(_pieces(stream, length, 1, tokens)).where(F.size("tokens") == length + 1)
+    """Every aligned window with its next-token labels: (window_id, start, input, target).
+
+    Windows that lie inside one document stay where they are; only the pieces at the
+    edges of documents are shuffled.
+    """
+    pieces = _pieces(stream, length, 1, tokens)
+    whole = F.size("piece") == length + 1
+    inside = pieces.where(whole).select("window_id", F.col("piece").alias("tokens"))
+    edges = _windows(pieces.where(~whole)).where(F.size("tokens") == length + 1)
+    full = inside.unionByName(edges)
     return full.select(
         "window_id",
         (F.col("window_id") * length).alias("start"),
@@ -163,8 +177,8 @@ def sample_windows(
     needed = starts.withColumn("first", (first / length).cast("bigint")).withColumn(
         "window_id", F.explode(F.array(F.col("first"), F.col("first") + 1))
     )
-    wanted = needed.select("window_id").distinct()
-    if batch <= MAX_BROADCAST_BATCH:
+    wanted = materialize(needed.select("window_id").distinct())
+    if fits_broadcast(wanted):
         wanted = F.broadcast(wanted)
     # Only the pieces of drawn windows are shuffled.
     pieces = _pieces(stream, length, 0, tokens).join(wanted, "window_id", "left_semi")

@@ -89,15 +89,16 @@ def generate(
     key: str = "prompt_id",
     tokens: str = "tokens",
     checkpoint_every: int = 8,
+    small: bool | None = None,
 ) -> DataFrame:
     """(key, generated): one id per step for all prompts at once.
 
     A prompt stops at the delimiter, which stays in its output. A context without
     continuation ends the prompt; an empty prompt starts from the delimiter. Draws
     depend on (seed, key, step) only. ``table`` comes from :func:`draw_table` and
-    must be materialized.
+    must be materialized; ``small`` says whether it is broadcast, else that is measured.
     """
-    small = fits_broadcast(table)
+    small = fits_broadcast(table) if small is None else small
     end = F.lit(end_id).cast("int")
     state = prompts.select(
         key,
@@ -115,7 +116,8 @@ def generate(
             .withColumn("pick", F.coalesce(choice["next"].cast("int"), end))
             .select(
                 key,
-                F.when(F.col("done"), F.col("prev")).otherwise(F.col("pick")).alias("prev"),
+                # a finished prompt leaves the join: null keys are spread and find nothing
+                F.when(~F.col("done") & (F.col("pick") != end), F.col("pick")).alias("prev"),
                 (F.col("done") | (F.col("pick") == end)).alias("done"),
                 F.when(F.col("done"), F.col("generated"))
                 .otherwise(F.concat("generated", F.array("pick")))

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tokenloom.session import materialize
+
 HOT_ROWS = 50_000
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
@@ -58,15 +62,21 @@ def spread_left_join(
     """``facts`` left join ``dim`` on ``keys``; ``dim`` must be materialized and unique.
 
     A dim that measures small is broadcast whole (``small`` hands in an earlier measure).
-    Otherwise its heaviest keys are broadcast, and the facts they answer travel under
+    Otherwise the heaviest keys are broadcast, and the facts they answer travel under
     a salted key, so no partition of the remaining shuffle join receives a hot key.
-    ``weight`` says how frequent a key is among the facts.
+    ``weight`` names the column of ``dim`` that the caller counts by; which keys are heavy
+    is measured on the facts, so that a frequent key without an answer is spread too.
     """
     values = [name for name in dim.columns if name not in {*keys, weight}]
     plain = dim.drop(weight)
     if fits_broadcast(dim, broadcast_rows) if small is None else small:
         return facts.join(F.broadcast(plain), list(keys), "left")
-    hot = hot_part(dim, weight, hot_rows).select(
+    named = [F.col(key).isNotNull() for key in keys]
+    counted = materialize(
+        facts.where(reduce(and_, named)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    )
+    heavy = materialize(hot_part(counted, "_n", hot_rows).select(*keys))
+    hot = heavy.join(plain, list(keys), "left").select(
         *keys, F.lit(True).alias("_hot"), *[F.col(name).alias(f"_hot_{name}") for name in values]
     )
     salted = facts.join(F.broadcast(hot), list(keys), "left").withColumn(

@@ -86,16 +86,20 @@ def soft_knn(
 def hashed_features(
     df: DataFrame, buckets: int, text: str = "text", keep: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
-    """(keep..., features): share of the row's pretokens per hash bucket."""
-    places = df.select(*keep, F.explode(pretokens(F.col(text))).alias("pretoken"))
+    """(keep..., features): share of the row's pretokens per hash bucket, zeros without any.
+
+    ``keep`` must tell rows apart.
+    """
+    places = df.select(*keep, F.explode_outer(pretokens(F.col(text))).alias("pretoken"))
     bucket = F.conv(F.substring(F.md5("pretoken"), 1, 8), 16, 10).cast("bigint") % buckets
     counts = places.groupBy(*keep, bucket.cast("int").alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n")
+        F.count("pretoken").alias("n")
     )
-    listed = F.map_from_entries(F.collect_list(F.struct("bucket", "n")))
+    entry = F.when(F.col("bucket").isNotNull(), F.struct("bucket", "n"))
+    listed = F.map_from_entries(F.collect_list(entry))
     dense = F.transform(
         F.sequence(F.lit(0), F.lit(buckets - 1)),
-        lambda b: F.coalesce(F.element_at("listed", b), F.lit(0)) / F.col("total"),
+        lambda b: F.coalesce(F.element_at("listed", b), F.lit(0)) / F.greatest("total", F.lit(1)),
     )
     return (
         counts.groupBy(*keep)

@@ -139,10 +139,18 @@ def score_documents(
 ) -> DataFrame:
     """(keep..., n_pairs, loss, perplexity) of every row under a next-token table.
 
-    Pairs are counted per row before they are looked up.
+    Pairs are counted per row before they are looked up. Rows without a pair, with fewer
+    than two tokens, have n_pairs 0 and a null loss.
     """
     counted = bigrams(df, keep, tokens).withColumnRenamed("n", "times")
-    return pair_losses(counted, model, vocab_size, add, keep)
+    found = pair_losses(counted, model, vocab_size, add, keep)
+    short = df.where(F.coalesce(F.size(tokens), F.lit(0)) < 2).select(
+        *keep,
+        F.lit(0).cast("bigint").alias("n_pairs"),
+        F.lit(None).cast("double").alias("loss"),
+        F.lit(None).cast("double").alias("perplexity"),
+    )
+    return found.unionByName(short)
 
 
 def window_losses(

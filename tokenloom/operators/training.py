@@ -14,8 +14,6 @@ from tokenloom.session import materialize
 
 BYTE_ALPHABET = 256
 UNKNOWN = "�"
-WORDS_PER_TASK = 40_000
-MOST_WORDS_PER_TASK = 1_000_000
 
 
 @dataclass
@@ -108,10 +106,9 @@ class _Order:
         left, right = (self.id_of(c) for c in pair)
         if not self.by_bytes:
             return (left, right)
-        # Complement each byte so that the greater byte string sorts first.
-        return tuple(
-            [255 - b for b in self.tokens[i]] + [256] for i in (left, right)
-        )
+        # Complement each byte so that the greater byte string sorts first; of equal
+        # bytes the smaller ids.
+        return (*([255 - b for b in self.tokens[i]] + [256] for i in (left, right)), left, right)
 
     def best(self, ties: DataFrame, spark: SparkSession) -> str:
         """Decide among any number of equal pairs inside Spark."""
@@ -126,18 +123,13 @@ class _Order:
                 F.broadcast(named), f"{side}_symbol"
             )
         order = (
-            F.max_by("pair", F.struct("l_data", "r_data"))
+            F.max_by("pair", F.struct("l_data", "r_data", -F.col("l_id"), -F.col("r_id")))
             if self.by_bytes
             else F.min_by("pair", F.struct("l_id", "r_id"))
         )
         return rows.agg(order.alias("pair")).first()["pair"]
 
 
-def word_tasks(n_words: int, cores: int) -> int:
-    """Tasks for a round: no tiny ones, every core once it pays, none that is too large."""
-    return max(1, min(n_words // WORDS_PER_TASK, max(2 * cores, n_words // MOST_WORDS_PER_TASK)))
-
-
 def learn_merges(
     words: DataFrame,
     base: list[bytes],
@@ -172,9 +164,7 @@ def learn_merges(
         left, right = (order.id_of(c) for c in pair)
         return tokens[left] + tokens[right] in known
 
-    words = materialize(words.select("sym", "freq"))
-    parts = word_tasks(words.count(), spark.sparkContext.defaultParallelism)
-    words = words.repartition(parts, "sym").persist()
+    words = materialize(words.select("sym", "freq")).persist()
     counts = materialize(pr.pair_counts(words)).persist()
     current, pending, held, rounds = counts, [], [words, counts], 0
     while len(merges) < n_merges:
@@ -199,7 +189,7 @@ def learn_merges(
         if len(merges) >= n_merges:
             break
         rounds += 1
-        current = pr.apply_deltas(counts, pr.pair_deltas(words, pending), one_task=parts == 1)
+        current = pr.apply_deltas(counts, pr.pair_deltas(words, pending))
         if rounds % rewrite_every and rounds % checkpoint_every:
             continue
         following = pr.merge_pairs(words, pending)

@@ -210,14 +210,15 @@ VECTORS = """x AS MATERIALIZED (
   FROM embeddings
 )"""
 QUALITY = f"""cnt AS MATERIALIZED (
-  SELECT doc_id, quality, (('0x' || substr(md5(pretoken), 1, 8))::BIGINT % {q.FEATURES})::INT AS dim, count(*) AS n
-  FROM (SELECT doc_id, quality, unnest({words_of('text')}) AS pretoken FROM documents JOIN labels USING (doc_id))
-  GROUP BY ALL
-), x AS MATERIALIZED (
-  SELECT d.doc_id AS id, d.quality AS y, coalesce(c.n, 0) / d.total AS x, f.dim::INT AS dim
-  FROM (SELECT doc_id, quality, sum(n) AS total FROM cnt GROUP BY ALL) d
-  JOIN range({q.FEATURES}) f(dim) ON true
+  SELECT doc_id, (('0x' || substr(md5(pretoken), 1, 8))::BIGINT % {q.FEATURES})::INT AS dim, count(*) AS n
+  FROM (SELECT doc_id, unnest({words_of('text')}) AS pretoken FROM documents) GROUP BY ALL
+), all_x AS MATERIALIZED (
+  SELECT d.doc_id AS id, coalesce(c.n, 0) / coalesce(t.total, 1) AS x, f.dim::INT AS dim
+  FROM documents d JOIN range({q.FEATURES}) f(dim) ON true
+  LEFT JOIN (SELECT doc_id, sum(n) AS total FROM cnt GROUP BY ALL) t ON t.doc_id = d.doc_id
   LEFT JOIN cnt c ON c.doc_id = d.doc_id AND c.dim = f.dim
+), x AS MATERIALIZED (
+  SELECT id, quality AS y, x, dim FROM all_x JOIN labels ON doc_id = id
 )"""
 
 
@@ -314,6 +315,48 @@ NLL = LOGITS + """, nll AS MATERIALIZED (
 )"""
 
 
+def listed(n: int, square: int, where: str = "true") -> str:
+    """Merges (rank, m = pair and new symbol): frequent byte pairs, then pairs of the first."""
+    return f"""listed AS MATERIALIZED (
+  WITH top AS MATERIALIZED (
+    SELECT pair, row_number() OVER (ORDER BY n DESC, pair DESC) - 1 AS rank FROM (
+      SELECT * FROM ({pairs_of('w0')}) ORDER BY n DESC, pair DESC LIMIT {n}) WHERE {where})
+  SELECT rank, {{'pair': pair, 'new': chr((256 + rank)::INT)}} AS m, pair AS spelled FROM top
+  UNION ALL SELECT {n} + a.rank * {square} + b.rank,
+    {{'pair': chr((256 + a.rank)::INT) || chr((256 + b.rank)::INT),
+      'new': chr((256 + {n} + a.rank * {square} + b.rank)::INT)}}, a.pair || b.pair
+  FROM top a JOIN top b ON a.rank < {square} AND b.rank < {square}
+)"""
+
+
+def folded(
+    merges: str,
+    steps: str,
+    more: list[str] | None = None,
+    whole_id: str = "NULL",
+    kept: str = "true",
+    whole: str = "(SELECT NULL AS pretoken, NULL AS k WHERE false)",
+) -> str:
+    """Documents by merges applied one after the other to every distinct pretoken."""
+    bytes_kept = f"array_to_string(list_filter(string_split(w0.sym, ''), lambda c: {kept}), '')"
+    return with_(
+        PRE,
+        *(more or []),
+        merges,
+        f"steps AS MATERIALIZED (SELECT list_prepend({{'pair': '', 'new': ''}}, ({steps})) AS s)",
+        f"""enc AS MATERIALIZED (
+  SELECT pretoken, CASE WHEN whole_id IS NOT NULL THEN [whole_id] ELSE {ids_of('sym')} END AS ids FROM (
+    SELECT w0.pretoken, coalesce({whole_id}, 256 + l.rank) AS whole_id,
+      list_reduce(list_prepend({{'pair': '', 'new': {bytes_kept}}}, s[2:]),
+        lambda so_far, one: {{'pair': '', 'new': replace(so_far.new, one.pair, one.new)}}).new AS sym
+    FROM w0 LEFT JOIN {whole} o ON o.pretoken = w0.pretoken LEFT JOIN (
+      SELECT spelled, rank FROM listed) l ON l.spelled = w0.sym, steps)
+)""",
+        OCC,
+        DOC,
+    ) + ENCODED_ROWS
+
+
 def oracles() -> dict[str, str]:
     sql: dict[str, str] = {}
     sql["pretoken_counts"] = with_(PRE) + "SELECT pretoken, freq FROM pre"
@@ -323,8 +366,10 @@ def oracles() -> dict[str, str]:
 FROM (SELECT lang, source, pretoken, count(*) AS f
       FROM (SELECT lang, source, unnest({words_of('text')}) AS pretoken FROM documents) GROUP BY ALL)
 GROUP BY lang, source"""
-    sql["page_pretokens"] = f"""SELECT page_id, count(*) AS n_pretokens, count(*) FILTER (strlen(p) >= 2) AS n_long
-FROM (SELECT page_id, unnest({words_of('html')}) AS p FROM pages) GROUP BY page_id"""
+    sql["page_pretokens"] = f"""SELECT page_id, coalesce(n, 0) AS n_pretokens, coalesce(n_long, 0) AS n_long
+FROM pages LEFT JOIN (
+  SELECT page_id, count(*) AS n, count(*) FILTER (strlen(p) >= 2) AS n_long
+  FROM (SELECT page_id, unnest({words_of('html')}) AS p FROM pages) GROUP BY page_id) USING (page_id)"""
     sql["pretoken_spans"] = (
         with_(OCC, SPANS) + "SELECT * FROM spans WHERE strlen(pretoken) >= 2"
     )
@@ -394,7 +439,38 @@ UNION ALL SELECT id::INT, c FROM letters
 UNION ALL SELECT ((SELECT count(*) FROM letters) + 1 + rank)::INT, spelled FROM m{q.N_MERGES}"""
     sql["encode_documents"] = ENCODED + ENCODED_ROWS
     sql["encode_documents_by_words"] = sql["encode_documents"]
-    sql["stream_encode"] = sql["encode_documents"]
+    for name in ("encode_documents_inline", "stream_encode", "stream_encode_batches"):
+        sql[name] = sql["encode_documents"]
+    sql["encode_duplicate_keys"] = ENCODED + ENCODED_ROWS.replace("doc_id", "lang")
+    long_list = listed(q.LONG_LIST, q.LONG_SQUARE)
+    sql["encode_long_list"] = folded(long_list, "SELECT list(m ORDER BY rank) FROM listed")
+    sql["encode_long_list_by_words"] = sql["encode_long_list"]
+    # after every pair, all merges of pairs that exist by then
+    sql["encode_any_order"] = folded(
+        listed(q.ANY_LIST, q.ANY_SQUARE),
+        f"""SELECT list(m ORDER BY step, place) FROM (
+    SELECT m, rank AS step, 0 AS place FROM listed WHERE rank < {q.ANY_LIST} UNION ALL
+    SELECT m, step, rank FROM listed, range({q.ANY_LIST}) r(step)
+    WHERE rank >= {q.ANY_LIST}
+      AND greatest((rank - {q.ANY_LIST}) // {q.ANY_SQUARE}, (rank - {q.ANY_LIST}) % {q.ANY_SQUARE}) <= step)""",
+    )
+    whole = f"""whole AS MATERIALIZED (
+  SELECT pretoken, row_number() OVER (ORDER BY freq DESC, pretoken) - 1 AS k FROM pre
+  WHERE length(pretoken) > 2 ORDER BY freq DESC, pretoken LIMIT {q.WHOLE_WORDS}
+)"""
+    in_order = "SELECT list(m ORDER BY rank) FROM listed"
+    sql["encode_whole_words"] = folded(
+        listed(q.ANY_LIST, 0), in_order, [whole], f"256 + {q.ANY_LIST} + k", "true", "whole"
+    )
+    ascii_pair = "ord(substr(pair, 1, 1)) < 128 AND ord(substr(pair, 2, 1)) < 128"
+    sql["encode_drop"] = folded(
+        listed(q.ANY_LIST, 0, ascii_pair),
+        in_order,
+        [whole],
+        "256 + (SELECT count(*) FROM listed) + k",
+        "ord(c) < 128",
+        "whole",
+    )
     sql["encode_conversations"] = with_(BPE, turns("", "conv_id, turn")) + (
         "SELECT conv_id, turn, len(ids)::INT AS n_tokens, coalesce(array_to_string(ids, ','), '') AS tokens FROM turn_ids"
     )
@@ -435,6 +511,10 @@ FROM (SELECT source, unnest({words_of('text')}) AS pretoken FROM documents) JOIN
   SELECT doc_id, {SPLIT} AS split, strlen(text) AS b, coalesce(t, 0) + 1 AS t FROM documents LEFT JOIN (
     SELECT doc_id, sum(len(ids)) AS t FROM lines JOIN cenc USING (pretoken) GROUP BY doc_id) USING (doc_id))
 GROUP BY split"""
+    sql["tokenize_dataset_skip"] = sql["tokenize_dataset"]
+    sql["token_offsets_by_name"] = ENCODED + """SELECT md5(doc_id::VARCHAR) AS name, len(ids)::INT AS n_tokens,
+  coalesce(sum(len(ids)) OVER (ORDER BY md5(doc_id::VARCHAR) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS offset
+FROM doc"""
     sql["token_offsets"] = STREAM + """SELECT doc_id, len(ids)::INT AS n_tokens,
   coalesce(sum(len(ids)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS offset
 FROM str"""
@@ -522,6 +602,7 @@ FROM scores GROUP BY split"""
         BPE, ENC, OCC, DOC, TOK, BIGRAMS, PROBS, NUCLEUS, users, choice, *GEN_STEPS
     ) + f"""SELECT prompt_id, len(generated)::INT AS n_new, array_to_string(generated, ',') AS generated
 FROM g{q.NEW_TOKENS}"""
+    sql["generate_shuffled"] = sql["generate"]
     first = descent(VECTORS, 10, 64, [q.RATES[0]])
     sql["grad_norm"] = first + "SELECT round(norm, 9) AS grad_norm FROM norm1"
     sql["classifier_step"] = first + (
@@ -540,8 +621,14 @@ FROM g{q.NEW_TOKENS}"""
     )
     sql["classifier_loss"] = trained + """SELECT y AS label, count(*) AS n, round(avg(-ln(prob)), 6) AS loss,
   round(exp(avg(-ln(prob))), 4) AS perplexity FROM q3 WHERE class = y GROUP BY y"""
-    sql["quality_classifier"] = descent(QUALITY, 2, q.FEATURES, THREE_STEPS) + predictions(
-        3, "doc_id", "quality"
+    sql["quality_classifier"] = (
+        descent(QUALITY, 2, q.FEATURES, THREE_STEPS)
+        + f"""SELECT id AS doc_id, quality, arg_max(class, round(prob, 9) * 1000 - class * 1e-9)::INT AS predicted,
+  round(max(prob), 4) AS prob FROM (
+    SELECT id, class, e / sum(e) OVER (PARTITION BY id) AS prob FROM (
+      SELECT id, class, exp(z - max(z) OVER (PARTITION BY id)) AS e FROM (
+        SELECT x.id, class, sum(x.x * value) AS z FROM all_x x JOIN p3 USING (dim) GROUP BY ALL)))
+LEFT JOIN labels ON labels.doc_id = id GROUP BY id, quality"""
     )
     sql["stream_counts"] = sql["pretoken_counts"]
     return sql

@@ -18,7 +18,7 @@ from tokenloom.operators import (
     training as tr,
     vocabulary as vc,
 )
-from tokenloom.session import materialize, scratch_path, spread
+from tokenloom.session import materialize, scratch_path
 from tokenloom.sources import artifacts, corpus
 from tokenloom.streaming import jobs
 
@@ -40,6 +40,10 @@ RATES = (2e-3, 2e-4)
 WARMUP = 100
 FEATURES = 32
 MAX_NORM = 0.1
+ONE_FILE = 64 << 20
+LONG_LIST, LONG_SQUARE = 900, 12
+ANY_LIST, ANY_SQUARE = 30, 6
+WHOLE_WORDS = 50
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,6 +67,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal a table of one small file to all cores: such a file is a single split.
+
+    Only for the test tables, which are below ``ONE_FILE`` bytes; operators never do this.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) > ONE_FILE:
+        return df
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return spread(table(spark, sf, "documents").select("doc_id", "text", *columns), "doc_id")
 
@@ -147,10 +162,12 @@ def pretokens_per_lang_source(spark, sf):
 @query
 def page_pretokens(spark, sf):
     pages = spread(table(spark, sf, "pages").select("page_id", "html"), "page_id")
-    return pt.pretokenize(pages, "html", keep=("page_id",)).groupBy("page_id").agg(
+    counts = pt.pretokenize(pages, "html", keep=("page_id",)).groupBy("page_id").agg(
         F.count(F.lit(1)).alias("n_pretokens"),
         F.count_if(F.octet_length("pretoken") >= 2).alias("n_long"),
     )
+    found = pages.select("page_id").join(counts, "page_id", "left")
+    return found.fillna(0, ["n_pretokens", "n_long"])
 
 
 @query
@@ -359,7 +376,13 @@ def _encoded_rows(df: DataFrame, *keys: str) -> DataFrame:
 
 @query
 def encode_documents(spark, sf):
-    return _encoded_rows(cd.encode_inline(documents(spark, sf), codec(spark, sf)), "doc_id")
+    return _encoded_rows(cd.encode_corpus(documents(spark, sf), codec(spark, sf)), "doc_id")
+
+
+@query
+def encode_documents_inline(spark, sf):
+    done = cd.encode_corpus(documents(spark, sf), codec(spark, sf), plan="inline")
+    return _encoded_rows(done, "doc_id")
 
 
 @query
@@ -371,6 +394,81 @@ def encode_documents_by_words(spark, sf):
     return _encoded_rows(done, "doc_id")
 
 
+def _frequent_pairs(spark, sf, n: int) -> list[tuple[bytes, bytes]]:
+    """The most frequent byte pairs of the documents, greater bytes first among equals."""
+    rows = pr.pair_counts(words(spark, sf)).orderBy(F.desc("n"), F.desc("pair")).limit(n).collect()
+    return [(row["pair"][0].encode("latin-1"), row["pair"][1].encode("latin-1")) for row in rows]
+
+
+def _pairs_of_pairs(pairs: list[tuple[bytes, bytes]], first: int) -> list[tuple[bytes, bytes]]:
+    joined = [left + right for left, right in pairs[:first]]
+    return [(left, right) for left in joined for right in joined]
+
+
+def _listed_codec(tokens: list[bytes], merges: list[tuple[bytes, bytes]], **options) -> cd.Codec:
+    return cd.Codec(enumerate([bytes([b]) for b in range(256)] + tokens), merges, **options)
+
+
+@query
+def encode_long_list(spark, sf):
+    pairs = _frequent_pairs(spark, sf, LONG_LIST)
+    merges = pairs + _pairs_of_pairs(pairs, LONG_SQUARE)
+    long_codec = _listed_codec([left + right for left, right in merges], merges)
+    return _encoded_rows(cd.encode_corpus(documents(spark, sf), long_codec), "doc_id")
+
+
+@query
+def encode_long_list_by_words(spark, sf):
+    pairs = _frequent_pairs(spark, sf, LONG_LIST)
+    merges = pairs + _pairs_of_pairs(pairs, LONG_SQUARE)
+    long_codec = _listed_codec([left + right for left, right in merges], merges)
+    return _encoded_rows(cd.encode_corpus(documents(spark, sf), long_codec, plan="words"), "doc_id")
+
+
+@query
+def encode_any_order(spark, sf):
+    # Merges of merged pairs rank before the pairs they are made of.
+    pairs = _frequent_pairs(spark, sf, ANY_LIST)
+    later = _pairs_of_pairs(pairs, ANY_SQUARE)
+    tokens = [left + right for left, right in pairs + later]
+    return _encoded_rows(
+        cd.encode_corpus(documents(spark, sf), _listed_codec(tokens, later + pairs)), "doc_id"
+    )
+
+
+def _whole_words(spark, sf) -> list[str]:
+    counts = pt.pretoken_counts(documents(spark, sf)).where(F.length("pretoken") > 2)
+    rows = counts.orderBy(F.desc("freq"), "pretoken").limit(WHOLE_WORDS).collect()
+    return [row["pretoken"] for row in rows]
+
+
+@query
+def encode_whole_words(spark, sf):
+    pairs = _frequent_pairs(spark, sf, ANY_LIST)
+    tokens = [left + right for left, right in pairs]
+    tokens += [word.encode() for word in _whole_words(spark, sf)]
+    return _encoded_rows(
+        cd.encode_corpus(documents(spark, sf), _listed_codec(tokens, pairs)), "doc_id"
+    )
+
+
+@query
+def encode_drop(spark, sf):
+    # Bytes above 127 have no token; a whole word that holds some is still one token.
+    pairs = [(a, b) for a, b in _frequent_pairs(spark, sf, ANY_LIST) if a < b"\x80" and b < b"\x80"]
+    vocab = [(b, bytes([b])) for b in range(128)]
+    tokens = [left + right for left, right in pairs]
+    tokens += [word.encode() for word in _whole_words(spark, sf)]
+    ascii_codec = cd.Codec(vocab + list(enumerate(tokens, 256)), pairs, oov="drop")
+    return _encoded_rows(cd.encode_corpus(documents(spark, sf), ascii_codec), "doc_id")
+
+
+@query
+def encode_duplicate_keys(spark, sf):
+    done = cd.encode_corpus(documents(spark, sf, "lang"), codec(spark, sf), keep=("lang",))
+    return _encoded_rows(done, "lang")
+
+
 @query
 def encode_conversations(spark, sf):
     turns = spread(table(spark, sf, "conversations").select("conv_id", "turn", "text"), "conv_id")
@@ -453,9 +551,37 @@ def tokenize_dataset(spark, sf):
     )
 
 
+@query
+def tokenize_dataset_skip(spark, sf):
+    # One split is finished and skipped; of the other an interrupted write is left.
+    split = sc.split_by_draw(F.col("doc_id"), VALID_SHARE, SEED)
+    docs = documents(spark, sf).withColumn("split", split)
+    parts = {
+        name: docs.where(F.col("split") == name).select("doc_id", "text")
+        for name in ("train", "valid")
+    }
+    path = scratch_path(spark, "dataset")
+    corpus.tokenize_dataset({"train": parts["train"]}, codec(spark, sf), path, unit="line")
+    broken = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/split=valid/_temporary/0")
+    broken.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(broken)
+    parts["train"] = parts["train"].withColumn("text", F.raise_error(F.lit("not skipped")).cast("string"))
+    stats = corpus.tokenize_dataset(parts, codec(spark, sf), path, unit="line")
+    return stats.select(
+        "split", "n_bytes", "n_tokens", F.round("bytes_per_token", 6).alias("bytes_per_token")
+    )
+
+
 # Token datasets.
 
 
+@query
+def token_offsets_by_name(spark, sf):
+    named = encoded(spark, sf).select(F.md5(F.col("doc_id").cast("string")).alias("name"), "tokens")
+    return ds.with_offsets(named, "name", F.size("tokens")).select(
+        "name", "offset", F.size("tokens").alias("n_tokens")
+    )
+
+
 @query
 def token_offsets(spark, sf):
     return stream(spark, sf).select("doc_id", "offset", F.size("tokens").alias("n_tokens"))
@@ -648,6 +774,20 @@ def generate(spark, sf):
     )
 
 
+@query
+def generate_shuffled(spark, sf):
+    # The same by the shuffled join; finished prompts and frequent contexts are spread.
+    nucleus = gen.nucleus_filter(_probs(spark, sf), NUCLEUS)
+    choices = materialize(gen.draw_table(nucleus, sc.contexts(next_token_table(spark, sf))))
+    prompts = materialize(_prompts(spark, sf))
+    done = gen.generate(
+        prompts, choices, END_ID, NEW_TOKENS, SEED, checkpoint_every=1, small=False
+    )
+    return done.select(
+        "prompt_id", F.size("generated").alias("n_new"), comma("generated").alias("generated")
+    )
+
+
 # Table models.
 
 
@@ -733,10 +873,12 @@ def training_metrics(spark, sf):
 
 @query
 def quality_classifier(spark, sf):
-    labelled = documents(spark, sf).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
-    rows = materialize(md.hashed_features(labelled, FEATURES, keep=("doc_id", "quality")))
+    # Learned from the labelled documents, predicted for all.
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    every = documents(spark, sf).join(labels, "doc_id", "left")
+    rows = materialize(md.hashed_features(every, FEATURES, keep=("doc_id", "quality")))
     learned = md.train_classifier(
-        rows, 2, steps=3, label="quality", rates=(0.05, 0.01), max_norm=MAX_NORM
+        rows.where("quality is not null"), 2, steps=3, label="quality", rates=(0.05, 0.01), max_norm=MAX_NORM
     )
     return md.classify(rows, learned, keep=("doc_id", "quality")).withColumn(
         "prob", F.round("prob", 4)
@@ -768,6 +910,19 @@ def stream_encode(spark, sf):
     return _encoded_rows(spark.read.parquet(out), "doc_id")
 
 
+@query
+def stream_encode_batches(spark, sf):
+    # Four files, one a batch, and a second run that finds two more files.
+    source, out, progress = (scratch_path(spark, name) for name in ("files", "stream", "progress"))
+    docs = documents(spark, sf)
+    for remainders in ((0, 1, 2, 3), (4, 5)):
+        for r in remainders:
+            docs.where(F.pmod("doc_id", F.lit(6)) == r).coalesce(1).write.mode("append").parquet(source)
+        arriving = jobs.read_text_stream(spark, source, files_per_batch=1)
+        jobs.stream_encode(arriving, codec(spark, sf), out, progress).awaitTermination()
+    return _encoded_rows(spark.read.parquet(out), "doc_id")
+
+
 @query
 def stream_counts(spark, sf):
     out = scratch_path(spark, "stream")

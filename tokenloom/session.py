@@ -1,13 +1,20 @@
-"""Session helpers: local sessions for tests, the shared checkpoint folder, input spread."""
+"""Session helpers: local sessions for tests, the shared folder, tables written there."""
 
 from __future__ import annotations
 
+import atexit
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _memory_gb() -> int:
+    """Memory of this machine."""
+    return os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") >> 30
+
+
 def local_session(cores: str | int = "*", app: str = "tokenloom") -> SparkSession:
     """A session for tests and the bench; a cluster brings its own."""
     spark = (
@@ -16,7 +23,7 @@ def local_session(cores: str | int = "*", app: str = "tokenloom") -> SparkSessio
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "20g")
+        .config("spark.driver.memory", f"{max(2, _memory_gb() * 5 // 8)}g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -47,19 +54,41 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute once and cut lineage with a reliable checkpoint."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+#: Tables written by this process; removed when their session ends.
+_written: dict[str, SparkSession] = {}
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core when a small table arrives in fewer splits than there are cores.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write once to the shared folder as parquet and read it back: lineage ends there.
 
-    Large tables already have more splits than cores and pass through untouched. Meant
-    for tables as they are read; the number of splits comes from the plan.
+    The files survive lost executors. They go with :func:`release`, or when the process
+    ends while its session is still up.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
-        return df
-    return df.repartition(2 * cores, key)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    if not _written:
+        atexit.register(_remove_all)
+    _written[path] = spark
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove the files of materialized tables that nothing reads any more."""
+    for table in tables:
+        for path in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            for known in [x for x in _written if path.endswith(x.rsplit("/", 1)[-1])]:
+                _remove(known, _written.pop(known))
+
+
+def _remove(path: str, spark: SparkSession) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _remove_all() -> None:
+    for path, spark in _written.items():
+        try:
+            _remove(path, spark)
+        except Exception:  # the session has ended; its folder is the cluster's to clean
+            break

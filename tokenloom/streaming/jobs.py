@@ -7,16 +7,33 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tokenloom.functions import text as tx
 from tokenloom.operators.codec import Codec, encode_corpus, token_counts
-from tokenloom.session import shared_folder, spread
+from tokenloom.session import shared_folder
+from tokenloom.sources.corpus import explode_lines
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_text_stream(
-    spark: SparkSession, path: str, schema: str = "doc_id long, text string", files_per_batch: int = 1
+    spark: SparkSession,
+    path: str,
+    schema: str = "doc_id long, text string",
+    files_per_batch: int | None = None,
+    bytes_per_batch: int | None = None,
+    format: str = "parquet",
 ) -> DataFrame:
-    """Parquet files of (doc_id, text) as a stream, a bounded number per batch."""
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
-    )
+    """Files of (doc_id, text), or with ``format='text'`` lines (path, text), as a stream.
+
+    All files that have arrived form one batch unless files or bytes are limited.
+    """
+    reader = spark.readStream
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    if format == "text":
+        lines = reader.option("lineSep", "\n").text(path)
+        return lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return reader.schema(schema).parquet(path)
 
 
 def stream_encode(
@@ -25,16 +42,23 @@ def stream_encode(
     out: str,
     checkpoint: str,
     keep: tuple[str, ...] = ("doc_id",),
+    unit: str = "document",
 ) -> StreamingQuery:
     """Encode every arriving row once; each batch owns one folder, so a rerun overwrites.
 
     Runs over everything available and stops; the checkpoint lets a later run
-    continue where this one ended.
+    continue where this one ended. ``unit='line'`` encodes the lines of a text on their
+    own and adds ``line_no``.
     """
+    if unit not in {"document", "line"}:
+        raise ValueError("unit must be 'document' or 'line'")
     shared_folder(stream.sparkSession)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        encode_corpus(spread(batch, keep[0]), codec, keep=keep).write.mode("overwrite").parquet(
+        columns = list(keep)
+        if unit == "line":
+            batch, columns = explode_lines(batch, keep=tuple(keep)), [*keep, "line_no"]
+        encode_corpus(batch, codec, keep=columns).write.mode("overwrite").parquet(
             f"{out}/batch_id={batch_id}"
         )
 
@@ -47,6 +71,20 @@ def stream_encode(
 
 
 def _running_counts(counts: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Keeps state in RocksDB, off the heap; its provider is part of the query's checkpoint."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = counts.sparkSession.conf.get(provider, None)
+    counts.sparkSession.conf.set(provider, ROCKSDB)
+    try:
+        return _started(counts, out, checkpoint)
+    finally:
+        if before is None:
+            counts.sparkSession.conf.unset(provider)
+        else:
+            counts.sparkSession.conf.set(provider, before)
+
+
+def _started(counts: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
@@ -77,3 +115,22 @@ def latest_counts(spark: SparkSession, out: str, key: str, count: str) -> DataFr
     """The newest count of every key among the batches written so far."""
     written = spark.read.parquet(out)
     return written.groupBy(key).agg(F.max_by(count, "batch_id").alias(count))
+
+
+def compact_counts(spark: SparkSession, out: str, key: str, count: str) -> None:
+    """Fold all batches so far into the newest one's folder, so readers scan one snapshot.
+
+    Run it between stream runs. The snapshot is written beside the batches and takes the
+    place of the newest before the older ones go, so a stop in between loses nothing.
+    """
+    written = spark.read.parquet(out)
+    last = written.agg(F.max("batch_id")).first()[0]
+    place = lambda name: spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{name}")
+    files = place("").getFileSystem(spark._jsc.hadoopConfiguration())
+    latest_counts(spark, out, key, count).write.mode("overwrite").parquet(f"{out}/_snapshot")
+    older = [row[0] for row in written.select("batch_id").distinct().collect()]
+    files.delete(place(f"batch_id={last}"), True)
+    files.rename(place("_snapshot"), place(f"batch_id={last}"))
+    for batch_id in older:
+        if batch_id != last:
+            files.delete(place(f"batch_id={batch_id}"), True)
