@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tokenloom.functions import arrays as ar
 from tokenloom.functions import optimizer as opt
+from tokenloom.functions.draws import draw_uniform
 from tokenloom.functions.text import pretokens
 from tokenloom.operators.datasets import with_offsets
 
@@ -164,14 +165,13 @@ def grad_norm(gradients: DataFrame) -> DataFrame:
 
 
 def clip_gradients(gradients: DataFrame, limit: float) -> DataFrame:
-    """Scale all gradients so that their joint norm (kept as a column) stays below ``limit``.
-
-    There is one row per parameter, so a single window over them is small.
-    """
-    norm = F.sqrt(F.sum(F.col("gradient") * F.col("gradient")).over(Window.partitionBy()))
-    return gradients.withColumn("grad_norm", norm).withColumn(
-        "gradient", F.col("gradient") * opt.clip_factor(F.col("grad_norm"), limit)
-    )
+    """Scale all gradients so that their joint norm (kept as a column) stays below ``limit``."""
+    one = F.lit(0).alias("_one")
+    norm = grad_norm(gradients).select("grad_norm", one)
+    clipped = F.col("gradient") * opt.clip_factor(F.col("grad_norm"), limit)
+    # the norm is a single row
+    joined = gradients.select("*", one).join(F.broadcast(norm), "_one").drop("_one")
+    return joined.withColumn("gradient", clipped)
 
 
 def apply_adamw(
@@ -220,12 +220,22 @@ def train_classifier(
     start: DataFrame | None = None,
     start_step: int = 1,
     on_step=None,
+    batch_share: float = 1.0,
+    key: str | None = None,
+    seed: int = 42,
+    evaluate: dict[str, DataFrame] | None = None,
+    evaluate_every: int = 1,
 ) -> DataFrame:
-    """Parameters after full-batch steps: gradient, clip, schedule, AdamW.
+    """Parameters after steps over batches: gradient, clip, schedule, AdamW.
 
-    ``start`` and ``start_step`` continue a saved run with the step after the saved
-    one. ``on_step(step, parameters, log)`` sees every state, for metrics and saves.
+    A step sees all rows, or those that a draw by (``seed``, ``key``, step) puts into its
+    ``batch_share``. ``start`` and ``start_step`` continue a saved run with the step after
+    the saved one. ``on_step(step, parameters, log)`` sees every state, for metrics and
+    saves; every ``evaluate_every`` steps its log holds the loss of each named table, as
+    ``name/loss``.
     """
+    if batch_share < 1 and key is None:
+        raise ValueError("batches need a key to draw by")
     spark = rows.sparkSession
     parameters = start
     if parameters is None:
@@ -234,7 +244,10 @@ def train_classifier(
     schedule = scheduled_rates(spark, steps, *rates, warmup, steps if cycle is None else cycle)
     schema = "class int, dim int, value double, m double, v double"
     for step in range(start_step, steps + 1):
-        gradients = classifier_gradient(rows, _matrix(parameters), features, label)
+        batch = rows
+        if batch_share < 1:
+            batch = rows.where(draw_uniform(seed, F.col(key), F.lit(step)) < batch_share)
+        gradients = classifier_gradient(batch, _matrix(parameters), features, label)
         clipped = clip_gradients(gradients, max_norm)
         moved = apply_adamw(parameters, clipped, schedule[step], step)
         # One job per step; the bounded parameter table comes back as a literal, so
@@ -242,8 +255,13 @@ def train_classifier(
         listed = moved.collect()
         parameters = spark.createDataFrame([tuple(row)[:5] for row in listed], schema)
         if on_step is not None:
-            norm = next(row["grad_norm"] for row in listed if row["grad_norm"] is not None)
-            on_step(step, parameters, {"grad_norm": norm, "learning_rate": schedule[step]})
+            norm = next((row["grad_norm"] for row in listed if row["grad_norm"] is not None), 0.0)
+            log = {"grad_norm": norm, "learning_rate": schedule[step]}
+            if step % evaluate_every == 0:
+                for name, table in (evaluate or {}).items():
+                    scored = classifier_losses(table, parameters, (), features, label)
+                    log[f"{name}/loss"] = scored.first()["loss"]
+            on_step(step, parameters, log)
     return parameters
 
 

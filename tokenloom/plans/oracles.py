@@ -231,8 +231,10 @@ def class_scores(classes: int, step: int) -> str:
 )"""
 
 
-def descent(features: str, classes: int, dims: int, rates: list[float]) -> str:
-    """Full-batch steps: gradient, clip, AdamW."""
+def descent(
+    features: str, classes: int, dims: int, rates: list[float], share: float | None = None
+) -> str:
+    """Steps over all rows, or over those drawn: gradient, clip, AdamW."""
     out = [features, f"""p0 AS (
   SELECT c::INT AS class, d::INT AS dim, 0.0::DOUBLE AS value, 0.0::DOUBLE AS m, 0.0::DOUBLE AS v
   FROM range({classes}) a(c), range({dims}) b(d)
@@ -240,9 +242,12 @@ def descent(features: str, classes: int, dims: int, rates: list[float]) -> str:
     for t, rate in enumerate(rates, start=1):
         adjusted = rate * (1 - 0.999**t) ** 0.5 / (1 - 0.9**t)
         out.append(class_scores(classes, t - 1))
+        size, drawn_now = "(SELECT n FROM size)", "true"
+        if share is not None:
+            size, drawn_now = "count(*)", f"{uniform('id', repr(str(t)))} < {share}"
         out.append(f"""raw{t} AS MATERIALIZED (
-  SELECT class, dim, sum((prob - (class = q{t - 1}.y)::INT) * x) / (SELECT n FROM size) AS g
-  FROM q{t - 1} JOIN x USING (id) GROUP BY class, dim
+  SELECT class, dim, sum((prob - (class = q{t - 1}.y)::INT) * x) / {size} AS g
+  FROM q{t - 1} JOIN x USING (id) WHERE {drawn_now} GROUP BY class, dim
 ), norm{t} AS MATERIALIZED (SELECT sqrt(sum(g * g)) AS norm FROM raw{t}),
 grad{t} AS MATERIALIZED (
   SELECT class, dim, g * CASE WHEN norm > {q.MAX_NORM} THEN {q.MAX_NORM} / (norm + 1e-6::DOUBLE) ELSE 1 END AS g
@@ -619,6 +624,25 @@ FROM g{q.NEW_TOKENS}"""
         f"UNION ALL SELECT {t}, 'learning_rate', round({rate!r}::DOUBLE, 6)"
         for t, rate in enumerate(THREE_STEPS, start=1)
     )
+    batches = descent(
+        VECTORS.replace("x AS MATERIALIZED", "every AS MATERIALIZED", 1)
+        + f""", x AS MATERIALIZED (
+  SELECT * FROM every WHERE {uniform('id')} >= {q.VALID_SHARE}
+)""",
+        10,
+        64,
+        cosine_rates(0.05, 0.01, q.BATCH_STEPS),
+        q.BATCH_SHARE,
+    )
+    sql["training_losses"] = batches + " UNION ALL ".join(
+        f"""SELECT {t} AS iteration, CASE WHEN {uniform('id')} < {q.VALID_SHARE} THEN 'valid' ELSE 'train' END AS split,
+  round(avg(-ln(e / total)), 5) AS loss FROM (
+    SELECT id, y, class, e, sum(e) OVER (PARTITION BY id) AS total FROM (
+      SELECT id, y, class, exp(z - max(z) OVER (PARTITION BY id)) AS e FROM (
+        SELECT r.id, r.y, class, sum(r.x * value) AS z FROM every r JOIN p{t} USING (dim) GROUP BY ALL)))
+WHERE class = y GROUP BY 2"""
+        for t in range(q.EVALUATE_EVERY, q.BATCH_STEPS + 1, q.EVALUATE_EVERY)
+    )
     sql["classifier_loss"] = trained + """SELECT y AS label, count(*) AS n, round(avg(-ln(prob)), 6) AS loss,
   round(exp(avg(-ln(prob))), 4) AS perplexity FROM q3 WHERE class = y GROUP BY y"""
     sql["quality_classifier"] = (

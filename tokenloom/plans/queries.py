@@ -44,6 +44,7 @@ ONE_FILE = 64 << 20
 LONG_LIST, LONG_SQUARE = 900, 12
 ANY_LIST, ANY_SQUARE = 30, 6
 WHOLE_WORDS = 50
+BATCH_STEPS, BATCH_SHARE, EVALUATE_EVERY = 20, 0.25, 10
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -822,7 +823,7 @@ def sgd_step(spark, sf):
 
 @query
 def classifier_scores(spark, sf):
-    rows = _vectors(spark, sf).persist()
+    rows = materialize(_vectors(spark, sf))
     learned = md.train_classifier(
         rows, 10, steps=3, features="embedding", rates=(0.05, 0.01), max_norm=MAX_NORM
     )
@@ -833,7 +834,7 @@ def classifier_scores(spark, sf):
 
 @query
 def classifier_resumed(spark, sf):
-    rows = _vectors(spark, sf).persist()
+    rows = materialize(_vectors(spark, sf))
     path = scratch_path(spark, "state")
     learn = {"features": "embedding", "rates": (0.05, 0.01), "max_norm": MAX_NORM, "cycle": 3}
 
@@ -858,7 +859,7 @@ def training_metrics(spark, sf):
         artifacts.write_metrics(spark, path, "embeddings", step, values)
 
     md.train_classifier(
-        _vectors(spark, sf).persist(),
+        materialize(_vectors(spark, sf)),
         10,
         steps=3,
         features="embedding",
@@ -871,6 +872,36 @@ def training_metrics(spark, sf):
     )
 
 
+@query
+def training_losses(spark, sf):
+    # Seeded batches; losses of both splits every few steps.
+    path = scratch_path(spark, "metrics")
+    split = sc.split_by_draw(F.col("vec_id"), VALID_SHARE, SEED)
+    rows = materialize(_vectors(spark, sf).withColumn("split", split))
+    parts = {name: rows.where(F.col("split") == name) for name in ("train", "valid")}
+
+    def log(step, _, values):
+        artifacts.write_metrics(spark, path, "batches", step, values)
+
+    md.train_classifier(
+        parts["train"],
+        10,
+        steps=BATCH_STEPS,
+        features="embedding",
+        rates=(0.05, 0.01),
+        max_norm=MAX_NORM,
+        on_step=log,
+        batch_share=BATCH_SHARE,
+        key="vec_id",
+        seed=SEED,
+        evaluate=parts,
+        evaluate_every=EVALUATE_EVERY,
+    )
+    return artifacts.read_metrics(spark, path).where("metric = 'loss'").select(
+        "iteration", "split", F.round("value", 5).alias("loss")
+    )
+
+
 @query
 def quality_classifier(spark, sf):
     # Learned from the labelled documents, predicted for all.
@@ -887,7 +918,7 @@ def quality_classifier(spark, sf):
 
 @query
 def classifier_loss(spark, sf):
-    rows = _vectors(spark, sf).persist()
+    rows = materialize(_vectors(spark, sf))
     learned = md.train_classifier(
         rows, 10, steps=3, features="embedding", rates=(0.05, 0.01), max_norm=MAX_NORM
     )
