@@ -17,6 +17,7 @@ from tokenloom.llm.subwords import long_slices, subwords
 from tokenloom.llm.token_counts import token_counts
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def sorted_rows(df):
@@ -208,7 +209,7 @@ def test_language_model_counts(odd_docs, no_docs, monkeypatch, hot):
     want = collections.defaultdict(list)
     for x, y in zip(rows, base_scores(rows), strict=True):
         want[x.doc_id].append(y)
-    found = lm.score_texts(odd_docs, BPE).collect()
+    found = lm.score_texts(odd_docs, RANKS).collect()
     assert len(found) == 12
     for x in found:
         assert any(
@@ -216,12 +217,12 @@ def test_language_model_counts(odd_docs, no_docs, monkeypatch, hot):
             for y in want[x.doc_id]
         ), x
         assert x.score < 0
-    assert lm.score_texts(no_docs, BPE).collect() == []
+    assert lm.score_texts(no_docs, RANKS).collect() == []
 
 
 def test_language_model_beats_word_rates_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id < 5000")
-    found = lm.score_texts(docs, BPE).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    found = lm.score_texts(docs, RANKS).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert found[0] > found[1]
 
 
@@ -246,13 +247,13 @@ def test_language_model_slopes():
 def test_language_model_is_a_distribution():
     """Probabilities of all ids after any context add up to one."""
     counts = np.random.default_rng(2).integers(0, 50, 1 << 16).astype(float)
-    symbols = lm.make_symbols(counts, [np.arange(60, dtype=np.uint16)], 50257)
+    symbols = lm.make_symbols(counts, [np.arange(60, dtype=np.uint16)], 50256)
     shares = np.bincount(symbols.of, weights=10.0**symbols.within, minlength=lm.SYMBOLS)
     assert np.allclose(shares[np.bincount(symbols.of, minlength=lm.SYMBOLS) > 0], 1)
 
 
 def test_language_model_windows_see_each_token_once():
-    symbols = lm.make_symbols(np.ones(1 << 16), [], 50257)
+    symbols = lm.make_symbols(np.ones(1 << 16), [], 50256)
     scorer = lm.Scorer(lm.start_weights(symbols.rates), symbols)
     draw = np.random.default_rng(3)
     texts = [draw.integers(0, 50000, n).astype(np.uint16) for n in (0, 1, 31, 32, 33, 100, 777)]

@@ -3,13 +3,14 @@
 The corpus is encoded once. Word and subword counts are taken over all of it, and the model
 learns from a fixed share of its windows, in rounds: every task trains on the windows it
 holds, and the parameters of all tasks are averaged. Frequent subwords are symbols of
-their own, others belong to classes and are found within theirs by their counts. Texts
-are scored in overlapping windows, so that every token is predicted once, with context.
+their own, others belong to classes and are found within theirs by their counts. Symbols
+are predicted in two steps, their group and then the symbol within it. Texts are scored in overlapping windows, so that every token is predicted once, with context.
 The probability of a word is the mean of what its subwords give and its own smoothed rate.
 """
 
+import array
+import base64
 import functools
-import json
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -20,17 +21,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tokenloom.llm.frames import drop_stash, id_remainder, q, slices, stash
-from tokenloom.llm.subwords import byte_characters, subwords
 
 #: Positions of a window, of them predicted anew; width, hidden width, symbols, classes.
-LENGTH, STRIDE, WIDTH, HIDDEN, SYMBOLS, CLASSES = 32, 24, 16, 32, 128, 40
+LENGTH, STRIDE, WIDTH, HIDDEN, SYMBOLS, CLASSES = 32, 24, 16, 24, 256, 48
+#: Symbols of a group, and groups.
+GROUP = 16
+GROUPS = SYMBOLS // GROUP
 #: One of so many windows is learned from; rounds; windows of a step; steps of a small task.
 SHARE, ROUNDS, STEP, LEAST_STEPS = 64, 3, 64, 150
 #: Share of the words' own rates in the probability of a word.
 RATES = 0.7
 RATE = 0.01
 #: Windows seen for the classes; most words broadcast; texts encoded at once.
-CLASS_WINDOWS, HOT_WORDS, BATCH_BYTES = 50_000, 1 << 19, 1 << 20
+CLASS_WINDOWS, HOT_WORDS, BATCH_BYTES = 30_000, 1 << 18, 1 << 20
 #: Words held before a task hands on their counts.
 HELD_WORDS = 300_000
 END = b""
@@ -41,18 +44,31 @@ def split_words(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+@functools.lru_cache(2)
+def token_ranks(tokenizer: str) -> dict[bytes, int]:
+    """Bytes and id of every token of a rank file."""
+    with open(tokenizer, "rb") as file:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+
+
 @functools.lru_cache(2)
 def token_bytes(tokenizer: str) -> list[bytes]:
-    """Bytes of every id of a byte-level vocabulary file."""
-    with open(tokenizer, encoding="utf-8") as file:
-        setup = json.load(file)
-    back = {shown: byte for byte, shown in byte_characters().items()}
-    names = {i: bytes(back[ord(c)] for c in name) for name, i in setup["model"]["vocab"].items()}
-    for added in setup["added_tokens"]:
-        names[added["id"]] = added["content"].encode()
+    """Bytes of every id."""
+    names = {rank: token for token, rank in token_ranks(tokenizer).items()}
     return [names.get(i, b"") for i in range(max(names) + 1)]
 
 
+@functools.lru_cache(2)
+def encoding(tokenizer: str):
+    """The encoder of a rank file; special strings are ordinary text."""
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    return tiktoken.Encoding(
+        "ranks", pat_str=PATTERN, mergeable_ranks=token_ranks(tokenizer), special_tokens={}
+    )
+
+
 def gather(docs: DataFrame, tokenizer: str, modulus: int, held_out: int) -> DataFrame:
     """One pass over all texts; rows of four kinds.
 
@@ -81,7 +97,7 @@ def gather(docs: DataFrame, tokenizer: str, modulus: int, held_out: int) -> Data
         )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = subwords(tokenizer)
+        encode = encoding(tokenizer).encode_ordinary
         learned, other, ends = Counter(), Counter(), [0, 0]
         counts = np.zeros(1 << 16, np.int64)
 
@@ -96,9 +112,7 @@ def gather(docs: DataFrame, tokenizer: str, modulus: int, held_out: int) -> Data
             for first, last in slices([len(x) for x in texts], BATCH_BYTES):
                 words = [split_words(x) for x in texts[first:last]]
                 plain = [b" ".join(x).decode() for x in words]
-                ids = [
-                    np.frombuffer(x, "<u4").astype(np.uint16) for x in encoder.encode(plain)
-                ]
+                ids = [np.frombuffer(array.array("H", encode(x)), np.uint16) for x in plain]
                 yield rows(
                     0,
                     last - first,
@@ -112,11 +126,11 @@ def gather(docs: DataFrame, tokenizer: str, modulus: int, held_out: int) -> Data
                     ends[1] += 1
                     if not out:
                         ends[0] += 1
+                        # every SHARE-th window, from one that the text decides
                         padded = np.concatenate([[BEGIN], own, [STOP]]).astype(np.uint16)
-                        for at in range(0, len(padded) - 1, STRIDE):
-                            window = padded[at : at + LENGTH + 1].tobytes()
-                            if zlib.crc32(window) % SHARE == 0:
-                                windows.append(window)
+                        begin = zlib.crc32(own[:64].tobytes()) % SHARE * STRIDE
+                        for at in range(begin, len(padded) - 1, SHARE * STRIDE):
+                            windows.append(padded[at : at + LENGTH + 1].tobytes())
                 seen = [own for own, out in zip(ids, held[first:last], strict=True) if not out]
                 if seen:
                     counts += np.bincount(np.concatenate(seen), minlength=len(counts))
@@ -203,6 +217,10 @@ def start_weights(rates: np.ndarray) -> dict[str, np.ndarray]:
         "back": scale(HIDDEN, WIDTH) * 0.5,
         "out": scale(WIDTH, SYMBOLS) * 0.1,
         "bias": np.log(np.maximum(rates, 1e-9)).astype(np.float32),
+        "group": scale(WIDTH, GROUPS) * 0.1,
+        "group_bias": np.log(
+            np.maximum(rates.reshape(GROUPS, GROUP).sum(axis=1), 1e-9)
+        ).astype(np.float32),
     }
 
 
@@ -210,29 +228,41 @@ def to_vector(weights: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([x.ravel() for x in weights.values()])
 
 
+@functools.cache
+def weight_shapes() -> dict[str, tuple[int, ...]]:
+    return {name: x.shape for name, x in start_weights(np.ones(SYMBOLS)).items()}
+
+
 def to_weights(vector: np.ndarray) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for name, like in start_weights(np.ones(SYMBOLS)).items():
-        out[name] = vector[at : at + like.size].reshape(like.shape).astype(np.float32)
-        at += like.size
+    out, at, vector = {}, 0, vector.astype(np.float32)
+    for name, shape in weight_shapes().items():
+        size = int(np.prod(shape))
+        out[name] = vector[at : at + size].reshape(shape)
+        at += size
     return out
 
 
 def even(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows over their root mean square."""
-    scale = 1 / np.sqrt((x * x).mean(axis=-1, keepdims=True) + 1e-5)
+    scale = 1 / np.sqrt(np.einsum("...i,...i->...", x, x)[..., None] / x.shape[-1] + 1e-5)
     return x * scale, scale
 
 
 def even_slope(slope: np.ndarray, x: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    return scale * (slope - x * scale**2 * (slope * x).mean(axis=-1, keepdims=True))
+    inner = np.einsum("...i,...i->...", slope, x)[..., None] / x.shape[-1]
+    return scale * (slope - x * scale**2 * inner)
 
 
 LATER = np.triu(np.full((LENGTH, LENGTH), -1e9, np.float32), 1)
+EARLIER = np.tril(np.ones((LENGTH, LENGTH), np.float32))
+#: Row sums as products.
+ONES = np.ones(LENGTH, np.float32)
+#: Windows scored at once.
+BATCH = 128
 
 
-def forward(w: dict, x: np.ndarray, first: int = 0) -> tuple[np.ndarray, tuple]:
-    """Logits of the next symbol at positions ``first``.. of windows of symbols."""
+def forward(w: dict, x: np.ndarray, first: int = 0, logits: bool = True) -> tuple:
+    """Logits of the next symbol, then of its group, at positions ``first``.. of windows."""
     n = x.shape[1]
     e = w["symbol"][x] + w["place"][:n]
     n1, s1 = even(e)
@@ -249,28 +279,63 @@ def forward(w: dict, x: np.ndarray, first: int = 0) -> tuple[np.ndarray, tuple]:
     u = np.maximum(n2 @ w["wide"] + w["shift"], 0)
     g = h + u @ w["back"]
     n3, s3 = even(g)
-    return n3 @ w["out"] + w["bias"], (e, n1, s1, q_, k, v, a, c, h, n2, s2, u, g, n3, s3)
+    z = None
+    if logits:
+        z = np.concatenate([n3 @ w["out"] + w["bias"], n3 @ w["group"] + w["group_bias"]], axis=-1)
+    return z, (e, n1, s1, q_, k, v, a, c, h, n2, s2, u, g, n3, s3)
+
+
+def both_steps(z: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the logits: those within the target's group, those of the groups, and the group."""
+    group = y // GROUP
+    within = z[..., :SYMBOLS].reshape(*y.shape, GROUPS, GROUP)
+    return np.take_along_axis(within, group[..., None, None], -2)[..., 0, :], z[..., SYMBOLS:], group
+
+
+def log_softmax(z: np.ndarray) -> np.ndarray:
+    z = z - z.max(axis=-1, keepdims=True)
+    return z - np.log(np.exp(z).sum(axis=-1, keepdims=True))
 
 
 def log_shares(z: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Natural log of the softmax at the targets."""
-    top = z.max(axis=-1, keepdims=True)
-    z = z - top
-    hit = np.take_along_axis(z, y[..., None], axis=-1)[..., 0]
-    np.exp(z, out=z)
-    return hit - np.log(z.sum(axis=-1))
+    """Natural log of the targets' probability: of their group, and within it."""
+    within, groups, group = both_steps(z, y)
+    of = lambda logs, at: np.take_along_axis(logs, at[..., None], -1)[..., 0]
+    return of(log_softmax(within), y % GROUP) + of(log_softmax(groups), group)
 
 
 def slopes(w: dict, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> dict[str, np.ndarray]:
     """Gradient of the mean loss over the used positions."""
-    z, (e, n1, s1, q_, k, v, a, c, h, n2, s2, u, g, n3, s3) = forward(w, x)
-    z = np.exp(z - z.max(axis=-1, keepdims=True))
-    z /= z.sum(axis=-1, keepdims=True)
-    np.put_along_axis(z, y[..., None], np.take_along_axis(z, y[..., None], -1) - 1, -1)
-    z *= (used / max(used.sum(), 1))[..., None].astype(np.float32)
+    _, (e, n1, s1, q_, k, v, a, c, h, n2, s2, u, g, n3, s3) = forward(w, x, logits=False)
     flat = lambda m: m.reshape(-1, m.shape[-1])
-    out = {"out": flat(n3).T @ flat(z), "bias": flat(z).sum(axis=0)}
-    dg = even_slope(z @ w["out"].T, g, s3)
+    rows, share = flat(n3), 1 / max(used.sum(), 1)
+    at = np.flatnonzero(used.ravel())
+    target, group = y.ravel(), y.ravel() // GROUP
+    dn = np.zeros_like(rows)
+
+    def step(mine: np.ndarray, weights: np.ndarray, bias: np.ndarray, hit: np.ndarray):
+        """One softmax over these rows: slopes of its weights and bias; adds to the rows'."""
+        z = rows[mine] @ weights + bias
+        z -= z.max(axis=-1, keepdims=True)
+        np.exp(z, out=z)
+        z /= z.sum(axis=-1, keepdims=True)
+        z[np.arange(len(z)), hit] -= 1
+        z *= share
+        dn[mine] += z @ weights.T
+        return rows[mine].T @ z, z.sum(axis=0)
+
+    out = {"out": np.zeros_like(w["out"]), "bias": np.zeros_like(w["bias"])}
+    out["group"], out["group_bias"] = step(at, w["group"], w["group_bias"], group[at])
+    at = at[np.argsort(group[at], kind="stable")]
+    ends = np.searchsorted(group[at], np.arange(GROUPS + 1)).tolist()
+    for i, (first, last) in enumerate(zip(ends, ends[1:])):
+        if last > first:
+            part = slice(i * GROUP, (i + 1) * GROUP)
+            mine = at[first:last]
+            out["out"][:, part], out["bias"][part] = step(
+                mine, w["out"][:, part], w["bias"][part], target[mine] - i * GROUP
+            )
+    dg = even_slope(dn.reshape(n3.shape), g, s3)
     out["back"] = flat(u).T @ flat(dg)
     du = (dg @ w["back"].T) * (u > 0)
     out["wide"], out["shift"] = flat(n2).T @ flat(du), flat(du).sum(axis=0)
@@ -279,14 +344,15 @@ def slopes(w: dict, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> dict[str,
     dc = dh @ w["mix"].T
     da = dc @ v.transpose(0, 2, 1)
     dv = a.transpose(0, 2, 1) @ dc
-    ds = a * (da - (da * a).sum(axis=-1, keepdims=True)) * WIDTH**-0.5
+    ds = a * (da - np.einsum("...i,...i->...", da, a)[..., None]) * WIDTH**-0.5
     dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q_
     out["query"], out["key"], out["value"] = (flat(n1).T @ flat(m) for m in (dq, dk, dv))
     de = dh + even_slope(dq @ w["query"].T + dk @ w["key"].T + dv @ w["value"].T, e, s1)
     out["place"] = np.zeros_like(w["place"])
     out["place"][: x.shape[1]] = de.sum(axis=0)
-    out["symbol"] = np.zeros_like(w["symbol"])
-    np.add.at(out["symbol"], x.ravel(), flat(de))
+    out["symbol"] = np.stack(
+        [np.bincount(x.ravel(), weights=column, minlength=SYMBOLS) for column in flat(de).T], axis=1
+    )
     return {name: out[name] for name in w}
 
 
@@ -363,32 +429,60 @@ class Scorer:
         n1, _ = even(e)
         self.e, self.query = e, n1 @ w["query"] * np.float32(WIDTH**-0.5)
         self.key, self.value = n1 @ w["key"], n1 @ w["value"] @ w["mix"]
+        self.out = np.ascontiguousarray(
+            w["out"].reshape(WIDTH, GROUPS, GROUP).transpose(1, 0, 2)
+        )
+        self.bias = w["bias"].reshape(GROUPS, GROUP)
         # logits stay below this, so their exponentials need no shift
-        self.steady = np.abs(w["out"]).sum(axis=0).max() * WIDTH**0.5 + np.abs(w["bias"]).max() < 80
+        size = lambda m: np.sqrt((m * m).sum(axis=-1)).max()
+        self.steady = (
+            size(w["out"].T) * WIDTH**0.5 + np.abs(w["bias"]).max() < 80
+            and size(w["group"].T) * WIDTH**0.5 + np.abs(w["group_bias"]).max() < 80
+            and size(self.query) * size(self.key) < 80
+        )
+
+    def softmax_log(self, z: np.ndarray, at: np.ndarray) -> np.ndarray:
+        if not self.steady:
+            z -= z.max(axis=-1, keepdims=True)
+        hit = z[np.arange(len(z)), at]
+        np.exp(z, out=z)
+        return hit - np.log(z @ ONES[:GROUP])
 
     def shares(self, x: np.ndarray, y: np.ndarray, first: int) -> np.ndarray:
         """Natural log of the target's probability at positions ``first``.. of windows."""
         w, at = self.w, x * LENGTH + np.arange(LENGTH)
         mine = at[:, first:]
         a = self.query.take(mine, axis=0) @ self.key.take(at, axis=0).transpose(0, 2, 1)
-        a += LATER[first:]
-        a -= a.max(axis=-1, keepdims=True)
+        if not self.steady:
+            a += LATER[first:]
+            a -= a.max(axis=-1, keepdims=True)
         np.exp(a, out=a)
+        a *= EARLIER[first:]
         h = a @ self.value.take(at, axis=0)
-        h /= a.sum(axis=-1, keepdims=True)
+        h /= (a @ ONES)[..., None]
         h += self.e.take(mine, axis=0)
         h = h.reshape(-1, WIDTH)
         u = even(h)[0] @ w["wide"]
         u += w["shift"]
         np.maximum(u, 0, out=u)
         h += u @ w["back"]
-        z = even(h)[0] @ w["out"]
-        z += w["bias"]
-        if not self.steady:
-            z -= z.max(axis=-1, keepdims=True)
-        hit = z[np.arange(len(z)), y.ravel()]
-        np.exp(z, out=z)
-        return (hit - np.log(z.sum(axis=-1))).reshape(y.shape)
+        n = even(h)[0]
+        target = y.ravel()
+        group = target // GROUP
+        z = n @ w["group"]
+        z += w["group_bias"]
+        logs = self.softmax_log(z, group)
+        # positions whose targets share a group are done in one product
+        order = np.argsort(group.astype(np.int16), kind="stable")
+        sorted_n, sorted_target = n.take(order, axis=0), target[order]
+        ends = np.searchsorted(group[order], np.arange(GROUPS + 1)).tolist()
+        z = np.empty((len(n), GROUP), np.float32)
+        for g, (i, j) in enumerate(zip(ends, ends[1:])):
+            if j > i:
+                np.matmul(sorted_n[i:j], self.out[g], out=z[i:j])
+                z[i:j] += self.bias[g]
+        logs[order] += self.softmax_log(z, sorted_target % GROUP)
+        return logs.reshape(y.shape)
 
     def token_logs(self, texts: list[np.ndarray]) -> list[np.ndarray]:
         """log10 probability of every id of each text, and of its end."""
@@ -408,8 +502,8 @@ class Scorer:
             (np.arange(len(texts)), np.zeros(len(texts), np.int64), 0),
             (later, number * STRIDE, LENGTH - STRIDE),
         ):
-            for i in range(0, len(owner), STEP):
-                mine, begin = owner[i : i + STEP], start[i : i + STEP]
+            for i in range(0, len(owner), BATCH):
+                mine, begin = owner[i : i + BATCH], start[i : i + BATCH]
                 places = (base[mine] + begin)[:, None] + np.arange(LENGTH)
                 targets = places[:, first:] + 1
                 used = begin[:, None] + np.arange(first, LENGTH) < lengths[mine][:, None]
@@ -465,9 +559,9 @@ def score_texts(
         if total > HOT_WORDS:
             break
         least = row.s
-    hot = words.where(step >= least).select("word", "c").collect()
-    names = b" ".join(bytes(x.word) for x in hot)
-    logs = np.array([x.c for x in hot], np.int64).tobytes()
+    hot = words.where(step >= least).select("word", "c").toArrow()
+    names = b" ".join(hot.column("word").to_pylist())
+    logs = hot.column("c").to_numpy().astype(np.int64).tobytes()
 
     counts = np.zeros(1 << 16)
     for row in found.where("kind = 3").groupBy("t").agg(F.sum("c").alias("c")).collect():
@@ -491,27 +585,24 @@ def score_texts(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, pieces = hot_logs(names, logs), token_bytes(tokenizer)
-        begins = np.array([x[:1] == b" " for x in pieces] + [False] * (1 + STOP - len(pieces)))
+        begins = np.zeros(1 + STOP, bool)
+        begins[[i for i, x in enumerate(pieces) if x[:1] == b" "] + [STOP]] = True
         scorer = Scorer(model, symbols)
         kind = pa.list_(pa.struct([("word", pa.binary()), ("log", pa.float64())]))
         for batch in batches:
             texts = [np.frombuffer(x, np.uint16) for x in batch.column("ids").to_pylist()]
-            rows = []
             for first, last in slices([1 + len(x) for x in texts], 1 << 17):
-                found = scorer.token_logs(texts[first:last])
-                for ids, tokens in zip(texts[first:last], found, strict=True):
-                    rows.append(word_scores(ids, tokens, known, pieces, begins, norm))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("key"),
-                    batch.column("held"),
-                    *[pa.array(x, pa.int64()) for x in columns[:2]],
-                    *[pa.array(x, pa.float64()) for x in columns[2:4]],
-                    pa.array(columns[4], kind),
-                ],
-                names=["key", "held", "tokens", "seen", "logs", "score", "rare"],
-            )
+                part = texts[first:last]
+                columns = word_scores(part, scorer.token_logs(part), known, pieces, begins, norm)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[batch.column(x).slice(first, last - first) for x in ("key", "held")],
+                        *[pa.array(x, pa.int64()) for x in columns[:2]],
+                        *[pa.array(x, pa.float64()) for x in columns[2:4]],
+                        pa.array(columns[4], kind),
+                    ],
+                    names=["key", "held", "tokens", "seen", "logs", "score", "rare"],
+                )
 
     schema = (
         "key long, held boolean, tokens long, seen long, logs double, score double, "
@@ -553,34 +644,49 @@ def score_texts(
 
 
 def word_scores(
-    ids: np.ndarray,
-    tokens: np.ndarray,
+    texts: list[np.ndarray],
+    tokens: list[np.ndarray],
     known: dict[bytes, float],
     pieces: list[bytes],
     begins: np.ndarray,
     norm: float,
-) -> tuple[int, int, float, float, list[dict]]:
-    """Words and the end of a text: how many, seen in training, sum of log10(count + 1),
-    log10 probability, and (word, log10 by subwords) of those whose count is not at hand.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[list[dict]]]:
+    """Per text: words and end, those seen in training, sum of log10(count + 1), log10
+    probability, and (word, log10 by subwords) of those whose count is not at hand.
 
-    Where subwords do not part at the spaces (odd white space), subwords alone count; their
-    words that are not at hand are marked by a log above 0.
+    Where subwords do not part at the spaces (odd white space), subwords alone count; the
+    words of such a text that are not at hand are marked by a log above 0.
     """
-    words = b"".join(map(pieces.__getitem__, ids.tolist())).split()
-    words.append(END)
-    starts = begins[ids].copy()
-    starts[:1] = True
-    at = np.append(np.flatnonzero(starts), len(ids))
-    get = known.get
-    logs = np.array([get(word, -1.0) for word in words])
-    here = logs >= 0
-    apart = len(at) == len(words)
-    if apart:
-        own = np.add.reduceat(tokens, at)
-        ten = np.log(10)
-        by_rate = np.exp((logs[here] - norm) * ten)
-        total = np.log10((1 - RATES) * np.exp(own[here] * ten) + RATES * by_rate).sum()
-    else:
-        own, total = np.ones(len(words)), tokens.sum()
-    rare = [{"word": words[i], "log": own[i]} for i in np.flatnonzero(~here).tolist()]
-    return len(words), int((logs > 0).sum()), float(logs[here].sum()), float(total), rare
+    piece, words, sizes = pieces.__getitem__, [], []
+    for ids in texts:
+        own = b"".join(map(piece, ids.tolist())).split()
+        words += own
+        words.append(END)
+        sizes.append(len(own) + 1)
+    logs = np.array(list(map(known.get, words)), float)
+    here = ~np.isnan(logs)
+    logs[~here] = 0
+    first_word = np.cumsum(sizes) - sizes
+    lengths = np.array([len(x) for x in tokens])
+    first_token = np.cumsum(lengths) - lengths
+    line = np.full(lengths.sum(), STOP, np.uint16)
+    for ids, at in zip(texts, first_token.tolist(), strict=True):
+        line[at : at + len(ids)] = ids
+    every = np.concatenate(tokens)
+    starts = begins[line]
+    starts[first_token] = True
+    apart = np.add.reduceat(starts, first_token, dtype=np.int64) == sizes
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    own = np.ones(len(words))
+    own[apart[owner]] = np.add.reduceat(every, np.flatnonzero(starts))[
+        np.repeat(apart, np.add.reduceat(starts, first_token, dtype=np.int64))
+    ]
+    ten = np.log(10)
+    both = (1 - RATES) * np.exp(own * ten) + RATES * np.exp((logs - norm) * ten)
+    both = np.where(here & apart[owner], np.log10(both), 0)
+    score = np.where(apart, np.add.reduceat(both, first_word), np.add.reduceat(every, first_token))
+    rare: list[list[dict]] = [[] for _ in texts]
+    for i in np.flatnonzero(~here).tolist():
+        rare[owner[i]].append({"word": words[i], "log": own[i]})
+    seen = np.add.reduceat((logs > 0).astype(np.int64), first_word)
+    return np.array(sizes), seen, np.add.reduceat(logs, first_word), score, rare

@@ -18,6 +18,8 @@ from tokenloom.llm.toxicity import learn_severity, score_severity, severity_grad
 from tokenloom.llm.url_filters import judge_urls, rule_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Ranks of the vocabulary that language-model scoring reads texts by.
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -60,7 +62,7 @@ def op5_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
-    return score_texts(table(spark, sf, "documents"), TOKENIZER, modulus=7, held_out=2)
+    return score_texts(table(spark, sf, "documents"), RANKS, modulus=7, held_out=2)
 
 
 def op7_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
