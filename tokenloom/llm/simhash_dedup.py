@@ -21,8 +21,8 @@ from tokenloom.llm.frames import fresh, q, stash
 WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Shingles whose bits are added at once.
 BLOCK = 1 << 15
-#: Fingerprints aimed at per shard, sampled per shard, deepest tree, stored per tile.
-SHARD, SAMPLED, DEEPEST, TILE = 4096, 16, 13, 8192
+#: Fingerprints aimed at per shard, sampled per shard, deepest tree, rows of a tile.
+SHARD, SAMPLED, DEEPEST, TILE = 8192, 16, 13, 1 << 16
 
 
 def simhash_bytes(text: str, width: int, seed: int) -> int:
