@@ -61,8 +61,13 @@ def evidence(y: np.ndarray, owner: np.ndarray, column: np.ndarray, held: np.ndar
     return best
 
 
-def fit_severity(rows: list[Sequence[int]], grades: Sequence[int]) -> SeverityModel:
-    """Fit by Adam on the penalized log-likelihood of the ordinal model."""
+def fit_severity(
+    rows: list[Sequence[int]], grades: Sequence[int], row_weights: Sequence[float] | None = None
+) -> SeverityModel:
+    """Fit by Adam on the penalized log-likelihood of the ordinal model.
+
+    ``row_weights``: how many rows each one stands for; their mean counts as one row.
+    """
     levels = sorted(set(grades))
     y = np.array([levels.index(g) for g in grades], int)
     if len(levels) < 2:
@@ -79,7 +84,9 @@ def fit_severity(rows: list[Sequence[int]], grades: Sequence[int]) -> SeverityMo
     used = place[column] >= 0
     owner, column = owner[used], place[column[used]]
     w = np.zeros(len(chosen))
-    share = np.cumsum(np.bincount(y))[:-1] / n
+    stands = np.ones(n) if row_weights is None else np.asarray(row_weights, float)
+    stands = stands / stands.mean()
+    share = np.cumsum(np.bincount(y, weights=stands))[:-1] / n
     first = np.log(share / (1 - share))
     cut = np.concatenate([first[:1], np.log(np.maximum(np.diff(first), 1e-2))])
     values = np.concatenate([w, cut])
@@ -93,6 +100,7 @@ def fit_severity(rows: list[Sequence[int]], grades: Sequence[int]) -> SeverityMo
         upper, lower = np.where(y + 1 == len(levels), 1.0, upper), np.where(y == 0, 0.0, lower)
         inside = np.maximum(upper - lower, 1e-12)
         up, low = upper * (1 - upper) / inside, lower * (1 - lower) / inside
+        up, low = up * stands, low * stands
         by_score = up - low
         by_threshold = np.zeros(len(thresholds))
         np.add.at(by_threshold, y[y + 1 < len(levels)], -up[y + 1 < len(levels)])
@@ -120,7 +128,9 @@ def learn_severity(
     """Fit on at most about ``per_grade`` rows a grade, taken by the hash of their key.
 
     ``graded``: key and a whole number; rows without either are not used, of several
-    grades of a key the highest counts. Only word hashes of the sample reach the driver.
+    grades of a key the highest counts. Rows of a grade weigh as many as they stand for, so
+    a bounded sample keeps the shares of the grades. Only word hashes of the sample reach
+    the driver.
     """
     known = (
         graded.select(q(key).alias("key"), q(grade).cast("int").alias("grade"))
@@ -149,7 +159,10 @@ def learn_severity(
         .collect()
     )
     rows = sorted(rows, key=lambda x: (x.key, x.grade, sorted(x.words)))
-    return fit_severity([x.words for x in rows], [x.grade for x in rows])
+    held = {x.grade: x.n for x in taken.groupBy("grade").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return fit_severity(
+        [x.words for x in rows], [x.grade for x in rows], [counts[x.grade] / held[x.grade] for x in rows]
+    )
 
 
 def predicted_severity(text: Column, model: SeverityModel) -> Column:
