@@ -1,9 +1,8 @@
-"""Mixing sources to target weights by Sainte-Lague apportionment of equal blocks.
+"""Mixing sources to target weights by Sainte-Lague apportionment of words.
 
-Sources get target word counts; the corpus is cut into blocks of equally many words, and
-blocks are given to sources, and within a source to its shards, by highest quotients.
-Each shard then takes its quota of blocks: all of them as often as the quota allows, and
-a seeded choice of them once more.
+Sources get target word counts; words are given to sources, and within a source to its
+shards, by highest quotients. The documents of a shard stand in a seeded order. Each shard
+takes all its words as often as its quota allows, and the first ones once more.
 """
 
 from collections.abc import Sequence
@@ -13,9 +12,9 @@ from pyspark.sql.window import Window
 
 from tokenloom.llm.frames import WORD, fresh, q, stash
 
-#: The corpus is cut into about so many blocks, and dealt to at most so many shards (and one
-#: per source) of at least so many documents.
-BLOCKS, SHARDS, SHARD_ROWS = 1 << 18, 1 << 12, 512
+#: The corpus is dealt to at most so many shards (and one per source) of at least so many
+#: documents.
+SHARDS, SHARD_ROWS = 1 << 12, 512
 #: Sources up to which their table is broadcast; beyond it a shuffled join does the same.
 BROADCAST_SOURCES = 10_000
 
@@ -96,53 +95,31 @@ def sainte_lague(
     )
 
 
-def shard_quotas(dealt: DataFrame, sources: DataFrame) -> DataFrame:
-    """Quota of blocks of every (idx, shard)."""
+def shard_quotas(dealt: DataFrame, sources: DataFrame, most: float) -> DataFrame:
+    """Words that every (idx, shard) gives: shard_size, quota."""
     sized = dealt.groupBy("idx", "shard").agg(F.sum("size").alias("shard_size"))
-    given = sources.select(F.col("idx").alias("q_idx"), F.col("quota").alias("seats"), "block")
+    given = sources.select(
+        F.col("idx").alias("q_idx"),
+        F.round(F.col("quota") / F.col("block")).cast("long").alias("seats"),
+        "block",
+    )
     joined = sized.join(given, F.col("idx") == F.col("q_idx")).drop("q_idx")
-    return sainte_lague(joined, "shard_size", "seats", ["idx"], "shard")
-
-
-def chosen_blocks(shards: DataFrame, most: float, seed: int) -> DataFrame:
-    """Every block of every shard: begin, times it is taken, words taken before it, in all."""
-    in_shard = Window.partitionBy("idx", "shard")
-    by_draw = in_shard.orderBy(F.xxhash64(F.lit(seed + 2), "idx", "shard", "b"), "b")
-    up_to = in_shard.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    n = F.ceil(F.col("shard_size") / F.col("block")).cast("long")
-    return (
-        shards.where(F.col("shard_size") > 0)
-        .withColumn("n", n)
-        .withColumn("quota", F.least("quota", F.floor(F.col("n") * float(most)).cast("long")))
-        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("b"))
-        .withColumn("extra", F.row_number().over(by_draw) <= F.col("quota") % F.col("n"))
-        .withColumn("times", F.floor(F.col("quota") / F.col("n")) + F.col("extra").cast("long"))
-        .withColumn("begin", F.col("b") * F.col("block"))
-        .withColumn(
-            "words",
-            F.col("times") * (F.least("shard_size", F.col("begin") + F.col("block")) - F.col("begin")),
-        )
-        .select(
-            "idx",
-            "shard",
-            F.col("begin").alias("at"),
-            F.struct(
-                "begin",
-                "times",
-                (F.sum("words").over(up_to) - F.col("words")).alias("before"),
-                F.sum("words").over(in_shard).alias("all"),
-            ).alias("in_block"),
-        )
+    bound = F.floor(F.col("shard_size") * float(most)).cast("long")
+    return sainte_lague(joined, "shard_size", "seats", ["idx"], "shard").select(
+        F.col("idx").alias("q_idx"),
+        F.col("shard").alias("q_shard"),
+        "shard_size",
+        F.least(F.col("quota") * F.col("block"), bound).alias("quota"),
     )
 
 
-def take_blocks(
+def take_words(
     slim: DataFrame,
     weights: Sequence[float],
     most: float,
     share: float,
     seed: int,
-    blocks: int,
+    blocks: int | None,
     shards: int,
 ) -> DataFrame:
     """The mix of a written table (key, source, size): see ``mix_sources``."""
@@ -154,10 +131,10 @@ def take_blocks(
     part = F.greatest(
         F.coalesce(F.try_divide(F.col("source_size"), words), F.lit(0.0)), F.col("rows") / rows
     )
+    block = F.floor(F.col("quota") / blocks) if blocks else F.lit(1)
     sources = (
         source_targets(named, weights, most, share)
-        .withColumn("block", F.greatest(F.lit(1), F.floor(words / blocks)).cast("long"))
-        .withColumn("seats", F.round(F.sum("target").over(everything) / F.col("block")).cast("long"))
+        .withColumn("seats", F.round(F.sum("target").over(everything)).cast("long"))
         .withColumn(
             "shards",
             F.greatest(
@@ -166,12 +143,14 @@ def take_blocks(
         )
         .withColumn("everything", F.lit(0))
     )
-    # below: quotas by highest quotients, for sources and then for their shards
-    sources = stash(sainte_lague(sources, "target", "seats", ["everything"], "idx"), "sources")
+    # words by highest quotients, for sources and then for their shards
+    sources = sainte_lague(sources, "target", "seats", ["everything"], "idx")
+    sources = stash(sources.withColumn("block", F.greatest(F.lit(1), block).cast("long")), "sources")
     side = sources.select(
         F.col("source").alias("q_source"), "source_size", "target", "idx", "shards"
     )
-    if sources.count() <= BROADCAST_SOURCES:
+    small = sources.count() <= BROADCAST_SOURCES
+    if small:
         side = F.broadcast(side)
     dealt = slim.join(side, F.col("source").eqNullSafe(F.col("q_source"))).select(
         "key",
@@ -182,23 +161,20 @@ def take_blocks(
         F.pmod(F.xxhash64(F.lit(seed), "key", "size"), F.col("shards")).alias("shard"),
         F.xxhash64(F.lit(seed + 1), "key", "size").alias("draw"),
     )
-    in_shard = Window.partitionBy("idx", "shard")
-    in_order = in_shard.orderBy("draw", "key", "size")
+    in_order = Window.partitionBy("idx", "shard").orderBy("draw", "key", "size")
     up_to = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = dealt.withColumn("at", F.sum("size").over(up_to) - F.col("size"))
-    taken_blocks = chosen_blocks(shard_quotas(dealt, sources), most, seed)
-    met = placed.withColumn("is_doc", F.lit(True)).unionByName(taken_blocks, allowMissingColumns=True)
-    seen = F.last("in_block", ignorenulls=True).over(
-        in_shard.orderBy("at", F.col("is_doc").isNotNull()).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-    )
-    upto = met.withColumn("in_block", seen).where("is_doc").withColumn(
-        "begun",
-        F.col("in_block.before") + F.col("in_block.times") * (F.col("at") - F.col("in_block.begin")),
-    )
-    ended = F.coalesce(F.lead("begun").over(in_order), F.col("in_block.all"))
-    return upto.withColumn("taken", F.coalesce(ended - F.col("begun"), F.lit(0)).cast("long")).select(
+    quotas = shard_quotas(dealt, sources, most)
+    if small:
+        quotas = F.broadcast(quotas)
+    met = placed.join(
+        quotas, (F.col("idx") == F.col("q_idx")) & (F.col("shard") == F.col("q_shard"))
+    )
+    # every word so often, and the first ones in the order of the draw once more
+    whole = F.coalesce(F.floor(F.try_divide("quota", "shard_size")), F.lit(0)).cast("long")
+    more = F.col("quota") - whole * F.col("shard_size")
+    part = F.greatest(F.lit(0), F.least(F.col("size"), more - F.col("at")))
+    return met.withColumn("taken", (whole * F.col("size") + part).cast("long")).select(
         "key", "size", "source_size", "target", "taken"
     )
 
@@ -212,7 +188,7 @@ def mix_sources(
     key: str = "doc_id",
     source: str = "source",
     text: str = "text",
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
     shards: int = SHARDS,
 ) -> DataFrame:
     """Words each document gives to a mix of sources by weight.
@@ -221,7 +197,8 @@ def mix_sources(
     takes of it, repeats counted; at most ``most`` times its size).
     Only (key, source, size) rows move. Sources are dealt to shards by their size, so a
     source that holds most rows is many shards. Null sources form one source, the last; a
-    null or empty text has size 0 and gives nothing. Rows that repeat are separate
+    null or empty text has size 0 and gives nothing. ``blocks`` deals the words of every
+    source to its shards in about so many equal blocks, not in single words. Rows that repeat are separate
     documents. An empty table gives no rows. The same table and seed give the same mix.
     Other columns are not read.
     """
@@ -229,7 +206,7 @@ def mix_sources(
         docs.select(q(key).alias("key"), q(source).alias("source"), word_count(q(text)).alias("size")),
         "sizes",
     )
-    mixed = take_blocks(slim, weights, most, share, seed, blocks, shards)
+    mixed = take_words(slim, weights, most, share, seed, blocks, shards)
     return mixed.withColumnRenamed("key", key)
 
 
@@ -253,7 +230,7 @@ def repeat_to_mix(
         written.select(q(row).alias("key"), q(source).alias("source"), word_count(q(text)).alias("size")),
         "sizes",
     )
-    mixed = take_blocks(slim, weights, most, share, seed, BLOCKS, SHARDS)
+    mixed = take_words(slim, weights, most, share, seed, None, SHARDS)
     chance = F.pmod(F.xxhash64(F.lit(seed + 3), "key"), F.lit(1 << 31)) / (1 << 31)
     repeats = F.when(F.col("size") == 0, 1).otherwise(F.floor(F.col("taken") / F.col("size") + chance))
     copies = mixed.select(F.col("key").alias(row), repeats.cast("int").alias(times))
