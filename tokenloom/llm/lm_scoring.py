@@ -32,8 +32,8 @@ SHARE, ROUNDS, STEP, LEAST_STEPS = 64, 3, 64, 150
 #: Share of the words' own rates in the probability of a word.
 RATES = 0.7
 RATE = 0.01
-#: Windows seen for the classes; most words broadcast; texts encoded at once.
-CLASS_WINDOWS, HOT_WORDS, BATCH_BYTES = 30_000, 1 << 18, 1 << 20
+#: Most words broadcast; texts encoded at once.
+HOT_WORDS, BATCH_BYTES = 1 << 18, 1 << 20
 #: Words held before a task hands on their counts.
 HELD_WORDS = 300_000
 END = b""
@@ -164,22 +164,73 @@ class Symbols:
     rates: np.ndarray
 
 
-def make_symbols(counts: np.ndarray, sample: list[np.ndarray], vocabulary: int) -> Symbols:
-    """Frequent ids are symbols; others are clustered by what stands before them.
+#: Ids that are symbols of their own; what may stand before an id: one of these, an id of a
+#: class, or the begin.
+HEAD = SYMBOLS - CLASSES - 1
+MARKS = HEAD + 2
 
-    ``counts``: by id, in all training texts, text ends included.
-    """
-    head = SYMBOLS - CLASSES - 1
+
+def frequent_symbols(counts: np.ndarray) -> np.ndarray:
+    """Symbol of the frequent ids and of the begin, -1 of all others."""
     order = np.argsort(-counts, kind="stable")
     order = order[order != BEGIN]
-    first = [STOP, *[i for i in order[: head + 1].tolist() if i != STOP][: head - 1]]
+    first = [STOP, *[i for i in order[: HEAD + 1].tolist() if i != STOP][: HEAD - 1]]
     of = np.full(1 << 16, -1, np.int64)
-    of[first] = np.arange(head)
+    of[first] = np.arange(HEAD)
     of[BEGIN] = SYMBOLS - 1
-    before = np.zeros((1 << 16, head + 2), np.float32)
-    for window in sample:
-        marks = np.where(of[window[:-1]] < 0, head, np.minimum(of[window[:-1]], head + 1))
-        np.add.at(before, (window[1:], marks), 1)
+    return of
+
+
+def count_before(lines: list[np.ndarray], of: np.ndarray, before: np.ndarray) -> None:
+    """Add to ``before`` (id, mark) how often ids without own symbol stand after each mark."""
+    if not lines:
+        return
+    line = np.concatenate(lines)
+    marks = of[line[:-1]]
+    marks = np.where(marks < 0, HEAD, np.minimum(marks, HEAD + 1))
+    # the begin of a text has a symbol, so no pair joins two texts
+    at = np.flatnonzero(of[line[1:]] < 0)
+    codes, n = np.unique(line[1:][at].astype(np.int64) * MARKS + marks[at], return_counts=True)
+    before.reshape(-1)[codes] += n.astype(before.dtype)
+
+
+def counts_before(texts: DataFrame, of: np.ndarray) -> np.ndarray:
+    """(id, mark) counts over the ids of all texts; at most ids times marks reach the driver."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = np.zeros((1 << 16, MARKS), np.uint32)
+
+        for batch in batches:
+            found = [np.frombuffer(x, np.uint16) for x in batch.column(0).to_pylist()]
+            for first, last in slices([len(x) for x in found], 1 << 20):
+                lines = [np.concatenate([[BEGIN], x]).astype(np.uint16) for x in found[first:last]]
+                count_before(lines, of, before)
+        codes = np.flatnonzero(before)
+        for at in range(0, len(codes), 1 << 16):
+            part = codes[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part.astype(np.int32)), pa.array(before.reshape(-1)[part].astype(np.int64))],
+                names=["code", "n"],
+            )
+
+    parts = texts.select("ids").mapInArrow(work, "code int, n long")
+    found = parts.groupBy("code").agg(F.sum("n").cast("double").alias("n")).toArrow()
+    before = np.zeros((1 << 16, MARKS), np.float32)
+    before.reshape(-1)[found.column("code").to_numpy()] = found.column("n").to_numpy()
+    return before
+
+
+def make_symbols(counts: np.ndarray, before: np.ndarray | list[np.ndarray], vocabulary: int) -> Symbols:
+    """Frequent ids are symbols; others are clustered by what stands before them.
+
+    ``counts``: by id, in all training texts, text ends included. ``before``: (id, mark)
+    counts over all training texts, or a list of lines of ids to count.
+    """
+    head, of = HEAD, frequent_symbols(counts)
+    if isinstance(before, list):
+        lines, before = before, np.zeros((1 << 16, MARKS), np.float32)
+        for line in lines:
+            count_before([line], of, before)
     tail = np.flatnonzero((of < 0) & (before.sum(axis=1) >= 3))
     shape = np.sqrt(before[tail] / np.maximum(before[tail].sum(axis=1, keepdims=True), 1))
     of[of < 0] = SYMBOLS - 2
@@ -569,12 +620,8 @@ def score_texts(
     ends = words.where(F.col("word") == F.lit(END)).select("c").first()
     counts[STOP] = ends.c if ends else 0
     windows = stash(found.where("kind = 2").select("ids"), "windows")
-    total = windows.count()
-    part = windows
-    if total > CLASS_WINDOWS:
-        part = windows.where(F.pmod(F.xxhash64("ids"), F.lit(1 << 31)) < int(2**31 * CLASS_WINDOWS / total))
-    sample = sorted(bytes(x.ids) for x in part.collect())
-    symbols = make_symbols(counts, [np.frombuffer(x, np.uint16) for x in sample], vocabulary)
+    learned_ids = found.where("kind = 0 AND NOT held").select("ids")
+    symbols = make_symbols(counts, counts_before(learned_ids, frequent_symbols(counts)), vocabulary)
     vector = to_vector(start_weights(symbols.rates)).astype(float)
     for k in range(ROUNDS):
         vector = train_round(windows, vector, symbols, RATE * 0.5**k, 1000 * k)
