@@ -36,3 +36,23 @@ def test_classes_come_from_all_training_texts(spark, monkeypatch):
     of = lm.frequent_symbols(seen["counts"])
     tail = (of < 0) & (seen["counts"] > 0)
     assert tail.sum() > 100 and (seen["before"][tail].sum(axis=1) == seen["counts"][tail]).all()
+
+
+def test_every_training_token_is_learned_once(spark, monkeypatch):
+    """Over all rounds each id and each end of a training text is a target exactly once."""
+    draw = np.random.default_rng(2)
+    for n in (0, 1, 31, 32, 33, 95, 96, 97, 1000):
+        ids = draw.integers(0, 50_000, n).astype(np.uint16)
+        found = [x for turn in range(lm.ROUNDS) for x in lm.text_windows(ids.tobytes(), turn)]
+        targets = np.concatenate([np.frombuffer(x, np.uint16)[1:] for x in found])
+        assert sorted(targets.tolist()) == sorted([*ids.tolist(), lm.STOP])
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    seen, train = [], lm.train_round
+
+    def spy(texts, vector, symbols, rate, seed, turn):
+        seen.append((turn, texts.count()))
+        return train(texts, vector, symbols, rate, seed, turn)
+
+    monkeypatch.setattr(lm, "train_round", spy)
+    held = lm.score_texts(docs, RANKS).where("not held_out").count()
+    assert seen == [(k, held) for k in range(lm.ROUNDS)]

@@ -1,8 +1,8 @@
 """Scoring texts with a small causal self-attention model over subword ids.
 
 The corpus is encoded once. Word and subword counts are taken over all of it, and the model
-learns from a fixed share of its windows, in rounds: every task trains on the windows it
-holds, and the parameters of all tasks are averaged. Frequent subwords are symbols of
+learns from every token of the training texts once, in rounds: every task trains on its
+windows of the round, and the parameters of all tasks are averaged. Frequent subwords are symbols of
 their own, others belong to classes and are found within theirs by their counts. Symbols
 are predicted in two steps, their group and then the symbol within it. Texts are scored in overlapping windows, so that every token is predicted once, with context.
 The probability of a word is the mean of what its subwords give and its own smoothed rate.
@@ -20,15 +20,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tokenloom.llm.frames import drop_stash, id_remainder, q, slices, stash
+from tokenloom.llm.frames import id_remainder, q, slices, stash
 
 #: Positions of a window, of them predicted anew; width, hidden width, symbols, classes.
 LENGTH, STRIDE, WIDTH, HIDDEN, SYMBOLS, CLASSES = 32, 24, 16, 24, 256, 48
 #: Symbols of a group, and groups.
 GROUP = 16
 GROUPS = SYMBOLS // GROUP
-#: One of so many windows is learned from; rounds; windows of a step; steps of a small task.
-SHARE, ROUNDS, STEP, LEAST_STEPS = 64, 3, 64, 150
+#: Rounds, each over its share of the windows; windows of a step; steps of a small task.
+ROUNDS, STEP, LEAST_STEPS = 3, 64, 150
 #: Share of the words' own rates in the probability of a word.
 RATES = 0.7
 RATE = 0.01
@@ -70,10 +70,10 @@ def encoding(tokenizer: str):
 
 
 def gather(docs: DataFrame, tokenizer: str, modulus: int, held_out: int) -> DataFrame:
-    """One pass over all texts; rows of four kinds.
+    """One pass over all texts; rows of three kinds.
 
     0: key, held, ids of a text (lower-cased words, single spaces). 1: word, c (in training
-    texts), t (in all). 2: ids of a window of a training text. 3: c of a subword id.
+    texts), t (in all). 3: c of a subword id.
     """
     key = docs.schema["key"].dataType
     names = ["kind", "key", "held", "ids", "word", "c", "t"]
@@ -120,22 +120,13 @@ def gather(docs: DataFrame, tokenizer: str, modulus: int, held_out: int) -> Data
                     held=held[first:last],
                     ids=[x.tobytes() for x in ids],
                 )
-                windows = []
-                for mine, out, own in zip(words, held[first:last], ids, strict=True):
+                for mine, out in zip(words, held[first:last], strict=True):
                     (other if out else learned).update(mine)
                     ends[1] += 1
-                    if not out:
-                        ends[0] += 1
-                        # every SHARE-th window, from one that the text decides
-                        padded = np.concatenate([[BEGIN], own, [STOP]]).astype(np.uint16)
-                        begin = zlib.crc32(own[:64].tobytes()) % SHARE * STRIDE
-                        for at in range(begin, len(padded) - 1, SHARE * STRIDE):
-                            windows.append(padded[at : at + LENGTH + 1].tobytes())
+                    ends[0] += not out
                 seen = [own for own, out in zip(ids, held[first:last], strict=True) if not out]
                 if seen:
                     counts += np.bincount(np.concatenate(seen), minlength=len(counts))
-                if windows:
-                    yield rows(2, len(windows), ids=windows)
                 if len(learned) + len(other) > HELD_WORDS:
                     yield word_rows()
                     learned.clear()
@@ -435,8 +426,19 @@ def window_rows(found: list[bytes], of: np.ndarray) -> np.ndarray:
     return rows
 
 
-def train_round(windows: DataFrame, vector: np.ndarray, symbols: Symbols, rate: float, seed: int) -> np.ndarray:
-    """Every task trains on its windows; the mean of their weights, by windows."""
+def text_windows(ids: bytes, turn: int) -> list[bytes]:
+    """Windows of a text for a round; over all rounds each id and the end is a target once."""
+    padded = np.concatenate([[BEGIN], np.frombuffer(ids, np.uint16), [STOP]]).astype(np.uint16)
+    begin = (turn + zlib.crc32(ids)) % ROUNDS * LENGTH
+    return [
+        padded[at : at + LENGTH + 1].tobytes() for at in range(begin, len(padded) - 1, ROUNDS * LENGTH)
+    ]
+
+
+def train_round(
+    texts: DataFrame, vector: np.ndarray, symbols: Symbols, rate: float, seed: int, turn: int
+) -> np.ndarray:
+    """Every task trains on its windows of the round; the mean of their weights, by windows."""
     most = 200 * STEP
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -448,9 +450,10 @@ def train_round(windows: DataFrame, vector: np.ndarray, symbols: Symbols, rate:
             total, held = total + len(held), []
 
         for batch in batches:
-            held += batch.column(0).to_pylist()
-            if len(held) >= most:
-                learn()
+            for ids in batch.column(0).to_pylist():
+                held += text_windows(ids, turn)
+                if len(held) >= most:
+                    learn()
         if held:
             learn()
         if total:
@@ -463,7 +466,7 @@ def train_round(windows: DataFrame, vector: np.ndarray, symbols: Symbols, rate:
                 names=["at", "value", "n"],
             )
 
-    parts = windows.select("ids").mapInArrow(work, "at int, value double, n long")
+    parts = texts.select("ids").mapInArrow(work, "at int, value double, n long")
     mean = parts.groupBy("at").agg((F.sum("value") / F.sum("n")).alias("value")).collect()
     out = vector.astype(float).copy()
     for row in mean:
@@ -588,7 +591,6 @@ def score_texts(
     no training text all counts are 0 and the model is untrained. An empty table gives no
     rows. Other columns are not read.
     """
-    spark = docs.sparkSession
     vocabulary = len(token_bytes(tokenizer))
     if vocabulary > BEGIN:
         raise ValueError(f"{vocabulary} ids; at most {BEGIN} fit")
@@ -619,14 +621,12 @@ def score_texts(
         counts[row.t] = row.c
     ends = words.where(F.col("word") == F.lit(END)).select("c").first()
     counts[STOP] = ends.c if ends else 0
-    windows = stash(found.where("kind = 2").select("ids"), "windows")
     learned_ids = found.where("kind = 0 AND NOT held").select("ids")
     symbols = make_symbols(counts, counts_before(learned_ids, frequent_symbols(counts)), vocabulary)
     vector = to_vector(start_weights(symbols.rates)).astype(float)
     for k in range(ROUNDS):
-        vector = train_round(windows, vector, symbols, RATE * 0.5**k, 1000 * k)
+        vector = train_round(learned_ids, vector, symbols, RATE * 0.5**k, 1000 * k, k)
     model = to_weights(vector)
-    drop_stash(spark, windows)
 
     norm = float(np.log10(n + (v + 1.0)))
 
