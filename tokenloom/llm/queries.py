@@ -5,6 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tokenloom.llm.byte_bpe import coding_digests
 from tokenloom.llm.embedding_dedup import embedding_components
 from tokenloom.llm.frames import id_remainder
 from tokenloom.llm.language_id import identify_languages, learn_languages, training_rows
@@ -18,7 +19,7 @@ from tokenloom.llm.toxicity import learn_severity, score_severity, severity_grad
 from tokenloom.llm.url_filters import judge_urls, rule_table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-#: Ranks of the vocabulary that language-model scoring reads texts by.
+#: Ranks of the vocabulary that language-model scoring and byte-level coding read texts by.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -83,6 +84,10 @@ def op10_merkle_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf, "documents"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return coding_digests(table(spark, sf, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_language_id": op2_language_id,
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_merkle_fingerprints": op10_merkle_fingerprints,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 SQL: dict[str, str] = {
