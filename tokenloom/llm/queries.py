@@ -11,6 +11,7 @@ from tokenloom.llm.frames import id_remainder
 from tokenloom.llm.language_id import identify_languages, learn_languages, training_rows
 from tokenloom.llm.lm_scoring import score_texts
 from tokenloom.llm.merkle import edited_fingerprints
+from tokenloom.llm.merkle_manifest import tampered_manifest
 from tokenloom.llm.mixing import mix_sources
 from tokenloom.llm.packing import pack_documents
 from tokenloom.llm.simhash_dedup import simhash_components
@@ -84,6 +85,10 @@ def op10_merkle_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return tampered_manifest(table(spark, sf, "documents"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return coding_digests(table(spark, sf, "documents"), RANKS, public_tokenizers.PATTERN)
 
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_merkle_fingerprints": op10_merkle_fingerprints,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
@@ -160,4 +166,60 @@ SELECT d.doc_id, CAST(length(d.text) AS BIGINT) AS n_chars, sha256(e.text) AS ed
     / (len(o.leaves) + len(x.leaves) - len(list_intersect(o.leaves, x.leaves))) END AS near_next
 FROM docs d JOIN own o USING (n) JOIN edited e USING (n)
 JOIN own x ON x.n = d.n % (SELECT count(*) FROM docs) + 1""",
+    "op12_merkle_manifest": r"""
+WITH RECURSIVE
+crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs),
+fields AS (
+  SELECT doc_id, lang, n_chars, text,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') ||
+    coalesce(strlen(source) || ':' || source, '-') ||
+    coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda c, b: xor(crcs[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 7 = 0 AS hit
+  FROM documents, crc_table),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+  FROM (SELECT doc_id, lang,
+    sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen((n_chars + hit::INT)::VARCHAR) || ':' || (n_chars + hit::INT), '-') || tail) AS other
+    FROM (SELECT * REPLACE (coalesce(hit, false) AS hit) FROM fields))),
+levels AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY place) AS nodes FROM leaves GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range((len(nodes) + 1) // 2),
+    lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM levels WHERE len(nodes) > 1),
+subroots AS (
+  SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+  FROM levels WHERE len(nodes) = 1),
+tops AS (
+  SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots HAVING count(*) > 0
+  UNION ALL
+  SELECT level + 1, list_transform(range((len(nodes) + 1) // 2),
+    lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM tops WHERE len(nodes) > 1),
+steps AS (
+  SELECT lang, 0 AS part, level, nodes FROM levels WHERE len(nodes) > 1
+  UNION ALL
+  SELECT lang, 1, level, nodes FROM subroots, tops WHERE len(nodes) > 1),
+paths AS (
+  SELECT l.lang, l.place, l.doc_id, l.leaf, l.other, s.subroot,
+    list({own: (CASE t.part WHEN 0 THEN l.place ELSE s.place END >> t.level) % 2,
+      sibling: coalesce(t.nodes[xor(CASE t.part WHEN 0 THEN l.place ELSE s.place END >> t.level, 1) + 1], '')}
+      ORDER BY t.part, t.level) FILTER (t.level IS NOT NULL) AS path
+  FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+  LEFT JOIN steps t ON t.lang IS NOT DISTINCT FROM l.lang
+  GROUP BY ALL),
+folded AS (
+  SELECT *, list_reduce(list_prepend({own: 0::BIGINT, sibling: other}, coalesce(path, [])),
+    lambda a, b: {own: 0::BIGINT, sibling: sha256(CASE b.own WHEN 0 THEN a.sibling || b.sibling
+      ELSE b.sibling || a.sibling END)}).sibling AS folded_root
+  FROM paths)
+SELECT doc_id, leaf, subroot, nodes[1] AS root,
+  sha256(array_to_string(list_transform(coalesce(path, []), lambda x: x.sibling), '')) AS proof_sha256,
+  folded_root, folded_root = nodes[1] AS verified
+FROM folded, tops WHERE len(nodes) = 1""",
 }
