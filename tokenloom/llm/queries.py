@@ -15,6 +15,7 @@ from tokenloom.llm.merkle_manifest import tampered_manifest
 from tokenloom.llm.mixing import mix_sources
 from tokenloom.llm.packing import pack_documents
 from tokenloom.llm.simhash_dedup import simhash_components
+from tokenloom.llm.spelling_variants import spelling_variants
 from tokenloom.llm.token_counts import token_counts
 from tokenloom.llm.toxicity import learn_severity, score_severity, severity_grades
 from tokenloom.llm.url_filters import judge_urls, rule_table
@@ -85,6 +86,10 @@ def op10_merkle_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants(table(spark, sf, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return tampered_manifest(table(spark, sf, "documents"))
 
@@ -104,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_merkle_fingerprints": op10_merkle_fingerprints,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_byte_bpe": op13_byte_bpe,
 }
@@ -166,6 +172,52 @@ SELECT d.doc_id, CAST(length(d.text) AS BIGINT) AS n_chars, sha256(e.text) AS ed
     / (len(o.leaves) + len(x.leaves) - len(list_intersect(o.leaves, x.leaves))) END AS near_next
 FROM docs d JOIN own o USING (n) JOIN edited e USING (n)
 JOIN own x ON x.n = d.n % (SELECT count(*) FROM docs) + 1""",
+    "op11_spelling_variants": r"""
+WITH RECURSIVE
+crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs),
+runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295,
+      list_transform(range(1, len(digits) // 2 + 1),
+        lambda i: ('0x' || digits[2 * i - 1] || digits[2 * i])::BIGINT)),
+      lambda c, b: xor(crcs[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+  FROM (SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS digits FROM runs), crc_table),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT n, CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::BIGINT)
+      || substring(run, (h % length(run))::BIGINT + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cuts AS (
+  SELECT word, n, i, left(word, i - 1) AS a, substring(word, i + 1) AS b
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT x.word, y.word AS near, y.n FROM cuts x JOIN cuts y
+    ON x.a || chr(10) || x.b = y.a || chr(10) || y.b AND x.word <> y.word
+  UNION
+  SELECT x.word, y.word, y.n FROM cuts x JOIN words y ON x.a || x.b = y.word
+  UNION
+  SELECT y.word, x.word, x.n FROM cuts x JOIN words y ON x.a || x.b = y.word),
+near AS (
+  SELECT word, count(*) AS n_near, max(n) AS best_n FROM pairs GROUP BY word),
+best AS (
+  SELECT p.word, min(p.near) AS best FROM pairs p JOIN near USING (word) WHERE p.n = best_n GROUP BY p.word),
+named AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN best_n >= 10 * w.n THEN best END AS form, CASE WHEN best_n >= 10 * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN near USING (word) LEFT JOIN best USING (word)),
+chains AS (
+  SELECT word, word AS root, form AS next FROM named
+  UNION ALL
+  SELECT c.word, n.word, n.form FROM chains c JOIN named n ON n.word = c.next)
+SELECT word, form, root, n, n_near, form_n
+FROM named JOIN (SELECT word, root FROM chains WHERE next IS NULL) USING (word)""",
     "op12_merkle_manifest": r"""
 WITH RECURSIVE
 crc_table AS (
