@@ -12,8 +12,8 @@ import base64
 import functools
 import itertools
 import re
-import struct
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -32,6 +32,7 @@ KEPT_BYTES, KEPT_PAIRS, KEPT_PIECE = 96 << 20, 1 << 19, 64
 NONE = -1
 #: A match of the public pattern always ends before a single space between two other
 #: characters, and the next one begins with it; other patterns are not cut there.
+SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
 SINGLE_SPACE = re.compile(r" (?<=\S )(?=\S)")
 
 
@@ -60,6 +61,17 @@ def merged(data: bytes, ranks: dict[bytes, int]) -> list[int]:
         parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
 
+class Learned(dict):
+    """A dictionary whose missing values are made, and kept, by a function."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, name: str) -> bytes:
+        return self.make(name)
+
+
 class ByteCodec:
     """Encoder and decoder of a rank file; texts are split by ``pattern`` first."""
 
@@ -79,11 +91,24 @@ class ByteCodec:
         self.size = [0] * self.many
         for token, rank in ranks.items():
             self.size[rank] = len(token) - 1
-        self.shorter: dict[int, int] = {}
-        self.pairs: dict[int, bool] = {}
+        #: The longest token that begins each token and is shorter; ``NONE`` after one byte.
+        self.shorter = [NONE] * self.many
+        for token, rank in ranks.items():
+            shorter = (ranks.get(token[:n], NONE) for n in range(len(token) - 1, 0, -1))
+            self.shorter[rank] = next((x for x in shorter if x != NONE), NONE)
+        #: Per left token (the last row: none) what is known of right ones.
+        self.pairs: list[dict[int, bool]] = [{} for _ in range(self.many + 1)]
+        self.known_pairs = 0
         self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = Learned(self.spaced)
         self.kept = 0
+        self.known_id = np.zeros(self.many, bool)
+        self.known_id[list(ranks.values())] = True
+        self.lengths = np.array(self.size, np.int64) + 1
+        self.starts = np.zeros(self.many, np.int64)
+        held = sorted(ranks.items(), key=lambda x: x[1])
+        self.starts[[rank for _, rank in held]] = np.cumsum([0, *(len(x) for x, _ in held[:-1])])
+        self.all_bytes = np.frombuffer(b"".join(x for x, _ in held), np.uint8)
         self.by_space = pattern == public_tokenizers.PATTERN
 
     def together(self, left: int, right: int) -> bool:
@@ -91,20 +116,14 @@ class ByteCodec:
 
         Without a token on the left (``NONE``): whether a token is that of its own bytes.
         """
-        if len(self.pairs) >= KEPT_PAIRS:
-            self.pairs.clear()
+        if self.known_pairs >= KEPT_PAIRS:
+            for row in self.pairs:
+                row.clear()
+            self.known_pairs = 0
         pair = [x for x in (left, right) if x != NONE]
         found = merged(b"".join(map(self.bytes_of.__getitem__, pair)), self.ranks) == pair
-        self.pairs[left * self.many + right] = found
-        return found
-
-    def next_shorter(self, token: int) -> int:
-        """The longest token that begins this one and is shorter; ``NONE`` after one byte."""
-        found = self.shorter.get(token)
-        if found is None:
-            data = self.bytes_of[token]
-            shorter = (self.ranks.get(data[:n], NONE) for n in range(len(data) - 1, 0, -1))
-            found = self.shorter[token] = next((x for x in shorter if x != NONE), NONE)
+        self.pairs[left][right] = found
+        self.known_pairs += 1
         return found
 
     def encode_piece(self, piece: str) -> list[int]:
@@ -113,7 +132,7 @@ class ByteCodec:
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
-        n, many, size, pairs = len(data), self.many, self.size, self.pairs
+        n, size, pairs, shorter = len(data), self.size, self.pairs, self.shorter
         longest = [NONE] * n
         for end, token in self.automaton.iter(data.decode("latin-1")):
             longest[end - size[token]] = token  # ends ascend, so the longest stays
@@ -121,13 +140,14 @@ class ByteCodec:
         out: list[int] = []
         at, before, token = 0, NONE, longest[0]
         while True:
+            row = pairs[before]
             while token != NONE:
                 end = at + size[token] + 1
                 if end not in failed:
-                    fits = pairs.get(before * many + token)
+                    fits = row.get(token)
                     if fits or (fits is None and self.together(before, token)):
                         break
-                token = self.next_shorter(token)
+                token = shorter[token]
             if token != NONE:
                 out.append(token)
                 if end == n:
@@ -136,7 +156,7 @@ class ByteCodec:
             else:
                 # no token goes on from here: the one before must be shorter
                 failed.add(at)
-                token = self.next_shorter(out.pop())
+                token = shorter[out.pop()]
                 at -= size[before] + 1
                 before = out[-1] if out else NONE
 
@@ -153,8 +173,7 @@ class ByteCodec:
 
     def ids_of(self, piece: str) -> bytes:
         """Ids of a match of the pattern as 32-bit numbers."""
-        ids = self.encode_piece(piece)
-        return self.remember(self.pieces, piece, struct.pack(f"={len(ids)}i", *ids))
+        return self.remember(self.pieces, piece, array("i", self.encode_piece(piece)).tobytes())
 
     def pieces_of(self, text: str) -> bytes:
         """Ids of a text, match by match."""
@@ -162,8 +181,7 @@ class ByteCodec:
         if len(text) <= BATCH_BYTES:
             found = self.find.findall(text)
             if len(found) == 1:
-                ids = self.encode_piece(text)
-                return struct.pack(f"={len(ids)}i", *ids)
+                return array("i", self.encode_piece(text)).tobytes()
             return b"".join([known.get(x) or learn(x) for x in found])
         out = bytearray()
         matches = self.find.finditer(text)
@@ -174,8 +192,7 @@ class ByteCodec:
     def spaced(self, word: str) -> bytes:
         """Ids of a word and the single space before it."""
         if word.isascii() and word.isalpha():
-            ids = self.encode_piece(" " + word)
-            found = struct.pack(f"={len(ids)}i", *ids)
+            found = array("i", self.encode_piece(" " + word)).tobytes()
         else:
             found = self.pieces_of(" " + word)
         return self.remember(self.words, word, found)
@@ -184,13 +201,17 @@ class ByteCodec:
         """Ids of a whole text, each match of the pattern on its own, as 32-bit numbers."""
         if not self.by_space:
             return self.pieces_of(text)
-        first, *rest = SINGLE_SPACE.split(text)
-        known, learn = self.words, self.spaced
-        return self.pieces_of(first) + b"".join([known.get(x) or learn(x) for x in rest])
+        alone = not any(c in text and (" " + c in text or c + " " in text) for c in SPACES)
+        first, *rest = text.split(" ") if alone else SINGLE_SPACE.split(text)
+        return self.pieces_of(first) + b"".join(map(self.words.__getitem__, rest))
 
-    def decode(self, ids: Sequence[int]) -> bytes:
+    def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of a list of ids."""
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        places = np.arange(ends[-1] if len(ends) else 0)
+        places += np.repeat(self.starts[ids] - ends + lengths, lengths)
+        return self.all_bytes[places].tobytes()
 
 
 @functools.lru_cache(2)
@@ -250,9 +271,17 @@ def decode_ids(encoded: DataFrame, ranks: str, pattern: str, ids: str = "ids") -
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_pylist()
             for first, last in slices(sizes, BATCH_IDS):
                 part = batch.slice(first, last - first)
-                found = [codec.decode(x or ()) for x in part.column(place).to_pylist()]
+                ids = pc.list_flatten(part.column(place)).to_numpy(zero_copy_only=False)
+                if len(ids) and not (codec.known_id[np.clip(ids, 0, codec.many - 1)] & (ids >= 0) & (ids < codec.many)).all():
+                    raise ValueError("an id without a token")
+                data = codec.decode(ids)
+                ends = np.cumsum([0, *sizes[first:last]])
+                at = np.concatenate([[0], np.cumsum(codec.lengths[ids])])[ends]
+                decoded = pa.Array.from_buffers(
+                    pa.large_binary(), last - first, [None, pa.py_buffer(at), pa.py_buffer(data)]
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(found, pa.binary())], names=schema.names
+                    [*part.columns, decoded.cast(pa.binary())], names=schema.names
                 )
 
     return encoded.mapInArrow(decode, schema)
