@@ -10,15 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tokenloom.llm.frames import drop_stash, stash
 from tokenloom.llm.language_id import keep_known, learn_languages, training_rows
 from tokenloom.llm.mixing import repeat_to_mix
-from tokenloom.llm.near_copies import keep_one_similar
 from tokenloom.llm.packing import pack_documents
+from tokenloom.llm.simhash_dedup import keep_one
 from tokenloom.llm.toxicity import keep_harmless, learn_severity, severity_grades
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without any identifiable language go (null, no letter)."""
+    """Language ID: documents without any identifiable language go (null, no letter).
+
+    Where no document brings a language, none is told apart and those without a letter go.
+    """
     return keep_known(docs, learn_languages(training_rows(docs)))
 
 
@@ -29,8 +32,8 @@ def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near copies, five-word Jaccard >= 0.8: of each group the document with the least id stays."""
-    return keep_one_similar(docs, width=5, least=0.8)
+    """SimHash near copies, 3-word shingles, 3 bits: of each group the least id stays."""
+    return keep_one(docs, width=3, seed=42, most=3)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
