@@ -9,15 +9,19 @@ import functools
 import json
 import re
 import struct
+from collections.abc import Callable
 
 #: Letters that every tokenizer pattern counts as letters (Latin, Latin-1, Extended-A).
 LETTER = "A-Za-zÀ-ÖØ-öø-ſ"
 #: Safe places: before a single space between two words, and after a run of letters.
 CUT = re.compile(rf"(?<=\S)(?= \S)|(?<=[{LETTER}])(?=\W)")
 SINGLE = re.compile(rf" ?[{LETTER}]+")
-#: Characters per slice of a long text, pieces kept per worker.
+#: A part always ends before a single space between two other characters as well.
+SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
+SINGLE_SPACE = re.compile(r" (?<=\S )(?=\S)")
+#: Characters per slice of a long text, bytes of remembered pieces per worker, longest one.
 SLICE = 1 << 20
-KEPT = 700_000
+KEPT_BYTES, KEPT_PIECE = 96 << 20, 64
 #: The space as byte-level vocabularies show it.
 SPACE = "\u0120"
 
@@ -41,11 +45,28 @@ def long_slices(text: str, most: int = SLICE):
     yield text[start:]
 
 
+def split_at_spaces(text: str) -> list[str]:
+    """A text cut at its single spaces, which are left out."""
+    alone = not any(c in text and (" " + c in text or c + " " in text) for c in SPACES)
+    return text.split(" ") if alone else SINGLE_SPACE.split(text)
+
+
+class Learned(dict):
+    """A dictionary whose missing values are made, and kept, by a function."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, name: str) -> bytes:
+        return self.make(name)
+
+
 class Subwords:
     """A tokenizer file: ``.json`` by tokenizers, ``.model`` by sentencepiece."""
 
     def __init__(self, path: str):
-        self.pieces: dict[str, bytes] = {}
+        self.pieces, self.words, self.kept = Learned(self.piece), Learned(self.spaced), 0
         self.table = byte_characters()
         self.by_piece = False
         if path.endswith(".model"):
@@ -96,33 +117,52 @@ class Subwords:
                     out += CUT.split(piece)
         return out
 
-    def learn(self, pieces: set[str]) -> None:
-        known = self.pieces
-        if len(known) + len(pieces) > KEPT:
-            known.clear()
-        other = []
-        for piece in pieces - known.keys():
-            if piece in self.added:
-                known[piece] = self.added[piece]
-            elif SINGLE.fullmatch(piece):
-                shown = piece.replace(" ", SPACE)
-                if not piece.isascii():
-                    shown = piece.encode().decode("latin-1").translate(self.table)
-                ids = [token.id for token in self.model.tokenize(shown)]
-                known[piece] = struct.pack(f"<{len(ids)}I", *ids)
-            else:
-                other.append(piece)
-        for piece, ids in zip(other, self.encode_all(other), strict=True):
-            known[piece] = struct.pack(f"<{len(ids)}I", *ids)
+    def remember(self, known: dict[str, bytes], name: str, ids: bytes) -> bytes:
+        """Keep the ids of a short string within the budget of this worker."""
+        if len(name) <= KEPT_PIECE:
+            if self.kept > KEPT_BYTES:
+                self.pieces.clear()
+                self.words.clear()
+                self.kept = 0
+            known[name] = ids
+            self.kept += 160 + len(name) + len(ids)
+        return ids
+
+    def new_ids(self, piece: str) -> bytes:
+        """Ids of a piece that nothing is known of."""
+        if piece in self.added:
+            return self.added[piece]
+        if SINGLE.fullmatch(piece):
+            shown = piece.replace(" ", SPACE)
+            if not piece.isascii():
+                shown = piece.encode().decode("latin-1").translate(self.table)
+            ids = [token.id for token in self.model.tokenize(shown)]
+        else:
+            ids = self.encode_all([piece])[0]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def piece(self, piece: str) -> bytes:
+        return self.remember(self.pieces, piece, self.new_ids(piece))
+
+    def spaced(self, word: str) -> bytes:
+        """Ids of a word and the single space before it."""
+        pieces = self.segments(" " + word)
+        one = self.new_ids(pieces[0]) if len(pieces) == 1 else None
+        ids = b"".join(map(self.pieces.__getitem__, pieces)) if one is None else one
+        return self.remember(self.words, word, ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         if not self.by_piece:
             return [struct.pack(f"<{len(ids)}I", *ids) for ids in self.encode_all(texts)]
-        cut = [self.segments(text) for text in texts]
-        self.learn({piece for pieces in cut for piece in pieces})
-        known = self.pieces
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        found = []
+        for text in texts:
+            first, rest = text, []
+            if not (self.find_added and self.find_added.search(text)):
+                first, *rest = split_at_spaces(text)
+            head = b"".join(map(self.pieces.__getitem__, self.segments(first)))
+            found.append(head + b"".join(map(self.words.__getitem__, rest)))
+        return found
 
 
 @functools.cache
