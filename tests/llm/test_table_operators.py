@@ -342,6 +342,20 @@ def test_pipeline_of_an_empty_table(spark, tmp_path, no_docs):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
+def test_language_stage_without_any_language(spark, odd_docs):
+    """No label at all: documents stay, but for those without a letter."""
+    docs = odd_docs.withColumn("lang", F.lit(None).cast("string"))
+    left = corpus_pipeline.known_language(spark, docs, "").collect()
+    assert {x.doc_id for x in left} == {1, 5, 6, None, 7, 8, 9, 10} and len(left) == 9
+
+
+def test_near_copy_stage_is_the_operator(spark, documents):
+    """One document, the least id, of each component of op5 stays."""
+    ids = sd.simhash_components(documents, width=3, seed=42, most=3).collect()
+    left = corpus_pipeline.one_of_near_copies(spark, documents, "").collect()
+    assert sorted(x.doc_id for x in left) == sorted({x.component_id for x in ids})
+
+
 def test_pipeline_keeps_clean_documents(spark):
     """No clean document with a label goes before the near-copy stage."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

@@ -180,6 +180,17 @@ def predicted_language(text: Column, model: LanguageModel) -> Column:
     return predict(text)
 
 
+def has_letter(text: Column) -> Column:
+    """Whether a text has a letter, by the same rule as predictions."""
+
+    @F.arrow_udf("boolean")
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([any(map(str.isalpha, x or "")) for x in batch.to_pylist()])
+
+    return found(text)
+
+
 def identify_languages(
     docs: DataFrame, model: LanguageModel, keep: Sequence[str] = ("doc_id",), text: str = "text"
 ) -> DataFrame:
@@ -201,7 +212,12 @@ def identify_languages(
 def keep_known(
     docs: DataFrame, model: LanguageModel, least: float = 0.0, text: str = "text"
 ) -> DataFrame:
-    """``docs`` without the rows whose language is unknown or scored below ``least``."""
+    """``docs`` without the rows whose language is unknown or scored below ``least``.
+
+    A model that has learned no language knows none: then only rows without a letter go.
+    """
+    if not model.languages:
+        return docs.where(F.coalesce(has_letter(q(text)), F.lit(False)))
     found = fresh(docs, "found")
     marked = docs.withColumn(found, predicted_language(q(text), model))
     return marked.where((q(found)["lang"] != UNKNOWN) & (q(found)["score"] >= least)).select(
