@@ -395,6 +395,35 @@ WHERE (doc_id, pos) IN (SELECT (doc_id, quality) FROM labels)
 FROM (SELECT doc_id, i, strlen(line) + (i < n)::INT AS n_bytes FROM (
   SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i, len(l) AS n
   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents))) WHERE n_bytes > 0"""
+    nested = "text"
+    for old, made in (("chr(10)", "<|part|><|end|>"), ("', '", "<|part|>"), ("'. '", "<|end|>")):
+        nested = f"replace({nested}, {old}, '{made}')"
+    marked = nested
+    for i, special in enumerate(sorted(q.NESTED, key=len, reverse=True)):
+        marked = f"replace({marked}, '{special}', chr(57345) || chr({57346 + i}) || chr(57345))"
+    named = "segment"
+    for i, special in enumerate(sorted(q.NESTED, key=len, reverse=True)):
+        named = f"replace({named}, chr({57346 + i}), '{special}')"
+    sql["nested_specials"] = f"""SELECT doc_id, {named} AS segment, segment BETWEEN chr(57346) AND chr(57348) AS is_special,
+  (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS seg_pos
+FROM (SELECT doc_id, unnest(p) AS segment, generate_subscripts(p, 1) AS i
+  FROM (SELECT doc_id, string_split({marked}, chr(57345)) AS p FROM documents)) WHERE segment <> ''"""
+    files = f"""files AS MATERIALIZED (
+  SELECT doc_id // {q.FILE_DOCUMENTS} AS part, string_agg(text || chr(10), '' ORDER BY doc_id) AS text
+  FROM documents WHERE text IS NOT NULL GROUP BY 1)"""
+    sql["file_pretokens"] = with_(files) + f"""SELECT part, pretoken, count(*) AS freq,
+  min(last - strlen(pretoken))::BIGINT AS first_byte, max(last)::BIGINT AS last_byte
+FROM (SELECT part, pretoken, sum(strlen(pretoken)) OVER (PARTITION BY part ORDER BY i) AS last FROM (
+  SELECT part, unnest(w) AS pretoken, generate_subscripts(w, 1) AS i
+  FROM (SELECT part, {words_of('text')} AS w FROM files))) GROUP BY ALL"""
+    lines = """lines AS MATERIALIZED (
+  SELECT part, i, strlen(line) + 1 AS n FROM (
+    SELECT part, unnest(l) AS line, generate_subscripts(l, 1) AS i, len(l) AS n
+    FROM (SELECT part, string_split(text, chr(10)) AS l FROM files)) WHERE i < n)"""
+    sql["file_lines"] = with_(files, lines) + """SELECT part, n::INT AS n_bytes,
+  (sum(n) OVER (PARTITION BY part ORDER BY i) - n)::BIGINT AS start_byte FROM lines"""
+    sql["corpus_files"] = with_(files, lines) + """SELECT part, n_lines, line_bytes, strlen(text)::INT AS n_bytes, md5(text) AS md5
+FROM files JOIN (SELECT part, count(*) AS n_lines, sum(n)::BIGINT AS line_bytes FROM lines GROUP BY part) USING (part)"""
     sql["byte_histogram"] = with_(PRE) + """SELECT byte::INT AS byte, sum(freq)::BIGINT AS n FROM (
   SELECT freq, ord(substr(sym, i::INT, 1)) AS byte FROM (
     SELECT freq, sym, unnest(range(1, length(sym) + 1)) AS i FROM w0)) GROUP BY 1"""

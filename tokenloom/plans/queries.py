@@ -19,7 +19,7 @@ from tokenloom.operators import (
     vocabulary as vc,
 )
 from tokenloom.session import materialize, scratch_path
-from tokenloom.sources import artifacts, corpus
+from tokenloom.sources import artifacts, corpus, ranges
 from tokenloom.streaming import jobs
 
 N_MERGES = 32
@@ -44,6 +44,8 @@ ONE_FILE = 64 << 20
 LONG_LIST, LONG_SQUARE = 900, 12
 ANY_LIST, ANY_SQUARE = 30, 6
 WHOLE_WORDS = 50
+FILE_DOCUMENTS, FILE_RANGE, FILE_ROW = 250, 1 << 16, 1 << 13
+NESTED = ["<|part|>", "<|part|><|end|>", "<|end|>"]
 BATCH_STEPS, BATCH_SHARE, EVALUATE_EVERY = 20, 0.25, 10
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,6 +218,71 @@ def document_lines(spark, sf):
     return lines.select("doc_id", "line_no", F.octet_length("text").alias("n_bytes"))
 
 
+@query
+def nested_specials(spark, sf):
+    """Specials of which one begins with another: the longest wins."""
+    text = F.replace(F.col("text"), F.lit("\n"), F.lit("<|part|><|end|>"))
+    text = F.replace(F.replace(text, F.lit(", "), F.lit("<|part|>")), F.lit(". "), F.lit("<|end|>"))
+    return pt.split_special(documents(spark, sf).withColumn("text", text), NESTED)
+
+
+# Files.
+
+
+def text_folder(spark: SparkSession, sf: str) -> str:
+    """The documents as text files, so many consecutive ids each, in order of their ids."""
+
+    def build() -> str:
+        path = scratch_path(spark, "text_files")
+        part = F.floor(F.col("doc_id") / FILE_DOCUMENTS).cast("long").alias("part")
+        rows = documents(spark, sf).where(F.col("text").isNotNull()).select(part, "doc_id", "text")
+        rows = rows.repartition("part").sortWithinPartitions("part", "doc_id")
+        rows.select("part", "text").write.partitionBy("part").text(path)
+        return path
+
+    return shared("text_files", spark, sf, build)
+
+
+def part_of(path: str) -> Column:
+    return F.regexp_extract(path, "part=([0-9]+)", 1).cast("long").alias("part")
+
+
+@query
+def file_pretokens(spark, sf):
+    """Pretokens of files read in byte ranges, with the places of the first and the last."""
+    rows = ranges.read_ranges(spark, text_folder(spark, sf), FILE_RANGE, FILE_ROW)
+    return (
+        ranges.file_spans(rows)
+        .groupBy(part_of("path"), "pretoken")
+        .agg(
+            F.count(F.lit(1)).alias("freq"),
+            F.min("start").alias("first_byte"),
+            F.max("end").alias("last_byte"),
+        )
+    )
+
+
+@query
+def file_lines(spark, sf):
+    lines = ranges.range_lines(spark, text_folder(spark, sf), FILE_RANGE)
+    return lines.select(
+        part_of("path"), F.col("start").alias("start_byte"), F.octet_length("text").alias("n_bytes")
+    )
+
+
+@query
+def corpus_files(spark, sf):
+    """Whole files, and their lines as the built-in reader cuts them."""
+    folder = text_folder(spark, sf)
+    lines = corpus.read_lines(spark, folder).groupBy(part_of("path")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(F.octet_length("text")).alias("line_bytes")
+    )
+    whole = corpus.read_corpus(spark, folder).select(
+        part_of("path"), F.octet_length("text").alias("n_bytes"), F.md5("text").alias("md5")
+    )
+    return whole.join(lines, "part")
+
+
 @query
 def byte_histogram(spark, sf):
     counts = pt.pretoken_counts(documents(spark, sf))
