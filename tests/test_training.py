@@ -35,6 +35,32 @@ def test_documents_match_brute_force(spark, small_docs):
     assert model.tokens[-1] == b"<|endoftext|>" and len(model.tokens) == 271
 
 
+def test_rounds_read_the_words_of_their_own_pairs(spark, small_docs):
+    """One candidate list serves many rounds; few words are read, fewer as training goes on."""
+    report = []
+    texts = [row["text"] for row in small_docs.collect()]
+    model = tr.train_bpe(small_docs, 256 + 1 + 60, report=report, checkpoint_every=10)
+    assert byte_pairs(model) == brute.train(texts, 60)
+    words = pt.pretoken_counts(small_docs).count()
+    assert sum(x.resorted for x in report) == 1 and report[0].resorted
+    read = [x.words_read / (b.merges - a.merges) for a, b, x in zip(report, report[1:], report[1:])]
+    assert max(read) < words and sum(read[-5:]) < sum(read[:5])
+    few = []
+    again = tr.train_bpe(small_docs, 256 + 1 + 60, report=few, top_k=40)
+    assert again.merges == model.merges and sum(x.resorted for x in few) > 1
+
+
+def test_index_joints(spark):
+    words = spark.createDataFrame([("abc", 2), ("xbc", 1)], "sym string, freq long")
+    parts = {256: (ord("a"), ord("b")), 257: (256, ord("c"))}
+    index = tr.WordIndex(words, 256, parts.__getitem__)
+    assert index.joint(257, 256) == "ca" and index.joint(ord("x"), 257) == "xa"
+    changes, read = index.changes([(ord("a"), ord("b"))], [("ab", chr(256))], 0)
+    assert read == 1 and dict(changes) == {"ab": -2, "bc": -2, chr(256) + "c": 2}
+    changes, read = index.changes([(256, ord("c"))], [(chr(256) + "c", chr(257))], 0)
+    assert read == 2 and dict(changes) == {chr(256) + "c": -2}
+
+
 def test_ties_go_to_the_greater_bytes(spark):
     model = tr.train_bpe(frame(spark, ["ab cd"]), 257, specials=())
     assert byte_pairs(model) == [(b"c", b"d")]

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tokenloom.functions import text as tx
 from tokenloom.operators import pairs as pr
 from tokenloom.operators.pretokens import pretoken_counts
-from tokenloom.session import materialize
+from tokenloom.session import materialize, release
 
 BYTE_ALPHABET = 256
 UNKNOWN = "�"
+#: Pairs of a candidate list, of them ranked at first per round; bytes of an index row group.
+TOP_PAIRS, RANKED_PAIRS, INDEX_BLOCK = 20_000, 1024, 4 << 20
 
 
 @dataclass
@@ -57,20 +62,17 @@ class BpeModel:
 def exact_batch(
     ranked: list[tuple[str, int]],
     tie_key: Callable[[str], tuple],
-    complete: bool,
+    floor: int,
     budget: int,
     spelled_before: Callable[[str], bool] = lambda pair: False,
 ) -> list[str]:
     """The leading pairs that one-at-a-time merging would also pick, in its order.
 
-    ``ranked`` holds the most frequent pairs. Pairs without a common token do not
-    change each other's counts, and a pair born from a merge can never be more
+    ``ranked`` holds all pairs above the count ``floor``. Pairs without a common token do
+    not change each other's counts, and a pair born from a merge can never be more
     frequent than the first pair refused here, so everything strictly above that
-    count is safe. When the list is not complete its last count is refused too,
-    since equal pairs may be missing. An empty answer means the top pair itself is
-    undecided and needs the full tie-break.
+    count is safe. An empty answer means that no pair is above the floor.
     """
-    floor = 0 if complete else ranked[-1][1]
     ordered = sorted(
         (item for item in ranked if item[1] > floor),
         key=lambda item: (-item[1], tie_key(item[0])),
@@ -130,25 +132,115 @@ class _Order:
         return rows.agg(order.alias("pair")).first()["pair"]
 
 
+@dataclass
+class Round:
+    """What a round of training took: merges learned so far, words read, a new candidate list."""
+
+    merges: int
+    words_read: int
+    resorted: bool
+
+
+class Candidates:
+    """All pairs above a count, kept on the driver from the changes of each round.
+
+    A pair of older symbols only loses occurrences when others merge, so what is not in the
+    list stays below its floor; only pairs of a new symbol can enter. Spark sorts all pairs
+    again only when the list is used up.
+    """
+
+    def __init__(self, top: list[tuple[str, int]], most: int):
+        self.floor = 0 if len(top) < most else top[-1][1]
+        self.counts = {pair: n for pair, n in top if n > self.floor}
+
+    def update(self, changes: list[tuple[str, int]]) -> None:
+        for pair, change in changes:
+            n = self.counts.get(pair, 0) + change
+            if n > self.floor and (pair in self.counts or change > 0):
+                self.counts[pair] = n
+            else:
+                self.counts.pop(pair, None)
+
+    def ranked(self, most: int) -> tuple[list[tuple[str, int]], int]:
+        """The most frequent pairs, and the count above which none is missing."""
+        if len(self.counts) <= most:
+            return list(self.counts.items()), self.floor
+        top = heapq.nlargest(most, self.counts.items(), key=lambda item: item[1])
+        return top, top[-1][1]
+
+
+class WordIndex:
+    """Stored words under each of their pairs, so a round reads the words of its own pairs.
+
+    The table is clustered and sorted by pair: a filter on pairs skips all other row groups,
+    and the words of a frequent pair spread over several files. Symbols made later are
+    looked up by the older ones at their joint, and the words found are rewritten then.
+    """
+
+    def __init__(self, words: DataFrame, n_tokens: int, parts: Callable[[int], tuple[int, int]]):
+        self.words, self.n_tokens, self.parts = words, n_tokens, parts
+        self.pending: list[tuple[str, str]] = []
+        entries = words.select(
+            F.explode(F.array_distinct(tx.adjacent_pairs("sym"))).alias("pair"), "sym", "freq"
+        )
+        clustered = entries.repartitionByRange("pair", "sym").sortWithinPartitions("pair")
+        self.table = materialize(clustered, "pair_index", {"parquet.block.size": str(INDEX_BLOCK)})
+
+    def joint(self, left: int, right: int) -> str:
+        """The pair of symbols of the index that lies where two symbols meet."""
+        while left >= self.n_tokens:
+            left = self.parts(left)[1]
+        while right >= self.n_tokens:
+            right = self.parts(right)[0]
+        return tx.symbol(left) + tx.symbol(right)
+
+    def changes(self, batch: list[tuple[int, int]], steps: list[tuple[str, str]], floor: int):
+        """Changes of pair counts by a batch of merges, and the number of words read.
+
+        Lost occurrences come back for every pair that lost some, at most two pairs per
+        merge and symbol; born pairs only above the floor.
+        """
+        joints = sorted({self.joint(left, right) for left, right in batch})
+        own = reduce(or_, [F.col("pair") == F.lit(joint) for joint in joints])
+        seen = Observation()
+        found = self.table.where(own).observe(seen, F.count(F.lit(1)).alias("n")).select("sym", "freq")
+        if len(joints) > 1:
+            found = found.dropDuplicates(["sym"])
+        if self.pending:
+            found = pr.merge_pairs(found, self.pending)
+        deltas = pr.pair_deltas(found, steps).groupBy("pair").agg(F.sum("n").alias("n"))
+        rows = deltas.where((F.col("n") < 0) | (F.col("n") > floor)).collect()
+        self.pending += steps
+        return [(row["pair"], row["n"]) for row in rows], seen.get["n"]
+
+    def current(self) -> DataFrame:
+        """All words as they are now."""
+        return pr.merge_pairs(self.words, self.pending) if self.pending else self.words
+
+    def release(self) -> None:
+        release(self.table, self.words)
+
+
 def learn_merges(
     words: DataFrame,
     base: list[bytes],
     n_merges: int,
     by_bytes: bool = True,
     done: Sequence[tuple[int, int]] = (),
-    top_k: int = 256,
-    rewrite_every: int = 4,
+    top_k: int = TOP_PAIRS,
     checkpoint_every: int = 24,
     on_checkpoint: Callable[[DataFrame, list[tuple[int, int]]], None] | None = None,
+    report: list[Round] | None = None,
 ) -> list[tuple[int, int]]:
     """Merges as id pairs, continuing after ``done``.
 
     ``words`` is (sym, freq), one row per distinct pretoken, already rewritten by
-    ``done``. Each round is one job over the last rewritten words and their pair
-    counts: it adds the count changes of the merges since then, which only touch the
-    words that hold one of their pairs, and returns the ``top_k`` most frequent pairs.
-    Words are rewritten every ``rewrite_every`` rounds and written to the shared
-    folder every ``checkpoint_every`` rounds.
+    ``done``. The driver holds the pairs above a floor count, at most ``top_k`` when the
+    list is made; each round takes all merges that are certain (see :func:`exact_batch`)
+    and is one job over the stored words of their own pairs, which returns the changed
+    counts. All words are read when the list is used up, and when words and index are
+    written anew to the shared folder, every ``checkpoint_every`` rounds. ``report`` gets
+    one entry per round.
     """
     spark = words.sparkSession
     merges = list(done)[:n_merges]
@@ -164,48 +256,49 @@ def learn_merges(
         left, right = (order.id_of(c) for c in pair)
         return tokens[left] + tokens[right] in known
 
-    words = materialize(words.select("sym", "freq")).persist()
-    counts = materialize(pr.pair_counts(words)).persist()
-    current, pending, held, rounds = counts, [], [words, counts], 0
+    def indexed(now: DataFrame) -> WordIndex:
+        return WordIndex(
+            materialize(now.select("sym", "freq"), "words"),
+            len(tokens),
+            lambda token: merges[token - len(base)],
+        )
+
+    index, candidates, rounds, resorted = indexed(words), None, 0, False
     while len(merges) < n_merges:
-        top = current.orderBy(F.col("n").desc()).limit(top_k).collect()
-        if not top:
+        pairs: list[str] = []
+        if candidates is None or (not candidates.counts and candidates.floor):
+            counts = pr.pair_counts(index.current())
+            top = [(row["pair"], row["n"]) for row in counts.orderBy(F.col("n").desc()).limit(top_k).collect()]
+            candidates, resorted = Candidates(top, top_k), True
+            if top and not candidates.counts:
+                pairs = [order.best(counts.where(F.col("n") == top[0][1]), spark)]
+        for most in (RANKED_PAIRS, len(candidates.counts)):
+            if not pairs:
+                ranked, floor = candidates.ranked(most)
+                pairs = exact_batch(ranked, order.key, floor, n_merges - len(merges), spelled_before)
+        if not pairs:
             break
-        batch = exact_batch(
-            [(row["pair"], row["n"]) for row in top],
-            order.key,
-            complete=len(top) < top_k,
-            budget=n_merges - len(merges),
-            spelled_before=spelled_before,
-        )
-        if not batch:
-            batch = [order.best(current.where(F.col("n") == top[0]["n"]), spark)]
-        for pair in batch:
-            left, right = (order.id_of(c) for c in pair)
-            pending.append((pair, tx.symbol(len(tokens))))
+        batch = [tuple(order.id_of(c) for c in pair) for pair in pairs]
+        steps = []
+        for pair, (left, right) in zip(pairs, batch, strict=True):
+            steps.append((pair, tx.symbol(len(tokens))))
             merges.append((left, right))
             tokens.append(tokens[left] + tokens[right])
             known.add(tokens[-1])
         if len(merges) >= n_merges:
             break
+        changed, words_read = index.changes(batch, steps, candidates.floor)
+        candidates.update(changed)
         rounds += 1
-        current = pr.apply_deltas(counts, pr.pair_deltas(words, pending))
-        if rounds % rewrite_every and rounds % checkpoint_every:
-            continue
-        following = pr.merge_pairs(words, pending)
+        if report is not None:
+            report.append(Round(len(merges), words_read, resorted))
+        resorted = False
         if rounds % checkpoint_every == 0:
-            older, held = held, []
-            counts, words = materialize(current).persist(), materialize(following).persist()
-            for frame in older:
-                frame.unpersist()
+            older, index = index, indexed(index.current())
+            older.release()
             if on_checkpoint is not None:
-                on_checkpoint(words, merges)
-        else:
-            counts, words = current.persist(), following.persist()
-        held += [words, counts]
-        current, pending = counts, []
-    for frame in held:
-        frame.unpersist()
+                on_checkpoint(index.words, merges)
+    index.release()
     return merges
 
 
@@ -232,10 +325,11 @@ def train_bpe(
     text: str = "text",
     alphabet: str = "byte",
     split_special: bool = False,
-    top_k: int = 256,
+    top_k: int = TOP_PAIRS,
     checkpoint_every: int = 24,
     state: "object | None" = None,
     resume: bool = False,
+    report: list[Round] | None = None,
 ) -> BpeModel:
     """Learn a vocabulary of ``vocab_size`` tokens from a text column.
 
@@ -277,6 +371,7 @@ def train_bpe(
         done=done,
         top_k=top_k,
         checkpoint_every=checkpoint_every,
+        report=report,
         on_checkpoint=None
         if state is None
         else lambda frame, so_far: state.save(frame, base, so_far),

@@ -404,6 +404,7 @@ FROM (SELECT doc_id, i, strlen(line) + (i < n)::INT AS n_bytes FROM (
     named = "segment"
     for i, special in enumerate(sorted(q.NESTED, key=len, reverse=True)):
         named = f"replace({named}, chr({57346 + i}), '{special}')"
+    sql["bpe_merges_500"] = with_(PRE, rounds(243)) + MERGE_ROWS
     sql["nested_specials"] = f"""SELECT doc_id, {named} AS segment, segment BETWEEN chr(57346) AND chr(57348) AS is_special,
   (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS seg_pos
 FROM (SELECT doc_id, unnest(p) AS segment, generate_subscripts(p, 1) AS i

@@ -363,6 +363,13 @@ def bpe_merges(spark, sf):
     return _merge_rows(model(spark, sf).merges_frame(spark))
 
 
+@query
+def bpe_merges_500(spark, sf):
+    """A vocabulary of 500 entries: bytes, 243 merges, the delimiter."""
+    learned = shared("model_500", spark, sf, lambda: tr.train_bpe(documents(spark, sf), 500))
+    return _merge_rows(learned.merges_frame(spark))
+
+
 @query
 def bpe_merges_resumed(spark, sf):
     state = artifacts.TrainingState(scratch_path(spark, "training"))

@@ -58,7 +58,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _written: dict[str, SparkSession] = {}
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(
+    df: DataFrame, name: str = "table", options: dict[str, str] | None = None
+) -> DataFrame:
     """Write once to the shared folder as parquet and read it back: lineage ends there.
 
     The files survive lost executors. They go with :func:`release`, or when the process
@@ -66,7 +68,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     if not _written:
         atexit.register(_remove_all)
     _written[path] = spark
