@@ -603,6 +603,35 @@ FROM (SELECT vec_id, dim, exp(x / 0.5 - max(x / 0.5) OVER (PARTITION BY vec_id))
     scored = with_(BPE, ENC, OCC, DOC, TOK, BIGRAMS, SCORES)
     sql["score_documents"] = scored + """SELECT doc_id, split, n_pairs, round(loss, 6) AS loss,
   round(exp(loss), 4) AS perplexity FROM scores"""
+    def discounted(table: str) -> str:
+        return f"""(SELECT CASE WHEN count_if(n = 1) > 0 AND count_if(n = 2) > 0
+      THEN count_if(n = 1)::DOUBLE / (count_if(n = 1) + 2 * count_if(n = 2)) ELSE 0.5 END FROM {table})"""
+
+    backoff = with_(BPE, ENC, OCC, DOC, TOK) + f""", every AS MATERIALIZED (
+  SELECT doc_id, split, c2, c1, next, count(*) AS n FROM (
+    SELECT doc_id, {SPLIT} AS split, coalesce(ids[i - 2], -1) AS c2, coalesce(ids[i - 1], -1) AS c1, ids[i] AS next
+    FROM (SELECT doc_id, list_concat([-1, -1], ids) AS ids, unnest(range(3, len(ids) + 3)) AS i FROM str))
+  GROUP BY ALL),
+g3 AS MATERIALIZED (SELECT c2, c1, next, sum(n)::BIGINT AS n FROM every WHERE split = 'train' GROUP BY ALL),
+g2 AS MATERIALIZED (SELECT c1, next, count(*) AS n FROM g3 GROUP BY ALL),
+g1 AS MATERIALIZED (SELECT next, count(*) AS n FROM g2 GROUP BY ALL),
+d AS MATERIALIZED (SELECT {discounted('g1')} AS d1, {discounted('g2')} AS d2, {discounted('g3')} AS d3),
+u AS (SELECT d1 * (SELECT count(*) FROM g1) / (SELECT sum(n) FROM g1) / {q.VOCAB_SIZE} AS unseen FROM d),
+p1 AS (SELECT next, (n - d1) / (SELECT sum(n) FROM g1) + unseen AS prob FROM g1, d, u),
+s2 AS MATERIALIZED (SELECT c1, sum(n) AS total, d2 * count(*) / sum(n) AS share FROM g2, d GROUP BY c1, d2),
+p2 AS MATERIALIZED (SELECT c1, next, (n - d2) / total + share * prob AS prob
+  FROM g2 JOIN s2 USING (c1) JOIN p1 USING (next), d),
+s3 AS MATERIALIZED (SELECT c2, c1, sum(n)::BIGINT AS total, d3 * count(*) / sum(n) AS share FROM g3, d GROUP BY c2, c1, d3),
+p3 AS MATERIALIZED (SELECT c2, c1, next, n, (n - d3) / total + share * prob AS prob
+  FROM g3 JOIN s3 USING (c2, c1) JOIN p2 USING (c1, next), d)
+"""
+    sql["kneser_ney_table"] = backoff + "SELECT c2, c1, next, n, round(prob, 9) AS prob FROM p3"
+    sql["kneser_ney_contexts"] = backoff + "SELECT c2, c1, total AS weight, round(share, 9) AS share FROM s3"
+    sql["kneser_ney_losses"] = backoff + """SELECT doc_id, split, n_pairs, round(loss, 6) AS loss, round(exp(loss), 4) AS perplexity FROM (
+  SELECT doc_id, split, sum(e.n)::BIGINT AS n_pairs, sum(e.n * -ln(coalesce(p3.prob,
+    coalesce(s3.share, 1) * coalesce(p2.prob, coalesce(s2.share, 1) * coalesce(p1.prob, unseen))))) / sum(e.n) AS loss
+  FROM every e LEFT JOIN p3 USING (c2, c1, next) LEFT JOIN s3 USING (c2, c1) LEFT JOIN p2 USING (c1, next)
+  LEFT JOIN s2 USING (c1) LEFT JOIN p1 USING (next), u GROUP BY doc_id, split)"""
     sql["split_losses"] = scored + """SELECT split, sum(n_pairs)::BIGINT AS n_pairs,
   round(sum(loss * n_pairs) / sum(n_pairs), 6) AS loss, round(exp(sum(loss * n_pairs) / sum(n_pairs)), 4) AS perplexity
 FROM scores GROUP BY split"""

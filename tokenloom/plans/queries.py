@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tokenloom.functions import arrays as ar, optimizer as opt, text as tx
 from tokenloom.operators import (
+    backoff as bo,
     codec as cd,
     datasets as ds,
     generation as gen,
@@ -31,6 +32,7 @@ VALID_SHARE = 0.1
 TEMPERATURE = 0.8
 NUCLEUS = 0.9
 PROMPT_LENGTH = 32
+ORDER = 3
 NEW_TOKENS = 10
 KNN_LENGTH = 32
 BATCH = 64
@@ -792,6 +794,37 @@ def score_documents(spark, sf):
     return _loss_rows(_scores(spark, sf), "doc_id", "split")
 
 
+def backoff_model(spark: SparkSession, sf: str) -> bo.BackoffModel:
+    """Kneser-Ney tables over the training documents, contexts of two tokens."""
+
+    def build() -> bo.BackoffModel:
+        split = sc.split_by_draw(F.col("doc_id"), VALID_SHARE, SEED)
+        train = ds.delimited(encoded(spark, sf), END_ID).where(split == "train")
+        return bo.kneser_ney(bo.ngram_counts(train, ORDER), ORDER, VOCAB_SIZE)
+
+    return shared("backoff", spark, sf, build)
+
+
+@query
+def kneser_ney_table(spark, sf):
+    return backoff_model(spark, sf).grams[ORDER].withColumn("prob", F.round("prob", 9))
+
+
+@query
+def kneser_ney_contexts(spark, sf):
+    shares = backoff_model(spark, sf).shares[ORDER]
+    return shares.withColumn("share", F.round("share", 9))
+
+
+@query
+def kneser_ney_losses(spark, sf):
+    """Loss of every document, each token predicted from its longest known context."""
+    split = sc.split_by_draw(F.col("doc_id"), VALID_SHARE, SEED).alias("split")
+    docs = ds.delimited(encoded(spark, sf), END_ID).select("doc_id", split, "tokens")
+    scores = bo.score_backoff(docs, backoff_model(spark, sf), ["doc_id", "split"])
+    return _loss_rows(scores, "doc_id", "split")
+
+
 @query
 def split_losses(spark, sf):
     return _loss_rows(sc.eval_losses(_scores(spark, sf)), "split")
