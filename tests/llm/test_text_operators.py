@@ -252,12 +252,59 @@ def test_language_model_is_a_distribution():
     assert np.allclose(shares[np.bincount(symbols.of, minlength=lm.SYMBOLS) > 0], 1)
 
 
+@pytest.mark.parametrize("steady", [True, False])
+def test_language_model_masses_of_words_add_up_to_one(steady):
+    """All words after a context, the end, and what words longer than three ids keep."""
+    counts = np.zeros(1 << 16)
+    counts[:6] = np.array([9, 5, 3, 7, 4, 2]) * 1e7  # symbols without ids get next to nothing
+    counts[lm.STOP] = 4e7
+    symbols = lm.make_symbols(counts, [], 6)
+    begins = np.zeros(1 << 16, bool)
+    begins[[0, 1, 2, lm.STOP]] = True
+    scorer = lm.Scorer(lm.start_weights(symbols.rates), symbols, begins)
+    scorer.steady &= steady
+    context = [0, 3, 1]
+    tails = [(), *[(c,) for c in (3, 4, 5)], *[(c, d) for c in (3, 4, 5) for d in (3, 4, 5)]]
+    words = [(b, *tail) for b in (0, 1, 2) for tail in tails]
+    texts = [np.array([*context, *word, 0], np.uint16) for word in words]
+    tokens, opening = scorer.token_logs([np.array(context, np.uint16), *texts], begins)
+    total = 10 ** (tokens[0][3] - opening[0][3])
+    for word, logs, chance in zip(words, tokens[1:], opening[1:], strict=True):
+        end = 3 + len(word)
+        path = 10 ** (logs[3:end].sum() - chance[3])
+        total += path * 10 ** chance[end] + (len(word) == 3) * path * (1 - 10 ** chance[end])
+    assert abs(total - 1) < 1e-4
+    # mixed with rates of three seen words and one type of all unseen ones
+    c = np.array([3.0, 1, 1, 0])
+    mass = (10 ** lm.mixed_log(np.log10([0.2, 0.1, 0.1, 0.6]), np.log10(c + 1), np.log10(c.sum() + 4))).sum()
+    assert abs(mass - 1) < 1e-9
+
+
+def test_language_model_word_scores_by_hand():
+    pieces = [b"a", b" a", b"b", b" b", b"s"]
+    begins = np.zeros(1 << 16, bool)
+    begins[[1, 3, lm.STOP]] = True
+    ids = [np.array(x, np.uint16) for x in ([0, 4, 3, 1], [], [2])]
+    tokens = [np.array(x) for x in ([-1, -0.5, -0.7, -0.3, -0.2], [-0.9], [-0.6, -0.8])]
+    opening = [np.array(x) for x in ([0, 0, -0.1, -0.25, -0.4], [0.0], [0, -0.35])]
+    known = {b"as": np.log10(3), b"b": 0.0, lm.END: np.log10(4)}
+    n, seen, base, score, rare = lm.word_scores(ids, tokens, opening, known, pieces, begins, 1.0)
+    assert n.tolist() == [4, 1, 2] and seen.tolist() == [2, 1, 1]
+    own = {"as": -1.5 - 0.1, "b": -0.7 + 0.1 - 0.25, "a": -0.3 + 0.25 - 0.4, "end": -0.2 + 0.4}
+    mix = lambda x, logs: lm.mixed_log(np.array([x]), np.array([logs]), 1.0)[0]
+    wanted = mix(own["as"], np.log10(3)) + mix(own["b"], 0.0) + mix(own["end"], np.log10(4))
+    assert abs(score[0] - wanted) < 1e-9 and abs(score[1] - mix(-0.9, np.log10(4))) < 1e-9
+    assert abs(score[2] - mix(-0.6 - 0.35, 0.0) - mix(-0.8 + 0.35, np.log10(4))) < 1e-9
+    assert [[x["word"] for x in row] for row in rare] == [[b"a"], [], []]
+    assert abs(rare[0][0]["log"] - own["a"]) < 1e-9
+
+
 def test_language_model_windows_see_each_token_once():
     symbols = lm.make_symbols(np.ones(1 << 16), [], 50256)
     scorer = lm.Scorer(lm.start_weights(symbols.rates), symbols)
     draw = np.random.default_rng(3)
     texts = [draw.integers(0, 50000, n).astype(np.uint16) for n in (0, 1, 31, 32, 33, 100, 777)]
-    for ids, logs in zip(texts, scorer.token_logs(texts), strict=True):
+    for ids, logs in zip(texts, scorer.token_logs(texts)[0], strict=True):
         marks = symbols.of[np.concatenate([[lm.BEGIN], ids, [lm.STOP]]).astype(np.uint16)].astype(int)
         assert len(logs) == len(ids) + 1
         for t in range(len(logs)):

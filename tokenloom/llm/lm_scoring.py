@@ -5,7 +5,8 @@ learns from every token of the training texts once, in rounds: every task trains
 windows of the round, and the parameters of all tasks are averaged. Frequent subwords are symbols of
 their own, others belong to classes and are found within theirs by their counts. Symbols
 are predicted in two steps, their group and then the symbol within it. Texts are scored in overlapping windows, so that every token is predicted once, with context.
-The probability of a word is the mean of what its subwords give and its own smoothed rate.
+The probability of a word is the mean of what its subwords give, the end of the word
+included, and its own smoothed rate.
 """
 
 import array
@@ -27,8 +28,8 @@ LENGTH, STRIDE, WIDTH, HIDDEN, SYMBOLS, CLASSES = 32, 24, 16, 24, 256, 48
 #: Symbols of a group, and groups.
 GROUP = 16
 GROUPS = SYMBOLS // GROUP
-#: Rounds, each over its share of the windows; windows of a step; steps of a small task.
-ROUNDS, STEP, LEAST_STEPS = 3, 64, 150
+#: Rounds, each over its share of the windows; windows of a step.
+ROUNDS, STEP = 3, 64
 #: Share of the words' own rates in the probability of a word.
 RATES = 0.7
 RATE = 0.01
@@ -299,8 +300,8 @@ LATER = np.triu(np.full((LENGTH, LENGTH), -1e9, np.float32), 1)
 EARLIER = np.tril(np.ones((LENGTH, LENGTH), np.float32))
 #: Row sums as products.
 ONES = np.ones(LENGTH, np.float32)
-#: Windows scored at once.
-BATCH = 128
+#: Windows scored at once, and places where a word may begin.
+BATCH, OPENED = 128, 1024
 
 
 def forward(w: dict, x: np.ndarray, first: int = 0, logits: bool = True) -> tuple:
@@ -399,17 +400,13 @@ def slopes(w: dict, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> dict[str,
 
 
 def train_windows(vector: np.ndarray, windows: np.ndarray, rate: float, seed: int) -> np.ndarray:
-    """Adam over shuffled windows (rows of symbols, -1 after their end), from ``vector``."""
+    """Adam over shuffled windows (rows of symbols, -1 after their end), each once."""
     values = vector.astype(np.float64)
     m, v = np.zeros_like(values), np.zeros_like(values)
     draw = np.random.default_rng(seed)
-    once = -(-len(windows) // STEP)
-    steps = max(once, min(LEAST_STEPS, 4 * once))
-    order = np.concatenate([draw.permutation(len(windows)) for _ in range(-(-steps // once))])
-    for step in range(1, steps + 1):
+    order = draw.permutation(len(windows))
+    for step in range(1, -(-len(windows) // STEP) + 1):
         rows = windows[order[(step - 1) * STEP : step * STEP]]
-        if not len(rows):
-            break
         x, y = rows[:, :-1], rows[:, 1:]
         slope = to_vector(slopes(to_weights(values), np.maximum(x, 0), np.maximum(y, 0), y >= 0))
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
@@ -477,8 +474,15 @@ def train_round(
 class Scorer:
     """Scores windows with what depends on a symbol and its place computed beforehand."""
 
-    def __init__(self, w: dict[str, np.ndarray], symbols: Symbols):
+    def __init__(
+        self, w: dict[str, np.ndarray], symbols: Symbols, begins: np.ndarray | None = None
+    ):
         self.symbols, self.w = symbols, w
+        #: Of each symbol, the share of its ids that begin a word.
+        self.opening = None
+        if begins is not None:
+            shares = np.bincount(symbols.of, weights=10.0**symbols.within * begins, minlength=SYMBOLS)
+            self.opening = shares.reshape(GROUPS, GROUP).astype(np.float32)
         e = (w["symbol"][:, None] + w["place"][None]).reshape(-1, WIDTH)
         n1, _ = even(e)
         self.e, self.query = e, n1 @ w["query"] * np.float32(WIDTH**-0.5)
@@ -502,8 +506,22 @@ class Scorer:
         np.exp(z, out=z)
         return hit - np.log(z @ ONES[:GROUP])
 
-    def shares(self, x: np.ndarray, y: np.ndarray, first: int) -> np.ndarray:
-        """Natural log of the target's probability at positions ``first``.. of windows."""
+    def opening_log(self, n: np.ndarray, groups: np.ndarray) -> np.ndarray:
+        """Natural log of the chance that the next id begins a word, over all symbols."""
+        z = (n @ self.w["out"] + self.w["bias"]).reshape(len(n), GROUPS, GROUP)
+        if not self.steady:
+            z -= z.max(axis=-1, keepdims=True)
+        np.exp(z, out=z)
+        within = np.einsum("ngs,gs->ng", z, self.opening) / (z @ ONES[:GROUP])
+        return np.log(np.maximum((within * groups).sum(axis=1), 1e-30))
+
+    def shares(
+        self, x: np.ndarray, y: np.ndarray, first: int, opens: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray | None]:
+        """Natural log of the target's probability at positions ``first``.. of windows.
+
+        Where ``opens``, also of the chance that a word begins there, else 0.
+        """
         w, at = self.w, x * LENGTH + np.arange(LENGTH)
         mine = at[:, first:]
         a = self.query.take(mine, axis=0) @ self.key.take(at, axis=0).transpose(0, 2, 1)
@@ -526,6 +544,16 @@ class Scorer:
         z = n @ w["group"]
         z += w["group_bias"]
         logs = self.softmax_log(z, group)
+        opening = None
+        if opens is not None:
+            # the product above left the exponentials of the groups
+            opening = np.zeros(len(n), np.float32)
+            at = np.flatnonzero(opens.ravel())
+            for i in range(0, len(at), OPENED):
+                mine = at[i : i + OPENED]
+                groups = z[mine] / z[mine].sum(axis=1, keepdims=True)
+                opening[mine] = self.opening_log(n[mine], groups)
+            opening = opening.reshape(y.shape)
         # positions whose targets share a group are done in one product
         order = np.argsort(group.astype(np.int16), kind="stable")
         sorted_n, sorted_target = n.take(order, axis=0), target[order]
@@ -536,10 +564,16 @@ class Scorer:
                 np.matmul(sorted_n[i:j], self.out[g], out=z[i:j])
                 z[i:j] += self.bias[g]
         logs[order] += self.softmax_log(z, sorted_target % GROUP)
-        return logs.reshape(y.shape)
+        return logs.reshape(y.shape), opening
+
+    def token_logs(
+        self, texts: list[np.ndarray], begins: np.ndarray | None = None
+    ) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """log10 probability of every id of each text, and of its end.
 
-    def token_logs(self, texts: list[np.ndarray]) -> list[np.ndarray]:
-        """log10 probability of every id of each text, and of its end."""
+        The second list has, where an id ``begins`` a word (the first of a text excepted,
+        which always does), log10 of the chance that any word begins there; 0 elsewhere.
+        """
         lengths = np.array([len(ids) + 1 for ids in texts])
         base = np.cumsum(lengths + 1 + LENGTH) - (lengths + 1 + LENGTH)
         line = np.zeros(base[-1] + lengths[-1] + 1 + LENGTH, np.uint16)
@@ -549,6 +583,11 @@ class Scorer:
             line[at + 1 + len(ids)] = STOP
         marks = self.symbols.of[line].astype(np.int64)
         out = self.symbols.within[line]
+        opening = np.zeros(len(line))
+        opens = np.zeros(len(line), bool)
+        if begins is not None:
+            opens = begins[line]
+            opens[base + 1] = False
         more = np.maximum(0, -(-(lengths - LENGTH) // STRIDE))
         later = np.repeat(np.arange(len(texts)), more)
         number = np.arange(len(later)) - np.repeat(np.cumsum(more) - more, more) + 1
@@ -561,9 +600,13 @@ class Scorer:
                 places = (base[mine] + begin)[:, None] + np.arange(LENGTH)
                 targets = places[:, first:] + 1
                 used = begin[:, None] + np.arange(first, LENGTH) < lengths[mine][:, None]
-                got = self.shares(marks[places], marks[targets], first)
+                asked = None if begins is None else opens[targets] & used
+                got, chance = self.shares(marks[places], marks[targets], first, asked)
                 out[targets[used]] += got[used] / np.log(10)
-        return [out[at + 1 : at + 1 + n] for at, n in zip(base.tolist(), lengths.tolist(), strict=True)]
+                if asked is not None:
+                    opening[targets[asked]] = chance[asked] / np.log(10)
+        ends = list(zip((base + 1).tolist(), (base + 1 + lengths).tolist(), strict=True))
+        return [out[i:j] for i, j in ends], [opening[i:j] for i, j in ends]
 
 
 @functools.lru_cache(1)
@@ -634,13 +677,13 @@ def score_texts(
         known, pieces = hot_logs(names, logs), token_bytes(tokenizer)
         begins = np.zeros(1 + STOP, bool)
         begins[[i for i, x in enumerate(pieces) if x[:1] == b" "] + [STOP]] = True
-        scorer = Scorer(model, symbols)
+        scorer = Scorer(model, symbols, begins)
         kind = pa.list_(pa.struct([("word", pa.binary()), ("log", pa.float64())]))
         for batch in batches:
             texts = [np.frombuffer(x, np.uint16) for x in batch.column("ids").to_pylist()]
             for first, last in slices([1 + len(x) for x in texts], 1 << 17):
                 part = texts[first:last]
-                columns = word_scores(part, scorer.token_logs(part), known, pieces, begins, norm)
+                columns = word_scores(part, *scorer.token_logs(part, begins), known, pieces, begins, norm)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[batch.column(x).slice(first, last - first) for x in ("key", "held")],
@@ -690,9 +733,19 @@ def score_texts(
     )
 
 
+def mixed_log(own: np.ndarray, logs: np.ndarray, norm: float) -> np.ndarray:
+    """log10 probability of words by subwords (``own``) and rates (``logs``: of count + 1).
+
+    As in the base score, all unseen words are one type with the rate of a count of 0.
+    """
+    ten = np.log(10)
+    return np.log10((1 - RATES) * np.exp(own * ten) + RATES * np.exp((logs - norm) * ten))
+
+
 def word_scores(
     texts: list[np.ndarray],
     tokens: list[np.ndarray],
+    opening: list[np.ndarray],
     known: dict[bytes, float],
     pieces: list[bytes],
     begins: np.ndarray,
@@ -701,7 +754,10 @@ def word_scores(
     """Per text: words and end, those seen in training, sum of log10(count + 1), log10
     probability, and (word, log10 by subwords) of those whose count is not at hand.
 
-    Where subwords do not part at the spaces (odd white space), subwords alone count; the
+    A word's subwords count given that a word begins, and with the chance that the next id
+    begins another, so the probabilities of all words after a context add up to one. They
+    are mixed with the words' own rates, in which all unseen words are one type. Where
+    subwords do not part at the spaces (odd white space), subwords alone count; the
     words of such a text that are not at hand are marked by a log above 0.
     """
     piece, words, sizes = pieces.__getitem__, [], []
@@ -725,12 +781,13 @@ def word_scores(
     apart = np.add.reduceat(starts, first_token, dtype=np.int64) == sizes
     owner = np.repeat(np.arange(len(texts)), sizes)
     own = np.ones(len(words))
-    own[apart[owner]] = np.add.reduceat(every, np.flatnonzero(starts))[
-        np.repeat(apart, np.add.reduceat(starts, first_token, dtype=np.int64))
-    ]
-    ten = np.log(10)
-    both = (1 - RATES) * np.exp(own * ten) + RATES * np.exp((logs - norm) * ten)
-    both = np.where(here & apart[owner], np.log10(both), 0)
+    at = np.flatnonzero(starts)
+    chance = np.concatenate(opening)[at]
+    # less the chance that a word begins here, plus that of another after it; ends have none
+    after = np.where(line[at] == STOP, 0, np.append(chance[1:], 0))
+    whole = np.add.reduceat(every, at) - chance + after
+    own[apart[owner]] = whole[np.repeat(apart, np.add.reduceat(starts, first_token, dtype=np.int64))]
+    both = np.where(here & apart[owner], mixed_log(own, logs, norm), 0)
     score = np.where(apart, np.add.reduceat(both, first_word), np.add.reduceat(every, first_token))
     rare: list[list[dict]] = [[] for _ in texts]
     for i in np.flatnonzero(~here).tolist():
