@@ -13,15 +13,17 @@ from collections.abc import Callable
 
 #: Letters that every tokenizer pattern counts as letters (Latin, Latin-1, Extended-A).
 LETTER = "A-Za-zÀ-ÖØ-öø-ſ"
-#: Safe places: before a single space between two words, and after a run of letters.
-CUT = re.compile(rf"(?<=\S)(?= \S)|(?<=[{LETTER}])(?=\W)")
-SINGLE = re.compile(rf" ?[{LETTER}]+")
+#: Safe places: before a single space between two words, after a run of letters, and after
+#: a line feed between two characters that are no white space.
+CUT = re.compile(rf"(?<=\S)(?= \S)|(?<=[{LETTER}])(?=\W)|(?<=\S\n)(?=\S)")
+SINGLE, LETTERS = re.compile(rf" ?[{LETTER}]+"), re.compile(rf"[{LETTER}]+")
+ENDED = re.compile(rf"([{LETTER}]+)([!-/:-@\[-`{{-~]+)")
 #: A part always ends before a single space between two other characters as well.
 SPACES = [c for c in map(chr, range(0x3001)) if c.isspace()]
 SINGLE_SPACE = re.compile(r" (?<=\S )(?=\S)")
 #: Characters per slice of a long text, bytes of remembered pieces per worker, longest one.
 SLICE = 1 << 20
-KEPT_BYTES, KEPT_PIECE = 96 << 20, 64
+KEPT_BYTES, KEPT_PIECE = 160 << 20, 64
 #: The space as byte-level vocabularies show it.
 SPACE = "\u0120"
 
@@ -146,10 +148,15 @@ class Subwords:
 
     def spaced(self, word: str) -> bytes:
         """Ids of a word and the single space before it."""
-        pieces = self.segments(" " + word)
-        one = self.new_ids(pieces[0]) if len(pieces) == 1 else None
-        ids = b"".join(map(self.pieces.__getitem__, pieces)) if one is None else one
-        return self.remember(self.words, word, ids)
+        if LETTERS.fullmatch(word):
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.table)
+            ids = [token.id for token in self.model.tokenize(SPACE + shown)]
+            return self.remember(self.words, word, struct.pack(f"<{len(ids)}I", *ids))
+        ended = ENDED.fullmatch(word)
+        if ended:
+            # a word and the marks after it are parts of their own
+            return self.words[ended[1]] + self.pieces[ended[2]]
+        return b"".join(map(self.pieces.__getitem__, self.segments(" " + word)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
