@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+import ahocorasick
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tokenloom.functions import arrays, text as tx
 
+#: Remembered pretokens per worker and their longest; rows of a batch of occurrences.
+SEEN_PRETOKENS, SEEN_LETTERS, FOUND_ROWS = 100_000, 64, 1 << 18
+
 
 def split_special(
     df: DataFrame, specials: Sequence[str], text: str = "text", keep: Sequence[str] = ("doc_id",)
@@ -118,6 +123,80 @@ def find_occurrences(
     return found
 
 
+def find_all_occurrences(
+    spans: DataFrame, needles: Sequence[bytes], key: str = "doc_id"
+) -> DataFrame:
+    """Every occurrence of many byte strings inside pretoken spans, in one pass.
+
+    (key, pos, offset, needle): ``needle`` is the place of the string in ``needles``,
+    ``offset`` the byte where it begins. One automaton over bytes serves all strings, so the
+    cost is that of the text and of what is found; overlaps are kept. The strings are
+    bounded by a vocabulary; empty ones are refused, equal ones found under each place.
+    """
+    if not all(needles):
+        raise ValueError("byte strings must not be empty")
+    lifted: dict[str, list[int]] = {}
+    for place, needle in enumerate(needles):
+        lifted.setdefault(bytes(needle).decode("latin-1"), []).append(place)
+    rows = spans.select(F.col(key).alias("key"), "pos", "start", "pretoken")
+    schema = T.StructType(
+        [
+            rows.schema["key"],
+            rows.schema["pos"],
+            T.StructField("offset", T.LongType()),
+            T.StructField("needle", T.IntegerType()),
+        ]
+    )
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = ahocorasick.Automaton()
+        for needle, places in lifted.items():
+            automaton.add_word(needle, (len(needle), places))
+        if lifted:
+            automaton.make_automaton()
+        seen: dict[str, list[tuple[int, int]]] = {}
+        for batch in batches:
+            if not lifted:
+                continue
+            at, offsets, found = [], [], []
+            starts = batch.column(2).to_pylist()
+            for row, pretoken in enumerate(batch.column(3).to_pylist()):
+                hits = seen.get(pretoken)
+                if hits is None:
+                    hits = [
+                        (end + 1 - length, place)
+                        for end, (length, places) in automaton.iter(pretoken.encode().decode("latin-1"))
+                        for place in places
+                    ]
+                    if len(pretoken) <= SEEN_LETTERS:
+                        if len(seen) >= SEEN_PRETOKENS:
+                            seen.clear()
+                        seen[pretoken] = hits
+                for inner, place in hits:
+                    at.append(row)
+                    offsets.append(starts[row] + inner)
+                    found.append(place)
+                if len(at) >= FOUND_ROWS:
+                    yield handed(batch, at, offsets, found)
+                    at, offsets, found = [], [], []
+            if at:
+                yield handed(batch, at, offsets, found)
+
+    def handed(batch: pa.RecordBatch, at: list, offsets: list, found: list) -> pa.RecordBatch:
+        rows = pa.array(at, pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column(0).take(rows),
+                batch.column(1).take(rows),
+                pa.array(offsets, pa.int64()),
+                pa.array(found, pa.int32()),
+            ],
+            names=["key", "pos", "offset", "needle"],
+        )
+
+    return rows.mapInArrow(find, schema).withColumnRenamed("key", key)
+
+
 def pretokens_at(spans: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
     """The spans whose (key, pos) is listed in ``wanted``."""
     return spans.join(wanted.select(key, "pos"), [key, "pos"], "left_semi")

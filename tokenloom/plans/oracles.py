@@ -447,6 +447,14 @@ FROM files JOIN (SELECT part, count(*) AS n_lines, sum(n)::BIGINT AS line_bytes
 )""") + f"""SELECT ord(substr(pair, 1, 1))::INT AS left_code, ord(substr(pair, 2, 1))::INT AS right_code, n
 FROM ({pairs_of('a')})"""
     sql["pair_occurrences"] = with_(PRE, OCC, SPANS, found("th")) + "SELECT * FROM th_found"
+    spelled = f"spelled AS MATERIALIZED (SELECT 256 + rank AS token_id, spelled FROM m{q.N_MERGES})"
+    hits = """hits AS MATERIALIZED (
+  SELECT pretoken, token_id, i - 1 AS inner_byte FROM (
+    SELECT pretoken, sym, unnest(range(1, length(sym) + 1)) AS i FROM w0)
+  JOIN spelled ON substr(sym, i::INT, length(spelled)) = spelled)"""
+    sql["token_occurrences"] = with_(BPE, OCC, SPANS, spelled, hits) + """SELECT doc_id, token_id::INT AS token_id,
+  count(*) AS n, min(start_byte + inner_byte)::BIGINT AS first_byte, max(start_byte + inner_byte)::BIGINT AS last_byte
+FROM spans JOIN hits USING (pretoken) GROUP BY ALL"""
     sql["unmerged_occurrences"] = with_(PRE, OCC, SPANS, found("th"), found("he")) + """SELECT * FROM he_found h
 WHERE NOT EXISTS (SELECT 1 FROM th_found t WHERE t.doc_id = h.doc_id AND t.offset_byte = h.offset_byte)
   AND NOT EXISTS (SELECT 1 FROM th_found t WHERE t.doc_id = h.doc_id AND t.offset_byte = h.offset_byte + 2)"""

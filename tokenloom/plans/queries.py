@@ -340,6 +340,22 @@ def pair_occurrences(spark, sf):
     return pt.find_occurrences(spans, "th").withColumnRenamed("offset", "offset_byte")
 
 
+@query
+def token_occurrences(spark, sf):
+    """All tokens of more than one byte, wherever they stand in the texts, in one pass."""
+    tokens = [bytes(x) for x in model(spark, sf).tokens[256:END_ID]]
+    spans = pt.pretoken_spans(documents(spark, sf), least=2)
+    return (
+        pt.find_all_occurrences(spans, tokens)
+        .groupBy("doc_id", (F.col("needle") + 256).alias("token_id"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("offset").alias("first_byte"),
+            F.max("offset").alias("last_byte"),
+        )
+    )
+
+
 @query
 def unmerged_occurrences(spark, sf):
     spans = materialize(pt.pretoken_spans(documents(spark, sf), least=2))
