@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tokenloom.plans import queries as q
+from tokenloom.sources.snapshots import BLOCK_TOKENS
 
 W = r"[\s\x0b\x{85}\p{Z}]"
 N = r"[^\s\x0b\x{85}\p{Z}]"
@@ -568,6 +569,9 @@ FROM {nxt} GROUP BY 1 HAVING count(nxt) = {q.WINDOW}"""
     sql["next_token_labels"] = STREAM + f"""SELECT id::INT AS token_id, nxt::INT AS label, count(*) AS n FROM {nxt}
 WHERE gp < (SELECT (n - 1) // {q.WINDOW} * {q.WINDOW} FROM tot) GROUP BY 1, 2"""
     sql["sample_windows_random"] = samples("random")
+    sql["sample_windows_indexed"] = samples("random")
+    sql["token_block_manifest"] = STREAM + f"""SELECT gp // {BLOCK_TOKENS} AS block_id, count(*)::INT AS n_tokens,
+  md5(string_agg(id::VARCHAR, ',' ORDER BY gp)) AS md5 FROM tok GROUP BY 1"""
     sql["sample_windows_aligned"] = samples("aligned")
     sql["window_start_histogram"] = STREAM + f"""SELECT start, count(*) AS n, round({q.HISTOGRAM_DRAWS}.0::DOUBLE / any_value(k), 6) AS expected,
   abs(count(*) - {q.HISTOGRAM_DRAWS}.0::DOUBLE / any_value(k))

@@ -20,7 +20,7 @@ from tokenloom.operators import (
     vocabulary as vc,
 )
 from tokenloom.session import materialize, scratch_path
-from tokenloom.sources import artifacts, corpus, ranges
+from tokenloom.sources import artifacts, corpus, ranges, snapshots
 from tokenloom.streaming import jobs
 
 N_MERGES = 32
@@ -705,6 +705,30 @@ def sample_windows_aligned(spark, sf):
     return _window_rows(ds.sample_windows(stream(spark, sf), BATCH, WINDOW, "aligned", SEED), "sample_id")
 
 
+def token_blocks(spark: SparkSession, sf: str) -> snapshots.Snapshot:
+    """The token stream as a stored snapshot of blocks."""
+
+    def build() -> snapshots.Snapshot:
+        return snapshots.write_token_blocks(stream(spark, sf), scratch_path(spark, "token_blocks"))
+
+    return shared("token_blocks", spark, sf, build)
+
+
+@query
+def sample_windows_indexed(spark, sf):
+    """The windows of ``sample_windows_random``, read from the files that hold them only."""
+    plan = snapshots.plan_windows(spark, token_blocks(spark, sf), BATCH, WINDOW, "random", SEED)
+    return _window_rows(snapshots.read_windows(spark, plan, WINDOW), "sample_id")
+
+
+@query
+def token_block_manifest(spark, sf):
+    """Blocks of the last snapshot, as its readers see them."""
+    made = token_blocks(spark, sf)
+    rows = snapshots.read_snapshot(spark, made.path)
+    return rows.select("block_id", F.size("tokens").alias("n_tokens"), F.md5(comma("tokens")).alias("md5"))
+
+
 def _n_tokens(spark, sf) -> int:
     return stream(spark, sf).agg(F.sum(F.size("tokens"))).first()[0]
 
