@@ -105,3 +105,31 @@ def test_lower_held_out_perplexity_than_the_bigram(spark, small_docs):
     model = bo.kneser_ney(bo.ngram_counts(train, 4), 4, 256)
     after = sc.eval_losses(bo.score_backoff(valid, model).withColumn("split", F.lit("v"))).first()
     assert after.perplexity < 0.8 * before.perplexity
+
+
+def test_draws_follow_the_distribution(spark):
+    """First tokens of many prompts, against the probabilities of their contexts."""
+    docs = made(8, 200)
+    model = bo.kneser_ney(bo.ngram_counts(frame(spark, docs), 3), 3, 7)
+    p = brute(docs, 3, 7)
+    contexts = [[0, 1], [5, 4], [], [6, 6]]
+    rows = [(f"{c}:{i}", contexts[c]) for c in range(4) for i in range(4000)]
+    prompts = spark.createDataFrame(rows, "prompt_id string, tokens array<int>")
+    found = bo.generate_backoff(prompts, model, 99, 1).collect()
+    counts = Counter((int(x.prompt_id[0]), x.generated[0]) for x in found)
+    for c, context in enumerate(contexts):
+        line = ([-1, -1] + context)[-2:]
+        for token in range(7):
+            wanted = p((*line, token))
+            assert abs(counts[c, token] / 4000 - wanted) < 5 * (wanted * (1 - wanted) / 4000) ** 0.5 + 1e-3
+
+
+def test_generation_is_stable_and_stops(spark):
+    docs = made(9, 100)
+    model = bo.kneser_ney(bo.ngram_counts(frame(spark, docs), 3), 3, 7)
+    prompts = spark.createDataFrame([(i, [i % 7]) for i in range(30)], "prompt_id int, tokens array<int>")
+    rows = {x.prompt_id: x.generated for x in bo.generate_backoff(prompts, model, 4, 9).collect()}
+    again = bo.generate_backoff(prompts.repartition(3), model, 4, 9, checkpoint_every=1).collect()
+    assert rows == {x.prompt_id: x.generated for x in again}
+    assert all(x[-1] == 4 or len(x) == 9 for x in rows.values())
+    assert all(4 not in x[:-1] for x in rows.values()) and any(len(x) == 9 for x in rows.values())

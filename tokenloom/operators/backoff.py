@@ -12,9 +12,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tokenloom.operators.joins import spread_left_join
+from tokenloom.functions.draws import draw_uniform
+from tokenloom.operators.generation import SUM_DIGITS
+from tokenloom.operators.joins import fits_broadcast, spread_left_join
 from tokenloom.session import materialize
 
 #: The token that stands before the first one of a document.
@@ -62,6 +64,7 @@ class BackoffModel:
     grams: dict[int, DataFrame]
     shares: dict[int, DataFrame]
     unseen: float
+    discounts: dict[int, float]
 
 
 def discount(ones: int, twos: int) -> float:
@@ -84,13 +87,14 @@ def kneser_ney(grams: DataFrame, order: int, vocab_size: int) -> BackoffModel:
         counts[k] = materialize(counts[k + 1].groupBy(*names).agg(F.count(F.lit(1)).alias("n")))
     tables: dict[int, DataFrame] = {}
     shares: dict[int, DataFrame] = {}
+    discounts: dict[int, float] = {}
     unseen = 1 / vocab_size
     for k in range(1, order + 1):
         context = context_names(k)
         seen = counts[k].agg(
             F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2), F.sum("n"), F.count(F.lit(1))
         ).first()
-        off = discount(seen[0], seen[1])
+        off = discounts[k] = discount(seen[0], seen[1])
         if k == 1:
             total, types = seen[2] or 0, seen[3]
             if total:
@@ -110,7 +114,7 @@ def kneser_ney(grams: DataFrame, order: int, vocab_size: int) -> BackoffModel:
         met = spread_left_join(met, below, keys, "weight", F.struct(*context))
         prob = (F.col("n") - off) / F.col("total") + F.col("share") * F.col("lower")
         tables[k] = materialize(met.select(*context, "next", "n", prob.alias("prob")))
-    return BackoffModel(order, vocab_size, tables, shares, unseen)
+    return BackoffModel(order, vocab_size, tables, shares, unseen, discounts)
 
 
 def with_probability(facts: DataFrame, model: BackoffModel) -> DataFrame:
@@ -175,3 +179,86 @@ def next_tokens(contexts: DataFrame, model: BackoffModel) -> DataFrame:
     """
     tokens = F.explode(F.sequence(F.lit(0), F.lit(model.vocab_size - 1))).alias("next")
     return with_probability(contexts.select(*contexts.columns, tokens), model)
+
+
+def draw_tables(model: BackoffModel) -> dict[int, DataFrame]:
+    """Per order, (contexts..., weight, choices): running sums of the discounted counts.
+
+    A draw above the last sum goes on to the shorter context. A context has at most one
+    entry per token; the more frequent come first, of equal ones the lesser id.
+    """
+    out = {}
+    for k in range(1, model.order + 1):
+        context = context_names(k) or ["root"]
+        counts = model.grams[k] if k > 1 else model.grams[1].withColumn("root", F.lit(0))
+        total = F.sum("n").over(Window.partitionBy(*context))
+        ordered = Window.partitionBy(*context).orderBy(F.col("n").desc(), "next")
+        upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        part = (F.col("n") - model.discounts[k]) / total
+        summed = counts.withColumn("part", part).select(
+            *context, "next", F.round(F.sum("part").over(upto), SUM_DIGITS).alias("upper")
+        )
+        listed = F.array_sort(F.collect_list(F.struct("upper", "next")))
+        out[k] = materialize(
+            summed.groupBy(*context).agg(
+                F.count(F.lit(1)).alias("weight"), listed.alias(f"choices{k}")
+            )
+        )
+    return out
+
+
+def generate_backoff(
+    prompts: DataFrame,
+    model: BackoffModel,
+    end_id: int,
+    max_tokens: int,
+    seed: int = 42,
+    key: str = "prompt_id",
+    tokens: str = "tokens",
+    checkpoint_every: int = 4,
+) -> DataFrame:
+    """(key, generated): ids drawn from the model's own distribution, all prompts at once.
+
+    The context is as long as the model's. Each order draws once: among the discounted
+    counts of its context, or on to the next shorter one, which is the interpolated
+    distribution without ever listing the vocabulary for a prompt. Draws depend on (seed,
+    key, step, order) only. A prompt stops at the delimiter, which stays in its output.
+    """
+    tables = draw_tables(model)
+    small = {k: fits_broadcast(table) for k, table in tables.items()}
+    names = context_names(model.order)
+    last = [
+        F.coalesce(F.try_element_at(tokens, F.lit(-int(name[1:]))), F.lit(BEGIN)).cast("int").alias(name)
+        for name in names
+    ]
+    state = prompts.select(
+        key, *last, F.lit(False).alias("done"), F.array().cast("array<int>").alias("generated")
+    )
+    for step in range(max_tokens):
+        found, picks = state.withColumn("root", F.when(~F.col("done"), F.lit(0))), []
+        for k in range(model.order, 0, -1):
+            context = context_names(k) or ["root"]
+            found = spread_left_join(found, tables[k], context, "weight", F.col(key), small=small[k])
+            drawn = draw_uniform(seed, F.col(key), F.lit(step), F.lit(k))
+            found = found.withColumn("u", drawn)
+            hit = F.filter(f"choices{k}", lambda c: c["upper"] > F.col("u"))
+            found = found.withColumn(f"pick{k}", F.get(hit, F.lit(0))["next"]).drop("u", f"choices{k}")
+            picks.append(F.col(f"pick{k}"))
+        any_token = F.floor(draw_uniform(seed, F.col(key), F.lit(step), F.lit(0)) * model.vocab_size)
+        found = found.withColumn("pick", F.coalesce(*picks, any_token).cast("int"))
+        ends = F.col("done") | (F.col("pick") == end_id)
+        following = [F.col(name) for name in names[1:]] + [F.col("pick")]
+        state = found.select(
+            key,
+            # a finished prompt leaves the joins: null keys are spread and find nothing
+            *[F.when(~ends, value).alias(name) for name, value in zip(names, following)],
+            ends.alias("done"),
+            F.when(F.col("done"), F.col("generated"))
+            .otherwise(F.concat("generated", F.array("pick")))
+            .alias("generated"),
+        )
+        if (step + 1) % checkpoint_every == 0:
+            state = materialize(state)
+            if state.where(~F.col("done")).isEmpty():
+                break
+    return state.select(key, "generated")

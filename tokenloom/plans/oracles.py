@@ -679,6 +679,30 @@ FROM scores GROUP BY split"""
     ) + f"""SELECT prompt_id, len(generated)::INT AS n_new, array_to_string(generated, ',') AS generated
 FROM g{q.NEW_TOKENS}"""
     sql["generate_shuffled"] = sql["generate"]
+    drawn_steps = []
+    for step in range(q.FEW_TOKENS):
+        u = {k: uniform("prompt_id", f"'{step}'", f"'{k}'") for k in range(4)}
+        drawn_steps.append(f"""b{step + 1} AS MATERIALIZED (
+  SELECT prompt_id, c1 AS c2, pick AS c1, done OR pick = {q.END_ID} AS done,
+    CASE WHEN done THEN generated ELSE list_append(generated, pick) END AS generated
+  FROM (SELECT b.*, coalesce(t3.next, t2.next, t1.next, floor({u[0]} * {q.VOCAB_SIZE})::INT) AS pick FROM b{step} b
+    LEFT JOIN cum3 t3 ON t3.c2 = b.c2 AND t3.c1 = b.c1 AND {u[3]} >= t3.lower AND {u[3]} < t3.upper
+    LEFT JOIN cum2 t2 ON t2.c1 = b.c1 AND {u[2]} >= t2.lower AND {u[2]} < t2.upper
+    LEFT JOIN cum1 t1 ON {u[1]} >= t1.lower AND {u[1]} < t1.upper))""")
+
+    def running(k: int, context: str) -> str:
+        part = f"PARTITION BY {context} " if context else ""
+        return f"""cum{k} AS MATERIALIZED (
+  SELECT *, coalesce(lag(upper) OVER ({part}ORDER BY n DESC, next), 0) AS lower FROM (
+    SELECT *, round(sum(part) OVER ({part}ORDER BY n DESC, next ROWS UNBOUNDED PRECEDING), 9) AS upper FROM (
+      SELECT g{k}.*, (n - d{k}) / sum(n) OVER ({part}) AS part FROM g{k}, d)))"""
+
+    sql["generate_from_contexts"] = backoff.rstrip() + ",\n" + ",\n".join(
+        [users, running(3, "c2, c1"), running(2, "c1"), running(1, ""),
+         """b0 AS (SELECT prompt_id, coalesce(ids[-2], -1)::INT AS c2, coalesce(ids[-1], -1)::INT AS c1,
+  false AS done, []::INT[] AS generated FROM turn_ids)""", *drawn_steps]
+    ) + f"""
+SELECT prompt_id, len(generated)::INT AS n_new, array_to_string(generated, ',') AS generated FROM b{q.FEW_TOKENS}"""
     first = descent(VECTORS, 10, 64, [q.RATES[0]])
     sql["grad_norm"] = first + "SELECT round(norm, 9) AS grad_norm FROM norm1"
     sql["classifier_step"] = first + (

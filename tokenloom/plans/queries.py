@@ -33,6 +33,7 @@ TEMPERATURE = 0.8
 NUCLEUS = 0.9
 PROMPT_LENGTH = 32
 ORDER = 3
+FEW_TOKENS = 5
 NEW_TOKENS = 10
 KNN_LENGTH = 32
 BATCH = 64
@@ -922,6 +923,15 @@ def generate(spark, sf):
     )
 
 
+@query
+def generate_from_contexts(spark, sf):
+    """Continuations drawn from contexts of two tokens, shorter ones where they are unknown."""
+    done = bo.generate_backoff(_prompts(spark, sf), backoff_model(spark, sf), END_ID, FEW_TOKENS, SEED)
+    return done.select(
+        "prompt_id", F.size("generated").alias("n_new"), comma("generated").alias("generated")
+    )
+
+
 @query
 def generate_shuffled(spark, sf):
     # The same by the shuffled join; finished prompts and frequent contexts are spread.
