@@ -269,6 +269,41 @@ def cosine_rates(top: float, bottom: float, steps: int) -> list[float]:
     return [bottom + 0.5 * (top - bottom) * (1 + cos(pi * t / steps)) for t in range(1, steps + 1)]
 
 
+def sparse_descent(rates: list[float]) -> str:
+    """Two classes over present buckets: their weights stay opposite, so one is kept.
+
+    The weights of all steps are rows of one recursion over (step, bucket).
+    """
+    sizes = [rate * (1 - 0.999**t) ** 0.5 / (1 - 0.9**t) for t, rate in enumerate(rates, start=1)]
+    steps = ", ".join(f"({t}, {r * 0.01!r}::DOUBLE, {s!r}::DOUBLE)" for t, (r, s) in enumerate(zip(rates, sizes), start=1))
+    return f"""WITH RECURSIVE cnt AS MATERIALIZED (
+  SELECT doc_id, (('0x' || substr(md5(pretoken), 1, 8))::BIGINT % {q.SPARSE_BUCKETS})::INT AS dim, count(*) AS n
+  FROM (SELECT doc_id, unnest({words_of('text')}) AS pretoken FROM documents) GROUP BY ALL
+), every AS MATERIALIZED (
+  SELECT doc_id AS id, dim, n / sum(n) OVER (PARTITION BY doc_id) AS x FROM cnt
+), labelled AS MATERIALIZED (
+  SELECT l.doc_id AS id, quality AS y FROM labels l JOIN documents USING (doc_id) WHERE quality IS NOT NULL
+), x AS MATERIALIZED (SELECT every.*, y FROM every JOIN labelled USING (id)
+), rates(t, decay, size) AS (VALUES {steps}
+), p AS (
+  SELECT 0 AS t, dim, 0.0::DOUBLE AS value, 0.0::DOUBLE AS m, 0.0::DOUBLE AS v FROM x GROUP BY dim
+  UNION ALL
+  SELECT t + 1, dim, (value - size * m2 / (sqrt(v2) + 1e-8::DOUBLE)) * (1 - decay), m2, v2 FROM (
+    SELECT p.t, p.dim, value, decay, size, 0.9::DOUBLE * m + {1 - 0.9!r}::DOUBLE * g AS m2,
+      0.999::DOUBLE * v + {1 - 0.999!r}::DOUBLE * g * g AS v2
+    FROM p JOIN rates ON rates.t = p.t + 1 JOIN (
+      SELECT dim, raw * CASE WHEN norm > {q.MAX_NORM} THEN {q.MAX_NORM} / (norm + 1e-6::DOUBLE) ELSE 1 END AS g
+      FROM (SELECT dim, raw, sqrt(2 * sum(raw * raw) OVER ()) AS norm FROM (
+        SELECT dim, sum(x * (p1 - y)) / (SELECT count(*) FROM labelled) AS raw
+        FROM x JOIN (SELECT id, 1 / (1 + exp(-2 * sum(x * value))) AS p1 FROM x JOIN p USING (dim) GROUP BY id) USING (id)
+        GROUP BY dim))) USING (dim))
+), scored AS MATERIALIZED (
+  SELECT d.doc_id, quality, 1 / (1 + exp(-2 * coalesce(z, 0))) AS p1
+  FROM documents d LEFT JOIN labels USING (doc_id) LEFT JOIN (
+    SELECT id, sum(x * value) AS z FROM every JOIN p USING (dim) WHERE t = {len(rates)} GROUP BY id) ON id = d.doc_id
+) """
+
+
 THREE_STEPS = cosine_rates(0.05, 0.01, 3)
 
 
@@ -595,11 +630,13 @@ FROM (SELECT vec_id, dim, exp(x / 0.5 - max(x / 0.5) OVER (PARTITION BY vec_id))
     sql["cross_entropy_long"] = with_(NLL) + f"SELECT {loss}"
     sql["rms_normalize"] = with_(LOGITS) + """SELECT vec_id, dim,
   round(x / sqrt(avg(x * x) OVER (PARTITION BY vec_id) + 1e-5::DOUBLE), 6) AS x FROM z"""
-    sql["soft_knn"] = f"""WITH s AS MATERIALIZED (
+
+    def votes_of(length: int) -> str:
+        return f"""WITH s AS MATERIALIZED (
   SELECT vec_id, label, embedding::DOUBLE[] AS v, row_number() OVER (ORDER BY vec_id) - 1 AS p FROM embeddings
 ), w AS MATERIALIZED (
   SELECT a.vec_id, a.label, b.label AS y, list_dot_product(a.v, b.v) / sqrt(len(a.v)) AS z
-  FROM s a JOIN s b ON a.p // {q.KNN_LENGTH} = b.p // {q.KNN_LENGTH} AND b.p < a.p
+  FROM s a JOIN s b ON a.p // {length} = b.p // {length} AND b.p < a.p
 ), e AS MATERIALIZED (
   SELECT *, exp(z - max(z) OVER (PARTITION BY vec_id)) AS e FROM w
 ), votes AS MATERIALIZED (
@@ -608,6 +645,9 @@ FROM (SELECT vec_id, dim, exp(x / 0.5 - max(x / 0.5) OVER (PARTITION BY vec_id))
 ), best AS (
   SELECT vec_id, y, weight FROM votes QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY weight DESC, y) = 1
 ) SELECT s.vec_id, s.label, y AS predicted, round(weight, 6) AS weight FROM s LEFT JOIN best USING (vec_id)"""
+
+    sql["soft_knn"] = votes_of(q.KNN_LENGTH)
+    sql["soft_knn_long"] = votes_of(q.LONG_KNN)
     model = with_(BPE, ENC, OCC, DOC, TOK, BIGRAMS)
     sql["ngram_model"] = model + (
         "SELECT prev::INT AS prev, next::INT AS next, n, ctx_n, round(prob, 9) AS prob FROM ng"
@@ -749,5 +789,12 @@ WHERE class = y GROUP BY 2"""
         SELECT x.id, class, sum(x.x * value) AS z FROM all_x x JOIN p3 USING (dim) GROUP BY ALL)))
 LEFT JOIN labels ON labels.doc_id = id GROUP BY id, quality"""
     )
+    sparse = sparse_descent(cosine_rates(0.05, 0.01, q.SPARSE_STEPS))
+    sql["quality_classifier_sparse"] = sparse + """SELECT doc_id, quality,
+  CASE WHEN round(1 - p1, 9) >= round(p1, 9) THEN 0 ELSE 1 END AS predicted, round(greatest(p1, 1 - p1), 4) AS prob FROM scored"""
+    sql["quality_loss_sparse"] = sparse + """SELECT quality, count(*) AS n, round(avg(nll), 6) AS loss,
+  round(exp(avg(nll)), 4) AS perplexity FROM (
+    SELECT quality, -ln(CASE WHEN quality = 1 THEN p1 ELSE 1 - p1 END) AS nll FROM scored WHERE quality IS NOT NULL)
+GROUP BY quality"""
     sql["stream_counts"] = sql["pretoken_counts"]
     return sql

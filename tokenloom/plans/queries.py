@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tokenloom.functions import arrays as ar, optimizer as opt, text as tx
 from tokenloom.operators import (
+    attention as at,
     backoff as bo,
     codec as cd,
     datasets as ds,
@@ -16,6 +17,7 @@ from tokenloom.operators import (
     pairs as pr,
     pretokens as pt,
     scoring as sc,
+    sparse_models as sm,
     training as tr,
     vocabulary as vc,
 )
@@ -35,13 +37,13 @@ PROMPT_LENGTH = 32
 ORDER = 3
 FEW_TOKENS = 5
 NEW_TOKENS = 10
-KNN_LENGTH = 32
+KNN_LENGTH, LONG_KNN = 32, 10_000
 BATCH = 64
 HISTOGRAM_DRAWS = 100_000
 PLAN = {"batch": 8, "length": WINDOW, "total_tokens": 2_000_000, "schedule_epochs": 2}
 RATES = (2e-3, 2e-4)
 WARMUP = 100
-FEATURES = 32
+FEATURES, SPARSE_BUCKETS, SPARSE_STEPS = 32, 1 << 20, 100
 MAX_NORM = 0.1
 ONE_FILE = 64 << 20
 LONG_LIST, LONG_SQUARE = 900, 12
@@ -817,6 +819,13 @@ def soft_knn(spark, sf):
     return votes.withColumn("weight", F.round("weight", 6))
 
 
+@query
+def soft_knn_long(spark, sf):
+    # Blocks of 10,000 rows, by tiles.
+    votes = at.soft_knn_blocks(materialize(_vectors(spark, sf)), LONG_KNN)
+    return votes.withColumn("weight", F.round("weight", 6))
+
+
 @query
 def ngram_model(spark, sf):
     return next_token_table(spark, sf).withColumn("prob", F.round("prob", 9))
@@ -1082,6 +1091,43 @@ def classifier_loss(spark, sf):
     return _loss_rows(md.classifier_losses(rows, learned, ["label"], "embedding"), "label")
 
 
+def _sparse_quality(spark, sf):
+    """(entries of all documents, weights learned from the labelled ones)."""
+
+    def build():
+        labels = table(spark, sf, "labels").select("doc_id", "quality")
+        every = documents(spark, sf).join(labels, "doc_id", "left")
+        entries = sm.with_frequencies(
+            sm.hashed_entries(every, SPARSE_BUCKETS, keep=("doc_id", "quality"))
+        )
+        learned = sm.train_sparse_classifier(
+            entries.where("quality is not null"),
+            2,
+            SPARSE_STEPS,
+            label="quality",
+            rates=(0.05, 0.01),
+            max_norm=MAX_NORM,
+        )
+        return entries, materialize(learned)
+
+    return shared("sparse quality", spark, sf, build)
+
+
+@query
+def quality_classifier_sparse(spark, sf):
+    # 2^20 hash buckets, 100 steps; predicted for all documents.
+    entries, learned = _sparse_quality(spark, sf)
+    found = sm.classify_entries(entries, learned, 2, keep=("quality",))
+    return found.withColumn("prob", F.round("prob", 4))
+
+
+@query
+def quality_loss_sparse(spark, sf):
+    entries, learned = _sparse_quality(spark, sf)
+    labelled = entries.where("quality is not null")
+    return _loss_rows(sm.sparse_losses(labelled, learned, 2, ["quality"], label="quality"), "quality")
+
+
 # Streams.
 
 
