@@ -56,3 +56,30 @@ def test_every_training_token_is_learned_once(spark, monkeypatch):
     monkeypatch.setattr(lm, "train_round", spy)
     held = lm.score_texts(docs, RANKS).where("not held_out").count()
     assert seen == [(k, held) for k in range(lm.ROUNDS)]
+
+
+def test_groups_hold_ids_that_begin_words_or_others():
+    """The chance of a word is that of its groups, as summed over all symbols."""
+    draw = np.random.default_rng(5)
+    pieces = lm.token_bytes(RANKS)
+    begins = lm.word_begins(pieces)
+    for used in (0, 40, 400, 20_000):
+        counts = np.zeros(1 << 16)
+        counts[draw.integers(0, 50_000, used)] = draw.integers(1, 1000, used)
+        counts[lm.STOP] = 7
+        lines = [draw.integers(0, 50_000, 3 * used).astype(np.uint16)]
+        symbols = lm.make_symbols(counts, lines, pieces)
+        groups = symbols.of // lm.GROUP
+        ids = np.arange(len(pieces))
+        assert not set(groups[ids[begins[ids]]]) & set(groups[ids[~begins[ids]]])
+        assert symbols.of[lm.BEGIN] == lm.SYMBOLS - 1
+        shares = np.bincount(symbols.of, weights=10.0**symbols.within, minlength=lm.SYMBOLS)
+        assert np.allclose(shares[np.bincount(symbols.of, minlength=lm.SYMBOLS) > 0], 1)
+        scorer = lm.Scorer(lm.start_weights(symbols.rates), symbols, begins)
+        texts = [draw.integers(0, 50_000, n).astype(np.uint16) for n in (0, 5, 90)]
+        logs, quick = scorer.token_logs(texts, begins)
+        assert scorer.pure is not None
+        scorer.pure = None
+        again, summed = scorer.token_logs(texts, begins)
+        for a, b in zip(logs + quick, again + summed, strict=True):
+            assert np.allclose(a, b, atol=2e-5)

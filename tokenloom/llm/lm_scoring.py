@@ -147,6 +147,13 @@ def gather(docs: DataFrame, tokenizer: str, modulus: int, held_out: int) -> Data
 BEGIN, STOP = 65534, 65535
 
 
+def word_begins(pieces: list[bytes]) -> np.ndarray:
+    """By id, whether it begins a word: with a space, or the end of a text."""
+    begins = np.zeros(1 + STOP, bool)
+    begins[[i for i, x in enumerate(pieces) if x[:1] == b" "] + [STOP]] = True
+    return begins
+
+
 @dataclass
 class Symbols:
     """Symbol of every id, and log10 of an id's share within its symbol."""
@@ -212,35 +219,70 @@ def counts_before(texts: DataFrame, of: np.ndarray) -> np.ndarray:
     return before
 
 
-def make_symbols(counts: np.ndarray, before: np.ndarray | list[np.ndarray], vocabulary: int) -> Symbols:
+def cluster(shape: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+    """One of ``n`` classes for every id, by what stands before it (rows of unit length)."""
+    heavy = np.argsort(-counts, kind="stable")
+    centres = shape[heavy[:: max(1, min(len(shape), 8 * n) // n)][:n]]
+    for _ in range(12):
+        mine = (shape @ centres.T).argmax(axis=1)
+        for c in range(len(centres)):
+            if (mine == c).any():
+                mean = (shape[mine == c] * np.log1p(counts[mine == c])[:, None]).sum(axis=0)
+                centres[c] = mean / max(np.linalg.norm(mean), 1e-9)
+    return mine
+
+
+def classes_of_begins(heads: int, weight: float) -> int:
+    """Classes of ids that begin a word: about their share, so that they fill whole groups.
+
+    ``heads`` frequent ids and the class of the rarest are symbols that begin a word, too.
+    """
+    fitting = range(-(heads + 1) % GROUP, CLASSES - 1, GROUP)
+    return min(fitting, key=lambda n: abs(n - weight * (CLASSES - 2)))
+
+
+def make_symbols(
+    counts: np.ndarray, before: np.ndarray | list[np.ndarray], vocabulary: int | list[bytes]
+) -> Symbols:
     """Frequent ids are symbols; others are clustered by what stands before them.
 
     ``counts``: by id, in all training texts, text ends included. ``before``: (id, mark)
-    counts over all training texts, or a list of lines of ids to count.
+    counts over all training texts, or a list of lines of ids to count. ``vocabulary``: the
+    number of ids, or the bytes of each. By their bytes, ids that begin a word share no
+    symbol with others and fill the first groups alone, so the chance that a word begins is
+    that of these groups.
     """
+    begins = np.zeros(1 + STOP, bool)
+    if not isinstance(vocabulary, int):
+        begins, vocabulary = word_begins(vocabulary), len(vocabulary)
     head, of = HEAD, frequent_symbols(counts)
     if isinstance(before, list):
         lines, before = before, np.zeros((1 << 16, MARKS), np.float32)
         for line in lines:
             count_before([line], of, before)
-    tail = np.flatnonzero((of < 0) & (before.sum(axis=1) >= 3))
-    shape = np.sqrt(before[tail] / np.maximum(before[tail].sum(axis=1, keepdims=True), 1))
-    of[of < 0] = SYMBOLS - 2
-    if len(tail):
-        n = CLASSES - 1
-        heavy = np.argsort(-counts[tail], kind="stable")
-        centres = shape[heavy[:: max(1, min(len(tail), 8 * n) // n)][:n]]
-        for _ in range(12):
-            mine = (shape @ centres.T).argmax(axis=1)
-            for c in range(len(centres)):
-                if (mine == c).any():
-                    mean = (shape[mine == c] * np.log1p(counts[tail][mine == c])[:, None]).sum(axis=0)
-                    centres[c] = mean / max(np.linalg.norm(mean), 1e-9)
-        of[tail] = head + mine
+    known = (of < 0) & (before.sum(axis=1) >= 3)
+    opens = np.zeros(SYMBOLS, bool)
+    opens[of[(of >= 0) & begins]] = True
+    weight = np.log1p(counts[known & begins]).sum() / max(np.log1p(counts[known]).sum(), 1e-9)
+    n = classes_of_begins(opens.sum(), weight) if begins.any() else 0
+    # classes: those that begin a word, then others, then the rarest ids of both kinds
+    last = SYMBOLS - 2
+    of[(of < 0) & begins] = last - 1
+    of[of < 0] = last
+    sizes = ((begins, head, n), (~begins, head + n, CLASSES - 2 - n))
+    for kind, first, size in sizes:
+        tail = np.flatnonzero(known & kind)
+        if len(tail) and size:
+            shape = np.sqrt(before[tail] / np.maximum(before[tail].sum(axis=1, keepdims=True), 1))
+            of[tail] = first + cluster(shape, counts[tail], size)
+    opens[head : head + n] = opens[last - 1] = begins.any()
+    order = np.argsort(~opens, kind="stable")
+    of = np.argsort(order)[of]
     smooth = counts + 0.1
     smooth[vocabulary:STOP] = 1e-9
     total = np.bincount(of, weights=smooth, minlength=SYMBOLS)
-    rates = np.bincount(of, weights=counts, minlength=SYMBOLS) + 0.1
+    # symbols without ids get no share of their group
+    rates = np.bincount(of, weights=counts + 0.1 / np.bincount(of)[of], minlength=SYMBOLS)
     return Symbols(of.astype(np.int16), np.log10(smooth / total[of]), rates / rates.sum())
 
 
@@ -481,8 +523,15 @@ class Scorer:
         #: Of each symbol, the share of its ids that begin a word.
         self.opening = None
         if begins is not None:
-            shares = np.bincount(symbols.of, weights=10.0**symbols.within * begins, minlength=SYMBOLS)
-            self.opening = shares.reshape(GROUPS, GROUP).astype(np.float32)
+            shares = [
+                np.bincount(symbols.of, weights=10.0**symbols.within * kind, minlength=SYMBOLS)
+                for kind in (begins, ~begins)
+            ]
+            opens, others = (x.reshape(GROUPS, GROUP).astype(np.float32) for x in shares)
+            self.opening = opens
+            #: The groups whose ids all begin a word, if no group holds both kinds.
+            mixed = (opens.max(axis=1) > 0) & (others.max(axis=1) > 0)
+            self.pure = None if mixed.any() else (opens.max(axis=1) > 0).astype(np.float32)
         e = (w["symbol"][:, None] + w["place"][None]).reshape(-1, WIDTH)
         n1, _ = even(e)
         self.e, self.query = e, n1 @ w["query"] * np.float32(WIDTH**-0.5)
@@ -520,7 +569,7 @@ class Scorer:
     ) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log of the target's probability at positions ``first``.. of windows.
 
-        Where ``opens``, also of the chance that a word begins there, else 0.
+        Where ``opens``, also of the chance that a word begins there.
         """
         w, at = self.w, x * LENGTH + np.arange(LENGTH)
         mine = at[:, first:]
@@ -545,8 +594,10 @@ class Scorer:
         z += w["group_bias"]
         logs = self.softmax_log(z, group)
         opening = None
-        if opens is not None:
+        if opens is not None and self.pure is not None:
             # the product above left the exponentials of the groups
+            opening = np.log(np.maximum(z @ self.pure / (z @ ONES[:GROUPS]), 1e-30)).reshape(y.shape)
+        elif opens is not None:
             opening = np.zeros(len(n), np.float32)
             at = np.flatnonzero(opens.ravel())
             for i in range(0, len(at), OPENED):
@@ -665,7 +716,9 @@ def score_texts(
     ends = words.where(F.col("word") == F.lit(END)).select("c").first()
     counts[STOP] = ends.c if ends else 0
     learned_ids = found.where("kind = 0 AND NOT held").select("ids")
-    symbols = make_symbols(counts, counts_before(learned_ids, frequent_symbols(counts)), vocabulary)
+    begins = word_begins(token_bytes(tokenizer))
+    before = counts_before(learned_ids, frequent_symbols(counts))
+    symbols = make_symbols(counts, before, token_bytes(tokenizer))
     vector = to_vector(start_weights(symbols.rates)).astype(float)
     for k in range(ROUNDS):
         vector = train_round(learned_ids, vector, symbols, RATE * 0.5**k, 1000 * k, k)
@@ -675,8 +728,6 @@ def score_texts(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, pieces = hot_logs(names, logs), token_bytes(tokenizer)
-        begins = np.zeros(1 + STOP, bool)
-        begins[[i for i, x in enumerate(pieces) if x[:1] == b" "] + [STOP]] = True
         scorer = Scorer(model, symbols, begins)
         kind = pa.list_(pa.struct([("word", pa.binary()), ("log", pa.float64())]))
         for batch in batches:
