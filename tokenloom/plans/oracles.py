@@ -796,5 +796,8 @@ LEFT JOIN labels ON labels.doc_id = id GROUP BY id, quality"""
   round(exp(avg(nll)), 4) AS perplexity FROM (
     SELECT quality, -ln(CASE WHEN quality = 1 THEN p1 ELSE 1 - p1 END) AS nll FROM scored WHERE quality IS NOT NULL)
 GROUP BY quality"""
+    sql["stream_offsets"] = f"""SELECT doc_id, (doc_id % 6)::INT AS batch_id, size,
+  (coalesce(sum(size) OVER (ORDER BY doc_id % 6, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS "offset"
+FROM (SELECT doc_id, coalesce(len({words_of('text')}), 0)::BIGINT AS size FROM documents)"""
     sql["stream_counts"] = sql["pretoken_counts"]
     return sql

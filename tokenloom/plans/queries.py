@@ -1157,6 +1157,23 @@ def stream_encode_batches(spark, sf):
     return _encoded_rows(spark.read.parquet(out), "doc_id")
 
 
+@query
+def stream_offsets(spark, sf):
+    # Places of pretokens in one stream, over six files, one a batch, and a restart.
+    source, out, totals, progress = (
+        scratch_path(spark, name) for name in ("files", "offsets", "totals", "progress")
+    )
+    docs = documents(spark, sf)
+    for remainders in ((0, 1, 2, 3), (4, 5)):
+        for r in remainders:
+            docs.where(F.pmod("doc_id", F.lit(6)) == r).coalesce(1).write.mode("append").parquet(source)
+        arriving = jobs.read_text_stream(spark, source, files_per_batch=1)
+        size = F.size(F.coalesce(tx.pretokens(F.col("text")), F.array()))
+        jobs.stream_offsets(arriving, out, totals, progress, size).awaitTermination()
+    placed = spark.read.parquet(out)
+    return placed.select("doc_id", F.col("batch_id").cast("int").alias("batch_id"), "offset", "size")
+
+
 @query
 def stream_counts(spark, sf):
     out = scratch_path(spark, "stream")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tokenloom.functions import text as tx
 from tokenloom.operators.codec import Codec, encode_corpus, token_counts
-from tokenloom.session import shared_folder
+from tokenloom.operators.datasets import with_offsets
+from tokenloom.session import materialize, release, shared_folder
 from tokenloom.sources.corpus import explode_lines
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -70,6 +71,41 @@ def stream_encode(
     )
 
 
+def stream_offsets(
+    stream: DataFrame, out: str, totals: str, checkpoint: str, size: Column, key: str = "doc_id"
+) -> StreamingQuery:
+    """Gives every arriving row its ``offset``: the sum of ``size`` over all rows before it.
+
+    Batches follow each other, rows of a batch stand in key order. A batch takes offsets in
+    key ranges, as a table does, and starts behind the totals of the batches before it, one
+    row each in ``totals``. Rows and total of a batch have folders of their own, so a batch
+    that is done again after a stop gets the same offsets. Keys must be unique within a
+    batch and not null; a null size counts 0.
+    """
+    spark = stream.sparkSession
+    shared_folder(spark)
+    kept = F.coalesce(size.cast("bigint"), F.lit(0).cast("bigint"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = materialize(batch.withColumn("size", kept), "arrived")
+        summed = rows.agg(F.coalesce(F.sum("size"), F.lit(0)).cast("bigint").alias("total"))
+        summed.write.mode("overwrite").parquet(f"{totals}/batch_id={batch_id}")
+        earlier = spark.read.schema("total bigint, batch_id bigint").parquet(totals)
+        start = earlier.where(F.col("batch_id") < batch_id).agg(F.sum("total")).first()[0] or 0
+        placed = with_offsets(rows, key, F.col("size"))
+        placed.withColumn("offset", F.col("offset") + F.lit(start)).write.mode("overwrite").parquet(
+            f"{out}/batch_id={batch_id}"
+        )
+        release(rows)
+
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def _running_counts(counts: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Keeps state in RocksDB, off the heap; its provider is part of the query's checkpoint."""
     provider = "spark.sql.streaming.stateStore.providerClass"
