@@ -50,6 +50,7 @@ LONG_LIST, LONG_SQUARE = 900, 12
 ANY_LIST, ANY_SQUARE = 30, 6
 WHOLE_WORDS = 50
 FILE_DOCUMENTS, FILE_RANGE, FILE_ROW = 250, 1 << 16, 1 << 13
+FILE_TASK, ARRIVING_ROWS = 8 << 20, 5_000
 NESTED = ["<|part|>", "<|part|><|end|>", "<|end|>"]
 BATCH_STEPS, BATCH_SHARE, EVALUATE_EVERY = 20, 0.25, 10
 
@@ -1146,28 +1147,41 @@ def stream_encode(spark, sf):
 
 @query
 def stream_encode_batches(spark, sf):
-    # Four files, one a batch, and a second run that finds two more files.
-    source, out, progress = (scratch_path(spark, name) for name in ("files", "stream", "progress"))
+def _arrivals(spark, sf, source: str) -> tuple[Callable[[int], None], int]:
+    """What writes the documents of a remainder by six as an arrival, and the files of each."""
     docs = documents(spark, sf)
+    remainder = F.pmod("doc_id", F.lit(6))
+    n = {r: count for r, count in docs.groupBy(remainder).count().collect() if r is not None}
+    files = max(1, -(-max(n.values(), default=0) // ARRIVING_ROWS))
+
+    def arrive(r: int) -> None:
+        jobs.write_arrival(docs.where(remainder == r), source, files)
+
+    return arrive, files
+
+
+    # Four arrivals, one a batch, and a second run that finds two more.
+    source, out, progress = (scratch_path(spark, name) for name in ("files", "stream", "progress"))
+    arrive, files = _arrivals(spark, sf, source)
     for remainders in ((0, 1, 2, 3), (4, 5)):
         for r in remainders:
-            docs.where(F.pmod("doc_id", F.lit(6)) == r).coalesce(1).write.mode("append").parquet(source)
-        arriving = jobs.read_text_stream(spark, source, files_per_batch=1)
+            arrive(r)
+        arriving = jobs.read_text_stream(spark, source, files_per_batch=files)
         jobs.stream_encode(arriving, codec(spark, sf), out, progress).awaitTermination()
     return _encoded_rows(spark.read.parquet(out), "doc_id")
 
 
 @query
 def stream_offsets(spark, sf):
-    # Places of pretokens in one stream, over six files, one a batch, and a restart.
+    # Places of pretokens in one stream, over six arrivals, one a batch, and a restart.
     source, out, totals, progress = (
         scratch_path(spark, name) for name in ("files", "offsets", "totals", "progress")
     )
-    docs = documents(spark, sf)
+    arrive, files = _arrivals(spark, sf, source)
     for remainders in ((0, 1, 2, 3), (4, 5)):
         for r in remainders:
-            docs.where(F.pmod("doc_id", F.lit(6)) == r).coalesce(1).write.mode("append").parquet(source)
-        arriving = jobs.read_text_stream(spark, source, files_per_batch=1)
+            arrive(r)
+        arriving = jobs.read_text_stream(spark, source, files_per_batch=files)
         size = F.size(F.coalesce(tx.pretokens(F.col("text")), F.array()))
         jobs.stream_offsets(arriving, out, totals, progress, size).awaitTermination()
     placed = spark.read.parquet(out)

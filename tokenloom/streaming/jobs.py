@@ -37,6 +37,27 @@ def read_text_stream(
     return reader.schema(schema).parquet(path)
 
 
+def write_arrival(rows: DataFrame, source: str, files: int) -> None:
+    """Appends rows to a folder as exactly ``files`` parquet files, for streams that take so many a batch.
+
+    Rows are dealt in turn; a file that gets none is written empty, so that an arrival and a
+    batch are the same. Files of an arrival are newer than all of those before.
+    """
+    spark = rows.sparkSession
+    before = _data_files(spark, source)
+    rows.repartition(files).write.mode("append").parquet(source)
+    for _ in range(files - (_data_files(spark, source) - before)):
+        spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(source)
+
+
+def _data_files(spark: SparkSession, folder: str) -> int:
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return 0
+    return sum(not x.getPath().getName().startswith(("_", ".")) for x in system.listStatus(place))
+
+
 def stream_encode(
     stream: DataFrame,
     codec: Codec,
