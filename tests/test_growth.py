@@ -14,6 +14,16 @@ def explained(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_ngrams_are_listed_once_and_scored_without_counting_per_row(spark):
+    df = spark.createDataFrame([(1, [5, 6, 5, 6]), (2, []), (3, None), (4, [7])], "doc_id long, tokens array<int>")
+    assert "size(transform" not in explained(bo.ngram_places(df, 3))
+    assert "Filter ((size" not in explained(bo.ngram_counts(df, 3))
+    model = bo.kneser_ney(bo.ngram_counts(df, 3), 3, 10)
+    scores = bo.score_backoff(df, model)
+    assert "array" not in explained(scores).split("Generate")[0]
+    assert {r["doc_id"]: r["n_pairs"] for r in scores.collect()} == {1: 4, 2: 0, 3: 0, 4: 1}
+
+
 def test_an_arrival_has_its_files(spark):
     source = scratch_path(spark, "files")
     df = spark.range(3).withColumnRenamed("id", "doc_id").selectExpr("doc_id", "string(doc_id) text")

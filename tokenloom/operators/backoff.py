@@ -21,6 +21,8 @@ from tokenloom.session import materialize
 
 #: The token that stands before the first one of a document.
 BEGIN = -1
+#: Prices of n-grams are broadcast up to so many rows, if their bytes allow it.
+PRICED_ROWS = 1_000_000
 
 
 def context_names(order: int) -> list[str]:
@@ -28,12 +30,12 @@ def context_names(order: int) -> list[str]:
     return [f"c{i}" for i in range(order - 1, 0, -1)]
 
 
-def ngram_counts(
+def ngram_places(
     df: DataFrame, order: int, keep: Sequence[str] = (), tokens: str = "tokens"
 ) -> DataFrame:
-    """(keep..., contexts..., next, n): every token with the tokens before it, per row.
+    """(keep..., contexts..., next): every token with the tokens before it, one row per place.
 
-    Begin marks stand before the first token, so each token is counted once.
+    Begin marks stand before the first token, so each token comes once.
     """
     begins = F.array_repeat(F.lit(BEGIN), order - 1)
     padded = F.concat(begins, F.coalesce(tokens, F.array().cast("array<int>"))).alias("_padded")
@@ -41,11 +43,24 @@ def ngram_counts(
     places = F.sequence(F.lit(0), F.size("_padded") - order)
     grams = F.transform(
         F.when(F.size("_padded") >= order, places),
-        lambda i: F.struct(*[F.get("_padded", i + k).alias(name) for k, name in enumerate(names)]),
+        lambda i: F.struct(
+            *[F.get("_padded", i + k).alias(name) for k, name in enumerate(names)],
+            F.lit(True).alias("_is_gram"),
+        ),
     )
+    # The outer form keeps Spark from a size filter, in which the padded list would be made
+    # anew for every place.
+    listed = df.select(*keep, padded).select(*keep, F.inline_outer(grams))
+    return listed.where(F.col("_is_gram").isNotNull()).drop("_is_gram")
+
+
+def ngram_counts(
+    df: DataFrame, order: int, keep: Sequence[str] = (), tokens: str = "tokens"
+) -> DataFrame:
+    """(keep..., contexts..., next, n): every token with the tokens before it, per row."""
+    names = [*context_names(order), "next"]
     return (
-        df.select(*keep, padded)
-        .select(*keep, F.inline(grams))
+        ngram_places(df, order, keep, tokens)
         .groupBy(*keep, *names)
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -148,16 +163,22 @@ def score_backoff(
 ) -> DataFrame:
     """(keep..., n_pairs, loss, perplexity) of every row, each token predicted once.
 
-    n-grams are counted per row; each distinct one is looked up once. Rows without tokens
-    have n_pairs 0 and a null loss; ``keep`` must tell rows apart.
+    Each distinct n-gram is looked up once. If their prices fit a broadcast, every place
+    meets its own where it stands and only sums per row are shuffled; else n-grams are
+    counted per row first. Rows without tokens have n_pairs 0 and a null loss; ``keep``
+    must tell rows apart.
     """
-    counted = materialize(ngram_counts(df, model.order, keep, tokens))
     names = [*context_names(model.order), "next"]
-    distinct = materialize(counted.groupBy(*names).agg(F.sum("n").alias("weight")))
+    distinct = materialize(ngram_counts(df, model.order, (), tokens).withColumnRenamed("n", "weight"))
     priced = materialize(
         with_probability(distinct, model).select(*names, "weight", (-F.log("prob")).alias("nll"))
     )
-    met = spread_left_join(counted, priced, names, "weight", F.struct(*keep))
+    small = fits_broadcast(priced, PRICED_ROWS)
+    if small:
+        counted = ngram_places(df, model.order, keep, tokens).withColumn("n", F.lit(1).cast("bigint"))
+    else:
+        counted = materialize(ngram_counts(df, model.order, keep, tokens))
+    met = spread_left_join(counted, priced, names, "weight", F.struct(*keep), small=small)
     loss = F.sum(F.col("nll") * F.col("n")) / F.sum("n")
     found = met.groupBy(*keep).agg(
         F.sum("n").alias("n_pairs"), loss.alias("loss"), F.exp(loss).alias("perplexity")
