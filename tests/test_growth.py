@@ -24,6 +24,14 @@ def test_ngrams_are_listed_once_and_scored_without_counting_per_row(spark):
     assert {r["doc_id"]: r["n_pairs"] for r in scores.collect()} == {1: 4, 2: 0, 3: 0, 4: 1}
 
 
+def test_offsets_by_name_move_sizes_only(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, [5, 6]), (2, [7])], "doc_id long, tokens array<int>")
+    monkeypatch.setattr(q, "encoded", lambda spark, sf: materialize(rows))
+    found = q.token_offsets_by_name(spark, "")
+    assert " tokens#" not in explained(found).partition("Join")[0]
+    assert sorted(r["n_tokens"] for r in found.collect()) == [1, 2]
+
+
 def test_an_arrival_has_its_files(spark):
     source = scratch_path(spark, "files")
     df = spark.range(3).withColumnRenamed("id", "doc_id").selectExpr("doc_id", "string(doc_id) text")

@@ -49,7 +49,8 @@ def with_offsets(
     )
     # a null key meets its error instead of being dropped
     same = F.col(key).eqNullSafe(F.col("_found"))
-    return df.join(found, same).drop("_found")
+    # wide rows are looked up in the slim side's hash table, so they are not sorted
+    return df.join(found.hint("shuffle_hash"), same).drop("_found")
 
 
 def delimited(df: DataFrame, end_id: int, tokens: str = "tokens") -> DataFrame:
