@@ -24,6 +24,16 @@ def test_ngrams_are_listed_once_and_scored_without_counting_per_row(spark):
     assert {r["doc_id"]: r["n_pairs"] for r in scores.collect()} == {1: 4, 2: 0, 3: 0, 4: 1}
 
 
+def test_a_small_model_answers_pairs_in_place(spark):
+    df = spark.createDataFrame([(1, [5, 6, 5, 6]), (2, [6])], "doc_id long, tokens array<int>")
+    model = materialize(sc.ngram_model(sc.bigrams(df), 10))
+    scores = sc.score_documents(df, model, 10)
+    assert "Aggregate [doc_id" in explained(scores)
+    assert ", prev#" not in explained(scores).partition("Aggregate [doc_id")[2].partition("]")[0]
+    assert explained(scores).count("Aggregate [doc_id") == 1
+    assert {r["doc_id"]: r["n_pairs"] for r in scores.collect()} == {1: 3, 2: 0}
+
+
 def test_offsets_by_name_move_sizes_only(spark, monkeypatch):
     rows = spark.createDataFrame([(1, [5, 6]), (2, [7])], "doc_id long, tokens array<int>")
     monkeypatch.setattr(q, "encoded", lambda spark, sf: materialize(rows))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tokenloom.functions import arrays as ar
 from tokenloom.functions.draws import draw_uniform
-from tokenloom.operators.joins import spread_left_join
+from tokenloom.operators.joins import fits_broadcast, spread_left_join
 from tokenloom.session import materialize
 
 
@@ -65,15 +65,22 @@ def split_by_draw(key: Column, share: float, seed: int = 42) -> Column:
     return F.when(draw_uniform(seed, key) < share, "valid").otherwise("train")
 
 
-def bigrams(df: DataFrame, keep: Sequence[str] = (), tokens: str = "tokens") -> DataFrame:
-    """(keep..., prev, next, n): neighbouring ids inside each row, counted."""
+def bigram_places(df: DataFrame, keep: Sequence[str] = (), tokens: str = "tokens") -> DataFrame:
+    """(keep..., prev, next): neighbouring ids inside each row, one row per place."""
     pairs = F.zip_with(
         F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(0))),
         F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0))),
-        lambda a, b: F.struct(a.alias("prev"), b.alias("next")),
+        lambda a, b: F.struct(a.alias("prev"), b.alias("next"), F.lit(True).alias("_is_pair")),
     )
+    # The outer form keeps Spark from evaluating the pairs again in a size filter.
+    places = df.select(*keep, F.inline_outer(pairs)).where(F.col("_is_pair").isNotNull())
+    return places.drop("_is_pair")
+
+
+def bigrams(df: DataFrame, keep: Sequence[str] = (), tokens: str = "tokens") -> DataFrame:
+    """(keep..., prev, next, n): neighbouring ids inside each row, counted."""
     return (
-        df.select(*keep, F.inline(pairs))
+        bigram_places(df, keep, tokens)
         .groupBy(*keep, "prev", "next")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -139,10 +146,14 @@ def score_documents(
 ) -> DataFrame:
     """(keep..., n_pairs, loss, perplexity) of every row under a next-token table.
 
-    Pairs are counted per row before they are looked up. Rows without a pair, with fewer
-    than two tokens, have n_pairs 0 and a null loss.
+    A model that fits a broadcast answers every pair where it stands, and only sums per row
+    are shuffled; else pairs are counted per row before they are looked up. Rows without a
+    pair, with fewer than two tokens, have n_pairs 0 and a null loss.
     """
-    counted = bigrams(df, keep, tokens).withColumnRenamed("n", "times")
+    if fits_broadcast(model):
+        counted = bigram_places(df, keep, tokens).withColumn("times", F.lit(1).cast("bigint"))
+    else:
+        counted = bigrams(df, keep, tokens).withColumnRenamed("n", "times")
     found = pair_losses(counted, model, vocab_size, add, keep)
     short = df.where(F.coalesce(F.size(tokens), F.lit(0)) < 2).select(
         *keep,
