@@ -55,3 +55,17 @@ def test_an_arrival_has_its_files(spark):
     jobs.stream_offsets(arriving, out, totals, scratch_path(spark, "progress"), F.length("text")).awaitTermination()
     rows = sorted((r["batch_id"], r["doc_id"], r["offset"]) for r in spark.read.parquet(out).collect())
     assert rows == [(0, 0, 0), (0, 1, 1), (0, 2, 2), (1, 2, 3)]
+
+
+def test_small_ranges_share_a_task(tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / name).write_bytes(b"a b " * 1000)
+    options = {"path": str(tmp_path), "rangebytes": "1000", "rowbytes": "100", "taskbytes": "6000"}
+    reader = ranges.RangeReader(options)
+    tasks = reader.partitions()
+    assert [len(task.ranges) for task in tasks] == [6, 2]
+    read = [row for task in tasks for batch in reader.read(task) for row in batch.to_pylist()]
+    alone = ranges.RangeReader({**options, "taskbytes": "0"})
+    assert len(alone.partitions()) == 8
+    assert read == [row for task in alone.partitions() for batch in alone.read(task) for row in batch.to_pylist()]
+    assert b"".join(row["text"].encode() for row in read) == b"a b " * 2000

@@ -256,10 +256,11 @@ def part_of(path: str) -> Column:
 @query
 def file_pretokens(spark, sf):
     """Pretokens of files read in byte ranges, with the places of the first and the last."""
-    rows = ranges.read_ranges(spark, text_folder(spark, sf), FILE_RANGE, FILE_ROW)
+    rows = ranges.read_ranges(spark, text_folder(spark, sf), FILE_RANGE, FILE_ROW, task_bytes=FILE_TASK)
+    # the number of a part is found once per row of text
     return (
-        ranges.file_spans(rows)
-        .groupBy(part_of("path"), "pretoken")
+        ranges.file_spans(rows.withColumn("path", part_of("path")))
+        .groupBy(F.col("path").alias("part"), "pretoken")
         .agg(
             F.count(F.lit(1)).alias("freq"),
             F.min("start").alias("first_byte"),
@@ -270,7 +271,7 @@ def file_pretokens(spark, sf):
 
 @query
 def file_lines(spark, sf):
-    lines = ranges.range_lines(spark, text_folder(spark, sf), FILE_RANGE)
+    lines = ranges.range_lines(spark, text_folder(spark, sf), FILE_RANGE, FILE_TASK)
     return lines.select(
         part_of("path"), F.col("start").alias("start_byte"), F.octet_length("text").alias("n_bytes")
     )
@@ -677,9 +678,9 @@ def token_offsets_by_name(spark, sf):
     named = encoded(spark, sf).select(
         F.md5(F.col("doc_id").cast("string")).alias("name"), F.size("tokens").alias("n_tokens")
     )
-
     return ds.with_offsets(named, "name", F.col("n_tokens")).select("name", "offset", "n_tokens")
 
+
 @query
 def token_offsets(spark, sf):
     return stream(spark, sf).select("doc_id", "offset", F.size("tokens").alias("n_tokens"))
@@ -1146,8 +1147,6 @@ def stream_encode(spark, sf):
     return _encoded_rows(spark.read.parquet(out), "doc_id")
 
 
-@query
-def stream_encode_batches(spark, sf):
 def _arrivals(spark, sf, source: str) -> tuple[Callable[[int], None], int]:
     """What writes the documents of a remainder by six as an arrival, and the files of each."""
     docs = documents(spark, sf)
@@ -1161,6 +1160,8 @@ def _arrivals(spark, sf, source: str) -> tuple[Callable[[int], None], int]:
     return arrive, files
 
 
+@query
+def stream_encode_batches(spark, sf):
     # Four arrivals, one a batch, and a second run that finds two more.
     source, out, progress = (scratch_path(spark, name) for name in ("files", "stream", "progress"))
     arrive, files = _arrivals(spark, sf, source)

@@ -1,8 +1,9 @@
 """Large text files read in byte ranges that end where a pretoken surely ends.
 
-A file is cut into ranges of equal size, one task each. The edge of a range moves on to the
-next safe place, so the pretokens of the pieces are exactly those of the whole file. Inside
-a range, rows are cut at safe places as well and stay small.
+A file is cut into ranges of equal size. The edge of a range moves on to the next safe
+place, so the pretokens of the pieces are exactly those of the whole file. Inside a range,
+rows are cut at safe places as well and stay small. A task reads one range, or as many small
+ones as a caller allows; rows are handed on in batches.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 from pyarrow import fs
@@ -21,6 +23,8 @@ from tokenloom.operators.pretokens import pretoken_spans
 
 SCHEMA = "path string, start long, text string"
 RANGE_BYTES, ROW_BYTES = 32 << 20, 1 << 20
+#: Bytes of the rows a task hands on at once.
+BATCH_BYTES = 1 << 20
 #: Bytes searched at once for an edge; bytes seen before and after a place.
 SCANNED, BEHIND, AHEAD = 1 << 14, 4, 2
 #: A pretoken ends before a single space between two printed ASCII characters, and after
@@ -58,46 +62,63 @@ def range_rows(
 
 
 @dataclass
-class ByteRange(InputPartition):
-    path: str
-    size: int
-    begin: int
-    end: int
+class ByteRanges(InputPartition):
+    """(path, size, begin, end) of the ranges that one task reads."""
+
+    ranges: list[tuple[str, int, int, int]]
 
 
 class RangeReader(DataSourceReader):
-    """Plans the ranges of all files below a path and reads one per task."""
+    """Plans the ranges of all files below a path and reads some per task."""
 
     def __init__(self, options: dict[str, str]):
         self.path = options["path"]
         self.range_bytes = int(options.get("rangebytes", RANGE_BYTES))
         self.row_bytes = int(options.get("rowbytes", ROW_BYTES))
+        self.task_bytes = int(options.get("taskbytes", 0))
         self.edge = options.get("edge", "pretoken")
         if self.edge not in EDGES or min(self.range_bytes, self.row_bytes) < 1:
             raise ValueError("edge must be 'pretoken' or 'line', sizes positive")
 
-    def partitions(self) -> list[ByteRange]:
-        return [
-            ByteRange(path, size, begin, min(begin + self.range_bytes, size))
-            for path, size in sorted(text_files(self.path))
-            for begin in range(0, size, self.range_bytes)
-        ] or [ByteRange("", 0, 0, 0)]
-
-    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
-        if not partition.size:
-            return
-        system, name = file_system(partition.path)
-        with system.open_input_file(name) as file:
-            for start, data in range_rows(
-                file, partition.size, partition.begin, partition.end, EDGES[self.edge], self.row_bytes
-            ):
-                yield pa.RecordBatch.from_arrays(
-                    [[partition.path], [start], [data.decode("utf-8")]], names=["path", "start", "text"]
-                )
+    def partitions(self) -> list[ByteRanges]:
+        tasks, held = [ByteRanges([])], 0
+        for path, size in sorted(text_files(self.path)):
+            for begin in range(0, size, self.range_bytes):
+                end = min(begin + self.range_bytes, size)
+                if held and held + end - begin > self.task_bytes:
+                    tasks.append(ByteRanges([]))
+                    held = 0
+                tasks[-1].ranges.append((path, size, begin, end))
+                held += end - begin
+        return tasks
+
+    def read(self, partition: ByteRanges) -> Iterator[pa.RecordBatch]:
+        paths, starts, texts, held = [], [], [], 0
+        for path, ranges in groupby(partition.ranges, key=lambda x: x[0]):
+            system, name = file_system(path)
+            with system.open_input_file(name) as file:
+                for _, size, begin, end in ranges:
+                    for start, data in range_rows(
+                        file, size, begin, end, EDGES[self.edge], self.row_bytes
+                    ):
+                        if held and held + len(data) > BATCH_BYTES:
+                            yield _batch(paths, starts, texts)
+                            paths, starts, texts, held = [], [], [], 0
+                        paths.append(path)
+                        starts.append(start)
+                        texts.append(data.decode("utf-8"))
+                        held += len(data)
+        if paths:
+            yield _batch(paths, starts, texts)
+
+
+def _batch(paths: list[str], starts: list[int], texts: list[str]) -> pa.RecordBatch:
+    columns = [pa.array(paths, pa.string()), pa.array(starts, pa.int64()), pa.array(texts, pa.string())]
+    return pa.RecordBatch.from_arrays(columns, names=["path", "start", "text"])
 
 
 class RangeSource(DataSource):
-    """``text_ranges``: path, rangeBytes, rowBytes, edge ('pretoken' or 'line')."""
+    """``text_ranges``: path, rangeBytes, rowBytes, taskBytes, edge ('pretoken' or 'line')."""
 
     @classmethod
     def name(cls) -> str:
@@ -138,16 +159,18 @@ def read_ranges(
     range_bytes: int = RANGE_BYTES,
     row_bytes: int = ROW_BYTES,
     edge: str = "pretoken",
+    task_bytes: int = 0,
 ) -> DataFrame:
     """Text files of any size: (path, start, text), ``start`` the byte where a row begins.
 
     Rows of a file follow each other without gap or overlap. The pretokens of the rows are
     those of the whole file, however it is cut; specials with white space inside are not
     kept whole. A stretch without any safe place becomes one row. Paths are those of Arrow
-    file systems; malformed UTF-8 fails.
+    file systems; malformed UTF-8 fails. Where files or ranges are small, one task reads as
+    many ranges as ``task_bytes`` hold.
     """
     spark.dataSource.register(RangeSource)
-    reader = spark.read.format(RangeSource.name()).option("edge", edge)
+    reader = spark.read.format(RangeSource.name()).option("edge", edge).option("taskBytes", task_bytes)
     return reader.option("rangeBytes", range_bytes).option("rowBytes", row_bytes).load(path)
 
 
@@ -161,9 +184,11 @@ def file_spans(rows: DataFrame, least: int = 1) -> DataFrame:
     )
 
 
-def range_lines(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def range_lines(
+    spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES, task_bytes: int = 0
+) -> DataFrame:
     """Lines of text files with their newline: (path, start, text); ``start`` in bytes."""
-    rows = read_ranges(spark, path, range_bytes, edge="line")
+    rows = read_ranges(spark, path, range_bytes, edge="line", task_bytes=task_bytes)
     cut = rows.select("path", "start", F.array_remove(F.split("text", r"(?<=\n)"), "").alias("lines"))
     sizes = F.transform("lines", lambda x: F.octet_length(x).cast("bigint"))
     ends = arrays.prefix_sums(sizes, F.lit(0).cast("bigint"))
