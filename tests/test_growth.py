@@ -42,6 +42,20 @@ def test_offsets_by_name_move_sizes_only(spark, monkeypatch):
     assert sorted(r["n_tokens"] for r in found.collect()) == [1, 2]
 
 
+def test_blocks_are_shuffled_once(spark, monkeypatch):
+    seen = []
+    write = snapshots.write_snapshot
+    monkeypatch.setattr(snapshots, "write_snapshot", lambda df, *args, **more: seen.append((df, more)) or write(df, *args, **more))
+    rows = spark.createDataFrame([(1, list(range(10))), (2, [10, 11])], "doc_id long, tokens array<int>")
+    path = scratch_path(spark, "blocks")
+    snapshots.write_token_blocks(ds.token_stream(materialize(rows)), path, 4)
+    df, more = seen[0]
+    plan = df._jdf.queryExecution().executedPlan().toString().partition("Join")[0]
+    assert more == {"clustered": True} and plan.count("Exchange") == 1
+    got = snapshots.read_snapshot(spark, path).orderBy("block_id").collect()
+    assert [r["tokens"] for r in got] == [[0, 1, 2, 3], [4, 5, 6, 7], [8, 9, 10, 11]]
+
+
 def test_an_arrival_has_its_files(spark):
     source = scratch_path(spark, "files")
     df = spark.range(3).withColumnRenamed("id", "doc_id").selectExpr("doc_id", "string(doc_id) text")

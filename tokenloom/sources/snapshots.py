@@ -78,13 +78,18 @@ def latest(spark: SparkSession, path: str) -> Snapshot:
     return found[-1]
 
 
-def write_snapshot(df: DataFrame, path: str, key: str, options: dict[str, str] | None = None) -> Snapshot:
-    """Write a table clustered and sorted by ``key``, with its manifest, as a new snapshot."""
+def write_snapshot(
+    df: DataFrame, path: str, key: str, options: dict[str, str] | None = None, clustered: bool = False
+) -> Snapshot:
+    """Write a table clustered and sorted by ``key``, with its manifest, as a new snapshot.
+
+    ``clustered`` tells that the partitions are ranges of the key already.
+    """
     spark = df.sparkSession
     before = snapshots(spark, path)
     made = Snapshot(path.rstrip("/"), before[-1].version + 1 if before else 1, uuid.uuid4().hex)
-    clustered = df.repartitionByRange(key).sortWithinPartitions(key)
-    clustered.write.options(**(options or {})).parquet(made.data)
+    ranged = df if clustered else df.repartitionByRange(key)
+    ranged.sortWithinPartitions(key).write.options(**(options or {})).parquet(made.data)
     written = spark.read.schema(df.schema).parquet(made.data)
     files = written.groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.min(key).alias("first"), F.max(key).alias("last"), F.count(F.lit(1)).alias("n_rows")
@@ -134,10 +139,15 @@ def expire_snapshots(spark: SparkSession, path: str, keep: int = 1) -> int:
 def write_token_blocks(
     stream: DataFrame, path: str, block: int = BLOCK_TOKENS, tokens: str = "tokens"
 ) -> Snapshot:
-    """A token stream (offset, tokens) as blocks of ``block`` tokens: (block_id, tokens)."""
-    blocks = _windows(_pieces(stream, block, 0, tokens)).withColumnRenamed("window_id", "block_id")
+    """A token stream (offset, tokens) as blocks of ``block`` tokens: (block_id, tokens).
+
+    Pieces are put into ranges of blocks before they are joined, so tokens are shuffled once.
+    """
+    pieces = _pieces(stream, block, 0, tokens).repartitionByRange("window_id")
+    blocks = _windows(pieces).withColumnRenamed("window_id", "block_id")
     sized = blocks.withColumn("block", F.lit(block))
-    return write_snapshot(sized, path, "block_id", {"parquet.block.size": str(GROUP_BYTES)})
+    options = {"parquet.block.size": str(GROUP_BYTES)}
+    return write_snapshot(sized, path, "block_id", options, clustered=True)
 
 
 @dataclass
