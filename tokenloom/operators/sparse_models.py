@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tokenloom.functions import optimizer as opt
 from tokenloom.functions.draws import draw_uniform
 from tokenloom.functions.text import pretokens
-from tokenloom.operators.joins import HOT_ROWS, fits_broadcast, spread_left_join
+from tokenloom.operators.joins import BROADCAST_ROWS, HOT_ROWS, fits_broadcast, spread_left_join
 from tokenloom.operators.models import scheduled_rates
 from tokenloom.session import materialize, release
 
+#: Entries aimed at per file of those a training reads at every step.
+FILE_ENTRIES = 1_000_000
+
 
 def hashed_entries(
     df: DataFrame, buckets: int, text: str = "text", keep: Sequence[str] = ("doc_id",)
@@ -36,12 +39,13 @@ def hashed_entries(
 
 def with_frequencies(entries: DataFrame, key: str = "doc_id") -> DataFrame:
     """Entries with ``n``, the entries of their bucket in the whole table; written."""
+    entries = found = materialize(entries, "entries")
     counted = materialize(
         entries.where("bucket is not null").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     )
     dim = counted.withColumn("_weight", F.col("n"))
     joined = materialize(spread_left_join(entries, dim, ["bucket"], "_weight", F.col(key)), "entries")
-    release(counted)
+    release(counted, found)
     return joined
 
 
@@ -72,6 +76,53 @@ def hot_floor(weights: DataFrame, classes: int) -> int:
     return max(1, -(-weights.agg(F.sum("n")).first()[0] // most))
 
 
+def lead_buckets(entries: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(bucket, n, lead, times), written: buckets that move alike stand as one.
+
+    Buckets whose only entry is of the same row and value have the same gradient at every
+    step, and so the same weights. The least of them, ``lead``, stands for all ``times``.
+    """
+    known = entries.where("bucket is not null")
+    seen = materialize(
+        known.groupBy("bucket").agg(
+            F.first("n").alias("n"),
+            F.count(F.lit(1)).alias("_entries"),
+            F.first(key).alias("_row"),
+            F.first("value").alias("_value"),
+        )
+    )
+    lone = (F.col("_entries") == 1) & F.col("_row").isNotNull()
+    alike = seen.where(lone).groupBy("_row", "_value").agg(
+        F.min("bucket").alias("lead"), F.count(F.lit(1)).alias("times")
+    )
+    names = ["bucket", "n", "lead", "times"]
+    alone = seen.where(lone).join(alike, ["_row", "_value"]).select(*names)
+    once = F.lit(1).cast("bigint").alias("times")
+    others = seen.where(~lone).select("bucket", "n", F.col("bucket").alias("lead"), once)
+    led = materialize(alone.unionByName(others), "buckets")
+    release(seen)
+    return led
+
+
+def lead_entries(entries: DataFrame, led: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The entries of leading buckets with their ``times``, and those without bucket; written.
+
+    Rows lie together, so that sums by row shrink before they are shuffled.
+    """
+    leads = led.where("bucket = lead").select("bucket", "times", F.col("n").alias("_weight"))
+    leads = materialize(leads, "buckets")
+    met = spread_left_join(entries, leads, ["bucket"], "_weight", F.col(key))
+    kept = met.where("bucket is null or times is not null")
+    files = max(entries.sparkSession.sparkContext.defaultParallelism, -(-entries.count() // FILE_ENTRIES))
+    written = materialize(kept.repartition(files, key), "entries")
+    release(leads)
+    return written
+
+
+def _times(table: DataFrame) -> Column:
+    return F.col("times") if "times" in table.columns else F.lit(1)
+
+
 def _met(entries: DataFrame, weights: DataFrame, classes: int, floor: int) -> DataFrame:
     """Entries with the weights of their bucket, or nulls; hot buckets never travel."""
     slim = weights.select("bucket", F.col("n").alias("_n"), *_columns("w", classes))
@@ -120,9 +171,15 @@ def sparse_gradient(
     floor: int,
     key: str = "doc_id",
     label: str = "label",
+    rows: int | None = None,
 ) -> DataFrame:
-    """(bucket, g0..): sums over rows of (probability - is label) * value, one row per bucket."""
-    scored = probabilities(entries, weights, classes, floor, key, (label,))
+    """(bucket, g0..): sums over rows of (probability - is label) * value, one row per bucket.
+
+    Where an entry stands for ``times`` buckets, products count them all. Errors of few
+    ``rows``, if their number is known, are broadcast.
+    """
+    whole = entries.withColumn("value", F.col("value") * _times(entries))
+    scored = probabilities(whole, weights, classes, floor, key, (label,))
     errors = scored.select(
         F.col(key),
         *[
@@ -130,6 +187,8 @@ def sparse_gradient(
             for c in range(classes)
         ],
     )
+    if rows is not None and rows * classes <= BROADCAST_ROWS:
+        errors = F.broadcast(errors)
     known = entries.where("bucket is not null").select(key, "bucket", "value")
     return known.join(errors, key).groupBy("bucket").agg(
         *[F.sum(F.col("value") * F.col(f"e{c}")).alias(f"g{c}") for c in range(classes)]
@@ -144,7 +203,7 @@ def _moved(state: DataFrame, classes: int, scale: float, norm: float, most: floa
         names = [F.col(f"{prefix}{c}") for prefix in "wmv"]
         moved = opt.adamw_columns(*names, F.col(f"g{c}") * (scale * clip), rate, step)
         out.extend(x.alias(f"{prefix}{c}") for prefix, x in zip("wmv", moved))
-    return state.select("bucket", "n", *out)
+    return state.select("bucket", "n", "times", *out)
 
 
 def train_sparse_classifier(
@@ -170,10 +229,21 @@ def train_sparse_classifier(
     shuffle. The driver sees the gradient norm only; the weights, of any number of buckets,
     never leave Spark, and the moves of a step are applied as the next one reads them.
     ``classes`` are columns: at most a few dozen. ``on_step(step, weights, norm)`` sees
-    every step.
+    every step. Buckets that move alike are learned once (see :func:`lead_buckets`).
     """
     spark = entries.sparkSession
-    weights = written = materialize(initial_weights(entries, classes), "weights")
+    led = lead_buckets(entries, key)
+    entries = lead_entries(entries, led, key)
+    counted = led.where("bucket = lead").select("bucket", "times")
+    weights = written = materialize(
+        initial_weights(entries, classes).join(counted, "bucket"), "weights"
+    )
+
+    def spread_out(leads: DataFrame) -> DataFrame:
+        values = leads.drop("n", "times").withColumnRenamed("bucket", "lead")
+        names = [name for prefix in "wmv" for name in _columns(prefix, classes)]
+        return led.drop("times").join(values, "lead").select("bucket", "n", *names)
+
     if floor is None:
         floor = hot_floor(weights, classes)
     schedule = scheduled_rates(spark, steps, *rates, warmup, steps if cycle is None else cycle)
@@ -185,19 +255,19 @@ def train_sparse_classifier(
         if batch_share < 1:
             batch = entries.where(draw_uniform(seed, F.col(key), F.lit(step)) < batch_share)
             rows = batch.agg(F.count_distinct(key)).first()[0]
-        sums = sparse_gradient(batch, weights, classes, floor, key, label)
-        state = materialize(
-            weights.join(sums, "bucket", "left").fillna(0.0, subset=gradients), "weights"
-        )
+        sums = sparse_gradient(batch, weights, classes, floor, key, label, rows)
+        seen = Observation()
+        met = weights.join(sums, "bucket", "left").fillna(0.0, subset=gradients)
+        state = materialize(met.observe(seen, F.sum(squares * F.col("times")).alias("total")), "weights")
         scale = 1.0 / max(rows, 1)
-        total = state.agg(F.sum(squares)).first()[0] or 0.0
+        total = seen.get["total"] or 0.0
         norm = total**0.5 * scale
         weights = _moved(state, classes, scale, norm, max_norm, schedule[step], step)
         release(written)
         written = state
         if on_step is not None:
-            on_step(step, weights, norm)
-    return weights
+            on_step(step, spread_out(weights), norm)
+    return spread_out(weights)
 
 
 def classify_entries(
