@@ -14,6 +14,19 @@ def explained(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_encoder_hands_on_small_pieces_and_forgets_long_words():
+    encoder = merging.WordEncoder({}, {bytes([b]): b for b in range(256)}, "error", None)
+    rows = [["ab"] * merging.AT_ONCE, ["c"], None, [], ["d" * 500, "e"]]
+    batch = pa.array(rows, pa.list_(pa.string()))
+    pieces = list(encoder.pieces(batch))
+    assert [len(piece) for piece in pieces] == [1, 4]
+    got = [ids for piece in pieces for ids in encoder.lists(piece).to_pylist()]
+    assert got == [[97, 98] * merging.AT_ONCE, [99], [], [], [100] * 500 + [101]]
+    assert set(encoder.known) == {"ab", "c", "e"}
+    empty = list(encoder.pieces(batch.slice(0, 0)))
+    assert [encoder.lists(piece).to_pylist() for piece in empty] == [[]]
+
+
 def test_ngrams_are_listed_once_and_scored_without_counting_per_row(spark):
     df = spark.createDataFrame([(1, [5, 6, 5, 6]), (2, []), (3, None), (4, [7])], "doc_id long, tokens array<int>")
     assert "size(transform" not in explained(bo.ngram_places(df, 3))

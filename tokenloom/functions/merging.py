@@ -7,8 +7,9 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
-#: Pretokens kept per worker; up to so many parts are searched anew for every merge.
-KEPT, SHORT = 500_000, 64
+#: Pretokens kept per worker and their longest; pretokens encoded at once; up to so many
+#: parts are searched anew for every merge.
+KEPT, LETTERS, AT_ONCE, SHORT = 100_000, 64, 1 << 16, 64
 
 
 def merge_pairs(parts: list[bytes], ranks: dict[tuple[bytes, bytes], int]) -> list[bytes]:
@@ -93,19 +94,33 @@ class WordEncoder:
             raise ValueError("byte without a token")
         return struct.pack(f"<{len(ids)}i", *ids)
 
+    def pieces(self, batch: pa.ListArray) -> Iterator[pa.ListArray]:
+        """The rows of a batch, so many at a time as hold ``AT_ONCE`` pretokens, one at least."""
+        begin, held = 0, 0
+        for row, size in enumerate(batch.value_lengths().fill_null(0).to_pylist()):
+            if row > begin and held + size > AT_ONCE:
+                yield batch.slice(begin, row - begin)
+                begin, held = row, 0
+            held += size
+        yield batch.slice(begin)
+
     def lists(self, batch: pa.ListArray) -> pa.ListArray:
         """Lists of pretokens to lists of ids; null lists to empty ones."""
         words = batch.flatten().to_pylist()
         if len(self.known) > KEPT:
             self.known = {}
         known = self.known
-        for word in set(words) - known.keys():
+        fresh = set(words) - known.keys()
+        for word in fresh:
             known[word] = self.encode(word)
         sizes = batch.value_lengths().fill_null(0).to_pylist()
         rows, at = [], 0
         for size in sizes:
             rows.append(b"".join(map(known.__getitem__, words[at : at + size])))
             at += size
+        for word in fresh:
+            if len(word) > LETTERS:
+                del known[word]
         ends = [0]
         for row in rows:
             ends.append(ends[-1] + len(row) // 4)
@@ -119,7 +134,9 @@ def word_ids(pretokens: Column, encoder: WordEncoder) -> Column:
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield encoder.lists(batch)
+            # Spark hands over whole batches; what is made of them at once stays small
+            for piece in encoder.pieces(batch):
+                yield encoder.lists(piece)
 
     return encode(pretokens)
 
