@@ -48,8 +48,7 @@ def ngram_places(
             F.lit(True).alias("_is_gram"),
         ),
     )
-    # The outer form keeps Spark from a size filter, in which the padded list would be made
-    # anew for every place.
+    # The outer form has no size filter, whatever the optimizer infers.
     listed = df.select(*keep, padded).select(*keep, F.inline_outer(grams))
     return listed.where(F.col("_is_gram").isNotNull()).drop("_is_gram")
 

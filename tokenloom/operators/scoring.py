@@ -72,7 +72,7 @@ def bigram_places(df: DataFrame, keep: Sequence[str] = (), tokens: str = "tokens
         F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0))),
         lambda a, b: F.struct(a.alias("prev"), b.alias("next"), F.lit(True).alias("_is_pair")),
     )
-    # The outer form keeps Spark from evaluating the pairs again in a size filter.
+    # The outer form has no size filter, whatever the optimizer infers.
     places = df.select(*keep, F.inline_outer(pairs)).where(F.col("_is_pair").isNotNull())
     return places.drop("_is_pair")
 
