@@ -1,6 +1,7 @@
 """Steps whose cost must not grow faster than their input."""
 
 import pyarrow as pa
+import pytest
 
 from tokenloom.functions import merging
 from tokenloom.operators import backoff as bo, datasets as ds, scoring as sc
@@ -96,3 +97,24 @@ def test_small_ranges_share_a_task(tmp_path):
     assert len(alone.partitions()) == 8
     assert read == [row for task in alone.partitions() for batch in alone.read(task) for row in batch.to_pylist()]
     assert b"".join(row["text"].encode() for row in read) == b"a b " * 2000
+
+
+def test_short_words_are_merged_together(monkeypatch):
+    ranks = {(b"a", b"a"): 0, (b"aa", b"b"): 1, (b"b", b"a"): 2, (b"c", b"\xc3"): 3}
+    id_of = {bytes([b]): b for b in range(256)} | {a + b: 256 + i for (a, b), i in ranks.items()}
+    words = ["aaab", "", "x", "baab", "aaaaa", "aa", "cé", "ba" * 40, "aaab", "abba"]
+    del id_of[b"x"]
+    for oov, unknown in (("drop", None), ("unk", 7)):
+        for dense in (merging.DENSE, 0):
+            monkeypatch.setattr(merging, "DENSE", dense)
+            encoder = merging.WordEncoder(ranks, id_of, oov, unknown)
+            assert encoder.encode_all(words) == [encoder.encode(word) for word in words]
+    with pytest.raises(ValueError, match="byte without a token"):
+        merging.WordEncoder(ranks, id_of, "error", None).encode_all(["ab", "x"])
+    alone = []
+    merge = merging.merge_pairs
+    monkeypatch.setattr(merging, "merge_pairs", lambda parts, ranks: alone.append(1) or merge(parts, ranks))
+    encoder = merging.WordEncoder(ranks, id_of, "drop", None)
+    got = encoder.lists(pa.array([words, [], None, ["abba"] * 3], pa.list_(pa.string()))).to_pylist()
+    assert len(alone) == 1  # the long word
+    assert got == [[256, 97, 98, 98, 257, 256, 256, 97, 256, 259, 169, *[258] * 40, 256, 97, 98, 97, 98, 258], [], [], [97, 98, 258] * 3]

@@ -4,12 +4,13 @@ import heapq
 import struct
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 #: Pretokens kept per worker and their longest; pretokens encoded at once; up to so many
-#: parts are searched anew for every merge.
-KEPT, LETTERS, AT_ONCE, SHORT = 100_000, 64, 1 << 16, 64
+#: parts are searched anew for every merge; up to so many parts all pairs have a table.
+KEPT, LETTERS, AT_ONCE, SHORT, DENSE = 100_000, 64, 1 << 16, 64, 1024
 
 
 def merge_pairs(parts: list[bytes], ranks: dict[tuple[bytes, bytes], int]) -> list[bytes]:
@@ -64,6 +65,75 @@ def merge_long(parts: list[bytes], ranks: dict[tuple[bytes, bytes], int]) -> lis
     return [part for part in parts if part != gone]
 
 
+class Merges:
+    """Merges many short words at once: a round does the next merge of every word."""
+
+    def __init__(self, ranks: dict[tuple[bytes, bytes], int]):
+        number = {bytes([b]): b for b in range(256)}
+        for left, right in ranks:
+            for part in (left, right, left + right):
+                number.setdefault(part, len(number))
+        self.parts = list(number)
+        self.none = len(ranks)
+        self.end = max(self.none, *ranks.values(), 0) + 1
+        coded = sorted(
+            (number[left] * len(number) + number[right], rank, number[left + right])
+            for (left, right), rank in ranks.items()
+        )
+        # what no pair reaches ends the list, so every search has an answer
+        coded.append((len(number) ** 2, self.none, 0))
+        self.codes, self.rank, self.made = np.array(coded, np.int64).T.copy()
+        self.place = None
+        if len(number) <= DENSE:
+            self.place = np.full(len(number) ** 2, len(coded) - 1, np.int32)
+            self.place[self.codes[:-1]] = np.arange(len(coded) - 1)
+
+    def places(self, symbols: np.ndarray) -> np.ndarray:
+        """Of every symbol and the next one, the place of their pair among all pairs."""
+        codes = symbols[:-1] * len(self.parts) + symbols[1:]
+        if self.place is not None:
+            return self.place[codes]
+        found = np.searchsorted(self.codes, codes)
+        return np.where(self.codes[found] == codes, found, len(self.codes) - 1)
+
+    def apply(
+        self, words: Sequence[bytes], drop: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the parts of all words, one word after the other, and how many each has.
+
+        Bytes marked in ``drop`` are left out first. As one at a time, the lowest rank of a
+        word is merged everywhere in it, left to right.
+        """
+        symbols = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        owner = np.repeat(np.arange(len(words)), [len(word) for word in words])
+        if drop is not None:
+            kept = ~drop[symbols]
+            symbols, owner = symbols[kept], owner[kept]
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(symbols):
+            inside = owner[:-1] == owner[1:]
+            place = self.places(symbols)
+            rank = np.append(np.where(inside, self.rank[place], self.end), self.end)
+            begins = np.flatnonzero(np.concatenate([[True], ~inside]))
+            low = np.repeat(
+                np.minimum.reduceat(rank, begins), np.diff(np.append(begins, len(symbols)))
+            )
+            open_ = (low != self.none) & (low != self.end)
+            done.append((owner[~open_], symbols[~open_]))
+            hit = open_ & (rank == low)
+            # of hits in a row every other one counts
+            line = np.arange(len(symbols))
+            hit &= (line - np.maximum.accumulate(np.where(hit, -1, line))) % 2 == 1
+            at = np.flatnonzero(hit)
+            symbols[at] = self.made[place[at]]
+            open_[at + 1] = False
+            symbols, owner = symbols[open_], owner[open_]
+        if not done:
+            return np.zeros(0, np.int64), np.zeros(len(words), np.int64)
+        owner, symbols = (np.concatenate(x) for x in zip(*done))
+        return symbols[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
+
+
 class WordEncoder:
     """Ids of pretokens; equal ones are merged once per worker."""
 
@@ -76,9 +146,10 @@ class WordEncoder:
     ):
         self.ranks, self.id_of, self.oov, self.unknown_id = ranks, id_of, oov, unknown_id
         self.known: dict[str, bytes] = {}
+        self.merges, self.ids, self.lacking = None, None, None
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "known": {}}
+        return {**self.__dict__, "known": {}, "merges": None, "ids": None, "lacking": None}
 
     def encode(self, word: str) -> bytes:
         """A pretoken that is a token as it stands is that token; else its bytes are merged."""
@@ -94,6 +165,37 @@ class WordEncoder:
             raise ValueError("byte without a token")
         return struct.pack(f"<{len(ids)}i", *ids)
 
+    def encode_all(self, words: Sequence[str]) -> list[bytes]:
+        """The same for many words; the short ones that need merges are merged together."""
+        out, at, parts = [], [], []
+        for place, word in enumerate(words):
+            data = word.encode()
+            if len(data) > SHORT or data in self.id_of:
+                out.append(self.encode(word))
+            else:
+                out.append(b"")
+                at.append(place)
+                parts.append(data)
+        if not at:
+            return out
+        if self.merges is None:
+            self.merges = Merges(self.ranks)
+        merges = self.merges
+        if self.ids is None:
+            ids = [self.id_of.get(part, self.unknown_id) for part in merges.parts]
+            self.lacking = np.array([x is None for x in ids])
+            self.ids = np.array([0 if x is None else x for x in ids], "<i4")
+        drop = None
+        if self.oov == "drop":
+            drop = np.array([bytes([b]) not in self.id_of for b in range(256)])
+        symbols, sizes = merges.apply(parts, drop)
+        if self.lacking[symbols].any():
+            raise ValueError("byte without a token")
+        data, ends = self.ids[symbols].tobytes(), (4 * np.cumsum(sizes)).tolist()
+        for place, begin, end in zip(at, [0, *ends], ends):
+            out[place] = data[begin:end]
+        return out
+
     def pieces(self, batch: pa.ListArray) -> Iterator[pa.ListArray]:
         """The rows of a batch, so many at a time as hold ``AT_ONCE`` pretokens, one at least."""
         begin, held = 0, 0
@@ -105,27 +207,35 @@ class WordEncoder:
         yield batch.slice(begin)
 
     def lists(self, batch: pa.ListArray) -> pa.ListArray:
-        """Lists of pretokens to lists of ids; null lists to empty ones."""
-        words = batch.flatten().to_pylist()
+        """Lists of pretokens to lists of ids; null lists to empty ones.
+
+        Python sees the distinct pretokens of the batch only; their ids are dealt out to the
+        places by number.
+        """
+        coded = batch.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
         if len(self.known) > KEPT:
             self.known = {}
         known = self.known
-        fresh = set(words) - known.keys()
-        for word in fresh:
-            known[word] = self.encode(word)
-        sizes = batch.value_lengths().fill_null(0).to_pylist()
-        rows, at = [], 0
-        for size in sizes:
-            rows.append(b"".join(map(known.__getitem__, words[at : at + size])))
-            at += size
+        fresh = [word for word in words if word not in known]
+        known.update(zip(fresh, self.encode_all(fresh)))
+        spelled = list(map(known.__getitem__, words))
         for word in fresh:
             if len(word) > LETTERS:
                 del known[word]
-        ends = [0]
-        for row in rows:
-            ends.append(ends[-1] + len(row) // 4)
-        values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(rows))])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        found = np.frombuffer(b"".join(spelled), "<i4")
+        values, ends = dealt(found, [len(ids) // 4 for ids in spelled], coded.indices.to_numpy())
+        bounds = np.cumsum([0, *batch.value_lengths().fill_null(0).to_pylist()])
+        return pa.ListArray.from_arrays(pa.array(ends[bounds], pa.int32()), pa.array(values, pa.int32()))
+
+
+def dealt(flat: np.ndarray, sizes: Sequence[int], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``flat``, of these sizes, in the order ``at``; and where each ends, from 0 on."""
+    sizes = np.array(sizes, np.int64)
+    begins = np.cumsum(sizes) - sizes
+    taken = sizes[at]
+    ends = np.concatenate([[0], np.cumsum(taken)])
+    return flat[np.arange(ends[-1]) + np.repeat(begins[at] - ends[:-1], taken)], ends
 
 
 def word_ids(pretokens: Column, encoder: WordEncoder) -> Column:
