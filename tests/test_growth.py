@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 
 from tokenloom.functions import merging
-from tokenloom.operators import backoff as bo, datasets as ds, scoring as sc
+from tokenloom.operators import backoff as bo, datasets as ds, pretokens as pt, scoring as sc
 from tokenloom.plans import queries as q
 from tokenloom.session import materialize, scratch_path
 from tokenloom.sources import ranges, snapshots
@@ -118,3 +118,13 @@ def test_short_words_are_merged_together(monkeypatch):
     got = encoder.lists(pa.array([words, [], None, ["abba"] * 3], pa.list_(pa.string()))).to_pylist()
     assert len(alone) == 1  # the long word
     assert got == [[256, 97, 98, 98, 257, 256, 256, 97, 256, 259, 169, *[258] * 40, 256, 97, 98, 97, 98, 258], [], [], [97, 98, 258] * 3]
+
+
+def test_distinct_pretokens_are_searched_as_one_text():
+    needles = pt.Needles([b"a", b"aa", b"a", b"\xa9", b"\xff"])
+    found, sizes = needles.hits(["aa", "", "é", "ba", "x"])
+    assert sizes.tolist() == [5, 0, 1, 2, 0]
+    assert found.tolist()[-3:] == [[1, 3], [1, 0], [1, 2]]
+    assert sorted(found.tolist()[:5]) == [[0, 0], [0, 1], [0, 2], [1, 0], [1, 2]]
+    for none in (pt.Needles([]).hits(["a"]), needles.hits(["xyz"]), needles.hits([])):
+        assert not len(none[0]) and not none[1].sum()

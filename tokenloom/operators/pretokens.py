@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tokenloom.functions import arrays, text as tx
+from tokenloom.functions.merging import dealt
 
-#: Remembered pretokens per worker and their longest; rows of a batch of occurrences.
-SEEN_PRETOKENS, SEEN_LETTERS, FOUND_ROWS = 100_000, 64, 1 << 18
+#: Rows of a batch of occurrences; what stands between pretokens and in none of them.
+FOUND_ROWS, PARTED = 1 << 18, chr(256)
 
 
 def split_special(
@@ -123,6 +126,47 @@ def find_occurrences(
     return found
 
 
+class Needles:
+    """Byte strings to search for, all at once."""
+
+    def __init__(self, needles: Sequence[bytes]):
+        if not all(needles):
+            raise ValueError("byte strings must not be empty")
+        places: dict[str, list[int]] = {}
+        for place, needle in enumerate(needles):
+            places.setdefault(bytes(needle).decode("latin-1"), []).append(place)
+        self.lifted = list(places)
+        self.lengths = np.array([len(needle) for needle in places], np.int64)
+        self.many = np.array([len(own) for own in places.values()], np.int64)
+        self.places = np.array([place for own in places.values() for place in own], np.int64)
+        self.automaton = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "automaton": None}
+
+    def hits(self, pretokens: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(offset, place) of what the pretokens hold, and how many each holds.
+
+        They are searched as one text, with a character between them that is no byte.
+        """
+        if not self.lifted:
+            return np.zeros((0, 2), np.int64), np.zeros(len(pretokens), np.int64)
+        if self.automaton is None:
+            self.automaton = ahocorasick.Automaton()
+            for number, needle in enumerate(self.lifted):
+                self.automaton.add_word(needle, number)
+            self.automaton.make_automaton()
+        words = [word.encode().decode("latin-1") for word in pretokens]
+        ends = np.cumsum([0, *(len(word) + 1 for word in words)])
+        found = chain.from_iterable(self.automaton.iter(PARTED.join(words)))
+        last, number = np.fromiter(found, np.int64).reshape(-1, 2).T
+        owner = np.searchsorted(ends, last, "right") - 1
+        places, _ = dealt(self.places, self.many, number)
+        inner = np.repeat(last + 1 - self.lengths[number] - ends[owner], self.many[number])
+        owner = np.repeat(owner, self.many[number])
+        return np.stack([inner, places], axis=1), np.bincount(owner, minlength=len(words))
+
+
 def find_all_occurrences(
     spans: DataFrame, needles: Sequence[bytes], key: str = "doc_id"
 ) -> DataFrame:
@@ -133,11 +177,7 @@ def find_all_occurrences(
     cost is that of the text and of what is found; overlaps are kept. The strings are
     bounded by a vocabulary; empty ones are refused, equal ones found under each place.
     """
-    if not all(needles):
-        raise ValueError("byte strings must not be empty")
-    lifted: dict[str, list[int]] = {}
-    for place, needle in enumerate(needles):
-        lifted.setdefault(bytes(needle).decode("latin-1"), []).append(place)
+    searched = Needles(needles)
     rows = spans.select(F.col(key).alias("key"), "pos", "start", "pretoken")
     schema = T.StructType(
         [
@@ -149,47 +189,31 @@ def find_all_occurrences(
     )
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = ahocorasick.Automaton()
-        for needle, places in lifted.items():
-            automaton.add_word(needle, (len(needle), places))
-        if lifted:
-            automaton.make_automaton()
-        seen: dict[str, list[tuple[int, int]]] = {}
         for batch in batches:
-            if not lifted:
-                continue
-            at, offsets, found = [], [], []
-            starts = batch.column(2).to_pylist()
-            for row, pretoken in enumerate(batch.column(3).to_pylist()):
-                hits = seen.get(pretoken)
-                if hits is None:
-                    hits = [
-                        (end + 1 - length, place)
-                        for end, (length, places) in automaton.iter(pretoken.encode().decode("latin-1"))
-                        for place in places
-                    ]
-                    if len(pretoken) <= SEEN_LETTERS:
-                        if len(seen) >= SEEN_PRETOKENS:
-                            seen.clear()
-                        seen[pretoken] = hits
-                for inner, place in hits:
-                    at.append(row)
-                    offsets.append(starts[row] + inner)
-                    found.append(place)
-                if len(at) >= FOUND_ROWS:
-                    yield handed(batch, at, offsets, found)
-                    at, offsets, found = [], [], []
-            if at:
-                yield handed(batch, at, offsets, found)
-
-    def handed(batch: pa.RecordBatch, at: list, offsets: list, found: list) -> pa.RecordBatch:
+            # the distinct pretokens are searched; what they hold is dealt out to their rows
+            coded = batch.column(3).dictionary_encode()
+            flat, sizes = searched.hits(coded.dictionary.to_pylist())
+            kinds, starts = coded.indices.to_numpy(), batch.column(2).to_numpy()
+            upto = np.cumsum(sizes[kinds])
+            first = 0
+            while first < len(kinds):
+                # rows that bring FOUND_ROWS occurrences, one row at least
+                before = upto[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(upto, before + FOUND_ROWS, "right")))
+                found, ends = dealt(flat, sizes, kinds[first:last])
+                at = np.repeat(np.arange(first, last), np.diff(ends))
+                if len(at):
+                    yield handed(batch, at, starts[at] + found[:, 0], found[:, 1])
+                first = last
+
+    def handed(batch: pa.RecordBatch, at: np.ndarray, offsets: np.ndarray, found: np.ndarray) -> pa.RecordBatch:
         rows = pa.array(at, pa.int64())
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(0).take(rows),
                 batch.column(1).take(rows),
                 pa.array(offsets, pa.int64()),
-                pa.array(found, pa.int32()),
+                pa.array(found.astype(np.int32)),
             ],
             names=["key", "pos", "offset", "needle"],
         )
