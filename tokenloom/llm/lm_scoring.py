@@ -12,10 +12,12 @@ included, and its own smoothed rate.
 import array
 import base64
 import functools
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -113,13 +115,13 @@ def gather(docs: DataFrame, tokenizer: str, modulus: int, held_out: int) -> Data
             for first, last in slices([len(x) for x in texts], BATCH_BYTES):
                 words = [split_words(x) for x in texts[first:last]]
                 plain = [b" ".join(x).decode() for x in words]
-                ids = [np.frombuffer(array.array("H", encode(x)), np.uint16) for x in plain]
+                ids = [array.array("H", encode(x)).tobytes() for x in plain]
                 yield rows(
                     0,
                     last - first,
                     key=keys[first:last],
                     held=held[first:last],
-                    ids=[x.tobytes() for x in ids],
+                    ids=ids,
                 )
                 for mine, out in zip(words, held[first:last], strict=True):
                     (other if out else learned).update(mine)
@@ -127,7 +129,7 @@ def gather(docs: DataFrame, tokenizer: str, modulus: int, held_out: int) -> Data
                     ends[0] += not out
                 seen = [own for own, out in zip(ids, held[first:last], strict=True) if not out]
                 if seen:
-                    counts += np.bincount(np.concatenate(seen), minlength=len(counts))
+                    counts += np.bincount(np.frombuffer(b"".join(seen), np.uint16), minlength=len(counts))
                 if len(learned) + len(other) > HELD_WORDS:
                     yield word_rows()
                     learned.clear()
@@ -389,55 +391,158 @@ def log_shares(z: np.ndarray, y: np.ndarray) -> np.ndarray:
     return of(log_softmax(within), y % GROUP) + of(log_softmax(groups), group)
 
 
-def slopes(w: dict, x: np.ndarray, y: np.ndarray, used: np.ndarray) -> dict[str, np.ndarray]:
-    """Gradient of the mean loss over the used positions."""
-    _, (e, n1, s1, q_, k, v, a, c, h, n2, s2, u, g, n3, s3) = forward(w, x, logits=False)
-    flat = lambda m: m.reshape(-1, m.shape[-1])
-    rows, share = flat(n3), 1 / max(used.sum(), 1)
-    at = np.flatnonzero(used.ravel())
-    target, group = y.ravel(), y.ravel() // GROUP
-    dn = np.zeros_like(rows)
+class Space:
+    """Arrays by name, whose memory the next step writes over."""
 
-    def step(mine: np.ndarray, weights: np.ndarray, bias: np.ndarray, hit: np.ndarray):
-        """One softmax over these rows: slopes of its weights and bias; adds to the rows'."""
-        z = rows[mine] @ weights + bias
-        z -= z.max(axis=-1, keepdims=True)
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, kind: np.dtype, *shape: int) -> np.ndarray:
+        size, found = math.prod(shape), self.held.get(name)
+        if found is None or found.size < size or found.dtype != kind:
+            found = self.held[name] = np.empty(size, kind)
+        return found[:size].reshape(shape)
+
+
+#: Exponentials are taken without a shift of numbers up to this size.
+SAFE = 30
+
+
+def slopes(
+    w: dict, x: np.ndarray, y: np.ndarray, used: np.ndarray, space: Space | None = None
+) -> dict[str, np.ndarray]:
+    """Gradient of the mean loss over the used positions, for what ``forward`` computes.
+
+    Positions are columns, so that sums over a position's numbers run along whole rows.
+    Products of weights that always follow each other (query and key, value and mix) are
+    taken once, before the positions.
+    """
+    (n, length), kind = x.shape, w["symbol"].dtype
+    size, cols = n * length, np.arange(n * length)
+    space = space or Space()
+    new = lambda name, *shape: space(name, kind, *shape)
+    windows = lambda m: m.reshape(len(m), n, length).transpose(1, 0, 2)
+    ones, flat, line = new("ones", size), new("flat", WIDTH, size), new("line", size)
+    ones[:] = 1
+
+    def evened(m: np.ndarray, name: str) -> tuple[np.ndarray, np.ndarray]:
+        rows, scale = new("rows" + name, *m.shape), new("scale" + name, size)
+        np.multiply(m, m, out=rows)
+        np.matmul(ones[: len(m)], rows, out=scale)
+        scale /= len(m)
+        scale += kind.type(1e-5)
+        np.sqrt(scale, out=scale)
+        np.divide(1, scale, out=scale)
+        return np.multiply(m, scale, out=rows), scale
+
+    def evened_slope(slope: np.ndarray, rows: np.ndarray, scale: np.ndarray) -> np.ndarray:
+        np.multiply(slope, rows, out=flat)
+        np.matmul(ones[:WIDTH], flat, out=line)
+        np.divide(line, -WIDTH, out=line)
+        slope += np.multiply(rows, line, out=flat)
+        slope *= scale
+        return slope
+
+    def softmax_slope(z: np.ndarray, hit: np.ndarray, weight: np.ndarray) -> None:
+        if max(z.max(), -z.min()) > SAFE:
+            z -= z.max(axis=0)
         np.exp(z, out=z)
-        z /= z.sum(axis=-1, keepdims=True)
-        z[np.arange(len(z)), hit] -= 1
-        z *= share
-        dn[mine] += z @ weights.T
-        return rows[mine].T @ z, z.sum(axis=0)
-
-    out = {"out": np.zeros_like(w["out"]), "bias": np.zeros_like(w["bias"])}
-    out["group"], out["group_bias"] = step(at, w["group"], w["group_bias"], group[at])
-    at = at[np.argsort(group[at], kind="stable")]
-    ends = np.searchsorted(group[at], np.arange(GROUPS + 1)).tolist()
-    for i, (first, last) in enumerate(zip(ends, ends[1:])):
-        if last > first:
-            part = slice(i * GROUP, (i + 1) * GROUP)
-            mine = at[first:last]
-            out["out"][:, part], out["bias"][part] = step(
-                mine, w["out"][:, part], w["bias"][part], target[mine] - i * GROUP
-            )
-    dg = even_slope(dn.reshape(n3.shape), g, s3)
-    out["back"] = flat(u).T @ flat(dg)
-    du = (dg @ w["back"].T) * (u > 0)
-    out["wide"], out["shift"] = flat(n2).T @ flat(du), flat(du).sum(axis=0)
-    dh = dg + even_slope(du @ w["wide"].T, h, s2)
-    out["mix"] = flat(c).T @ flat(dh)
-    dc = dh @ w["mix"].T
-    da = dc @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ dc
-    ds = a * (da - np.einsum("...i,...i->...", da, a)[..., None]) * WIDTH**-0.5
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q_
-    out["query"], out["key"], out["value"] = (flat(n1).T @ flat(m) for m in (dq, dk, dv))
-    de = dh + even_slope(dq @ w["query"].T + dk @ w["key"].T + dv @ w["value"].T, e, s1)
+        np.matmul(ones[: len(z)], z, out=line)
+        z *= np.divide(weight, line, out=line)
+        z.reshape(-1)[hit * size + cols] -= weight
+
+    weight = used.ravel() * kind.type(1 / max(used.sum(), 1))
+    at, target = x.ravel(), y.ravel()
+    group = target // GROUP
+    e = new("e", WIDTH, size)
+    np.ascontiguousarray(w["symbol"].T).take(at, axis=1, out=e, mode="clip")
+    placed = e.reshape(WIDTH, n, length)
+    placed += np.ascontiguousarray(w["place"][:length].T)[:, None]
+    n1, s1 = evened(e, "1")
+    scale = kind.type(WIDTH**-0.5)
+    joined = np.concatenate([w["query"] @ w["key"].T * scale, w["value"] @ w["mix"]], axis=1)
+    middle = new("middle", 2 * WIDTH + 1, size)
+    np.matmul(joined.T, n1, out=middle[:-1])
+    middle[-1] = 1
+    keys, asks, says = windows(n1), windows(middle[:WIDTH]), windows(middle[WIDTH:])
+    a = np.matmul(asks.transpose(0, 2, 1), keys, out=new("a", n, length, length))
+    if max(a.max(), -a.min()) > SAFE:
+        a += LATER[:length, :length]
+        a -= a.max(axis=-1, keepdims=True)
+    np.exp(a, out=a)
+    a *= EARLIER[:length, :length]
+    share = np.matmul(a.reshape(size, length), ones[:length], out=new("share", size))
+    np.divide(1, share, out=share)
+    c = new("c", WIDTH, size)
+    np.matmul(says[:, :-1], a.transpose(0, 2, 1), out=windows(c))
+    c *= share
+    h = np.add(e, c, out=new("h", WIDTH, size))
+    n2, s2 = evened(h, "2")
+    u = np.matmul(w["wide"].T, n2, out=new("u", HIDDEN, size))
+    u += w["shift"][:, None]
+    np.maximum(u, 0, out=u)
+    g = np.matmul(w["back"].T, u, out=new("g", WIDTH, size))
+    g += h
+    n3, s3 = evened(g, "3")
+
+    out = {}
+    z = np.matmul(w["group"].T, n3, out=new("z", GROUPS, size))
+    z += w["group_bias"][:, None]
+    softmax_slope(z, group, weight)
+    out["group"], out["group_bias"] = n3 @ z.T, z @ ones
+    dn = np.matmul(w["group"], z, out=new("dn", WIDTH, size))
+    # positions whose targets share a group are done in one product; the last row is the bias
+    order = np.argsort(group.astype(np.uint8), kind="stable")
+    ends = np.cumsum(np.bincount(group, minlength=GROUPS)).tolist()
+    rows, both = new("sorted", WIDTH + 1, size), np.concatenate([w["out"], w["bias"][None]])
+    n3.take(order, axis=1, out=rows[:-1], mode="clip")
+    rows[-1] = 1
+    parts = [
+        (slice(i, j), slice(k * GROUP, (k + 1) * GROUP))
+        for k, (i, j) in enumerate(zip([0, *ends], ends))
+        if j > i
+    ]
+    z = new("within", GROUP, size)
+    for mine, part in parts:
+        np.matmul(both[:, part].T, rows[:, mine], out=z[:, mine])
+    softmax_slope(z, target[order] % GROUP, weight[order])
+    slope, back = np.zeros_like(both), new("back", 2 * WIDTH, size)
+    for mine, part in parts:
+        np.matmul(rows[:, mine], z[:, mine].T, out=slope[:, part])
+        np.matmul(w["out"][:, part], z[:, mine], out=back[:WIDTH, mine])
+    out["out"], out["bias"] = slope[:-1], slope[-1]
+    place = np.empty(size, np.int64)
+    place[order] = cols
+    dn += back[:WIDTH].take(place, axis=1, out=flat, mode="clip")
+
+    dg = evened_slope(dn, n3, s3)
+    out["back"] = u @ dg.T
+    du = np.matmul(w["back"], dg, out=new("du", HIDDEN, size))
+    du *= u > 0
+    out["wide"], out["shift"] = n2 @ du.T, du @ ones
+    dh = evened_slope(np.matmul(w["wide"], du, out=new("dh", WIDTH, size)), n2, s2)
+    dh += dg
+    # the last rows of ``says`` and ``dc`` take the mean slope off each position's own
+    dc = new("dc", WIDTH + 1, size)
+    np.multiply(dh, share, out=dc[:-1])
+    np.matmul(ones[:WIDTH], np.multiply(dc[:-1], c, out=flat), out=dc[-1])
+    np.negative(dc[-1], out=dc[-1])
+    ds = np.matmul(windows(dc).transpose(0, 2, 1), says, out=new("ds", n, length, length))
+    ds *= a
+    np.matmul(keys, ds.transpose(0, 2, 1), out=windows(back[:WIDTH]))
+    np.matmul(windows(dc[:-1]), a, out=windows(back[WIDTH:]))
+    dn = np.matmul(joined, back, out=dn)
+    slope = n1 @ back.T
+    np.matmul(asks, ds, out=windows(flat))
+    dn += flat
+    asked, said = slope[:, :WIDTH] * scale, slope[:, WIDTH:]
+    out["query"], out["key"] = asked @ w["key"], asked.T @ w["query"]
+    out["value"], out["mix"] = said @ w["mix"].T, w["value"].T @ said
+    de = evened_slope(dn, n1, s1)
+    de += dh
     out["place"] = np.zeros_like(w["place"])
-    out["place"][: x.shape[1]] = de.sum(axis=0)
-    out["symbol"] = np.stack(
-        [np.bincount(x.ravel(), weights=column, minlength=SYMBOLS) for column in flat(de).T], axis=1
-    )
+    out["place"][:length] = de.reshape(WIDTH, n, length).sum(axis=1).T
+    out["symbol"] = np.stack([np.bincount(at, weights=row, minlength=SYMBOLS) for row in de], axis=1)
     return {name: out[name] for name in w}
 
 
@@ -445,33 +550,56 @@ def train_windows(vector: np.ndarray, windows: np.ndarray, rate: float, seed: in
     """Adam over shuffled windows (rows of symbols, -1 after their end), each once."""
     values = vector.astype(np.float64)
     m, v = np.zeros_like(values), np.zeros_like(values)
+    size, space = np.empty_like(values), Space()
     draw = np.random.default_rng(seed)
     order = draw.permutation(len(windows))
     for step in range(1, -(-len(windows) // STEP) + 1):
         rows = windows[order[(step - 1) * STEP : step * STEP]]
         x, y = rows[:, :-1], rows[:, 1:]
-        slope = to_vector(slopes(to_weights(values), np.maximum(x, 0), np.maximum(y, 0), y >= 0))
-        m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
-        values -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        slope = to_vector(
+            slopes(to_weights(values), np.maximum(x, 0), np.maximum(y, 0), y >= 0, space)
+        )
+        m *= 0.9
+        m += np.multiply(slope, 0.1, out=size)
+        v *= 0.99
+        slope *= slope
+        slope *= 0.01
+        v += slope
+        np.sqrt(np.divide(v, 1 - 0.99**step, out=size), out=size)
+        size += 1e-8
+        np.divide(m, size, out=size)
+        size *= rate / (1 - 0.9**step)
+        values -= size
     return values
 
 
-def window_rows(found: list[bytes], of: np.ndarray) -> np.ndarray:
-    """Windows of ids as rows of symbols, -1 after their end."""
-    rows = np.full((len(found), LENGTH + 1), -1, np.int64)
-    for row, data in zip(rows, found, strict=True):
-        ids = np.frombuffer(data, np.uint16)
-        row[: len(ids)] = of[ids]
-    return rows
+def window_places(texts: list[bytes], turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of texts for a round; over all rounds each id and each end is a target once.
+
+    Returns a line of all ids, begins and ends, where windows start and end in it, and the
+    number of windows of each text.
+    """
+    between = np.array([BEGIN], np.uint16).tobytes(), np.array([STOP], np.uint16).tobytes()
+    line = np.frombuffer(b"".join(chain.from_iterable((between[0], x, between[1]) for x in texts)), np.uint16)
+    lengths = np.array([len(x) // 2 + 2 for x in texts], np.int64)
+    last = np.cumsum(lengths)
+    begin = np.array([(turn + zlib.crc32(x)) % ROUNDS * LENGTH for x in texts], np.int64)
+    many = np.maximum(0, -(-(lengths - 1 - begin) // (ROUNDS * LENGTH)))
+    number = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    starts = np.repeat(last - lengths + begin, many) + number * (ROUNDS * LENGTH)
+    return line, starts, np.minimum(starts + LENGTH + 1, np.repeat(last, many)), many
+
+
+def window_rows(line: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Windows of a line of symbols as rows, -1 after their end."""
+    at = starts[:, None] + np.arange(LENGTH + 1)
+    return np.where(at < ends[:, None], line[np.minimum(at, len(line) - 1)], line.dtype.type(-1))
 
 
 def text_windows(ids: bytes, turn: int) -> list[bytes]:
-    """Windows of a text for a round; over all rounds each id and the end is a target once."""
-    padded = np.concatenate([[BEGIN], np.frombuffer(ids, np.uint16), [STOP]]).astype(np.uint16)
-    begin = (turn + zlib.crc32(ids)) % ROUNDS * LENGTH
-    return [
-        padded[at : at + LENGTH + 1].tobytes() for at in range(begin, len(padded) - 1, ROUNDS * LENGTH)
-    ]
+    """Windows of a text for a round."""
+    line, starts, ends, _ = window_places([ids], turn)
+    return [line[i:j].tobytes() for i, j in zip(starts, ends, strict=True)]
 
 
 def train_round(
@@ -481,20 +609,29 @@ def train_round(
     most = 200 * STEP
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, total, held = vector.astype(float), 0, []
+        values, total, held, waiting = vector.astype(float), 0, [], 0
 
         def learn():
-            nonlocal values, total, held
-            values = train_windows(values, window_rows(held, symbols.of), rate, seed + total)
-            total, held = total + len(held), []
+            nonlocal values, total, held, waiting
+            if waiting:
+                values = train_windows(values, np.concatenate(held), rate, seed + total)
+            total, held, waiting = total + waiting, [], 0
 
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                held += text_windows(ids, turn)
-                if len(held) >= most:
-                    learn()
-        if held:
-            learn()
+            found = batch.column(0).to_pylist()
+            for first, last in slices([len(x) for x in found], BATCH_BYTES):
+                line, starts, ends, many = window_places(found[first:last], turn)
+                rows = window_rows(symbols.of[line], starts, ends)
+                after, done = np.cumsum(many), 0
+                # whole texts until there are enough windows
+                while done < len(rows):
+                    text = np.searchsorted(after, done + most - waiting)
+                    here = after[min(text, len(after) - 1)]
+                    held.append(rows[done:here])
+                    waiting, done = waiting + here - done, here
+                    if waiting >= most:
+                        learn()
+        learn()
         if total:
             yield pa.RecordBatch.from_arrays(
                 [
@@ -536,10 +673,11 @@ class Scorer:
         n1, _ = even(e)
         self.e, self.query = e, n1 @ w["query"] * np.float32(WIDTH**-0.5)
         self.key, self.value = n1 @ w["key"], n1 @ w["value"] @ w["mix"]
-        self.out = np.ascontiguousarray(
-            w["out"].reshape(WIDTH, GROUPS, GROUP).transpose(1, 0, 2)
-        )
-        self.bias = w["bias"].reshape(GROUPS, GROUP)
+        #: Products that give logits, of the groups and within each; biases come last.
+        self.group = np.concatenate([w["group"], w["group_bias"][None]]).T.copy()
+        both = np.concatenate([w["out"], w["bias"][None]])
+        self.out = np.ascontiguousarray(both.reshape(-1, GROUPS, GROUP).transpose(1, 2, 0))
+        self.space = Space()
         # logits stay below this, so their exponentials need no shift
         size = lambda m: np.sqrt((m * m).sum(axis=-1)).max()
         self.steady = (
@@ -549,11 +687,13 @@ class Scorer:
         )
 
     def softmax_log(self, z: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Natural log of the share of row ``at`` in each column; leaves exponentials."""
         if not self.steady:
-            z -= z.max(axis=-1, keepdims=True)
-        hit = z[np.arange(len(z)), at]
+            z -= z.max(axis=0)
+        hit = z.reshape(-1)[at * z.shape[1] + np.arange(z.shape[1])]
         np.exp(z, out=z)
-        return hit - np.log(z @ ONES[:GROUP])
+        hit -= np.log(ONES[:GROUP] @ z)
+        return hit
 
     def opening_log(self, n: np.ndarray, groups: np.ndarray) -> np.ndarray:
         """Natural log of the chance that the next id begins a word, over all symbols."""
@@ -569,52 +709,73 @@ class Scorer:
     ) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log of the target's probability at positions ``first``.. of windows.
 
-        Where ``opens``, also of the chance that a word begins there.
+        Where ``opens``, also of the chance that a word begins there. After the attention,
+        positions are columns: sums over a position's numbers run along whole rows.
         """
-        w, at = self.w, x * LENGTH + np.arange(LENGTH)
-        mine = at[:, first:]
-        a = self.query.take(mine, axis=0) @ self.key.take(at, axis=0).transpose(0, 2, 1)
+        w, space, at = self.w, self.space, x * LENGTH + np.arange(LENGTH)
+        mine = np.ascontiguousarray(at[:, first:])
+        n, length = mine.shape
+        size = n * length
+        new = lambda name, *shape: space(name, np.float32, *shape)
+        take = lambda table, at, name: table.take(
+            at, axis=0, out=new(name, *at.shape, WIDTH), mode="clip"
+        )
+        keys, says = take(self.key, at, "keys"), take(self.value, at, "says")
+        a = np.matmul(
+            take(self.query, mine, "asks"), keys.transpose(0, 2, 1), out=new("a", n, length, LENGTH)
+        )
         if not self.steady:
             a += LATER[first:]
             a -= a.max(axis=-1, keepdims=True)
         np.exp(a, out=a)
         a *= EARLIER[first:]
-        h = a @ self.value.take(at, axis=0)
-        h /= (a @ ONES)[..., None]
-        h += self.e.take(mine, axis=0)
-        h = h.reshape(-1, WIDTH)
-        u = even(h)[0] @ w["wide"]
-        u += w["shift"]
-        np.maximum(u, 0, out=u)
-        h += u @ w["back"]
-        n = even(h)[0]
+        h, wide, line = new("h", WIDTH, size), new("wide", HIDDEN, size), new("line", size)
+        np.matmul(
+            says.transpose(0, 2, 1), a.transpose(0, 2, 1), out=h.reshape(WIDTH, n, length).transpose(1, 0, 2)
+        )
+        h /= np.matmul(a.reshape(size, LENGTH), ONES, out=line)
+        h += take(self.e, mine, "e").reshape(size, WIDTH).T
+
+        def evened(rows: np.ndarray) -> np.ndarray:
+            np.multiply(rows, rows, out=flat)
+            np.matmul(ONES[:WIDTH], flat, out=line)
+            np.multiply(line, np.float32(1 / WIDTH), out=line)
+            np.sqrt(np.add(line, np.float32(1e-5), out=line), out=line)
+            return np.divide(rows, line, out=flat)
+
+        flat = new("flat", WIDTH, size)
+        np.matmul(w["wide"].T, evened(h), out=wide)
+        wide += w["shift"][:, None]
+        np.maximum(wide, 0, out=wide)
+        h += np.matmul(w["back"].T, wide, out=flat)
+        # the last row is the bias
+        rows = new("rows", WIDTH + 1, size)
+        rows[:-1], rows[-1] = evened(h), 1
         target = y.ravel()
         group = target // GROUP
-        z = n @ w["group"]
-        z += w["group_bias"]
+        z = np.matmul(self.group, rows, out=new("z", GROUPS, size))
         logs = self.softmax_log(z, group)
         opening = None
         if opens is not None and self.pure is not None:
             # the product above left the exponentials of the groups
-            opening = np.log(np.maximum(z @ self.pure / (z @ ONES[:GROUPS]), 1e-30)).reshape(y.shape)
+            chance = (self.pure @ z) / (ONES[:GROUPS] @ z)
+            opening = np.log(np.maximum(chance, 1e-30)).reshape(y.shape)
         elif opens is not None:
-            opening = np.zeros(len(n), np.float32)
+            opening = np.zeros(size, np.float32)
             at = np.flatnonzero(opens.ravel())
             for i in range(0, len(at), OPENED):
                 mine = at[i : i + OPENED]
-                groups = z[mine] / z[mine].sum(axis=1, keepdims=True)
-                opening[mine] = self.opening_log(n[mine], groups)
+                groups = (z[:, mine] / z[:, mine].sum(axis=0)).T
+                opening[mine] = self.opening_log(rows[:-1, mine].T, groups)
             opening = opening.reshape(y.shape)
         # positions whose targets share a group are done in one product
-        order = np.argsort(group.astype(np.int16), kind="stable")
-        sorted_n, sorted_target = n.take(order, axis=0), target[order]
-        ends = np.searchsorted(group[order], np.arange(GROUPS + 1)).tolist()
-        z = np.empty((len(n), GROUP), np.float32)
-        for g, (i, j) in enumerate(zip(ends, ends[1:])):
+        order = np.argsort(group.astype(np.uint8), kind="stable")
+        ends = np.cumsum(np.bincount(group, minlength=GROUPS)).tolist()
+        rows = rows.take(order, axis=1, out=new("sorted", WIDTH + 1, size), mode="clip")
+        for g, (i, j) in enumerate(zip([0, *ends], ends)):
             if j > i:
-                np.matmul(sorted_n[i:j], self.out[g], out=z[i:j])
-                z[i:j] += self.bias[g]
-        logs[order] += self.softmax_log(z, sorted_target % GROUP)
+                np.matmul(self.out[g], rows[:, i:j], out=z[:, i:j])
+        logs[order] += self.softmax_log(z, (target % GROUP)[order])
         return logs.reshape(y.shape), opening
 
     def token_logs(
@@ -728,13 +889,14 @@ def score_texts(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, pieces = hot_logs(names, logs), token_bytes(tokenizer)
-        scorer = Scorer(model, symbols, begins)
+        scorer, table = Scorer(model, symbols, begins), piece_table(pieces)
         kind = pa.list_(pa.struct([("word", pa.binary()), ("log", pa.float64())]))
         for batch in batches:
             texts = [np.frombuffer(x, np.uint16) for x in batch.column("ids").to_pylist()]
             for first, last in slices([1 + len(x) for x in texts], 1 << 17):
                 part = texts[first:last]
-                columns = word_scores(part, *scorer.token_logs(part, begins), known, pieces, begins, norm)
+                tokens = scorer.token_logs(part, begins)
+                columns = word_scores(part, *tokens, known, pieces, begins, norm, table)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[batch.column(x).slice(first, last - first) for x in ("key", "held")],
@@ -784,6 +946,23 @@ def score_texts(
     )
 
 
+def piece_table(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all ids in one array, and where those of each id start and how many they are."""
+    sizes = np.array([len(x) for x in pieces], np.int64)
+    return np.frombuffer(b"".join(pieces), np.uint8), np.cumsum(sizes) - sizes, sizes
+
+
+def decode(texts: list[np.ndarray], table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[bytes]:
+    """Bytes of texts given as ids."""
+    data, starts, sizes = table
+    line = np.concatenate(texts)
+    many = sizes[line]
+    ends = np.cumsum(many)
+    out = data[np.repeat(starts[line] - ends + many, many) + np.arange(many.sum())].tobytes()
+    last = np.append(0, ends)[np.cumsum([len(x) for x in texts])].tolist()
+    return [out[i:j] for i, j in zip([0, *last], last)]
+
+
 def mixed_log(own: np.ndarray, logs: np.ndarray, norm: float) -> np.ndarray:
     """log10 probability of words by subwords (``own``) and rates (``logs``: of count + 1).
 
@@ -801,6 +980,7 @@ def word_scores(
     pieces: list[bytes],
     begins: np.ndarray,
     norm: float,
+    table: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[list[dict]]]:
     """Per text: words and end, those seen in training, sum of log10(count + 1), log10
     probability, and (word, log10 by subwords) of those whose count is not at hand.
@@ -809,11 +989,12 @@ def word_scores(
     begins another, so the probabilities of all words after a context add up to one. They
     are mixed with the words' own rates, in which all unseen words are one type. Where
     subwords do not part at the spaces (odd white space), subwords alone count; the
-    words of such a text that are not at hand are marked by a log above 0.
+    words of such a text that are not at hand are marked by a log above 0. ``table``: that
+    of the pieces, if it is at hand.
     """
-    piece, words, sizes = pieces.__getitem__, [], []
-    for ids in texts:
-        own = b"".join(map(piece, ids.tolist())).split()
+    words, sizes = [], []
+    for data in decode(texts, table or piece_table(pieces)):
+        own = data.split()
         words += own
         words.append(END)
         sizes.append(len(own) + 1)
