@@ -197,14 +197,7 @@ class WordEncoder:
         return out
 
     def pieces(self, batch: pa.ListArray) -> Iterator[pa.ListArray]:
-        """The rows of a batch, so many at a time as hold ``AT_ONCE`` pretokens, one at least."""
-        begin, held = 0, 0
-        for row, size in enumerate(batch.value_lengths().fill_null(0).to_pylist()):
-            if row > begin and held + size > AT_ONCE:
-                yield batch.slice(begin, row - begin)
-                begin, held = row, 0
-            held += size
-        yield batch.slice(begin)
+        return pieces(batch)
 
     def lists(self, batch: pa.ListArray) -> pa.ListArray:
         """Lists of pretokens to lists of ids; null lists to empty ones.
@@ -229,6 +222,17 @@ class WordEncoder:
         return pa.ListArray.from_arrays(pa.array(ends[bounds], pa.int32()), pa.array(values, pa.int32()))
 
 
+def pieces(batch: pa.ListArray) -> Iterator[pa.ListArray]:
+    """The rows of a batch, so many at a time as hold ``AT_ONCE`` pretokens, one at least."""
+    begin, held = 0, 0
+    for row, size in enumerate(batch.value_lengths().fill_null(0).to_pylist()):
+        if row > begin and held + size > AT_ONCE:
+            yield batch.slice(begin, row - begin)
+            begin, held = row, 0
+        held += size
+    yield batch.slice(begin)
+
+
 def dealt(flat: np.ndarray, sizes: Sequence[int], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Runs of ``flat``, of these sizes, in the order ``at``; and where each ends, from 0 on."""
     sizes = np.array(sizes, np.int64)
@@ -245,7 +249,7 @@ def word_ids(pretokens: Column, encoder: WordEncoder) -> Column:
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             # Spark hands over whole batches; what is made of them at once stays small
-            for piece in encoder.pieces(batch):
+            for piece in pieces(batch):
                 yield encoder.lists(piece)
 
     return encode(pretokens)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, functions as F
 
 
@@ -56,3 +57,23 @@ def adamw_columns(
         return F.when(gradient.isNull(), old).otherwise(new)
 
     return kept(decayed, value), kept(new_first, first), kept(new_second, second)
+
+
+def adamw_arrays(
+    value: np.ndarray,
+    first: np.ndarray,
+    second: np.ndarray,
+    gradient: np.ndarray,
+    rate: float,
+    step: int,
+    decay: float = 0.01,
+    betas: tuple[float, float] = (0.9, 0.999),
+    epsilon: float = 1e-8,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`adamw_columns` over arrays."""
+    b1, b2 = betas
+    size = rate * (1 - b2**step) ** 0.5 / (1 - b1**step)
+    first = b1 * first + (1 - b1) * gradient
+    second = b2 * second + (1 - b2) * gradient * gradient
+    moved = value - size * first / (np.sqrt(second) + epsilon)
+    return moved - (rate * decay) * moved, first, second

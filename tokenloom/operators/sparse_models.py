@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from tokenloom.functions import optimizer as opt
-from tokenloom.functions.draws import draw_uniform
+from tokenloom.functions.buckets import bucket_counts
 from tokenloom.functions.text import pretokens
 from tokenloom.operators.joins import BROADCAST_ROWS, HOT_ROWS, fits_broadcast, spread_left_join
 from tokenloom.operators.models import scheduled_rates
-from tokenloom.session import materialize, release
+from tokenloom.operators.sparse_blocks import Descent
+from tokenloom.session import collect_garbage, materialize, release
 
-#: Entries aimed at per file of those a training reads at every step.
-FILE_ENTRIES = 1_000_000
+#: Most buckets that are broadcast, if they also measure small; steps between two
+#: collections of the driver's garbage, with which the shuffle files of old steps go.
+BROADCAST_BUCKETS, GARBAGE_STEPS = 1 << 21, 8
 
 
 def hashed_entries(
@@ -22,19 +25,29 @@ def hashed_entries(
 ) -> DataFrame:
     """(keep..., bucket, value): share of the row's pretokens per hash bucket, present ones only.
 
-    A row without pretokens gives one entry without bucket. ``keep`` must tell rows apart.
+    A row without pretokens gives one entry without bucket. ``keep`` should tell rows apart:
+    then nothing is shuffled. Counts of rows that share it are added up.
     """
-    listed = df.select(*keep, pretokens(F.col(text)).alias("_list"))
-    places = listed.select(
-        *keep, F.size("_list").alias("_total"), F.explode_outer("_list").alias("_pretoken")
-    )
-    bucket = F.conv(F.substring(F.md5("_pretoken"), 1, 8), 16, 10).cast("bigint") % buckets
-    counts = places.groupBy(*keep, bucket.cast("int").alias("bucket")).agg(
-        F.count("_pretoken").alias("_n"), F.first("_total").alias("_total")
-    )
-    return counts.select(
-        *keep, "bucket", F.when(F.col("bucket").isNotNull(), F.col("_n") / F.col("_total")).alias("value")
+
+    def counted(rows: DataFrame) -> DataFrame:
+        listed = bucket_counts(pretokens(F.col(text)), buckets).alias("_counts")
+        entries = rows.select(*keep, listed).select(*keep, F.explode_outer("_counts").alias("_one"))
+        return entries.select(*keep, "_one.bucket", "_one.n", "_one.total")
+
+    def shares(entries: DataFrame) -> DataFrame:
+        return entries.select(*keep, "bucket", (F.col("n") / F.col("total")).alias("value"))
+
+    counts = df.groupBy(*keep).agg(F.count(F.lit(1)).alias("_rows"))
+    shared = materialize(counts.where("_rows > 1").select(*keep))
+    if shared.isEmpty():
+        release(shared)
+        return shares(counted(df))
+    there = shared.select(*[F.col(name).alias(f"_{i}") for i, name in enumerate(keep)])
+    same = reduce(and_, [df[name].eqNullSafe(F.col(f"_{i}")) for i, name in enumerate(keep)])
+    merged = counted(df.join(there, same, "left_semi")).groupBy(*keep, "bucket").agg(
+        F.sum("n").alias("n"), F.first("total").alias("total")
     )
+    return shares(counted(df.join(there, same, "left_anti"))).unionByName(shares(merged))
 
 
 def with_frequencies(entries: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -44,7 +57,10 @@ def with_frequencies(entries: DataFrame, key: str = "doc_id") -> DataFrame:
         entries.where("bucket is not null").groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     )
     dim = counted.withColumn("_weight", F.col("n"))
-    joined = materialize(spread_left_join(entries, dim, ["bucket"], "_weight", F.col(key)), "entries")
+    joined = spread_left_join(
+        entries, dim, ["bucket"], "_weight", F.col(key), broadcast_rows=BROADCAST_BUCKETS
+    )
+    joined = materialize(joined, "entries")
     release(counted, found)
     return joined
 
@@ -70,7 +86,7 @@ def hot_floor(weights: DataFrame, classes: int) -> int:
     ``HOT_ROWS`` buckets, less where classes make rows wide.
     """
     slim = weights.select("bucket", "n", *_columns("w", classes))
-    if fits_broadcast(slim):
+    if fits_broadcast(slim, BROADCAST_BUCKETS):
         return 0
     most = max(1, HOT_ROWS // max(1, classes // 16))
     return max(1, -(-weights.agg(F.sum("n")).first()[0] // most))
@@ -105,18 +121,15 @@ def lead_buckets(entries: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def lead_entries(entries: DataFrame, led: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The entries of leading buckets with their ``times``, and those without bucket; written.
+    """The entries of leading buckets with their ``times``, and those without bucket.
 
-    Rows lie together, so that sums by row shrink before they are shuffled.
+    ``led`` must be there as long as they are read.
     """
     leads = led.where("bucket = lead").select("bucket", "times", F.col("n").alias("_weight"))
-    leads = materialize(leads, "buckets")
-    met = spread_left_join(entries, leads, ["bucket"], "_weight", F.col(key))
-    kept = met.where("bucket is null or times is not null")
-    files = max(entries.sparkSession.sparkContext.defaultParallelism, -(-entries.count() // FILE_ENTRIES))
-    written = materialize(kept.repartition(files, key), "entries")
-    release(leads)
-    return written
+    met = spread_left_join(
+        entries, leads, ["bucket"], "_weight", F.col(key), broadcast_rows=BROADCAST_BUCKETS
+    )
+    return met.where("bucket is null or times is not null")
 
 
 def _times(table: DataFrame) -> Column:
@@ -195,17 +208,6 @@ def sparse_gradient(
     )
 
 
-def _moved(state: DataFrame, classes: int, scale: float, norm: float, most: float, rate: float, step: int) -> DataFrame:
-    """Weights after the step whose gradient sums ``state`` holds."""
-    clip = most / (norm + 1e-6) if norm > most else 1.0
-    out: list[Column] = []
-    for c in range(classes):
-        names = [F.col(f"{prefix}{c}") for prefix in "wmv"]
-        moved = opt.adamw_columns(*names, F.col(f"g{c}") * (scale * clip), rate, step)
-        out.extend(x.alias(f"{prefix}{c}") for prefix, x in zip("wmv", moved))
-    return state.select("bucket", "n", "times", *out)
-
-
 def train_sparse_classifier(
     entries: DataFrame,
     classes: int,
@@ -223,51 +225,54 @@ def train_sparse_classifier(
 ) -> DataFrame:
     """Weights (bucket, n, w0.., m0.., v0..) as ``models.train_classifier`` would learn them.
 
-    ``entries`` (key, label, bucket, value, n) come from :func:`with_frequencies`. A step is
-    one written table of the weights beside their gradient sums: entries meet the weights of
-    their bucket, products are added up by key, errors by bucket, both with sums before the
-    shuffle. The driver sees the gradient norm only; the weights, of any number of buckets,
-    never leave Spark, and the moves of a step are applied as the next one reads them.
-    ``classes`` are columns: at most a few dozen. ``on_step(step, weights, norm)`` sees
-    every step. Buckets that move alike are learned once (see :func:`lead_buckets`).
+    ``entries`` (key, label, bucket, value, n) come from :func:`with_frequencies`. They are
+    packed once into blocks of rows, the weights into shards of buckets. In a step the shards
+    send each block the weights of the buckets it holds, and the blocks send sums of their
+    gradients back (see :mod:`tokenloom.operators.sparse_blocks`); what a step moves grows with
+    the distinct buckets of the blocks, not with the entries. A step is one written table of
+    the weights beside their gradient sums. The driver sees the gradient norm only; the
+    weights, of any number of buckets, never leave Spark, and the moves of a step are applied
+    as the next one reads them. ``classes`` are columns: at most a few dozen.
+    ``on_step(step, weights, norm)`` sees every step. Buckets that move alike are learned once
+    (see :func:`lead_buckets`). No bucket is hot for a block, so ``floor``, which tells hot
+    buckets elsewhere, changes nothing here.
     """
     spark = entries.sparkSession
     led = lead_buckets(entries, key)
-    entries = lead_entries(entries, led, key)
-    counted = led.where("bucket = lead").select("bucket", "times")
-    weights = written = materialize(
-        initial_weights(entries, classes).join(counted, "bucket"), "weights"
-    )
+    size, leads = entries.count(), led.where("bucket = lead").count()
+    descent = Descent(lead_entries(entries, led, key), size, leads, classes, key, label)
 
-    def spread_out(leads: DataFrame) -> DataFrame:
-        values = leads.drop("n", "times").withColumnRenamed("bucket", "lead")
+    def spread_out(state: DataFrame, move) -> DataFrame:
         names = [name for prefix in "wmv" for name in _columns(prefix, classes)]
-        return led.drop("times").join(values, "lead").select("bucket", "n", *names)
+        values = descent.weights(state, move, names).withColumnRenamed("bucket", "lead")
+        kind = led.schema["bucket"].dataType
+        values = values.withColumn("lead", F.col("lead").cast(kind))
+        # buckets of rows without key are in no block: they have no gradient and stay zero
+        found = led.drop("times").join(values, "lead", "left").fillna(0.0, subset=names)
+        return found.select("bucket", "n", *names)
 
-    if floor is None:
-        floor = hot_floor(weights, classes)
     schedule = scheduled_rates(spark, steps, *rates, warmup, steps if cycle is None else cycle)
-    rows = entries.agg(F.count_distinct(key)).first()[0]
-    gradients = [f"g{c}" for c in range(classes)]
-    squares = sum((F.col(g) * F.col(g) for g in gradients), F.lit(0.0))
+    state, move = descent.begin(), None
+    rows = descent.rows()
     for step in range(1, steps + 1):
-        batch = entries
+        drawn = None
         if batch_share < 1:
-            batch = entries.where(draw_uniform(seed, F.col(key), F.lit(step)) < batch_share)
-            rows = batch.agg(F.count_distinct(key)).first()[0]
-        sums = sparse_gradient(batch, weights, classes, floor, key, label, rows)
+            drawn = (seed, step, batch_share)
+            rows = descent.rows(drawn)
         seen = Observation()
-        met = weights.join(sums, "bucket", "left").fillna(0.0, subset=gradients)
-        state = materialize(met.observe(seen, F.sum(squares * F.col("times")).alias("total")), "weights")
+        sums = descent.step(state, move, drawn).observe(seen, F.sum("square").alias("total"))
+        before, state = state, materialize(sums.drop("square"), "weights", {"compression": "none"})
+        release(before)
         scale = 1.0 / max(rows, 1)
-        total = seen.get["total"] or 0.0
-        norm = total**0.5 * scale
-        weights = _moved(state, classes, scale, norm, max_norm, schedule[step], step)
-        release(written)
-        written = state
+        norm = (seen.get["total"] or 0.0) ** 0.5 * scale
+        clip = max_norm / (norm + 1e-6) if norm > max_norm else 1.0
+        move = (scale * clip, schedule[step], step)
+        if step % GARBAGE_STEPS == 0:
+            collect_garbage(spark)
         if on_step is not None:
-            on_step(step, spread_out(weights), norm)
-    return spread_out(weights)
+            on_step(step, spread_out(state, move), norm)
+    descent.close()
+    return spread_out(state, move)
 
 
 def classify_entries(

@@ -83,6 +83,11 @@ def release(*tables: DataFrame) -> None:
                 _remove(known, _written.pop(known))
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Collect the driver's garbage: only then do the shuffle files of finished jobs go."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def _remove(path: str, spark: SparkSession) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
