@@ -11,6 +11,8 @@ from pyspark.sql import Column, functions as F
 #: Pretokens kept per worker and their longest; pretokens encoded at once; up to so many
 #: parts are searched anew for every merge; up to so many parts all pairs have a table.
 KEPT, LETTERS, AT_ONCE, SHORT, DENSE = 100_000, 64, 1 << 16, 64, 1024
+#: A block of rows holds about so many pretokens, letters of distinct ones and rows at most.
+BLOCK_PLACES, BLOCK_LETTERS, BLOCK_ROWS = 1 << 21, 1 << 23, 1 << 16
 
 
 def merge_pairs(parts: list[bytes], ranks: dict[tuple[bytes, bytes], int]) -> list[bytes]:
@@ -242,6 +244,117 @@ def dealt(flat: np.ndarray, sizes: Sequence[int], at: np.ndarray) -> tuple[np.nd
     return flat[np.arange(ends[-1]) + np.repeat(begins[at] - ends[:-1], taken)], ends
 
 
+def packed(values: np.ndarray, sizes: Sequence[int]) -> pa.BinaryArray:
+    """Runs of whole numbers from 0 on, of these sizes: seven bits a byte, low ones first."""
+    values = values.astype(np.int64)
+    widths = 1 + sum((values >= 1 << bits).astype(np.int64) for bits in (7, 14, 21, 28))
+    ends = np.cumsum(widths)
+    data = np.zeros(ends[-1] if len(ends) else 0, np.uint8)
+    for k in range(5):
+        there = widths > k
+        part = values[there] >> 7 * k & 127
+        data[(ends - widths)[there] + k] = part | np.where(widths[there] > k + 1, 128, 0)
+    bounds = np.concatenate([[0], ends])[np.cumsum([0, *sizes])].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
+
+def unpacked(runs: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all runs, one run after the other, and how many each has."""
+    lengths = np.frombuffer(runs.buffers()[1], np.int32)[runs.offset : runs.offset + len(runs) + 1]
+    data = np.frombuffer(runs.buffers()[2] or b"", np.uint8)[lengths[0] : lengths[-1]]
+    last = data < 128
+    ends = np.flatnonzero(last) + 1
+    begins = np.concatenate([[0], ends[:-1]]).astype(np.int64) if len(ends) else ends
+    values = np.zeros(len(ends), np.int64)
+    for k in range(5):
+        there = ends - begins > k
+        values[there] |= (data[begins[there] + k] & 127).astype(np.int64) << 7 * k
+    upto = np.concatenate([[0], np.cumsum(last)])[lengths - lengths[0]]
+    return values, np.diff(upto)
+
+
+def packed_ids(tokens: Column) -> Column:
+    """Arrays of token ids as packed numbers."""
+
+    @F.arrow_udf("binary")
+    def pack(lists: pa.Array) -> pa.Array:
+        return packed(lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().fill_null(0).to_pylist())
+
+    return pack(tokens)
+
+
+class BlockWords:
+    """Numbers the distinct pretokens of a block in the order they first appear."""
+
+    def __init__(self, block: int):
+        self.block, self.known = block, {}
+        self.places = self.letters = self.rows = 0
+
+    def has_room(self, rows: int, places: int) -> bool:
+        most = (self.rows + rows <= BLOCK_ROWS) and (self.places + places <= BLOCK_PLACES)
+        return self.rows == 0 or (most and self.letters <= BLOCK_LETTERS)
+
+    def numbered(self, batch: pa.ListArray) -> pa.StructArray:
+        """Of every row its block, the numbers of its pretokens, those that are new to the
+        block, and the number of the first of them."""
+        sizes = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        coded = batch.flatten().dictionary_encode()
+        indices = coded.indices.to_numpy()
+        before = len(self.known)
+        words = coded.dictionary.to_pylist()
+        numbers = np.array([self.known.setdefault(word, len(self.known)) for word in words], np.int32)
+        new = np.flatnonzero(numbers >= before)
+        # a dictionary lists words as they first appear
+        seen = np.flatnonzero(np.diff(np.maximum.accumulate(indices), prepend=-1))
+        owner = np.searchsorted(np.cumsum(sizes), seen[new], "right")
+        ends = np.cumsum([0, *np.bincount(owner, minlength=len(sizes))])
+        self.rows += len(sizes)
+        self.places += len(indices)
+        self.letters += sum(len(words[i]) for i in new.tolist())
+        columns = [
+            pa.array(np.full(len(sizes), self.block)),
+            packed(numbers[indices], sizes),
+            pa.array(before + ends[:-1], pa.int32()),
+            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), coded.dictionary.take(pa.array(new))),
+        ]
+        return pa.StructArray.from_arrays(columns, names=["block", "places", "first", "fresh"])
+
+
+def block_words(pretokens: Column, row: Column) -> Column:
+    """Rows of a task gathered into blocks: (block, places, first, fresh) of each row.
+
+    ``places`` are the packed numbers of its pretokens within the block, ``fresh`` those pretokens no
+    earlier row of the block has; they are numbered from ``first`` on. ``row`` tells rows apart.
+    """
+
+    @F.arrow_udf("struct<block:bigint,places:binary,first:int,fresh:array<string>>")
+    def number(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        block = None
+        for lists, rows in batches:
+            at = 0
+            for piece in pieces(lists):
+                if not len(piece):
+                    continue
+                places = sum(piece.value_lengths().fill_null(0).to_pylist())
+                if block is None or not block.has_room(len(piece), places):
+                    block = BlockWords(rows[at].as_py())
+                yield block.numbered(piece)
+                at += len(piece)
+
+    return number(pretokens, row)
+
+
+def spelled(places: pa.BinaryArray, numbers: np.ndarray, tokens: pa.BinaryArray) -> pa.ListArray:
+    """Packed runs of numbers to lists of the ids that these numbers have, which are packed too."""
+    if tokens.null_count:
+        raise ValueError("pretoken without ids")
+    flat, sizes = unpacked(tokens.take(pa.array(np.argsort(numbers))))
+    at, lengths = unpacked(places)
+    values, ends = dealt(flat.astype(np.int32), sizes, at)
+    bounds = np.cumsum([0, *lengths])
+    return pa.ListArray.from_arrays(pa.array(ends[bounds], pa.int32()), pa.array(values, pa.int32()))
+
+
 def word_ids(pretokens: Column, encoder: WordEncoder) -> Column:
     """Token ids of an array of pretokens, in order."""
 
